@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auditloom.llm import mixing
+from auditloom.llm import mixing, tokens, warc
 from auditloom.llm.common import cut
 
 QUERIES: dict = {}
@@ -17,6 +17,13 @@ def query(f):
     return f
 
 
+def vocabulary(name: str) -> str:
+    """Where a public tokenizer's file lies."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -44,3 +51,15 @@ o AS (SELECT d.doc_id, d.size, u.source_size, u.target, u.reps, floor(u.target):
   FROM d JOIN u ON d.source IS NOT DISTINCT FROM u.source)
 SELECT doc_id, size, source_size, target, (reps * size + greatest(0, least(size, rest - before)))::BIGINT AS taken FROM o
 """
+
+
+@query
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = warc.write_archives(_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return warc.read_records(index, with_payload=False).drop("payload")
+
+
+@query
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = tokens.write_tokens(_table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary("byte_bpe_50k.json"))
+    return tokens.token_checks(spark, path)
