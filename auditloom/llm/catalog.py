@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auditloom.llm import mixing, tokens, warc
+from auditloom.llm import mixing, simhash, tokens, warc
 from auditloom.llm.common import cut
 
 QUERIES: dict = {}
@@ -63,3 +63,9 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = tokens.write_tokens(_table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary("byte_bpe_50k.json"))
     return tokens.token_checks(spark, path)
+
+
+@query
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prints = cut(simhash.fingerprints(_table(spark, sf_dir, "documents"), shingle=3), "prints")
+    return simhash.near_duplicates(prints, radius=3).select("doc_id", simhash.hexadecimal().alias("fingerprint"), "component_id")
