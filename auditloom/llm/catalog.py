@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auditloom.llm import mixing, simhash, tokens, warc
+from auditloom.llm import bpe, chunks, mixing, simhash, tokens, warc
 from auditloom.llm.common import cut
 
 QUERIES: dict = {}
@@ -69,3 +69,13 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     prints = cut(simhash.fingerprints(_table(spark, sf_dir, "documents"), shingle=3), "prints")
     return simhash.near_duplicates(prints, radius=3).select("doc_id", simhash.hexadecimal().alias("fingerprint"), "component_id")
+
+
+@query
+def op8_chunk_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunks.fingerprint_documents(_table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digest_documents(_table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
