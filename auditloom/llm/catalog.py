@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auditloom.llm import bpe, chunks, mixing, simhash, tokens, warc
+from auditloom.llm import bpe, chunks, covertree, mixing, simhash, tokens, warc
 from auditloom.llm.common import cut
 
 QUERIES: dict = {}
@@ -79,3 +79,24 @@ def op8_chunk_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest_documents(_table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+
+
+@query
+def op9_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return covertree.near_vectors(_table(spark, sf_dir, "embeddings"))
+
+
+ORACLES["op9_near_vectors"] = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(CAST(embedding AS DOUBLE[]), lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+u AS (SELECT vec_id, label, e, sqrt(list_dot_product(e, e)) AS size FROM v WHERE list_dot_product(e, e) > 0),
+p AS (SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.label = b.label AND len(a.e) = len(b.e) AND a.vec_id <> b.vec_id
+  WHERE list_dot_product(a.e, b.e) / (a.size * b.size) >= 0.98),
+r(a, b) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT r.a, p.b FROM r JOIN p ON r.b = p.a),
+c AS (SELECT a, min(b) AS component_id FROM r GROUP BY a),
+n AS (SELECT a, count(*) AS n_links FROM p GROUP BY a)
+SELECT e.vec_id, coalesce(n.n_links, 0)::BIGINT AS n_links, c.component_id, e.vec_id = c.component_id AS kept
+FROM embeddings e JOIN c ON c.a = e.vec_id LEFT JOIN n ON n.a = e.vec_id
+"""
