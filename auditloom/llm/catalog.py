@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auditloom.llm import bpe, chunks, covertree, mixing, simhash, tokens, warc
+from auditloom.llm import bpe, chunks, covertree, mixing, simhash, tokens, toxicity, warc
 from auditloom.llm.common import cut
 
 QUERIES: dict = {}
@@ -61,8 +61,7 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = tokens.write_tokens(_table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary("byte_bpe_50k.json"))
-    return tokens.token_checks(spark, path)
+    return tokens.token_checks(tokens.write_tokens(_table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json")))
 
 
 @query
@@ -100,3 +99,11 @@ n AS (SELECT a, count(*) AS n_links FROM p GROUP BY a)
 SELECT e.vec_id, coalesce(n.n_links, 0)::BIGINT AS n_links, c.component_id, e.vec_id = c.component_id AS kept
 FROM embeddings e JOIN c ON c.a = e.vec_id LEFT JOIN n ON n.a = e.vec_id
 """
+
+
+@query
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, _table(spark, sf_dir, "labels"))
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
+    return toxicity.score_documents(docs, model).select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))

@@ -18,16 +18,21 @@ an empty dataset.
 
 from __future__ import annotations
 
+import array
 import re
+import uuid
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from auditloom.llm import store
 from auditloom.llm.common import cut, running_total, scratch_path
 
 #: Pieces a worker remembers before it starts anew; this bounds memory alone.
@@ -35,7 +40,7 @@ REMEMBERED = 400_000
 
 #: Latin text, on which Python's character classes agree with the vocabulary's pattern.
 _ODD = re.compile("[^\t-\r -~À-ÖØ-öø-ɏ]")
-_PIECE = re.compile(r"'(?:s|t|re|ve|m|ll|d)| ?[^\W\d_]+| ?\d+| ?(?:_|[^\s\w])+|\s+(?!\S)|\s+")
+_PIECE = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ɏ]+| ?[0-9]+|'(?:s|t|re|ve|m|ll|d)| ?(?:_|[^\s\w])+|\s+(?!\S)|\s+")
 
 
 class _Pieces(dict):
@@ -55,8 +60,7 @@ class _Pieces(dict):
         if len(self) >= REMEMBERED:
             self.clear()
         shown = piece.encode("utf-8").decode("latin-1").translate(self.level)
-        ids = np.array([t.id for t in self.tokenizer.model.tokenize(shown)], dtype="<u4").tobytes()
-        self[piece] = ids
+        self[piece] = ids = array.array("I", [t.id for t in self.tokenizer.model.tokenize(shown)]).tobytes()
         return ids
 
 
@@ -85,64 +89,118 @@ def encoder(path: str) -> ByteLevelEncoder:
     return ByteLevelEncoder(path)
 
 
-def write_tokens(docs: DataFrame, vocabulary: str, doc_id: str = "doc_id", text: str = "text", end_id: int | None = 0, path: str | None = None, row_group_bytes: int = 32 << 20, page_bytes: int = 64 << 10) -> str:
-    """Encode ``docs``, write ``(doc_id, n_tokens, ids)`` in ascending id order, return the path."""
+_FILE = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.list_(pa.int32()))])
+_MANIFEST = pa.schema([("part", pa.int32()), ("file", pa.string()), ("grp", pa.int32()), ("n_rows", pa.int64()), ("n_tokens", pa.int64())])
+
+
+def write_tokens(docs: DataFrame, vocabulary: str, doc_id: str = "doc_id", text: str = "text", end_id: int | None = 0, path: str | None = None, group_tokens: int = 4 << 20, page_bytes: int = 64 << 10) -> DataFrame:
+    """Encode ``docs`` into files of ``(doc_id, n_tokens, ids)`` in ascending id order.
+
+    Returns the manifest: a row per row group with its place, its rows and tokens, and
+    ``start``, the tokens before it. A file has the name of its task's attempt, and only
+    files in the manifest count. A row group holds about ``group_tokens`` tokens.
+    """
     spark = docs.sparkSession
-    path = path or scratch_path(spark, "tokens")
+    root = path or scratch_path(spark, "tokens")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(text, F.lit("")).alias("text"))
-    rows = rows.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id")
-    schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.list_(pa.int32()))])
+    rows = rows.repartitionByRange(parts, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first())
     end = b"" if end_id is None else int(end_id).to_bytes(4, "little")
 
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of = encoder(vocabulary)
-        for whole in batches:
-            for at in range(0, whole.num_rows, 256):
-                batch = whole.slice(at, 256)
-                out = [ids_of(x) + end for x in batch.column(1).to_pylist()]
-                n = np.array([len(x) // 4 for x in out], dtype=np.int64)
-                ids = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32)), pa.array(np.frombuffer(b"".join(out), dtype="<i4")))
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n), ids], schema=schema)
-
-    options = {
-        "compression": "zstd",
-        "parquet.writer.version": "PARQUET_2_0",
-        "parquet.block.size": str(row_group_bytes),
-        "parquet.page.size": str(page_bytes),
-        "parquet.page.row.count.limit": "2000",
-        "parquet.enable.dictionary": "true",
-        "parquet.enable.dictionary#doc_id": "false",
-        "parquet.enable.dictionary#n_tokens": "false",
-    }
-    rows.mapInArrow(encode, "doc_id long, n_tokens long, ids array<int>").write.options(**options).parquet(path)
-    return path
-
-
-def read_tokens(spark, path: str) -> DataFrame:
-    """The dataset with each row's file and place in it; select columns before an action."""
-    data = spark.read.schema("doc_id long, n_tokens long, ids array<int>").parquet(path)
-    return data.select("doc_id", "n_tokens", "ids", F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row"))
-
-
-def token_index(rows: DataFrame) -> DataFrame:
-    """``start`` added: the ids of all documents before each one."""
-    return running_total(rows, [F.col("doc_id").asc_nulls_first(), F.col("file"), F.col("row")], F.col("n_tokens"), "start")
-
-
-def token_checks(spark, path: str) -> DataFrame:
-    """Per stored document ``doc_id, start, n_tokens, ids_crc32``, read back from the files."""
-    schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64()), ("file", pa.string()), ("row", pa.int64())])
-
-    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids_of, part = encoder(vocabulary), TaskContext.get().partitionId()
+        file, writer, out = f"{root}/part-{part:06d}-{uuid.uuid4().hex}.parquet", None, None
+        held_ids, held, tokens, group = [], [], 0, 0
+
+        def flush() -> pa.RecordBatch:
+            nonlocal writer, out, tokens, group
+            if writer is None:
+                out = store.create(file)
+                writer = pq.ParquetWriter(
+                    out, _FILE, compression="zstd", compression_level=1, use_dictionary=["ids.list.element"], dictionary_pagesize_limit=1 << 20,
+                    column_encoding={"doc_id": "DELTA_BINARY_PACKED", "n_tokens": "DELTA_BINARY_PACKED"}, data_page_size=page_bytes, write_page_index=True,
+                )
+            n = np.array([len(x) // 4 for x in held], dtype=np.int64)
+            ids = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32)), pa.array(np.frombuffer(b"".join(held), dtype="<i4")))
+            writer.write_table(pa.Table.from_arrays([pa.array(held_ids, pa.int64()), pa.array(n), ids], schema=_FILE), row_group_size=len(held))
+            done = pa.RecordBatch.from_pylist([{"part": part, "file": file, "grp": group, "n_rows": len(held), "n_tokens": tokens}], schema=_MANIFEST)
+            held_ids.clear()
+            held.clear()
+            tokens, group = 0, group + 1
+            return done
+
+        try:
+            for whole in batches:
+                for at in range(0, whole.num_rows, 256):
+                    batch = whole.slice(at, 256)
+                    held_ids += batch.column(0).to_pylist()
+                    for x in batch.column(1).to_pylist():
+                        held.append(ids_of(x) + end)
+                        tokens += len(held[-1]) // 4
+                    if tokens >= group_tokens:
+                        yield flush()
+            if held:
+                yield flush()
+        finally:
+            if writer is not None:
+                writer.close()
+                out.close()
+
+    manifest = cut(rows.mapInArrow(write, "part int, file string, grp int, n_rows long, n_tokens long"), "manifest")
+    return running_total(manifest, [F.col("part"), F.col("grp")], F.col("n_tokens"), "start")
+
+
+def _groups(manifest: DataFrame, read, schema: pa.Schema, ddl: str) -> DataFrame:
+    """``read(file, grp, start)`` for every row group of the manifest, a few groups a task."""
+    parts = int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        name, source = None, None
         for batch in batches:
-            ids = batch.column(2)
-            flat = np.ascontiguousarray(ids.flatten().to_numpy(zero_copy_only=False).astype("<u4", copy=False)).view(np.uint8)
-            ends = np.concatenate([[0], np.cumsum(ids.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64))]) * 4
-            view = memoryview(flat)
-            sums = [zlib.crc32(view[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True)]
-            n = pa.array(np.diff(ends) // 4)
-            yield pa.RecordBatch.from_arrays([batch.column(0), n, pa.array(sums, pa.int64()), batch.column(3), batch.column(4)], schema=schema)
-
-    rows = read_tokens(spark, path).mapInArrow(check, "doc_id long, n_tokens long, ids_crc32 long, file string, row long")
-    return token_index(cut(rows, "checked")).select("doc_id", "start", "n_tokens", "ids_crc32")
+            for row in batch.to_pylist():
+                if row["file"] != name:
+                    name, source = row["file"], pq.ParquetFile(store.open_at(row["file"]))
+                yield from pa.Table.from_arrays(read(source, row["grp"], row["start"]), schema=schema).to_batches()
+
+    chosen = manifest.select("part", "file", "grp", "start").repartitionByRange(parts, "part", "grp").sortWithinPartitions("part", "grp")
+    return chosen.mapInArrow(run, ddl)
+
+
+def read_tokens(manifest: DataFrame) -> DataFrame:
+    """The documents of the manifest's row groups: ``doc_id, start, n_tokens, ids``."""
+    schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.list_(pa.int32()))])
+
+    def read(source: pq.ParquetFile, group: int, start: int) -> list:
+        table = source.read_row_group(group).combine_chunks()
+        n = table["n_tokens"].to_numpy()
+        return [table["doc_id"], pa.array(start + np.cumsum(n) - n), table["n_tokens"], table["ids"]]
+
+    return _groups(manifest, read, schema, "doc_id long, start long, n_tokens long, ids array<int>")
+
+
+def token_index(manifest: DataFrame) -> DataFrame:
+    """``doc_id, start, n_tokens`` alone: the ids' pages are not read."""
+    schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64())])
+
+    def read(source: pq.ParquetFile, group: int, start: int) -> list:
+        table = source.read_row_group(group, columns=["doc_id", "n_tokens"])
+        n = table["n_tokens"].to_numpy()
+        return [table["doc_id"], pa.array(start + np.cumsum(n) - n), table["n_tokens"]]
+
+    return _groups(manifest, read, schema, "doc_id long, start long, n_tokens long")
+
+
+def token_checks(manifest: DataFrame) -> DataFrame:
+    """Per stored document ``doc_id, start, n_tokens, ids_crc32``, all from the ids read back."""
+    schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())])
+
+    def read(source: pq.ParquetFile, group: int, start: int) -> list:
+        table = source.read_row_group(group, columns=["doc_id", "ids"]).combine_chunks()
+        ids = table["ids"].chunk(0)
+        view = memoryview(np.ascontiguousarray(ids.flatten().to_numpy().astype("<u4", copy=False)).view(np.uint8))
+        n = ids.value_lengths().to_numpy().astype(np.int64)
+        ends = np.cumsum(n)
+        sums = [zlib.crc32(view[4 * a : 4 * b]) for a, b in zip((ends - n).tolist(), ends.tolist(), strict=True)]
+        return [table["doc_id"], pa.array(start + ends - n), pa.array(n), pa.array(sums, pa.int64())]
+
+    return _groups(manifest, read, schema, "doc_id long, start long, n_tokens long, ids_crc32 long")
