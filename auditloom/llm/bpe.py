@@ -37,7 +37,8 @@ REMEMBERED = 500_000
 NONE = 1 << 62
 
 _ODD = re.compile("[^\t-\r -~À-ÖØ-öø-ɏ]")
-_LATIN = re.compile(r"'(?:s|t|re|ve|m|ll|d)|[^\W\d_]+|\d|(?:_|[^\s\w])+")
+# Letters come first and by range: the alternatives exclude one another but for the apostrophe's.
+_LATIN = re.compile(r"[a-zß-öø-ʯⱥⱦ]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|(?:_|[^\s\w])+")
 
 
 class Lexicon:
@@ -138,7 +139,8 @@ class WordVocabulary:
         model = said["model"]
         vocab = model["vocab"]
         self.special = {t["content"]: t["id"] for t in said["added_tokens"]}
-        self.tokens = {i: t for t, i in vocab.items()} | {i: t for t, i in self.special.items()}
+        known = {i: t for t, i in vocab.items()} | {i: t for t, i in self.special.items()}
+        self.tokens = np.array([known.get(i, "") for i in range(max(known) + 1)], dtype=object)
         self.suffix = model["end_of_word_suffix"]
         self.split_special = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")")
         pieces = next(p for p in said["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
@@ -214,9 +216,9 @@ class WordVocabulary:
                 heapq.heappush(heap, (m, k, ids[k], ids[i]))
         return array.array("I", [x for x in ids if x >= 0]).tobytes()
 
-    def decode(self, ids: Iterable[int]) -> str:
+    def decode(self, ids: np.ndarray) -> str:
         """Tokens joined by blanks, special ones included, as a file without a decoder asks."""
-        return " ".join(map(self.tokens.__getitem__, ids))
+        return " ".join(self.tokens[ids].tolist())
 
 
 class Encoder(dict):
@@ -311,19 +313,22 @@ def encode_documents(docs: DataFrame, path: str, doc_id: str = "doc_id", text: s
 
     def row(encoder: Encoder, text: str) -> tuple:
         ids = np.frombuffer(encoder.encode(text), dtype="<i4")
-        return ids, encoder.vocabulary.decode(ids.tolist())
+        return ids, encoder.vocabulary.decode(ids)
 
     return _mapped(docs, path, doc_id, text, lexicon, schema, "doc_id long, ids array<int>, decoded string", row)
 
 
-def digest_documents(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", lexicon: bytes | None = None) -> DataFrame:
-    """Counts and digests of every document's ids and of what they decode to."""
+def digest_documents(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", lexicon: bytes | None = None, with_ids: bool = False) -> DataFrame:
+    """Counts and digests of every document's ids and of what they decode to, and the ids where asked."""
     lexicon = build_lexicon(docs, path, text) if lexicon is None else lexicon
-    schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
+    more = [("ids", pa.list_(pa.int32()))] if with_ids else []
+    schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string()), *more])
 
     def row(encoder: Encoder, text: str) -> tuple:
         ids = encoder.encode(text)
-        decoded = encoder.vocabulary.decode(memoryview(ids).cast("I"))
-        return len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded.encode("utf-8")).hexdigest()
+        numbers = np.frombuffer(ids, dtype="<i4")
+        decoded = encoder.vocabulary.decode(numbers)
+        out = len(numbers), hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded.encode("utf-8")).hexdigest()
+        return (*out, numbers) if with_ids else out
 
-    return _mapped(docs, path, doc_id, text, lexicon, schema, OUT, row)
+    return _mapped(docs, path, doc_id, text, lexicon, schema, OUT + (", ids array<int>" if with_ids else ""), row)
