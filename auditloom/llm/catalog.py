@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auditloom.llm import bpe, chunks, covertree, mixing, simhash, tokens, toxicity, warc
+from auditloom.llm import bpe, chunks, covertree, lines, mixing, pii, simhash, tokens, toxicity, warc
 from auditloom.llm.common import cut
 
 QUERIES: dict = {}
@@ -107,3 +107,22 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = toxicity.fit(docs, _table(spark, sf_dir, "labels"))
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
     return toxicity.score_documents(docs, model).select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lines.deduplicate_lines(docs).select("doc_id", "n_deleted", F.length("text").cast("long").alias("n_chars"), F.sha2("text", 256).alias("text_sha256"))
+
+
+@query
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+@query
+def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.find_personal_data(docs, pii.train(pii.sample_texts(docs)))
