@@ -123,7 +123,8 @@ def deduplicate_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     gone = cut(runs.groupBy(*DOC).agg(F.collect_set(F.struct("a", "b")).alias("_al_runs")), "gone")
     gone = gone.select(F.col("doc_id").alias("_al_id"), F.col("dk").alias("_al_dk"), "_al_runs")
     keyed = docs.withColumns({"_al_k": F.xxhash64(F.col(doc_id).cast("long"), F.col(text)), "_al_i": F.col(doc_id).cast("long")})
-    rows = keyed.join(gone, F.col("_al_i").eqNullSafe(F.col("_al_id")) & (F.col("_al_k") == F.col("_al_dk")), "left").drop("_al_i", "_al_k", "_al_id", "_al_dk")
+    # One plan at every size: the texts meet their runs by a sort-merge join on a nearly unique key.
+    rows = keyed.join(gone.hint("merge"), F.col("_al_i").eqNullSafe(F.col("_al_id")) & (F.col("_al_k") == F.col("_al_dk")), "left").drop("_al_i", "_al_k", "_al_id", "_al_dk")
     at = docs.columns.index(text)
     schema = StructType([*docs.schema.fields]).add("n_deleted", LongType())
     schema.fields[at].dataType = StringType()
