@@ -355,8 +355,10 @@ def written(spans: list[tuple[str, int, int]]) -> str:
 
 def sample_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> list[str]:
     """At most SAMPLE passages of SAMPLE_CHARS characters, in seeded order, to train on."""
-    rows = docs.where(F.col(text).isNotNull()).select(F.substring(text, 1, SAMPLE_CHARS).alias("t"), F.xxhash64(F.lit(42), doc_id).alias("h"))
-    return [r["t"] for r in rows.orderBy("h", "t").limit(SAMPLE).collect()]
+    rows = docs.where(F.col(text).isNotNull()).select(F.col(doc_id).alias("i"), F.xxhash64(F.lit(42), doc_id).alias("h"), F.substring(text, 1, SAMPLE_CHARS).alias("t"))
+    # Ids are chosen first, so tasks send the driver no texts but the chosen ones.
+    chosen = F.broadcast(rows.select("i", "h").orderBy("h", "i").limit(SAMPLE).select("i").distinct())
+    return [r["t"] for r in rows.join(chosen, "i").orderBy("h", "t").limit(SAMPLE).collect()]
 
 
 OUT = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string"
