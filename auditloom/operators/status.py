@@ -1,0 +1,161 @@
+"""Safety status of files and the access decisions that follow from it."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from auditloom.functions.rules import STATUSES
+
+LEVELS = ("standard", "strict", "lockdown")
+# What counts as data by extension, and where.
+DATA_EXTENSIONS = "csv tsv dta sav rds rdata parquet feather arrow xlsx xls sqlite db h5 hdf5 mat pkl npy npz jsonl ndjson".split()
+TEXT_EXTENSIONS = "txt md json docx pdf rtf srt vtt".split()
+MEDIA_EXTENSIONS = "wav mp3 flac m4a ogg aac aiff mp4 mov avi mkv webm eaf textgrid".split()
+IMAGE_EXTENSIONS = "jpg jpeg png tiff tif heic heif bmp webp gif".split()
+RAW_PATH = r"/(data|raw|raw-data|raw_data)/"
+QUALITATIVE_PATH = r"/(transcripts?|interviews?|fieldnotes?|field-notes|qualitative|audio|video)/"
+SYSTEM_PATH = r"^/(etc|dev|proc|sys|boot|root|var/log)(/|$)"
+
+
+def initial_status(verdict: Column) -> Column:
+    """GREEN is cleared; anything else waits for review under its level."""
+    return F.when(verdict == "GREEN", "CLEARED").otherwise(F.concat(F.lit("NEEDS_REVIEW:"), F.coalesce(verdict, F.lit("UNKNOWN"))))
+
+
+def valid_status(status: Column) -> Column:
+    return F.coalesce(status.rlike(r"^(" + "|".join(STATUSES) + r"|NEEDS_REVIEW(:.+)?)$"), F.lit(False))
+
+
+def sidecar_problems(sidecar: DataFrame) -> DataFrame:
+    """``sidecar(json)`` to one row per bad entry: ``path, reason``."""
+    entries = sidecar.select(F.explode(F.from_json("json", "map<string,string>")).alias("path", "status"))
+    meta = F.col("path").startswith("_")
+    reason = (
+        F.when(F.col("path") == "_safety_level", F.when(~F.col("status").isin(*LEVELS) | F.col("status").isNull(), "invalid safety level"))
+        .when(meta, "unknown meta key")
+        .when(F.col("status").startswith("{") | F.col("status").startswith("["), "status is not a string")
+        .when(~valid_status(F.col("status")), "invalid status")
+    )
+    return entries.select("path", reason.alias("reason")).where("reason IS NOT NULL")
+
+
+def safety_level(project: Column, environment: Column) -> Column:
+    """The project's level, else the environment's, else standard; invalid ones don't count."""
+    ok = lambda c: F.when(c.isin(*LEVELS), c)
+    return F.coalesce(ok(project), ok(environment), F.lit("standard"))
+
+
+def is_data(path: Column) -> Column:
+    """Data by extension; text extensions, JSON and bare names only in data folders."""
+    low, ext = F.lower(path), F.lower(F.regexp_extract(path, r"\.([^./]+)$", 1))
+    inside = low.rlike(RAW_PATH) | low.rlike(QUALITATIVE_PATH)
+    return ext.isin(DATA_EXTENSIONS) | (ext.isin(TEXT_EXTENSIONS) & inside) | ((ext == "") & low.rlike(RAW_PATH))
+
+
+def is_raw(path: Column, resolved: Column) -> Column:
+    """By the path as written or as resolved."""
+    return F.lower(path).rlike(RAW_PATH) | F.coalesce(F.lower(resolved).rlike(RAW_PATH), F.lit(False))
+
+
+def is_qualitative(path: Column, resolved: Column) -> Column:
+    return F.lower(path).rlike(QUALITATIVE_PATH) | F.coalesce(F.lower(resolved).rlike(QUALITATIVE_PATH), F.lit(False))
+
+
+def nearest_root(paths: DataFrame, roots: DataFrame) -> DataFrame:
+    """``path`` with ``root``, its deepest ancestor among ``roots(dir)``."""
+    parts = F.split("path", "/")
+    prefixes = F.transform(F.sequence(F.lit(1), F.size(parts) - 1), lambda n: F.array_join(F.slice(parts, F.lit(1), n), "/"))
+    up = paths.select("path", F.explode(F.when(F.size(parts) > 1, prefixes).otherwise(F.array())).alias("dir"))
+    best = up.join(roots, "dir").groupBy("path").agg(F.max_by("dir", F.length("dir")).alias("root"))
+    return paths.join(best, "path", "left")
+
+
+def lookup_status(paths: DataFrame, sidecar: DataFrame) -> DataFrame:
+    """Status by canonical, then lexical, then raw path; a base name never matches."""
+    out = paths
+    for k in ("canonical", "lexical", "raw"):
+        out = out.join(sidecar.select(F.col("path").alias(k), F.col("status").alias(f"_{k}")), k, "left")
+    return out.withColumn("status", F.coalesce("_canonical", "_lexical", "_raw")).drop("_canonical", "_lexical", "_raw")
+
+
+def decide(path: Column, status: Column, verdict: Column) -> tuple[Column, Column]:
+    """The access decision and its reason."""
+    low, ext = F.lower(path), F.lower(F.regexp_extract(path, r"\.([^./]+)$", 1))
+    refused = (status == "OVERRIDE") & (ext.isin(MEDIA_EXTENSIONS) | (ext.isin(TEXT_EXTENSIONS) & low.rlike(QUALITATIVE_PATH)))
+    reason = (
+        F.when(low.rlike(SYSTEM_PATH), "system path")
+        .when(status.isNotNull() & ~valid_status(status), "invalid status")
+        .when(refused, "override refused")
+        .when(status.isin("CLEARED", "ANONYMIZED", "OVERRIDE"), "status allows")
+        .when(status.isNotNull(), "status blocks")
+        .when(ext.isin(IMAGE_EXTENSIONS), F.when(low.rlike(RAW_PATH), "raw image").otherwise("image"))
+        .when(verdict == "GREEN", "scan is green")
+        .otherwise("scan blocks")
+    )
+    allow = reason.isin("status allows", "image", "scan is green")
+    return F.when(allow, "ALLOW").otherwise("BLOCK"), reason
+
+
+DUMP_VERBS = "cat head tail less more bat strings xxd od hexdump awk sed cut sort uniq tac nl column".split()
+
+
+def dumps_data(command: Column) -> Column:
+    """Whether a shell command prints a data file's content.
+
+    Each segment is judged by its first word; a search that only counts or lists passes.
+    """
+    ext = "|".join(DATA_EXTENSIONS)
+    target = rf"[^ ]+\.({ext})([ \"']|$)"
+    segments = F.split(command, r"\|\||&&|[|;\n]")
+    verb = lambda s: F.regexp_extract(F.trim(s), r"^([A-Za-z0-9_./-]+)", 1)
+    dump = lambda s: verb(s).isin(DUMP_VERBS) & s.rlike(target)
+    search = lambda s: verb(s).isin("grep", "rg", "egrep", "fgrep") & s.rlike(target) & ~s.rlike(r" -[a-zA-Z]*[clqL]")
+    code = lambda s: verb(s).rlike(r"^(python3?|R|Rscript|perl|ruby)$") & s.rlike(rf"(read_|open\(|load|readRDS|fread).*\.({ext})") & s.rlike(r"print|head\(|cat\(")
+    return F.coalesce(F.exists(segments, lambda s: dump(s) | search(s) | code(s)), F.lit(False))
+
+
+def promoted_without_review(before: DataFrame, after: DataFrame, log: DataFrame) -> DataFrame:
+    """Paths whose restricted status became CLEARED or OVERRIDE without a review entry."""
+    was = before.where(F.col("status").startswith("NEEDS_REVIEW") | F.col("status").isin("HALTED", "LOCAL_MODE")).select("path", F.col("status").alias("was"))
+    now = after.where(F.col("status").isin("CLEARED", "OVERRIDE")).select("path", "status")
+    return was.join(now, "path").join(log.select("path").distinct(), "path", "left_anti")
+
+
+def breakdown(status: DataFrame) -> DataFrame:
+    return status.groupBy("status").agg(F.count("*").alias("n"))
+
+
+def unresolved(status: DataFrame, strict_compat: bool = False) -> DataFrame:
+    """How many paths wait for review; a bare NEEDS_REVIEW counts unless ``strict_compat``."""
+    waiting = F.col("status").startswith("NEEDS_REVIEW:" if strict_compat else "NEEDS_REVIEW")
+    n = F.count_if(waiting)
+    return status.agg(n.alias("unresolved"), F.when(n > 0, "BLOCKED").otherwise("OPEN").alias("gate"))
+
+
+def deny_set(folders: DataFrame, status: DataFrame, links: DataFrame) -> DataFrame:
+    """Data folders, restricted paths outside them, and what links resolve to, each once."""
+    restricted = status.where(F.col("status").startswith("NEEDS_REVIEW") | F.col("status").isin("HALTED", "LOCAL_MODE")).select("path")
+    outside = nearest_root(restricted, folders.select(F.col("path").alias("dir"))).where("root IS NULL").select("path")
+    return folders.select("path").union(outside).union(links.select(F.col("target").alias("path"))).distinct()
+
+
+def shareable(files: DataFrame, status: DataFrame) -> DataFrame:
+    """Files for a mirror: no data by extension, none in raw folders, none restricted by any review."""
+    open_files = files.where(~is_data(F.col("path")) & ~F.lower("path").rlike(RAW_PATH))
+    closed = status.where(F.col("status").startswith("NEEDS_REVIEW") | F.col("status").isin("HALTED", "LOCAL_MODE"))
+    return open_files.join(closed, "path", "left_anti")
+
+
+def local_mode(paths: DataFrame, sidecars: DataFrame) -> DataFrame:
+    """Paths under a sidecar, at most eight folders up, that says LOCAL_MODE."""
+    marked = sidecars.where(F.col("text").contains("LOCAL_MODE")).select("dir")
+    found = nearest_root(paths, marked)
+    depth = F.size(F.split("path", "/")) - F.size(F.split("root", "/"))
+    return found.withColumn("local_mode", F.coalesce(depth <= 9, F.lit(False)))
+
+
+def latest_per_path(records: DataFrame) -> DataFrame:
+    w = Window.partitionBy("path").orderBy(F.desc("line_no"))
+    return records.withColumn("_r", F.row_number().over(w)).where("_r = 1").drop("_r")

@@ -1,6 +1,8 @@
-"""Registered queries and their oracle SQL."""
+"""All registered queries and their oracle SQL."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from auditloom.plans import ledger_queries, measure_queries, scan_queries  # noqa: F401
+from auditloom.plans.registry import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES"]
