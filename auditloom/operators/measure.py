@@ -29,9 +29,9 @@ def kappa(rows: DataFrame) -> DataFrame:
     chance = g.join(p, "v", "left").agg(F.sum(F.col("g") * F.coalesce("p", F.lit(0))).alias("s"))
     agree = ok.agg(F.count_if(F.col("gold") == F.col("pred")).alias("a"))
     one = n.crossJoin(chance).crossJoin(agree)  # one row each
-    po, pe = F.col("a") / F.col("n_scored"), F.col("s") / (F.col("n_scored") * F.col("n_scored"))
+    po, pe = F.try_divide("a", "n_scored"), F.try_divide(F.col("s"), F.col("n_scored") * F.col("n_scored"))
     one = one.withColumns({"po": po, "pe": pe})
-    return one.select("n_gold", "n_scored", (F.col("n_scored") / F.col("n_gold")).alias("coverage"), "po", "pe", F.when(F.col("pe") < 1, (F.col("po") - F.col("pe")) / (1 - F.col("pe"))).alias("kappa"))
+    return one.select("n_gold", "n_scored", F.try_divide("n_scored", "n_gold").alias("coverage"), "po", "pe", F.when(F.col("pe") < 1, (F.col("po") - F.col("pe")) / (1 - F.col("pe"))).alias("kappa"))
 
 
 def kappa_gate(result: DataFrame, least_kappa: float = 0.70, least_coverage: float = 0.95) -> DataFrame:
@@ -98,10 +98,10 @@ def fidelity(values: DataFrame, item: str, group: str, value: str, left, right,
     steps = v.groupBy("item", "x").agg(F.sum("l").alias("a"), F.sum(1 - F.col("l")).alias("b"))
     w = Window.partitionBy("item").orderBy("x").rowsBetween(Window.unboundedPreceding, 0)
     curve = steps.select("item", F.sum("a").over(w).alias("ca"), F.sum("b").over(w).alias("cb")).join(means, "item")
-    ks = curve.groupBy("item").agg(F.max(F.abs(F.col("ca") / F.col("nl") - F.col("cb") / F.col("nr"))).alias("ks"))
+    ks = curve.groupBy("item").agg(F.max(F.abs(F.try_divide("ca", "nl") - F.try_divide("cb", "nr"))).alias("ks"))
     cell = F.floor(F.col("x") / width) if width else F.col("x")
     hist = v.withColumn("bin", cell).groupBy("item", "bin").agg(F.sum("l").alias("a"), F.sum(1 - F.col("l")).alias("b")).join(means, "item")
-    p, q = F.col("a") / F.col("nl"), F.col("b") / F.col("nr")
+    p, q = F.try_divide("a", "nl"), F.try_divide("b", "nr")
     m = (p + q) / 2
     part = lambda x: F.when(x > 0, x * F.log2(x / m)).otherwise(0.0)
     jsd = hist.groupBy("item").agg(F.sum((part(p) + part(q)) / 2).alias("jsd"))

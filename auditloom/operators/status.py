@@ -112,8 +112,9 @@ def dumps_data(command: Column) -> Column:
     verb = lambda s: F.regexp_extract(F.trim(s), r"^([A-Za-z0-9_./-]+)", 1)
     dump = lambda s: verb(s).isin(DUMP_VERBS) & s.rlike(target)
     search = lambda s: verb(s).isin("grep", "rg", "egrep", "fgrep") & s.rlike(target) & ~s.rlike(r" -[a-zA-Z]*[clqL]")
-    code = lambda s: verb(s).rlike(r"^(python3?|R|Rscript|perl|ruby)$") & s.rlike(rf"(read_|open\(|load|readRDS|fread).*\.({ext})") & s.rlike(r"print|head\(|cat\(")
-    return F.coalesce(F.exists(segments, lambda s: dump(s) | search(s) | code(s)), F.lit(False))
+    # An interpreter's code may hold separators itself, so it is judged as a whole.
+    code = command.rlike(r"(^|[|;&\n])\s*(python3?|R|Rscript|perl|ruby)\s") & command.rlike(rf"(read_|open\(|load|readRDS|fread).*\.({ext})") & command.rlike(r"print|head\(|cat\(")
+    return F.coalesce(F.exists(segments, lambda s: dump(s) | search(s)) | code, F.lit(False))
 
 
 def promoted_without_review(before: DataFrame, after: DataFrame, log: DataFrame) -> DataFrame:

@@ -1,0 +1,326 @@
+"""Literal fixtures for status, ledger, trace, review, measurement and prose operators."""
+
+import itertools
+
+import pytest
+from pyspark.sql import functions as F
+
+from auditloom.operators import ledger, measure, prose, retrieve, review, status, trace
+from auditloom.sources.tables import parse_ndjson
+
+
+def column(spark, values, schema="v string"):
+    return spark.createDataFrame([(v,) for v in values], schema)
+
+
+# ---- status ----
+
+
+def test_status_values(spark):
+    good = ["CLEARED", "ANONYMIZED", "OVERRIDE", "LOCAL_MODE", "HALTED", "NEEDS_REVIEW", "NEEDS_REVIEW:RED"]
+    bad = ["NEEDS_REVIEW:", "cleared", "TYPOED_STATUS", "", None]
+    got = [r[0] for r in column(spark, good + bad).select(status.valid_status(F.col("v"))).collect()]
+    assert got == [True] * len(good) + [False] * len(bad)
+
+
+def test_sidecar(spark):
+    json = '{"/d/a.csv":"CLEARED","/d/b":"TYPO","_safety_level":"bogus","_unknown_meta":"x","/d/c":{"a":1}}'
+    got = {r.path: r.reason for r in status.sidecar_problems(column(spark, [json], "json string")).collect()}
+    assert got == {"/d/b": "invalid status", "_safety_level": "invalid safety level", "_unknown_meta": "unknown meta key", "/d/c": "status is not a string"}
+
+
+@pytest.mark.parametrize("project,env,want", [("strict", "lockdown", "strict"), (None, "lockdown", "lockdown"), ("odd", None, "standard"), ("odd", "strict", "strict")])
+def test_level(spark, project, env, want):
+    assert spark.range(1).select(status.safety_level(F.lit(project).cast("string"), F.lit(env).cast("string"))).first()[0] == want
+
+
+DECISIONS = [
+    ("/p/data/a.csv", "CLEARED", "RED", "ALLOW"), ("/p/data/a.csv", "ANONYMIZED", "RED", "ALLOW"), ("/p/data/a.csv", "OVERRIDE", "RED", "ALLOW"),
+    ("/p/data/a.csv", "LOCAL_MODE", "GREEN", "BLOCK"), ("/p/data/a.csv", "HALTED", "GREEN", "BLOCK"), ("/p/data/a.csv", "NEEDS_REVIEW:RED", "GREEN", "BLOCK"),
+    ("/p/data/a.csv", None, "GREEN", "ALLOW"), ("/p/data/a.csv", None, "YELLOW", "BLOCK"), ("/p/data/a.csv", None, None, "BLOCK"), ("/p/a.wav", "OVERRIDE", "GREEN", "BLOCK"),
+    ("/p/transcripts/a.txt", "OVERRIDE", "GREEN", "BLOCK"), ("/p/notes/a.txt", "OVERRIDE", "GREEN", "ALLOW"), ("/p/data/raw/a.png", None, None, "BLOCK"), ("/p/fig/a.png", None, None, "ALLOW"),
+    ("/etc/passwd", "CLEARED", "GREEN", "BLOCK"), ("/p/a.csv", "cleared", "GREEN", "BLOCK"),
+]
+
+
+def test_decisions(spark):
+    rows = spark.createDataFrame([(i, *d) for i, d in enumerate(DECISIONS)], "i int, path string, status string, verdict string, want string")
+    decision, reason = status.decide(F.col("path"), F.col("status"), F.col("verdict"))
+    wrong = [tuple(r) for r in rows.select("path", "status", "want", decision.alias("got"), reason).where("got <> want").collect()]
+    assert not wrong
+
+
+def test_paths(spark):
+    rows = column(spark, ["/p/data/x.csv", "/p/notes.txt", "/p/interviews/a.txt", "/p/data/raw/x", "/p/x", "/p/config.json", "/p/data/a.json"], "path string")
+    assert [r[0] for r in rows.select(status.is_data(F.col("path"))).collect()] == [True, False, True, True, False, False, True]
+    paths = column(spark, ["/a/b/c/f.csv", "/a/x.csv", "/z/y.csv"], "path string")
+    roots = column(spark, ["/a", "/a/b"], "dir string")
+    assert {r.path: r.root for r in status.nearest_root(paths, roots).collect()} == {"/a/b/c/f.csv": "/a/b", "/a/x.csv": "/a", "/z/y.csv": None}
+
+
+def test_lookup_never_by_name(spark):
+    paths = spark.createDataFrame([("/r/a.csv", "/l/a.csv", "a.csv")], "canonical string, lexical string, raw string")
+    sidecar = lambda *rows: spark.createDataFrame(list(rows), "path string, status string")
+    assert status.lookup_status(paths, sidecar(("/l/a.csv", "HALTED"), ("/r/a.csv", "CLEARED"))).first().status == "CLEARED"
+    assert status.lookup_status(paths, sidecar(("/l/a.csv", "HALTED"))).first().status == "HALTED"
+    other = spark.createDataFrame([("/r/a.csv", "/l/a.csv", "x/a.csv")], "canonical string, lexical string, raw string")
+    assert status.lookup_status(other, sidecar(("a.csv", "CLEARED"))).first().status is None
+
+
+def test_shell(spark):
+    block = ["cat data.csv", "ls | head -5 x.dta", "cd a && tail 'raw/x.tsv'", "grep foo data.csv", "python -c 'import pandas; print(pd.read_csv(\"a.csv\"))'"]
+    allow = ["ls data", "grep -c foo data.csv", "grep -l x a.csv", "wc -l data.csv", "cat README.md", "python run.py"]
+    got = [r[0] for r in column(spark, block + allow).select(status.dumps_data(F.col("v"))).collect()]
+    assert got == [True] * len(block) + [False] * len(allow)
+
+
+def test_tamper_deny_mirror(spark):
+    st = lambda *rows: spark.createDataFrame(list(rows), "path string, status string")
+    before, after = st(("/a", "HALTED"), ("/b", "NEEDS_REVIEW:RED"), ("/c", "CLEARED")), st(("/a", "CLEARED"), ("/b", "OVERRIDE"), ("/c", "CLEARED"))
+    log = column(spark, ["/b"], "path string")
+    assert [r.path for r in status.promoted_without_review(before, after, log).collect()] == ["/a"]
+    folders, links = column(spark, ["/d/raw"], "path string"), column(spark, ["/x/y"], "target string")
+    deny = status.deny_set(folders, st(("/d/raw/a", "HALTED"), ("/e/b", "NEEDS_REVIEW"), ("/f", "CLEARED")), links)
+    assert {r.path for r in deny.collect()} == {"/d/raw", "/e/b", "/x/y"}
+    files = column(spark, ["/p/a.py", "/p/a.csv", "/p/data/raw/n.md", "/p/b.py"], "path string")
+    assert [r.path for r in status.shareable(files, st(("/p/b.py", "NEEDS_REVIEW:RED"))).collect()] == ["/p/a.py"]
+    waiting = st(("/a", "NEEDS_REVIEW"), ("/b", "NEEDS_REVIEW:RED"))
+    assert status.unresolved(waiting).first().unresolved == 2 and status.unresolved(waiting, strict_compat=True).first().unresolved == 1
+
+
+def test_local_mode(spark):
+    paths = column(spark, ["/a/b/f", "/z/f", "/" + "/".join("abcdefghijkl") + "/f"], "path string")
+    cars = spark.createDataFrame([("/a/b", '{"x":"LOCAL_MODE"}'), ("/z", "{}"), ("/a", "LOCAL_MODE")], "dir string, text string")
+    assert [r.local_mode for r in status.local_mode(paths, cars).orderBy(F.length("path")).collect()] == [False, True, False]
+
+
+# ---- ledger ----
+
+ANCHOR = dict(schema="claim-anchor/v1", anchor_id="autor2013-3f9a1c2e", cite_key="autor2013", claim_kind="map_cell", stance="supports", evidence_quote="reduces employment", access_tier="T1_fulltext", produced_by="lit-review", ts="2024-01-01T00:00:00Z", supersedes=None)
+ANCHOR_SCHEMA = ", ".join(f"{k} string" for k in [*ANCHOR, "_corrupt"])
+
+
+@pytest.mark.parametrize("change,want", [({}, []), ({"anchor_id": "BADID"}, ["anchor_id"]), ({"claim_kind": "nonsense", "stance": None}, ["claim_kind", "stance"]), ({"evidence_quote": " "}, ["evidence_quote"]), ({"_corrupt": "{"}, ["unparseable"])])
+def test_anchor_rules(spark, change, want):
+    row = {**ANCHOR, "_corrupt": None, **change}
+    got = ledger.anchor_problems(spark.createDataFrame([tuple(row.values())], ANCHOR_SCHEMA)).first().problems
+    assert got == want
+
+
+def test_ndjson(spark):
+    from pyspark.sql.types import StringType, StructType
+
+    lines = spark.createDataFrame([('{"id":"a","v":"1"}', 0), ("", 1), ("{broken", 2), ('{"id":"a","v":"2"}', 3)], "value string, line_no int")
+    got = parse_ndjson(lines, StructType().add("id", StringType()).add("v", StringType()))
+    assert [(r.line_no, r.id, r._corrupt) for r in got.orderBy("line_no").collect()] == [(0, "a", None), (2, None, "{broken"), (3, "a", None)]
+    whole = got.where("_corrupt IS NULL")
+    assert ledger.last_wins(whole, "id", ["line_no"]).first().v == "2" and ledger.first_wins(whole, "id", ["line_no"]).first().v == "1"
+    assert ledger.first_wins(whole.union(whole), "id", ["line_no"]).count() == 1
+
+
+def test_tags_and_adjacency(spark):
+    lines = spark.createDataFrame([(1, "Work falls (Autor 2013). <!--ev: autor2013-3f9a1c2e, ghost9999-deadbeef -->"), (2, "No author here <!--ev: autor2013-3f9a1c2e-->")], "n int, line string")
+    tagged = ledger.tags(lines)
+    assert {(r.n, r.anchor_id) for r in tagged.collect()} == {(1, "autor2013-3f9a1c2e"), (1, "ghost9999-deadbeef"), (2, "autor2013-3f9a1c2e")}
+    anchors = spark.createDataFrame([("autor2013-3f9a1c2e", "autor2013")], "anchor_id string, cite_key string")
+    got = {(r.n, r.anchor_id): r.adjacent for r in ledger.adjacent(tagged, anchors).collect()}
+    assert got == {(1, "autor2013-3f9a1c2e"): True, (1, "ghost9999-deadbeef"): False, (2, "autor2013-3f9a1c2e"): False}
+
+
+@pytest.mark.parametrize("rows,least,want", [([("r", "a")], 70, "GREEN"), ([("r", "ghost")], 70, "RED"), ([("r", "a"), ("s", "x"), ("t", "x")], 60, "RED"), ([("r", "a"), ("s", "x"), ("t", "x")], 30, "GREEN"), ([], 70, "INERT")])
+def test_coverage(spark, rows, least, want):
+    inventory = spark.createDataFrame(rows, "row string, id string")
+    known = column(spark, ["a", "a"], "id string")
+    assert ledger.coverage_gate(ledger.coverage(inventory, "row", "id", known), least).first().verdict == want
+
+
+def test_superseded_unused_reconcile(spark):
+    recs = spark.createDataFrame([("a", None), ("b", "a"), ("c", None)], "anchor_id string, supersedes string")
+    assert {r.anchor_id for r in ledger.without_superseded(recs).collect()} == {"b", "c"}
+    assert {r.anchor_id for r in ledger.unused(recs, column(spark, ["a"]), column(spark, ["c", None])).collect()} == {"b"}
+    draft, audited = column(spark, ["One  fact. <!--ev: x-->", "New."], "sentence string"), column(spark, ["one fact.", "Old."], "sentence string")
+    assert {r.side: r.n for r in ledger.reconcile(draft, audited).collect()} == {"stale": 1, "unaudited": 1}
+
+
+@pytest.mark.parametrize("red,yellow,total,strict,want", [(0, 0, 0, False, "INERT"), (1, 1, 2, False, "RED"), (0, 1, 2, False, "YELLOW"), (0, 1, 2, True, "RED"), (0, 0, 2, True, "GREEN")])
+def test_phase_verdict(spark, red, yellow, total, strict, want):
+    assert spark.range(1).select(ledger.phase_verdict(F.lit(red), F.lit(yellow), F.lit(total), strict)).first()[0] == want
+
+
+AUDIT_SCHEMA = "schema string, claim_id string, cite_key string, manuscript_quote string, sub_claims array<struct<kind:string,verdict:string,evidence_quote:string>>, evidence_retrieved boolean, sentence_verdict string, severity string, access_tier_max string, anchor_refs array<string>, unmatched_reason string, _corrupt string"
+AUDIT = dict(schema="claim-audit-record/v1", claim_id="c1", cite_key="k", manuscript_quote="q", sub_claims=[("finding", "SUPPORTED", "because")], evidence_retrieved=True, sentence_verdict="VERIFIED", severity="NONE", access_tier_max="T1", anchor_refs=["autor2013-3f9a1c2e"], unmatched_reason=None, _corrupt=None)
+
+
+@pytest.mark.parametrize(
+    "change,want",
+    [
+        ({}, []), ({"schema": "x"}, ["R1 schema"]), ({"sub_claims": []}, ["R2 required"]), ({"evidence_retrieved": None}, ["R2 required", "R6 retrieval"]), ({"severity": "HIGH"}, ["R3 severity"]),
+        ({"sub_claims": [("finding", "SUPPORTED", "")]}, ["R4 quote"]), ({"sentence_verdict": "UNSUPPORTED", "severity": "HIGH", "access_tier_max": "T3"}, ["R5 tier"]),
+        ({"evidence_retrieved": False}, ["R6 retrieval"]), ({"anchor_refs": ["BAD"]}, ["R7 anchors"]), ({"_corrupt": "{"}, ["unparseable"]), ({"sub_claims": None, "anchor_refs": None}, ["R2 required"]),
+    ],
+)
+def test_audit_rules(spark, change, want):
+    checked = ledger.audit_problems(spark.createDataFrame([tuple({**AUDIT, **change}.values())], AUDIT_SCHEMA))
+    assert checked.first().problems == want
+    assert ledger.audit_verdict(checked).first().verdict == ("RED" if want else "GREEN")
+    assert ledger.audit_verdict(checked.limit(0)).first().verdict == "RED"
+
+
+def test_heading_and_brief(spark):
+    lines = spark.createDataFrame([(1, 0, "intro"), (1, 1, "# A"), (1, 2, "x"), (1, 3, "#### no"), (1, 4, "## B"), (2, 0, "y")], "doc int, line_no int, line string")
+    assert [r.section for r in ledger.running_heading(lines, "doc").orderBy("doc", "line_no").collect()] == [None, "A", "A", "A", "B", None]
+    anchors = spark.createDataFrame([("a", False, "T1"), ("b", True, "T4"), ("c", True, "T2"), ("d", False, "T0")], "anchor_id string, verified boolean, access_tier string")
+    assert [r.anchor_id for r in ledger.brief(anchors).orderBy("rank").collect()] == ["c", "b", "a", "d"]
+
+
+# ---- traces ----
+
+KEYS = '"ts":"t","seq":1,"run_id":"r","skill":"s","phase":"p","agent":"a","agentId":"i","session_id":"x","refs":[],"status":"ok"'
+
+
+@pytest.mark.parametrize(
+    "line,want",
+    [
+        ("{" + KEYS + ',"step":"s","reasoning":"r","action":"","observation":""}', None), ("{broken", "malformed"), ('{"ts":"t"}', "missing"),
+        ("{" + KEYS + ',"step":" ","reasoning":"r","action":"","observation":""}', "empty step"), ("{" + KEYS + ',"step":"s","reasoning":"","action":"","observation":""}', "empty triad"),
+    ],
+)
+def test_trace_reasons(spark, line, want):
+    got = trace.trace_problem(spark.createDataFrame([(line, 0)], "value string, line_no int")).first().reason
+    assert got is None if want is None else got.startswith(want)
+
+
+def test_trace_first_and_empty(spark):
+    lines = spark.createDataFrame([("{broken", 5), ('{"ts":1}', 2)], "value string, line_no int")
+    assert trace.first_problem(trace.trace_problem(lines)).first().reason.startswith("missing")
+    assert trace.first_problem(trace.trace_problem(lines.limit(0))).first().reason == "empty trace"
+
+
+def test_trace_fields(spark):
+    row = spark.range(1).select(trace.normalised(F.lit("a\nb\tc\x07d")), trace.refs(F.lit("a, b  c")), trace.cell(F.lit("x|y\n")), trace.warns(F.lit("m a@b.org")), trace.warns(F.lit("fine")), trace.dispatch_valid(F.lit("agent-0123456789")), trace.dispatch_valid(F.lit("Agent"))).first()
+    assert list(row) == ["a b cd", ["a", "b", "c"], "x\\|y ", True, False, True, False]
+    lines = spark.createDataFrame([('{"step":"a","action":"x","status":"odd"}', 0), ("{", 1), ('{"step":"b","observation":"y","status":"fail"}', 2), ('{"step":"c"}', 3)], "value string, line_no int")
+    got = trace.fold_sidecar(lines, "id-1", "worker").orderBy("line_no").collect()
+    assert [(r.step, r.status, r.agentId) for r in got] == [("a", "ok", "id-1"), ("b", "fail", "id-1")]
+
+
+def test_missing_and_bound(spark):
+    manifest = spark.createDataFrame([("a",), ("b",), ("b",)], "agentId string")
+    traces = spark.createDataFrame([("a",), ("z",)], "agentId string")
+    assert [r[0] for r in trace.missing_traces(manifest, traces, "agentId").collect()] == ["b"]
+    assert {r.agentId: r.bound for r in trace.bound(traces, manifest).collect()} == {"a": True, "z": False}
+
+
+# ---- review ----
+
+
+@pytest.mark.parametrize("label,verdict", list(itertools.product(["Verdict", "overall", "STATUS"], ["BLOCKED", "FAIL", "RED", "PASS", "GREEN", "OK"])))
+def test_blocking_lines(spark, label, verdict):
+    got = spark.range(1).select(review.blocking_line(F.lit(f"**{label}:** {verdict}")), review.blocking_line(F.lit(f"the {label} is {verdict}"))).first()
+    assert list(got) == [verdict in ("BLOCKED", "FAIL", "RED"), False]
+
+
+def test_review(spark):
+    scripts = spark.createDataFrame([("a", "1"), ("b", "2"), ("c", "3")], "path string, sha256 string")
+    disk = spark.createDataFrame([("a", "1"), ("b", "x"), ("d", "4"), ("e", "5")], "path string, sha256 string")
+    assert {r.path: r.state for r in review.hash_binding(scripts, disk).collect()} == {"a": "bound", "b": "mismatch", "c": "missing"}
+    assert [r.path for r in review.unreviewed(disk, scripts, column(spark, ["e"], "path string")).collect()] == ["d"]
+    chain = spark.createDataFrame([("r1", None), ("r2", "r1"), ("r3", "r0")], "review_id string, supersedes_review_id string")
+    assert [r.review_id for r in review.broken_chain(chain).collect()] == ["r3"]
+    need = column(spark, ["x", "y", "z"], "k string")
+    got = review.required_coverage(need, column(spark, ["x", "x"], "k string"), column(spark, ["y"], "k string"), "k")
+    assert {r.k: r.state for r in got.collect()} == {"x": "dispatched", "y": "excused", "z": "missing"}
+
+
+# ---- measurement ----
+
+
+def gate(spark, gold, pred, **limits):
+    g, p = spark.createDataFrame(gold, "id int, gold string"), spark.createDataFrame(pred, "id int, pred string")
+    return measure.kappa_gate(measure.kappa(measure.scored(g, p, "id")), **limits).first()
+
+
+def test_kappa(spark):
+    gold = [(i, "ab"[i % 2]) for i in range(100)]
+    assert gate(spark, gold, gold).verdict == "GREEN"
+    partial = gate(spark, gold, gold[:60])
+    assert (partial.verdict, partial.reason, partial.n_scored, partial.coverage) == ("RED", "coverage", 60, 0.6)
+    single = gate(spark, [(i, "a") for i in range(10)], [(i, "a") for i in range(10)])
+    assert single.kappa is None and single.reason == "kappa undefined"
+    assert gate(spark, gold, [(i, "ba"[i % 2]) for i in range(100)]).reason == "kappa"
+    assert gate(spark, gold, []).reason == "nothing scored"
+    blank = measure.scored(spark.createDataFrame([(1, None), (2, "a"), (3, "a"), (4, "a")], "id int, gold string"), spark.createDataFrame([(1, "a"), (2, None), (4, "a")], "id int, pred string"), "id")
+    assert {r.id: r.why for r in blank.collect()} == {1: "gold_empty", 2: "annotator_blank", 3: "annotator_absent", 4: None}
+    for bad in (-1, 2, 1.5):
+        with pytest.raises(ValueError):
+            gate(spark, gold, gold, least_kappa=bad)
+
+
+def test_declarations(spark):
+    raw = column(spark, ['{"constants":[{"a":1},{"a":2}]}', '[{"a":3}]', '{"a":4}', "garbage"], "json string")
+    got = measure.normalise_declarations(raw, "constants").collect()
+    assert [r.state for r in got] == ["OK"] * 4 + ["RED"] and [r.declaration for r in got][:3] == ['{"a":1}', '{"a":2}', '{"a":3}']
+    d = spark.createDataFrame([(0.612, 0.62), (0.5, 0.5), (float("nan"), 1.0), (1.0, None)], "a double, b double")
+    assert [r[0] for r in d.select(measure.drift(F.col("a"), F.col("b"))).collect()] == ["RED", "GREEN", "RED", None]
+    inst = spark.createDataFrame([("i",), ("j",), ("k",), ("l",)], "instrument_id string")
+    matches = spark.createDataFrame([("i", "q", "q", "MATCH"), ("j", "q", "q", "BROADER"), ("k", None, "q", "MATCH")], "instrument_id string, asked string, needed string, verdict string")
+    assert {r.instrument_id: r.state for r in measure.construct_match(inst, matches).collect()} == {"i": "GREEN", "j": "RED", "k": "YELLOW", "l": "RED"}
+    kv = lambda *rows: spark.createDataFrame(list(rows), "key string, value string")
+    assert {r.key for r in measure.design_drift(kv(("a", "1"), ("b", None), ("c", "2")), kv(("a", "1"), ("b", None), ("d", "2"))).collect()} == {"c", "d"}
+
+
+def test_personas(spark):
+    cells = spark.createDataFrame([(s, a) for s in "fm" for a in ("y", "o")], "sex string, age string")
+    rows = measure.rake(cells, {"sex": {"f": 0.6, "m": 0.4}, "age": {"y": 0.3, "o": 0.7}})
+    total = sum(r["w"] for r in rows)
+    assert abs(sum(r["w"] for r in rows if r["sex"] == "f") / total - 0.6) < 1e-9 and abs(sum(r["w"] for r in rows if r["age"] == "y") / total - 0.3) < 1e-9
+    drawn = measure.draw_personas(spark.createDataFrame(rows), 2000, 7)
+    share = drawn.where("sex = 'f'").count() / drawn.count()
+    assert drawn.count() == 2000 and abs(share - 0.6) < 0.05
+    assert drawn.orderBy("id").collect() == measure.draw_personas(spark.createDataFrame(rows), 2000, 7).orderBy("id").collect()
+
+
+# ---- prose and retrieval ----
+
+
+def test_markers(spark):
+    text = "x [CLAIM-REVERSED] y [CLAIM-REVERSED: z]\n[CLAIM-IMPRECISE: q]\n[CLAIM-IMPRECISED]"
+    counts = prose.marker_counts("v")
+    row = column(spark, [text]).select(*[c.alias(k) for k, c in counts.items()], prose.marker_verdict(counts).alias("verdict")).first()
+    assert (row.reversed, row.imprecise, row.verdict) == (1, 1, "FAIL")
+    words = spark.range(1).select(*[prose.length_tier(F.lit(n)) for n in (2999, 3000, 6000)]).first()
+    assert list(words) == ["FAIL", "WARN", "PASS"]
+
+
+def test_references(spark):
+    text = "Said (Smith 2019).\n# References\nA 2019\nB\nA 2019\n"
+    rows = spark.createDataFrame([(1, text), (2, "Said (Smith 2019)."), (3, "plain")], "id int, text string")
+    assert [tuple(r) for r in prose.duplicate_lines(rows, "id").collect()] == [(1, "A 2019", 2)]
+    assert [r[0] for r in rows.orderBy("id").select(prose.unreferenced("text")).collect()] == [False, True, False]
+
+
+def test_communities_and_gaps(spark):
+    chain = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101)], "src long, dst long")
+    got = {r.id: r.root for r in retrieve.communities(chain).collect()}
+    assert set(got.values()) == {0, 100} and got[40] == 0 and got[101] == 100
+    nodes = spark.createDataFrame([(0,), (7000,)], "id long")
+    assert [r.id for r in retrieve.gaps(nodes, chain).collect()] == [7000]
+    ids = column(spark, ["2301.1v2", "abc"]).select(retrieve.bare_id(F.col("v"))).collect()
+    assert [r[0] for r in ids] == ["2301.1", "abc"]
+
+
+def test_files(spark, tmp_path):
+    from auditloom.sources import sinks
+    from auditloom.sources.tables import file_inventory, key_csv, whole_texts
+
+    (tmp_path / "in/.git").mkdir(parents=True)
+    (tmp_path / "in/a.txt").write_text("one\ntwo")
+    (tmp_path / "in/.git/b.txt").write_text("x")
+    assert file_inventory(spark, str(tmp_path / "in")).count() == 1
+    assert whole_texts(spark, str(tmp_path / "in")).where("path like '%/a.txt'").first().text == "one\ntwo"
+    key = spark.createDataFrame([("Ann", "P01", "PERSON", 0.9, "auto")], "original string, pseudonym string, type string, confidence double, notes string")
+    sinks.write_key(key, str(tmp_path / "key"))
+    assert key_csv(spark, str(tmp_path / "key")).collect() == key.collect()
+    sinks.append_ndjson(key, str(tmp_path / "log"))
+    sinks.append_ndjson(key, str(tmp_path / "log"))
+    assert spark.read.json(str(tmp_path / "log")).count() == 2
