@@ -219,45 +219,52 @@ def train(texts: list[str], labels: list[int], epochs: int = 8, batch: int = 64,
     y = np.array(labels, dtype=F4)
     if not 0 < y.sum() < len(y):
         return model
-    split = [words_of(t) for t in texts]
+    # Words become numbers as they come; then numbers follow length, as tables of n-grams want.
+    names: dict[str, int] = {"": 0}
+    plain = [np.array([names.setdefault(w, len(names)) for w in words_of(t)], dtype=np.int32) for t in texts]
+    listed = sorted(names, key=lambda w: (len(w), w))
+    place = np.zeros(len(names), dtype=np.int32)
+    place[[names[w] for w in listed]] = np.arange(len(names))
+    plain = [place[r] for r in plain]
+    grams = all_grams(listed)
+    del names, listed
     # A document's words carry odds from the other folds, so the network sees odds as it will on new texts.
     fold = rng.permutation(len(y)) % FOLDS
-    names = {w: i for i, w in enumerate(["", *sorted(set().union(*split), key=lambda w: (len(w), w))])}
-    plain = [np.array([names[w] for w in ws], dtype=np.int64) for ws in split]
-    grams = all_grams(list(names))
-    features = []
-    for r in plain:
+    seen = {"word_odds": np.zeros((FOLDS, 2, 1 << WORD_BITS), F4), "gram_odds": np.zeros((FOLDS, 2, 1 << GRAM_BITS), F4)}
+    for i, r in enumerate(plain):
         mine = grams.take(np.unique(r))
-        features.append((np.unique(mine.own), np.unique(mine.flat)))
+        seen["word_odds"][fold[i], int(y[i]), np.unique(mine.own)] += 1
+        seen["gram_odds"][fold[i], int(y[i]), np.unique(mine.flat)] += 1
 
     def tabulate(chosen: np.ndarray) -> None:
-        for table, size, k in (("word_odds", 1 << WORD_BITS, 0), ("gram_odds", 1 << GRAM_BITS, 1)):
-            seen = np.zeros((2, size))
-            for i in chosen:
-                seen[int(y[i]), features[i][k]] += 1
-            n = max(1.0, (1 - y[chosen]).sum()), max(1.0, y[chosen].sum())
-            setattr(model, table, _odds(seen[1] * (n[0] / n[1]) ** 0.5, seen[0] * (n[1] / n[0]) ** 0.5))
-
-    pairs: dict[tuple[int, int], int] = {}
-    rows = [np.array([pairs.setdefault((int(f), w), len(pairs)) for w in r.tolist()], dtype=np.int64) for f, r in zip(fold, plain, strict=True)]
-    which = np.array([*pairs, (-1, 0)], dtype=np.int64)  # the last one pads
-    pad, odds = len(pairs), np.zeros((len(which), 3), F4)
+        n = max(1.0, (1 - y[np.isin(fold, chosen)]).sum()), max(1.0, y[np.isin(fold, chosen)].sum())
+        for table, counts in seen.items():
+            negative, positive = counts[chosen].sum(axis=0)
+            setattr(model, table, _odds(positive * (n[0] / n[1]) ** 0.5, negative * (n[1] / n[0]) ** 0.5))
+
+    # A kind of input is a word in a fold.
+    kinds = np.unique(np.concatenate([[0], *(np.unique(r) + f * grams.own.size for f, r in zip(fold, plain, strict=True))]))
+    rows = [np.searchsorted(kinds, r + f * grams.own.size).astype(np.int32) for f, r in zip(fold, plain, strict=True)]
+    word_of, fold_of = (kinds % grams.own.size).astype(np.int32), kinds // grams.own.size
+    pad, odds = len(kinds), np.zeros((len(kinds) + 1, 3), F4)
+    word_of = np.append(word_of, 0).astype(np.int32)  # the last one pads
     for f in range(FOLDS):
-        tabulate(np.nonzero(fold != f)[0])
-        mine = np.nonzero(which[:, 0] == f)[0]
+        tabulate(np.array([k for k in range(FOLDS) if k != f]))
+        mine = np.nonzero(fold_of == f)[0]
         for k in range(0, len(mine), 4096):
-            odds[mine[k : k + 4096]] = model.odds(grams.take(which[mine[k : k + 4096], 1]))
-    tabulate(np.arange(len(y)))
+            odds[mine[k : k + 4096]] = model.odds(grams.take(word_of[mine[k : k + 4096]]))
+    tabulate(np.arange(FOLDS))
+    del plain, seen, kinds, fold_of
     starts = [windows_of(len(r)) for r in rows]
     doc = np.repeat(np.arange(len(rows)), [len(s) for s in starts])
-    ids = np.full((len(doc), WINDOW), pad, dtype=np.int64)
+    ids = np.full((len(doc), WINDOW), pad, dtype=np.int32)
     for k, (i, s) in enumerate(zip(doc, (s for one in starts for s in one), strict=True)):
         part = rows[i][s : s + WINDOW]
         ids[k, : len(part)] = part
     first = np.concatenate([[0], np.nonzero(np.diff(doc))[0] + 1])
     mask = ids != pad
     mask[:, 0] = True
-    adam, table = _Adam(rate), None
+    adam, at_odds = _Adam(rate), slice(OWN + CHARS, OWN + CHARS + 3)
     lead = odds[:, :2].sum(axis=1)[ids].max(axis=1)
     weight = np.where(y == 1, len(y) / (2 * y.sum()), len(y) / (2 * (len(y) - y.sum()))).astype(F4)
     for epoch in range(epochs):
@@ -268,7 +275,7 @@ def train(texts: list[str], labels: list[int], epochs: int = 8, batch: int = 64,
             some = order[at : at + batch]
             w = best[some]
             used, back = np.unique(ids[w], return_inverse=True)
-            mine = grams.take(which[used, 1])
+            mine = grams.take(word_of[used])
             x = model.inputs(mine, odds[used])
             gates = model.project(x)[back.reshape(w.shape[0], WINDOW)]
             logits, cache = model.forward(gates, mask[w], keep=True)
@@ -283,8 +290,18 @@ def train(texts: list[str], labels: list[int], epochs: int = 8, batch: int = 64,
             np.add.at(model.p["own"], mine.own, -rate * 5 * dx[:, :OWN])
             np.add.at(model.p["chars"], mine.flat, -rate * 5 * np.repeat(dx[:, OWN : OWN + CHARS] / mine.size[:, None], mine.size, axis=0))
         if epoch < epochs - 1:
-            table = np.concatenate([model.project(model.inputs(grams.take(which[k : k + 4096, 1]), odds[k : k + 4096])) for k in range(0, len(which), 4096)])
-            lead = np.concatenate([model.forward(table[ids[k : k + 1024]], mask[k : k + 1024])[0] for k in range(0, len(ids), 1024)])
+            # Gates by word, without odds, which differ by fold and are added window by window.
+            table = np.zeros((grams.own.size, 2, 3 * HIDDEN), F4)
+            for k in range(0, len(table), 4096):
+                part = np.arange(k, min(k + 4096, len(table)))
+                table[part] = model.project(model.inputs(grams.take(part), np.zeros((len(part), 3), F4)))
+            side = np.concatenate([model.p["W"][0, at_odds], model.p["W"][1, at_odds]], axis=1)
+            lead = np.zeros(len(ids), F4)
+            for k in range(0, len(ids), 512):
+                some = ids[k : k + 512]
+                gates = table[word_of[some]] + (odds[some] @ side).reshape(*some.shape, 2, 3 * HIDDEN)
+                lead[k : k + 512] = model.forward(gates, mask[k : k + 512])[0]
+            del table
     model.trained = True
     return model
 
@@ -383,7 +400,8 @@ _scorers: dict[int, Scorer] = {}
 
 
 def score_documents(docs: DataFrame, model: Model, text: str = "text", out: str = "score") -> DataFrame:
-    """``docs`` with the score of each row's whole text."""
+    """``docs`` with the score of each row's whole text; it replaces a column of its name."""
+    docs = docs.drop(out)
     sent = docs.sparkSession.sparkContext.broadcast(model)
     columns = docs.columns
 
