@@ -126,3 +126,29 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return pii.find_personal_data(docs, pii.train(pii.sample_texts(docs)))
+
+
+ORACLES["op1_warc"] = """
+WITH p AS (SELECT page_id, url, coalesce(html, '') AS h FROM pages),
+d AS (SELECT page_id, url, strlen(h) AS n, sha1(h) AS hex, min(page_id) OVER (PARTITION BY h) AS first FROM p)
+SELECT page_id, url, CASE WHEN page_id > first THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN page_id > first THEN first END AS refers_to, n::BIGINT AS payload_bytes,
+  array_to_string(list_transform(generate_series(0, 31), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (1 + ((('0x' || substr(hex, (i // 4) * 5 + 1, 5))::BIGINT >> (15 - (i % 4) * 5)) & 31))::INT, 1)), '') AS payload_digest
+FROM d
+"""
+
+ORACLES["op5_line_dedup"] = r"""
+WITH t AS (SELECT doc_id, line, ln, trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) AS s FROM (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(generate_series(1, len(string_split(text, chr(10))))) AS ln FROM documents)),
+l AS (SELECT doc_id, ln, s, row_number() OVER (PARTITION BY doc_id ORDER BY ln) AS i, greatest(1, len(regexp_extract_all(s, '[^\x20\x09-\x0D]+'))) AS w FROM t WHERE s <> ''),
+c AS (SELECT *, sum(w) OVER (PARTITION BY doc_id ORDER BY i) AS cum FROM l),
+f AS (SELECT a.doc_id, a.i AS a, b.i AS b FROM c a JOIN c b ON a.doc_id = b.doc_id AND b.i >= a.i AND b.cum - a.cum + a.w >= 50),
+r AS (SELECT doc_id, a, min(b) AS b FROM f GROUP BY doc_id, a UNION SELECT doc_id, max(a), b FROM f GROUP BY doc_id, b),
+x AS (SELECT r.doc_id, r.a, r.b, string_agg(c.s, chr(10) ORDER BY c.i) AS body FROM r JOIN c ON c.doc_id = r.doc_id AND c.i BETWEEN r.a AND r.b GROUP BY ALL),
+y AS (SELECT *, first_value(doc_id) OVER o AS fd, first_value(a) OVER o AS fa FROM x WINDOW o AS (PARTITION BY body ORDER BY doc_id, a)),
+z AS (SELECT doc_id, CASE WHEN doc_id = fd THEN greatest(a, fa + b - a + 1) ELSE a END AS a, b FROM y WHERE doc_id > fd OR a > fa),
+g AS (SELECT DISTINCT c.doc_id, c.ln FROM z JOIN c ON c.doc_id = z.doc_id AND c.i BETWEEN z.a AND z.b),
+k AS (SELECT doc_id, string_agg(line, chr(10) ORDER BY ln) AS text FROM t ANTI JOIN g USING (doc_id, ln) GROUP BY doc_id),
+n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_deleted, length(coalesce(k.text, ''))::BIGINT AS n_chars, sha256(coalesce(k.text, '')) AS text_sha256
+FROM documents d LEFT JOIN k USING (doc_id) LEFT JOIN n USING (doc_id)
+"""
