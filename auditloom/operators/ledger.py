@@ -154,3 +154,19 @@ def action_required(audits: DataFrame, stale: DataFrame) -> DataFrame:
         .unionByName(pick(F.col("sentence_verdict") == "METADATA_ONLY", "metadata only"))
         .unionByName(stale.select("claim_id", F.lit("stale").alias("reason")))
     )
+
+
+def chosen_audit(files: DataFrame, pointer: str | None = None) -> DataFrame:
+    """The audit file a pointer names, else the last of the dated ones by name."""
+    last = files.agg(F.max("name").alias("name"))
+    named = files.where(F.col("name") == F.lit(pointer)).agg(F.max("name").alias("p")) if pointer else files.limit(0).agg(F.max("name").alias("p"))
+    return last.crossJoin(named).select(F.coalesce("p", "name").alias("name"))  # one row each
+
+
+def high_count(audits: DataFrame) -> DataFrame:
+    return audits.agg(F.count_if(F.col("severity") == "HIGH").alias("n_high"))
+
+
+def source_index(anchors: DataFrame) -> DataFrame:
+    """Anchor ids by source, in order."""
+    return anchors.groupBy("cite_key").agg(F.sort_array(F.collect_list("anchor_id")).alias("anchor_ids"))

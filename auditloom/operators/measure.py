@@ -138,3 +138,66 @@ def normalise_declarations(raw: DataFrame, wrapper: str) -> DataFrame:
     items = F.from_json(body, "array<string>")
     state = F.when(items.isNull(), "RED").otherwise("OK")
     return raw.select(F.explode_outer(items).alias("declaration"), state.alias("state"))
+
+
+# ---- measurement constants in scripts ----
+
+#: A numeric literal: 1, .62, 1e-3.
+NUMBER = r"[-+]?([0-9]+(\.[0-9]+)?|\.[0-9]+)([eE][-+]?[0-9]+)?"
+# Endings that mark a constant as one of measurement.
+MEASURED = "RECALL|PRECISION|_SE|_SP|SENS|SPEC|KAPPA|ACCURACY|_RATE|_FPR|_FNR"
+
+
+def assignments(scripts: DataFrame, key: str = "script", text: str = "text") -> DataFrame:
+    """``key, name, value``: numeric assignments of scripts, comments left out, each name's first."""
+    body = F.regexp_replace(text, r"#[^\n]*", "")
+    pattern = rf"(?m)(^|[^A-Za-z0-9_.])([A-Za-z_.][A-Za-z0-9_.]*)[ \t]*(<-|=)[ \t]*({NUMBER})"
+    pairs = F.arrays_zip(F.regexp_extract_all(body, F.lit(pattern), F.lit(2)).alias("name"), F.regexp_extract_all(body, F.lit(pattern), F.lit(4)).alias("value"))
+    found = scripts.select(key, F.posexplode(pairs).alias("at", "p")).select(key, "at", F.col("p.name").alias("name"), F.col("p.value").cast("double").alias("value"))
+    return found.groupBy(key, "name").agg(F.min_by("value", "at").alias("value"))
+
+
+def constant_drift(declared: DataFrame, scripts: DataFrame) -> DataFrame:
+    """``declared(name, script, value)`` with ``state, reason`` against what scripts hold."""
+    found = assignments(scripts).withColumnRenamed("value", "_found")
+    known = scripts.select("script").distinct().withColumn("_known", F.lit(True))
+    rows = declared.join(known, "script", "left").join(found, ["script", "name"], "left")
+    v = F.col("value")
+    reason = (
+        F.when(F.col("name").isNull() | F.col("script").isNull(), "malformed declaration").when(F.col("_known").isNull(), "script not found")
+        .when(F.col("_found").isNull(), "no assignment").when(F.isnan(v) | (F.abs(v) == float("inf")), "not finite").when(F.abs(F.col("_found") - v) > 1e-12, "drift")
+    )
+    return rows.withColumn("reason", reason).withColumn("state", F.when(F.col("reason").isNull(), "GREEN").otherwise("RED")).drop("_known", "_found")
+
+
+def undeclared_literals(scripts: DataFrame, declared: DataFrame) -> DataFrame:
+    """Constants that look like measurement and aren't declared."""
+    looks = assignments(scripts).where(F.col("name").rlike(rf"^[A-Z][A-Z0-9_]*({MEASURED})$"))
+    return looks.join(declared.select("name").distinct(), "name", "left_anti")
+
+
+def instrument_state(reports: DataFrame) -> DataFrame:
+    """``reports(report, json)``: an instrument declared, waived (YELLOW) or absent (RED).
+
+    Only JSON booleans count; the string "true" declares nothing.
+    """
+    schema = "instrument struct<declared:boolean,waived:boolean,instrument_id:string>"
+    i = F.from_json("json", schema)["instrument"]
+    reason = (
+        F.when(F.json_object_keys("json").isNull(), "unreadable").when(i.isNull(), "no instrument")
+        .when(i["declared"], F.when(F.coalesce(i["instrument_id"], F.lit("")) == "", "no id")).when(i["waived"], "waived").otherwise("not declared")
+    )
+    state = F.when(F.col("reason").isNull(), "GREEN").when(F.col("reason") == "waived", "YELLOW").otherwise("RED")
+    return reports.select("report", i["instrument_id"].alias("instrument_id"), reason.alias("reason")).withColumn("state", state)
+
+
+def without_record(instruments: DataFrame, matches: DataFrame) -> DataFrame:
+    """Declared instruments that no construct match mentions."""
+    return instruments.select("instrument_id").where("instrument_id IS NOT NULL").distinct().join(matches, "instrument_id", "left_anti")
+
+
+def combined_verdict(findings: DataFrame, discovered: int) -> DataFrame:
+    """``findings(state)``: INERT only where nothing was discovered and nothing found."""
+    red, yellow = F.count_if(F.col("state") == "RED"), F.count_if(F.col("state") == "YELLOW")
+    verdict = F.when(red > 0, "RED").when(yellow > 0, "YELLOW").otherwise("INERT" if discovered == 0 else "GREEN")
+    return findings.agg(red.alias("red"), yellow.alias("yellow"), verdict.alias("verdict"))

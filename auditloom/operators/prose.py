@@ -86,3 +86,20 @@ def phase_rules(rules: DataFrame, inventory: DataFrame) -> DataFrame:
     hits = inventory.join(F.broadcast(rules), F.expr("path rlike pattern")).groupBy("phase", "pattern").agg(F.count("*").alias("files"))
     out = rules.join(hits, ["phase", "pattern"], "left").withColumn("files", F.coalesce("files", F.lit(0)))
     return out.withColumn("state", F.when(F.col("files") >= F.col("least"), "PASS").otherwise(F.col("severity")))
+
+
+def phase_heading(line: Column, phase: str) -> Column:
+    """A line that records a phase; what follows its number must be a blank, dash, colon, bracket or nothing."""
+    number = "".join(f"[{c}]" if not c.isalnum() else c for c in phase)
+    return F.coalesce(line.rlike(rf"^(## |### |- )?Phase {number}([ \t]|—|:|\(|$)"), F.lit(False))
+
+
+def file_present(inventory: DataFrame, path: str, least_lines: int = 3) -> DataFrame:
+    """Whether a file is there and has enough lines: one row, also for an empty inventory."""
+    n = F.max(F.when(F.col("path") == path, F.col("n_lines")))
+    return inventory.agg(F.when(n.isNull(), "missing").when(n < least_lines, "too short").otherwise("present").alias("state"))
+
+
+def logged(log: DataFrame, phase: str) -> DataFrame:
+    """Whether a log mentions a phase."""
+    return log.agg(F.coalesce(F.bool_or(F.col("line").contains(f"Phase {phase}") | F.col("line").contains(f"phase {phase}")), F.lit(False)).alias("logged"))

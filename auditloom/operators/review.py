@@ -46,3 +46,37 @@ def broken_chain(manifests: DataFrame) -> DataFrame:
     """Reviews that supersede one that doesn't exist."""
     ids = manifests.select(F.col("review_id").alias("supersedes_review_id"))
     return manifests.where("supersedes_review_id IS NOT NULL").join(ids, "supersedes_review_id", "left_anti")
+
+
+def token_coverage(reports: DataFrame, required: DataFrame, text: str = "text") -> DataFrame:
+    """Without a manifest: lines that mention each required name, less those that excuse it."""
+    lines = reports.select(F.explode(F.split(text, "\n")).alias("line"))
+    # The required names are a handful; each line is tested against them.
+    hits = lines.join(F.broadcast(required), F.expr("contains(line, name)"))
+    excuse = F.expr(r"line rlike concat('\\[EXCUSED:[^]]*\\][ \\t]+', name, '|', name, '[ \\t]+\\[EXCUSED:')")
+    counts = hits.groupBy("name").agg(F.count("*").alias("total"), F.count_if(excuse).alias("excused"))
+    out = required.join(counts, "name", "left").fillna(0, ["total", "excused"])
+    return out.withColumn("state", F.when(F.col("total") > F.col("excused"), "dispatched").when(F.col("excused") > 0, "excused").otherwise("missing"))
+
+
+def paired(manifests: DataFrame, reports: DataFrame) -> DataFrame:
+    """Manifests with whether their report exists and names the review."""
+    texts = reports.select(F.col("path").alias("report"), F.col("text").alias("_text"))
+    named = F.expr("contains(_text, review_id)")
+    state = F.when(F.col("_text").isNull(), "no report").when(named, "paired").otherwise("report lacks id")
+    return manifests.join(texts, "report", "left").withColumn("state", state).drop("_text")
+
+
+def blocking_left(manifests: DataFrame) -> DataFrame:
+    """The newest manifest of each report still has blocking findings, or has been escalated."""
+    return manifests.withColumn("blocked", (F.coalesce("remaining_blocking_count", F.lit(0)) > 0) | F.coalesce("escalated", F.lit(False)))
+
+
+def explicit_phase(manifest_there: Column, phase: Column, verdict: Column) -> Column:
+    """A phase asked for by name without provenance is at most YELLOW."""
+    return F.when(~manifest_there & phase.isNotNull() & (verdict == "GREEN"), "YELLOW").otherwise(verdict)
+
+
+def delegated(verdict: Column) -> Column:
+    """Coverage that another gate relies on: its YELLOW is RED here."""
+    return F.when(verdict == "YELLOW", "RED").otherwise(verdict)

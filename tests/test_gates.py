@@ -324,3 +324,46 @@ def test_files(spark, tmp_path):
     sinks.append_ndjson(key, str(tmp_path / "log"))
     sinks.append_ndjson(key, str(tmp_path / "log"))
     assert spark.read.json(str(tmp_path / "log")).count() == 2
+
+
+def test_constants(spark):
+    scripts = spark.createDataFrame([("a.R", "RECALL <- 0.62 # RECALL <- 0.99\nx = 3\n# OLD_RATE = 1\nTEST_SPEC=.5\nMY_RECALL = 1e-3"), ("b.py", "pass")], "script string, text string")
+    got = {(r.script, r.name): r.value for r in measure.assignments(scripts).collect()}
+    assert got == {("a.R", "RECALL"): 0.62, ("a.R", "x"): 3.0, ("a.R", "TEST_SPEC"): 0.5, ("a.R", "MY_RECALL"): 0.001}
+    declared = spark.createDataFrame([("RECALL", "a.R", 0.612), ("x", "a.R", 3.0), ("gone", "a.R", 1.0), ("y", "c.R", 1.0), ("TEST_SPEC", "a.R", float("nan"))], "name string, script string, value double")
+    assert {r.name: r.reason for r in measure.constant_drift(declared, scripts).collect()} == {"RECALL": "drift", "x": None, "gone": "no assignment", "y": "script not found", "TEST_SPEC": "not finite"}
+    assert [r.name for r in measure.undeclared_literals(scripts, declared).collect()] == ["MY_RECALL"]
+    reports = spark.createDataFrame([("a", '{"instrument":{"declared":true,"instrument_id":"i"}}'), ("b", '{"instrument":{"waived":true}}'), ("c", "{}"), ("d", "{"), ("e", '{"instrument":{"declared":"true"}}'), ("f", '{"instrument":{"declared":true}}')], "report string, json string")
+    assert {r.report: r.state for r in measure.instrument_state(reports).collect()} == {"a": "GREEN", "b": "YELLOW", "c": "RED", "d": "RED", "e": "RED", "f": "RED"}
+    states = lambda *s: column(spark, list(s), "state string")
+    assert [measure.combined_verdict(states(*s), n).first().verdict for s, n in [(("RED", "YELLOW"), 0), (("YELLOW",), 3), ((), 2), ((), 0)]] == ["RED", "YELLOW", "GREEN", "INERT"]
+    assert [r[0] for r in measure.without_record(column(spark, ["i", "j", None], "instrument_id string"), column(spark, ["i"], "instrument_id string")).collect()] == ["j"]
+
+
+def test_review_rest(spark):
+    reports = spark.createDataFrame([("r.md", "critic-a says\n[EXCUSED: ill] critic-b\ncritic-a again\nrev-1 done")], "path string, text string")
+    need = column(spark, ["critic-a", "critic-b", "critic-c"], "name string")
+    assert {r.name: r.state for r in review.token_coverage(reports, need).collect()} == {"critic-a": "dispatched", "critic-b": "excused", "critic-c": "missing"}
+    manifests = spark.createDataFrame([("rev-1", "r.md", 0, False), ("rev-2", "r.md", 1, False), ("rev-3", "x.md", 0, True)], "review_id string, report string, remaining_blocking_count int, escalated boolean")
+    assert {r.review_id: r.state for r in review.paired(manifests, reports).collect()} == {"rev-1": "paired", "rev-2": "report lacks id", "rev-3": "no report"}
+    assert [r.blocked for r in review.blocking_left(manifests).orderBy("review_id").collect()] == [False, True, True]
+    row = spark.range(1).select(review.explicit_phase(F.lit(False), F.lit("7"), F.lit("GREEN")), review.explicit_phase(F.lit(True), F.lit("7"), F.lit("GREEN")), review.delegated(F.lit("YELLOW")), review.delegated(F.lit("GREEN"))).first()
+    assert list(row) == ["YELLOW", "GREEN", "RED", "GREEN"]
+
+
+def test_ledger_and_phase_rest(spark):
+    files = column(spark, ["audit-2024-01-01.json", "audit-2024-02-01.json"], "name string")
+    assert ledger.chosen_audit(files).first().name.endswith("02-01.json") and ledger.chosen_audit(files, "audit-2024-01-01.json").first().name.endswith("01-01.json")
+    assert ledger.chosen_audit(files, "nothing").first().name.endswith("02-01.json")
+    audits = spark.createDataFrame([("c1", "HIGH", None, "REVERSED"), ("c2", "LOW", "no match", "METADATA_ONLY"), ("c3", None, None, "VERIFIED")], "claim_id string, severity string, unmatched_reason string, sentence_verdict string")
+    assert ledger.high_count(audits).first().n_high == 1
+    todo = ledger.action_required(audits, column(spark, ["c3"], "claim_id string"))
+    assert {tuple(r) for r in todo.collect()} == {("c1", "high severity"), ("c2", "unmatched"), ("c2", "metadata only"), ("c3", "stale")}
+    anchors = spark.createDataFrame([("k", "b"), ("k", "a"), ("j", "c")], "cite_key string, anchor_id string")
+    assert {r.cite_key: r.anchor_ids for r in ledger.source_index(anchors).collect()} == {"k": ["a", "b"], "j": ["c"]}
+    lines = ["## Phase 10 — done", "Phase 10", "Phase 10b", "## Phase 10-x", "- Phase 10: y", "see Phase 10", "Phase 1.0"]
+    assert [r[0] for r in column(spark, lines).select(prose.phase_heading(F.col("v"), "10")).collect()] == [True, True, False, False, True, False, False]
+    inventory = spark.createDataFrame([("a.md", 2), ("b.md", 9)], "path string, n_lines int")
+    assert [prose.file_present(inventory, p).first().state for p in ("a.md", "b.md", "c.md")] == ["too short", "present", "missing"]
+    log = column(spark, ["ran phase 3"], "line string")
+    assert prose.logged(log, "3").first().logged and not prose.logged(log, "4").first().logged and not prose.logged(log.limit(0), "3").first().logged
