@@ -268,7 +268,7 @@ def training_windows(texts: list[str], n: int, seed: int = 42) -> tuple[np.ndarr
     return ids, tags
 
 
-def train(texts: list[str], windows: int = 3600, epochs: int = 9, batch: int = 48, rate: float = 0.01, seed: int = 42) -> Model:
+def train(texts: list[str], windows: int = 5000, epochs: int = 10, batch: int = 48, rate: float = 0.01, seed: int = 42) -> Model:
     model, rng = Model(seed), np.random.default_rng(seed)
     ids, tags = training_windows(texts, windows, seed)
     m, v, step = {k: 0.0 for k in model.p}, {k: 0.0 for k in model.p}, 0
