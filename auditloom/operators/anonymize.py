@@ -44,8 +44,11 @@ def pseudonym_key(found: DataFrame, start: dict[str, int] | None = None) -> Data
     prefix = F.create_map(*[F.lit(x) for kv in NUMBERED.items() for x in kv])[F.col("entity")]
     offset = F.coalesce(F.create_map(*[F.lit(x) for kv in (start or {"-": 0}).items() for x in kv])[F.col("entity")], F.lit(0))
     n = F.row_number().over(w) + offset
-    token = F.when(prefix.isNotNull(), F.concat(prefix, F.when(n < 10, F.concat(F.lit("0"), n.cast("string"))).otherwise(n.cast("string")))).otherwise(F.concat(F.lit("["), F.col("entity"), F.lit("]")))
-    return first.select(F.col("value").alias("original"), token.alias("pseudonym"), F.col("entity").alias("type"))
+    number = F.concat(prefix, F.when(n < 10, F.concat(F.lit("0"), n.cast("string"))).otherwise(n.cast("string")))
+    # Only names, places and institutions are numbered; the rest needs no order.
+    numbered = first.where(prefix.isNotNull()).withColumn("pseudonym", number)
+    fixed = first.where(prefix.isNull()).withColumn("pseudonym", F.concat(F.lit("["), F.col("entity"), F.lit("]")))
+    return numbered.unionByName(fixed).select(F.col("value").alias("original"), "pseudonym", F.col("entity").alias("type"))
 
 
 def merge_keys(auto: DataFrame, user: DataFrame) -> DataFrame:

@@ -114,10 +114,18 @@ def phase_verdict(red: Column, yellow: Column, total: Column, strict: bool = Fal
 
 
 def brief(anchors: DataFrame) -> DataFrame:
-    """Evidence in reading order: verified first, then by access tier, then by id."""
+    """Evidence in reading order: verified first, then by access tier, then by id.
+
+    Ranks run within each of the dozen classes and are shifted by the sizes of those before,
+    so no single task orders all anchors.
+    """
     tier = F.element_at(F.create_map(*[F.lit(x) for k, v in {"T1": 0, "T2": 1, "T0": 2, "T3": 3, "T4": 4}.items() for x in (k, v)]), F.substring("access_tier", 1, 2))
-    w = Window.orderBy(F.when(F.col("verified"), 0).otherwise(1), F.coalesce(tier, F.lit(9)), "anchor_id")
-    return anchors.withColumn("rank", F.row_number().over(w))
+    classed = anchors.withColumn("_c", F.when(F.col("verified"), 0).otherwise(10) + F.coalesce(tier, F.lit(9)))
+    sizes = classed.groupBy("_c").agg(F.count("*").alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_c").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    shift = F.broadcast(sizes.select("_c", before.alias("_b")))  # twenty rows at most
+    own = F.row_number().over(Window.partitionBy("_c").orderBy("anchor_id"))
+    return classed.withColumn("_r", own).join(shift, "_c").withColumn("rank", F.col("_r") + F.col("_b")).drop("_c", "_r", "_b")
 
 
 def audit_problems(audits: DataFrame) -> DataFrame:
