@@ -117,8 +117,9 @@ def without_lines(text: str, runs: list[tuple[int, int]]) -> tuple[str, int]:
     return "\n".join(kept), sum(drop)
 
 
-def deduplicate_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = 50) -> DataFrame:
-    """``docs`` with repeated runs of lines deleted, and ``n_deleted``, the lines that went."""
+def deduplicate_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = 50, out: str = "n_deleted") -> DataFrame:
+    """``docs`` with repeated runs of lines deleted, and ``out``, how many lines went; it replaces a column of its name."""
+    docs = docs.drop(out)
     runs = repeated_runs(docs, doc_id, text, min_words)
     gone = cut(runs.groupBy(*DOC).agg(F.collect_set(F.struct("a", "b")).alias("_al_runs")), "gone")
     gone = gone.select(F.col("doc_id").alias("_al_id"), F.col("dk").alias("_al_dk"), "_al_runs")
@@ -126,7 +127,7 @@ def deduplicate_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     # One plan at every size: the texts meet their runs by a sort-merge join on a nearly unique key.
     rows = keyed.join(gone.hint("merge"), F.col("_al_i").eqNullSafe(F.col("_al_id")) & (F.col("_al_k") == F.col("_al_dk")), "left").drop("_al_i", "_al_k", "_al_id", "_al_dk")
     at = docs.columns.index(text)
-    schema = StructType([*docs.schema.fields]).add("n_deleted", LongType())
+    schema = StructType([*docs.schema.fields]).add(out, LongType())
     schema.fields[at].dataType = StringType()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -134,15 +135,15 @@ def deduplicate_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
             texts, n = batch.column(at), []
             runs = batch.column(batch.num_columns - 1)
             if runs.null_count < len(runs):
-                out = []
+                rest = []
                 for t, r in zip(texts.to_pylist(), runs.to_pylist(), strict=True):
                     t, gone = without_lines(t, [(x["a"], x["b"]) for x in r]) if r else (t, 0)
-                    out.append(t)
+                    rest.append(t)
                     n.append(gone)
-                texts = pa.array(out, texts.type)
+                texts = pa.array(rest, texts.type)
             else:
                 n = [0] * len(runs)
             columns = [texts if i == at else c for i, c in enumerate(batch.columns[:-1])]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(n, pa.int64())], names=[*batch.schema.names[:-1], "n_deleted"])
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(n, pa.int64())], names=[*batch.schema.names[:-1], out])
 
     return rows.mapInArrow(run, schema)

@@ -23,7 +23,8 @@ gives an empty result.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -37,29 +38,41 @@ KEY_LIMIT = 512
 BLOCK = 1 << 16
 
 
-def fingerprint(text: str | None, shingle: int, seed: int = 42) -> int:
-    """The SimHash of a text as an unsigned 64-bit number."""
+def shingle_digests(text: str | None, shingle: int, seed: int = 42) -> Iterator[bytes]:
+    """The big-endian XXH64 digests of a text's word shingles, some at a time."""
     from xxhash import xxh64_digest
 
     # bytes.lower() and bytes.split() know A-Z and the six ASCII blanks alone.
     words = (text or "").encode("utf-8").lower().split()
-    if not words:
-        return 0
     if len(words) <= shingle:
-        return int.from_bytes(xxh64_digest(b" ".join(words), seed), "big")
+        if words:
+            yield xxh64_digest(b" ".join(words), seed)
+        return
     line = b" ".join(words)
     ends = np.cumsum([len(w) + 1 for w in words]) - 1
     starts = np.concatenate([[0], ends[:-1] + 1])
-    count, n = np.zeros(64, dtype=np.int64), len(words) - shingle + 1
+    n = len(words) - shingle + 1
     for at in range(0, n, BLOCK):
         upto = min(n, at + BLOCK)
         a, b = starts[at:upto].tolist(), ends[at + shingle - 1 : upto + shingle - 1].tolist()
-        raw = b"".join([xxh64_digest(line[i:j], seed) for i, j in zip(a, b, strict=True)])
+        yield b"".join([xxh64_digest(line[i:j], seed) for i, j in zip(a, b, strict=True)])
+
+
+def majority(digests: Iterable[bytes]) -> int:
+    """A bit is set where it is in over half the digests."""
+    count, n = np.zeros(64, dtype=np.int64), 0
+    for raw in digests:
         bits = np.unpackbits(np.frombuffer(raw, dtype=np.uint8).reshape(-1, 8), axis=1)
         count += bits.sum(axis=0, dtype=np.int64)
+        n += len(bits)
     return int.from_bytes(np.packbits(count * 2 > n).tobytes(), "big")
 
 
+def fingerprint(text: str | None, shingle: int, seed: int = 42) -> int:
+    """The SimHash of a text as an unsigned 64-bit number."""
+    return majority(shingle_digests(text, shingle, seed))
+
+
 def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 5, carry: str | None = None) -> DataFrame:
     """``doc_id, fp`` (and ``carry``); fp is the fingerprint's 64 bits as a signed long."""
     columns = [F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), *([F.col(carry)] if carry else [])]
@@ -160,9 +173,153 @@ def near_duplicates(prints: DataFrame, radius: int = 3) -> DataFrame:
     rooted = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     rooted = cut(rooted, "rooted")
     lowest = rooted.groupBy("root").agg(F.min("_al_low").alias("component_id"))
-    named = cut(rooted.join(cut(lowest, "lowest"), "root").select("fp", "component_id"), "named")
+    named = cut(rooted.join(cut(lowest, "lowest"), "root").select("fp", "root", "component_id"), "named")
     return prints.join(named, "fp")
 
 
+# ---- near copies beyond the radius ------------------------------------------------------
+#
+# Texts whose shingle sets have a Jaccard similarity of 0.8 differ in about 10 of 64 bits
+# (5 to 14 as measured); a cover of that radius has tens of thousands of tables. So sets
+# that share one of their least shingle hashes are compared as well: fingerprints first,
+# then the sets.
+
+#: Least hashes by which sets meet: a pair of similarity 0.8 misses all with probability 0.2^5.
+MEET = 5
+#: Elements of a set that are kept for comparison; larger sets are compared by their least ones.
+KEPT = 512
+#: Sets of similarity 0.8 differ in more bits than this once in some 100,000 pairs.
+FAR = 22
+#: Sets that share a hash with more others than this must share a second one.
+CROWD = 4096
+#: Sets of one meeting that a task holds at once; of each group found so far, so many go on to the next ones.
+HELD, ENVOYS = 8192, 16
+
+
+def sketches(docs: DataFrame, doc_id: str, text: str, key: str, shingle: int) -> DataFrame:
+    """``doc_id, key, fp, sid, n, least, kept``: fingerprint, identity, size and hashes of shingle sets."""
+    schema = pa.schema([("doc_id", pa.int64()), (key, pa.int64()), ("fp", pa.int64()), ("sid", pa.int64()), ("n", pa.int64()), ("least", pa.list_(pa.int64())), ("kept", pa.binary())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, 1024):
+                batch, rows = whole.slice(at, 1024), []
+                for t in batch.column(2).to_pylist():
+                    digests = list(shingle_digests(t, shingle))
+                    one = np.unique(np.frombuffer(b"".join(digests), dtype=">u8").astype(np.uint64))
+                    # Equal sets have equal sums of mixed hashes and equal sizes.
+                    mixed = (one ^ (one >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+                    sid = int((mixed.sum(dtype=np.uint64) ^ np.uint64(len(one))).view(np.int64))
+                    small = np.unique((one >> np.uint64(32)).astype("<u4"))[:KEPT]
+                    fp = int(np.uint64(majority(digests)).view(np.int64))
+                    rows.append((fp, sid, len(one), one[:MEET].view(np.int64), small.tobytes()))
+                columns = [pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), list(schema)[2:], strict=True)]
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], schema=schema)
+
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(key), F.col(text).alias("text"))
+    return rows.mapInArrow(run, f"doc_id long, {key} long, fp long, sid long, n long, least array<long>, kept binary")
+
+
+def _similar(a: np.ndarray, na: int, b: np.ndarray, nb: int, least: float) -> bool:
+    """Whether two sets have at least the similarity; exact where both are kept whole."""
+    if na <= KEPT and nb <= KEPT:
+        both = len(np.intersect1d(a, b, assume_unique=True))
+        return both >= least * (len(a) + len(b) - both)
+    union = np.union1d(a, b)[:KEPT]
+    shared = np.intersect1d(a, b, assume_unique=True)
+    return bool(len(shared)) and (shared <= union[-1]).sum() >= least * len(union)
+
+
+def _similar_forest(fp: np.ndarray, n: np.ndarray, kept: list[bytes], least: float) -> tuple[list[int], list[int], np.ndarray]:
+    """Links that join what pairs of similar sets join, and each set's group; joined sets aren't compared again."""
+    root, u, v = np.arange(len(fp)), [], []
+    sets: dict[int, np.ndarray] = {}
+    take = lambda i: sets.setdefault(i, np.frombuffer(kept[i], dtype="<u4"))
+    for at in range(0, len(fp), 256):
+        far = np.bitwise_count(fp[at : at + 256, None] ^ fp[None, :])
+        for i in range(at, min(len(fp), at + 256)):
+            near = far[i - at, :i]
+            mates = np.nonzero((near <= FAR) & (np.minimum(n[:i], n[i]) >= least * np.maximum(n[:i], n[i])))[0]
+            for j in mates[np.argsort(near[mates], kind="stable")].tolist():
+                if root[j] != root[i] and _similar(take(i), n[i], take(j), n[j], least):
+                    u.append(i)
+                    v.append(j)
+                    low, high = sorted((int(root[i]), int(root[j])))
+                    root[root == high] = low
+        if len(sets) > 8192:
+            sets.clear()
+    return u, v, root
+
+
+def similar_links(sets: DataFrame, least: float = 0.8) -> DataFrame:
+    """Links ``u, v`` between distinct shingle sets (sid, fp, n, least, kept) of at least the similarity."""
+    parts = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    met = cut(sets.select("sid", "least", F.explode("least").alias("h")), "met")
+    counts = cut(met.groupBy("h").agg(F.count("*").alias("m")).where("m > 1"), "met-counts")
+    shared = cut(met.join(counts, "h"), "met-shared")
+    crowded = shared.where(F.col("m") > CROWD).select("sid", "h", F.explode("least").alias("h2")).where("h <> h2")
+    keys = shared.where(F.col("m") <= CROWD).select("sid", "h").union(crowded.select("sid", F.xxhash64(F.least("h", "h2"), F.greatest("h", "h2")))).distinct()
+    rows = cut(keys, "meetings").join(sets.select("sid", "fp", "n", "kept"), "sid")
+    schema = pa.schema([("u", pa.int64()), ("v", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+
+        def links() -> Iterator[pa.RecordBatch]:
+            """Links among what is held; then only some of each group stay held."""
+            if len(held) > 1:
+                _, sid, fp, n, kept = zip(*held, strict=True)
+                u, v, root = _similar_forest(np.array(fp, dtype=np.int64).view(np.uint64), np.array(n), list(kept), least)
+                if u:
+                    yield pa.RecordBatch.from_arrays([pa.array([sid[i] for i in u]), pa.array([sid[i] for i in v])], schema=schema)
+                sent, stay = Counter(), []
+                for row, group in zip(held, root.tolist(), strict=True):
+                    sent[group] += 1
+                    if sent[group] <= ENVOYS:
+                        stay.append(row)
+                held[:] = stay
+
+        fresh = 0
+        for batch in batches:
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if held and held[0][0] != row[0]:
+                    yield from links()
+                    held.clear()
+                    fresh = 0
+                held.append(row)
+                fresh += 1
+                if fresh >= HELD:
+                    yield from links()
+                    fresh = 0
+        yield from links()
+
+    dealt = rows.select("h", "sid", "fp", "n", "kept").repartition(parts, "h").sortWithinPartitions("h", "sid")
+    return dealt.mapInArrow(run, "u long, v long")
+
+
+def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 5, radius: int = 3, similarity: float = 0.8) -> DataFrame:
+    """``docs`` with one row of every group: that of the smallest id, then of the least text hash.
+
+    Groups join fingerprints within the radius, and shingle sets of at least the similarity.
+    Rows that agree in id and text are one document.
+    """
+    i = F.col(doc_id).cast("long")
+    keyed = docs.withColumns({"_al_i": i, "_al_k": F.xxhash64(i, F.col(text))})
+    rows = cut(sketches(keyed, doc_id, text, "_al_k", shingle), "sketches")
+    sets = cut(rows.groupBy("sid").agg(F.first("fp").alias("fp"), F.first("n").alias("n"), F.first("least").alias("least"), F.first("kept").alias("kept")), "sets")
+    # Fingerprints within the radius join the sets that have them.
+    near = cut(near_duplicates(rows.select("doc_id", "fp", "sid"), radius).select("sid", "root").distinct(), "near")
+    low = near.groupBy("root").agg(F.min("sid").alias("low"), F.count("*").alias("m")).where("m > 1")
+    by_print = near.join(cut(low, "low"), "root").where("sid <> low").select(F.col("sid").alias("u"), F.col("low").alias("v"))
+    roots = components(by_print.union(similar_links(sets, similarity))).withColumnRenamed("node", "sid").withColumnRenamed("root", "grp")
+    order = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", F.col("_al_k").alias("k"))
+    first = cut(rows.groupBy("sid").agg(F.min(order).alias("o")), "first")
+    grouped = first.join(roots, "sid", "left").groupBy(F.coalesce("grp", "sid").alias("grp")).agg(F.min("o").alias("o"))
+    # One plan at every size, as in the line stage.
+    kept = cut(grouped.select(F.col("o.doc_id").alias("_al_d"), F.col("o.k").alias("_al_h")).distinct(), "kept").hint("merge")
+    out = keyed.join(kept, (F.col("_al_k") == F.col("_al_h")) & F.col("_al_i").eqNullSafe(F.col("_al_d")), "left_semi")
+    return out.dropDuplicates(["_al_k", "_al_i"]).drop("_al_i", "_al_k")
+
+
 def hexadecimal(fp: str = "fp"):
     return F.lower(F.lpad(F.hex(F.col(fp)), 16, "0"))

@@ -155,6 +155,40 @@ def test_one_of_each(spark, edge, none):
     assert simhash.near_duplicates(cut(simhash.fingerprints(none))).count() == 0
 
 
+@pytest.mark.parametrize("crowd", [4096, 3])
+def test_similar_sets(spark, crowd, monkeypatch):
+    monkeypatch.setattr(simhash, "CROWD", crowd)
+    random.seed(12)
+    word = lambda: "".join(random.choice("abcdefgh") for _ in range(5))
+    texts = []
+    for _ in range(8):
+        base = [word() for _ in range(random.choice([60, 120, 700]))]
+        for _ in range(6):
+            copy = list(base)
+            for _ in range(random.randint(0, 4) * max(1, len(base) // 120)):
+                copy[random.randrange(len(copy))] = word()
+            texts.append(" ".join(copy))
+    got = {r.doc_id for r in simhash.one_of_each(docs_of(spark, [(i, t, "s") for i, t in enumerate(texts)])).collect()}
+    sets = [{tuple(t.split()[i : i + 5]) for i in range(len(t.split()) - 4)} for t in texts]
+    group = list(range(len(texts)))
+    for _ in texts:
+        for i, a in enumerate(sets):
+            for j, b in enumerate(sets):
+                # Above 512 shingles the similarity is an estimate; pairs near the threshold may go either way.
+                if len(a & b) >= (0.8 if len(a) < 500 else 0.84) * len(a | b):
+                    group[i] = group[j] = min(group[i], group[j])
+    sure = {g for g in group}
+    assert got <= sure and len(sure - got) <= 3
+
+
+def test_held_groups(monkeypatch):
+    rng = np.random.default_rng(13)
+    base = np.unique(rng.integers(0, 2**32, 200, dtype=np.uint64).astype("<u4"))
+    kept = [np.unique(np.concatenate([base[: 200 - k % 5], rng.integers(0, 2**32, k % 5, dtype=np.uint64).astype("<u4")])).tobytes() for k in range(40)]
+    u, v, root = simhash._similar_forest(np.zeros(40, dtype=np.uint64), np.full(40, 200), kept, 0.8)
+    assert set(root.tolist()) == {0} and len(u) == 39
+
+
 # ---- 3 mixing ----
 
 
