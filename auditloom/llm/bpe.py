@@ -29,11 +29,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from auditloom.llm.common import kept_by_worker
+
 LEXICON = 50_000
 #: Longer words are merged, not compiled.
 LONGEST = 64
 #: Words a worker remembers before it starts anew; this bounds memory alone.
-REMEMBERED = 500_000
+REMEMBERED = 400_000
 NONE = 1 << 62
 
 _ODD = re.compile("[^\t-\r -~À-ÖØ-öø-ɏ]")
@@ -243,7 +245,6 @@ class Encoder(dict):
 
 
 _vocabularies: dict[str, WordVocabulary] = {}
-_encoders: dict[tuple[str, str], Encoder] = {}
 
 
 def vocabulary(path: str) -> WordVocabulary:
@@ -257,7 +258,7 @@ def count_words(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     schema = pa.schema([("word", pa.string()), ("n", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, counts = vocabulary(path), Counter()
+        own, counts = kept_by_worker(("words", path), lambda: vocabulary(path)), Counter()
 
         def flush() -> pa.RecordBatch:
             batch = pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], schema=schema)
@@ -291,10 +292,7 @@ def _mapped(docs: DataFrame, path: str, doc_id: str, text: str, lexicon: bytes,
     sent, key = docs.sparkSession.sparkContext.broadcast(lexicon), hashlib.sha256(lexicon).hexdigest()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if (path, key) not in _encoders:
-            _encoders.clear()
-            _encoders[path, key] = Encoder(vocabulary(path), Lexicon(sent.value))
-        encoder = _encoders[path, key]
+        encoder = kept_by_worker(("bpe", path, key), lambda: Encoder(vocabulary(path), Lexicon(sent.value)))
         for whole in batches:
             for at in range(0, whole.num_rows, 256):
                 batch = whole.slice(at, 256)

@@ -16,6 +16,20 @@ from pyspark.sql.window import Window
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+_held: dict = {}
+
+
+def kept_by_worker(key: tuple, make):
+    """What a Python worker keeps from task to task: one operator's cache at a time.
+
+    Workers outlive stages, so what another operator has left is dropped first.
+    """
+    if key not in _held:
+        _held.clear()
+        _held[key] = make()
+    return _held[key]
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The folder all executors share: ``spark.checkpoint.dir``, else the warehouse.
 

@@ -23,7 +23,6 @@ import re
 import uuid
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from auditloom.llm import store
-from auditloom.llm.common import cut, running_total, scratch_path
+from auditloom.llm.common import cut, kept_by_worker, running_total, scratch_path
 
 #: Pieces a worker remembers before it starts anew; this bounds memory alone.
 REMEMBERED = 400_000
@@ -84,9 +83,8 @@ class ByteLevelEncoder:
         return b"".join(self.pieces[m[0]] for m in _PIECE.finditer(text))
 
 
-@lru_cache(maxsize=2)
 def encoder(path: str) -> ByteLevelEncoder:
-    return ByteLevelEncoder(path)
+    return kept_by_worker(("pieces", path), lambda: ByteLevelEncoder(path))
 
 
 _FILE = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.list_(pa.int32()))])

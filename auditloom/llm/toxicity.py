@@ -19,6 +19,7 @@ gives an empty result; extra columns are carried along.
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterator
 from functools import partial
 
@@ -26,6 +27,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructType
+
+from auditloom.llm.common import kept_by_worker
 
 SAMPLE, SAMPLE_CHARS = 2500, 12_000
 WINDOW, STRIDE = 32, 24
@@ -396,26 +400,19 @@ def fit(docs: DataFrame, labels: DataFrame, **columns) -> Model:
     return train(*training_sample(docs, labels, **columns))
 
 
-_scorers: dict[int, Scorer] = {}
-
-
 def score_documents(docs: DataFrame, model: Model, text: str = "text", out: str = "score") -> DataFrame:
     """``docs`` with the score of each row's whole text; it replaces a column of its name."""
     docs = docs.drop(out)
     sent = docs.sparkSession.sparkContext.broadcast(model)
     columns = docs.columns
 
-    def run(key: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if key not in _scorers:
-            _scorers.clear()
-            _scorers[key] = Scorer(sent.value)
+    def run(key: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = kept_by_worker(("toxicity", key), lambda: Scorer(sent.value))
         for whole in batches:
             for at in range(0, whole.num_rows, 256):
                 batch = whole.slice(at, 256)
-                scores = _scorers[key](batch.column(columns.index(text)).to_pylist())
+                scores = scorer(batch.column(columns.index(text)).to_pylist())
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores)], schema=whole.schema.append(pa.field(out, pa.float64())))
 
-    from pyspark.sql.types import DoubleType, StructType
-
     schema = StructType([*docs.schema.fields]).add(out, DoubleType())
-    return docs.mapInArrow(partial(run, id(sent)), schema)
+    return docs.mapInArrow(partial(run, uuid.uuid4().hex), schema)
