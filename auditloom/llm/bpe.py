@@ -29,13 +29,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from auditloom.llm.common import kept_by_worker
+from auditloom.llm.common import kept_by_worker, small_batches
 
 LEXICON = 50_000
 #: Longer words are merged, not compiled.
 LONGEST = 64
 #: Words a worker remembers before it starts anew; this bounds memory alone.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
+#: Distinct words that a task counts before it hands the counts on.
+COUNTED = 250_000
 NONE = 1 << 62
 
 _ODD = re.compile("[^\t-\r -~À-ÖØ-öø-ɏ]")
@@ -270,7 +272,7 @@ def count_words(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
                 for special, part in own.parts(x):
                     if not special:
                         counts.update(own.words(part))
-                if len(counts) > REMEMBERED:
+                if len(counts) > COUNTED:
                     yield flush()
         yield flush()
 
@@ -289,6 +291,7 @@ OUT = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
 def _mapped(docs: DataFrame, path: str, doc_id: str, text: str, lexicon: bytes, schema: pa.Schema, ddl: str, row) -> DataFrame:
+    small_batches(docs.sparkSession)
     sent, key = docs.sparkSession.sparkContext.broadcast(lexicon), hashlib.sha256(lexicon).hexdigest()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from auditloom.llm.common import small_batches
+
 LEAST, USUAL, MOST = 16, 64, 512
 #: Zero bits asked for before and after the usual size.
 STRICT_BITS, LOOSE_BITS = 7, 5
@@ -130,6 +132,7 @@ OUT = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edit
 
 def fingerprint_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Fingerprints of every document and of its edited text, and their likenesses."""
+    small_batches(docs.sparkSession)
     dealt = with_neighbour(docs, doc_id, text)
     if dealt is None:
         return docs.sparkSession.createDataFrame([], OUT)

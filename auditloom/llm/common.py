@@ -5,10 +5,14 @@ Columns whose names start with ``_al_`` are reserved for internal use.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import tempfile
 import uuid
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -26,10 +30,24 @@ def kept_by_worker(key: tuple, make):
     """
     if key not in _held:
         _held.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):  # other C libraries have no such call
+            ctypes.CDLL(None).malloc_trim(0)
         _held[key] = make()
     return _held[key]
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Bound the batches in which texts go to Python workers and back.
+
+    The default is 10,000 rows or 64 MB; that much outside the heap, twice a task, is more
+    than whole texts need.
+    """
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", 1024), ("spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20)):
+        spark.conf.set(key, str(most))
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The folder all executors share: ``spark.checkpoint.dir``, else the warehouse.
 
@@ -61,6 +79,7 @@ def cut(df: DataFrame, name: str = "table") -> DataFrame:
     exchanges on both sides, which adaptive execution can split where a key is hot.
     """
     spark = df.sparkSession
+    small_batches(spark)
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructType
 from pyspark.sql.window import Window
 
-from auditloom.llm.common import WORD, cut, running_total
+from auditloom.llm.common import WORD, cut, running_total, small_batches
 
 BLANKS = " \t\r\x0b\x0c"
 DOC = ["doc_id", "dk"]
@@ -119,6 +119,7 @@ def without_lines(text: str, runs: list[tuple[int, int]]) -> tuple[str, int]:
 
 def deduplicate_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = 50, out: str = "n_deleted") -> DataFrame:
     """``docs`` with repeated runs of lines deleted, and ``out``, how many lines went; it replaces a column of its name."""
+    small_batches(docs.sparkSession)
     docs = docs.drop(out)
     runs = repeated_runs(docs, doc_id, text, min_words)
     gone = cut(runs.groupBy(*DOC).agg(F.collect_set(F.struct("a", "b")).alias("_al_runs")), "gone")
@@ -131,7 +132,7 @@ def deduplicate_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     schema.fields[at].dataType = StringType()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (whole.slice(k, 1024) for whole in batches for k in range(0, whole.num_rows, 1024)):
             texts, n = batch.column(at), []
             runs = batch.column(batch.num_columns - 1)
             if runs.null_count < len(runs):

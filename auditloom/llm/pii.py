@@ -28,6 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from auditloom.llm.common import small_batches
+
 KINDS = ("email", "ip", "card", "phone")
 SAMPLE, SAMPLE_CHARS = 300, 4000
 WINDOW, STRIDE, EDGE = 128, 64, 4
@@ -367,6 +369,7 @@ _OUT = pa.schema([("doc_id", pa.int64()), *((f"n_{k}", pa.int64()) for k in KIND
 
 def find_personal_data(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per document the counts and digest of its base spans, and all its spans."""
+    small_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

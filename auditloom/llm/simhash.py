@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from auditloom.llm.common import components, cut
+from auditloom.llm.common import components, cut, small_batches
 
 KEY_LIMIT = 512
 #: Shingles hashed at once; bounds memory for very long texts.
@@ -75,6 +75,7 @@ def fingerprint(text: str | None, shingle: int, seed: int = 42) -> int:
 
 def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 5, carry: str | None = None) -> DataFrame:
     """``doc_id, fp`` (and ``carry``); fp is the fingerprint's 64 bits as a signed long."""
+    small_batches(docs.sparkSession)
     columns = [F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), *([F.col(carry)] if carry else [])]
     schema = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64()), *([(carry, pa.string())] if carry else [])])
 

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from auditloom.llm import store
-from auditloom.llm.common import cut, kept_by_worker, running_total, scratch_path
+from auditloom.llm.common import cut, kept_by_worker, running_total, scratch_path, small_batches
 
 #: Pieces a worker remembers before it starts anew; this bounds memory alone.
 REMEMBERED = 400_000
@@ -98,6 +98,7 @@ def write_tokens(docs: DataFrame, vocabulary: str, doc_id: str = "doc_id", text:
     ``start``, the tokens before it. A file has the name of its task's attempt, and only
     files in the manifest count. A row group holds about ``group_tokens`` tokens.
     """
+    small_batches(docs.sparkSession)
     spark = docs.sparkSession
     root = path or scratch_path(spark, "tokens")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))

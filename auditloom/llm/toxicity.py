@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructType
 
-from auditloom.llm.common import kept_by_worker
+from auditloom.llm.common import kept_by_worker, small_batches
 
 SAMPLE, SAMPLE_CHARS = 2500, 12_000
 WINDOW, STRIDE = 32, 24
@@ -39,7 +39,7 @@ FOLDS = 4
 GRAMS = range(3, 8)
 LONGEST = 32
 #: Words a worker remembers before it starts anew; this bounds memory alone.
-REMEMBERED = 250_000
+REMEMBERED = 120_000
 WORD = re.compile(r"\w{1,%d}" % LONGEST)
 F4 = np.float32
 
@@ -328,7 +328,8 @@ class Scorer:
             some = new[at : at + 1024]
             upto = len(self.place) + len(some)
             if upto > len(self.gates):
-                self.gates = np.concatenate([self.gates, np.zeros((max(upto, len(self.gates)), 2, 3 * HIDDEN), F4)])
+                more = max(upto - len(self.gates), min(len(self.gates), 1 << 14))
+                self.gates = np.concatenate([self.gates, np.zeros((more, 2, 3 * HIDDEN), F4)])
             self.gates[len(self.place) : upto] = self.model.project(self.model.inputs(gram_ids(some)))
             for w in some:
                 self.place[w] = len(self.place)
@@ -402,6 +403,7 @@ def fit(docs: DataFrame, labels: DataFrame, **columns) -> Model:
 
 def score_documents(docs: DataFrame, model: Model, text: str = "text", out: str = "score") -> DataFrame:
     """``docs`` with the score of each row's whole text; it replaces a column of its name."""
+    small_batches(docs.sparkSession)
     docs = docs.drop(out)
     sent = docs.sparkSession.sparkContext.broadcast(model)
     columns = docs.columns
