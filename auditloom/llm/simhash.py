@@ -23,8 +23,9 @@ gives an empty result.
 
 from __future__ import annotations
 
+import tempfile
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -187,8 +188,10 @@ def near_duplicates(prints: DataFrame, radius: int = 3) -> DataFrame:
 
 #: Least hashes by which sets meet: a pair of similarity 0.8 misses all with probability 0.2^5.
 MEET = 5
-#: Elements of a set that are kept for comparison; larger sets are compared by their least ones.
+#: Elements of a set that are kept for a first comparison; larger sets are settled by all of theirs.
 KEPT = 512
+#: By the kept elements alone, larger sets may be alike down to this much below the similarity: over five standard errors.
+MARGIN = 0.1
 #: Sets of similarity 0.8 differ in more bits than this once in some 100,000 pairs.
 FAR = 22
 #: Sets that share a hash with more others than this must share a second one.
@@ -197,6 +200,14 @@ CROWD = 4096
 HELD, ENVOYS = 8192, 16
 
 
+def _shingle_set(digests: list[bytes]) -> tuple[np.ndarray, int]:
+    """A text's distinct shingle hashes in order, and the set's identity."""
+    one = np.unique(np.frombuffer(b"".join(digests), dtype=">u8").astype(np.uint64))
+    # Equal sets have equal sums of mixed hashes and equal sizes.
+    mixed = (one ^ (one >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return one, int((mixed.sum(dtype=np.uint64) ^ np.uint64(len(one))).view(np.int64))
+
+
 def sketches(docs: DataFrame, doc_id: str, text: str, key: str, shingle: int) -> DataFrame:
     """``doc_id, key, fp, sid, n, least, kept``: fingerprint, identity, size and hashes of shingle sets."""
     schema = pa.schema([("doc_id", pa.int64()), (key, pa.int64()), ("fp", pa.int64()), ("sid", pa.int64()), ("n", pa.int64()), ("least", pa.list_(pa.int64())), ("kept", pa.binary())])
@@ -207,10 +218,7 @@ def sketches(docs: DataFrame, doc_id: str, text: str, key: str, shingle: int) ->
                 batch, rows = whole.slice(at, 1024), []
                 for t in batch.column(2).to_pylist():
                     digests = list(shingle_digests(t, shingle))
-                    one = np.unique(np.frombuffer(b"".join(digests), dtype=">u8").astype(np.uint64))
-                    # Equal sets have equal sums of mixed hashes and equal sizes.
-                    mixed = (one ^ (one >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-                    sid = int((mixed.sum(dtype=np.uint64) ^ np.uint64(len(one))).view(np.int64))
+                    one, sid = _shingle_set(digests)
                     small = np.unique((one >> np.uint64(32)).astype("<u4"))[:KEPT]
                     fp = int(np.uint64(majority(digests)).view(np.int64))
                     rows.append((fp, sid, len(one), one[:MEET].view(np.int64), small.tobytes()))
@@ -221,18 +229,60 @@ def sketches(docs: DataFrame, doc_id: str, text: str, key: str, shingle: int) ->
     return rows.mapInArrow(run, f"doc_id long, {key} long, fp long, sid long, n long, least array<long>, kept binary")
 
 
-def _similar(a: np.ndarray, na: int, b: np.ndarray, nb: int, least: float) -> bool:
-    """Whether two sets have at least the similarity; exact where both are kept whole."""
-    if na <= KEPT and nb <= KEPT:
-        both = len(np.intersect1d(a, b, assume_unique=True))
-        return both >= least * (len(a) + len(b) - both)
+def whole_sets(docs: DataFrame, wanted: DataFrame, text: str, key: str, shingle: int) -> DataFrame:
+    """``sid, whole``: all shingle hashes of the ``wanted`` (key, sid) sets, made anew from their texts."""
+    # Few sets are sent to where the texts are; many are dealt out with them.
+    few = wanted.count() <= 500_000
+    rows = docs.select(F.col(key), F.col(text).alias("text")).join(wanted.hint("broadcast" if few else "merge"), key).select("sid", "text")
+    schema = pa.schema([("sid", pa.int64()), ("whole", pa.binary())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for sid, t in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                one, own = _shingle_set(list(shingle_digests(t, shingle)))
+                if own == sid:
+                    yield pa.RecordBatch.from_arrays([pa.array([sid]), pa.array([one.tobytes()], pa.binary())], schema=schema)
+
+    return rows.mapInArrow(run, "sid long, whole binary").dropDuplicates(["sid"])
+
+
+def _estimate(a: np.ndarray, b: np.ndarray) -> float:
+    """The similarity of two sets by the least KEPT elements of each."""
     union = np.union1d(a, b)[:KEPT]
     shared = np.intersect1d(a, b, assume_unique=True)
-    return bool(len(shared)) and (shared <= union[-1]).sum() >= least * len(union)
+    return int((shared <= union[-1]).sum()) / len(union) if len(shared) else 0.0
+
+
+def _similar(a: np.ndarray, na: int, b: np.ndarray, nb: int, least: float) -> bool:
+    """Whether two sets have at least the similarity; for sets not kept whole, whether they may have."""
+    if na <= KEPT and nb <= KEPT:
+        return _alike(a, b, least)
+    return _estimate(a, b) >= least - MARGIN
+
+
+def _alike(a: np.ndarray, b: np.ndarray, least: float) -> bool:
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return both >= least * (len(a) + len(b) - both)
+
+
+def _settled(n: np.ndarray, take: Callable[[int], np.ndarray], least: float) -> tuple[list[int], list[int]]:
+    """Links that join what pairs of similar sets join, by all elements that ``take`` gives."""
+    root, u, v = np.arange(len(n)), [], []
+    heads = [take(i)[:KEPT].copy() for i in range(len(n))]
+    for i in range(1, len(n)):
+        mates = np.nonzero(np.minimum(n[:i], n[i]) >= least * np.maximum(n[:i], n[i]))[0]
+        own = take(i)
+        for j in mates[np.argsort(np.abs(n[mates] - n[i]), kind="stable")].tolist():
+            if root[j] != root[i] and (n[i] <= KEPT or _estimate(heads[i], heads[j]) >= least - MARGIN) and _alike(own, take(j), least):
+                u.append(i)
+                v.append(j)
+                low, high = sorted((int(root[i]), int(root[j])))
+                root[root == high] = low
+    return u, v
 
 
 def _similar_forest(fp: np.ndarray, n: np.ndarray, kept: list[bytes], least: float) -> tuple[list[int], list[int], np.ndarray]:
-    """Links that join what pairs of similar sets join, and each set's group; joined sets aren't compared again."""
+    """Links that join what pairs of (perhaps) similar sets join, and each set's group; joined sets aren't compared again."""
     root, u, v = np.arange(len(fp)), [], []
     sets: dict[int, np.ndarray] = {}
     take = lambda i: sets.setdefault(i, np.frombuffer(kept[i], dtype="<u4"))
@@ -252,8 +302,12 @@ def _similar_forest(fp: np.ndarray, n: np.ndarray, kept: list[bytes], least: flo
     return u, v, root
 
 
-def similar_links(sets: DataFrame, least: float = 0.8) -> DataFrame:
-    """Links ``u, v`` between distinct shingle sets (sid, fp, n, least, kept) of at least the similarity."""
+def similar_links(sets: DataFrame, whole: Callable[[DataFrame], DataFrame], least: float = 0.8) -> DataFrame:
+    """Links ``u, v`` between distinct shingle sets (sid, fp, n, least, kept) of at least the similarity.
+
+    Groups that hold sets beyond KEPT are only supposed at first, then settled by the
+    elements that ``whole`` gives for a table of ``sid``.
+    """
     parts = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     met = cut(sets.select("sid", "least", F.explode("least").alias("h")), "met")
     counts = cut(met.groupBy("h").agg(F.count("*").alias("m")).where("m > 1"), "met-counts")
@@ -261,7 +315,7 @@ def similar_links(sets: DataFrame, least: float = 0.8) -> DataFrame:
     crowded = shared.where(F.col("m") > CROWD).select("sid", "h", F.explode("least").alias("h2")).where("h <> h2")
     keys = shared.where(F.col("m") <= CROWD).select("sid", "h").union(crowded.select("sid", F.xxhash64(F.least("h", "h2"), F.greatest("h", "h2")))).distinct()
     rows = cut(keys, "meetings").join(sets.select("sid", "fp", "n", "kept"), "sid")
-    schema = pa.schema([("u", pa.int64()), ("v", pa.int64())])
+    schema = pa.schema([("g", pa.int64()), ("u", pa.int64()), ("v", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
@@ -272,7 +326,7 @@ def similar_links(sets: DataFrame, least: float = 0.8) -> DataFrame:
                 _, sid, fp, n, kept = zip(*held, strict=True)
                 u, v, root = _similar_forest(np.array(fp, dtype=np.int64).view(np.uint64), np.array(n), list(kept), least)
                 if u:
-                    yield pa.RecordBatch.from_arrays([pa.array([sid[i] for i in u]), pa.array([sid[i] for i in v])], schema=schema)
+                    yield found(np.array(sid, dtype=np.int64), np.array(n), np.array(u), np.array(v), root)
                 sent, stay = Counter(), []
                 for row, group in zip(held, root.tolist(), strict=True):
                     sent[group] += 1
@@ -294,8 +348,54 @@ def similar_links(sets: DataFrame, least: float = 0.8) -> DataFrame:
                     fresh = 0
         yield from links()
 
+    def found(sid: np.ndarray, n: np.ndarray, u: np.ndarray, v: np.ndarray, root: np.ndarray) -> pa.RecordBatch:
+        """Links of the groups of small sets; of others the members, under one number wherever the same ones meet."""
+        from xxhash import xxh64_intdigest
+
+        unsure = np.zeros(len(sid), dtype=bool)
+        unsure[root[n > KEPT]] = True
+        sure = ~unsure[root[u]]
+        g, a, b = [None] * int(sure.sum()), sid[u[sure]].tolist(), sid[v[sure]].tolist()
+        order = np.argsort(root, kind="stable")
+        for some in np.split(order, np.nonzero(np.diff(root[order]))[0] + 1):
+            if len(some) > 1 and unsure[root[some[0]]]:
+                members = np.sort(sid[some])
+                g += [xxh64_intdigest(members.tobytes()) - (1 << 63)] * len(members)
+                a += members.tolist()
+                b += members.tolist()
+        return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (g, a, b)], schema=schema)
+
+    def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        g, sids, places, file = None, [], [0], tempfile.SpooledTemporaryFile(64 << 20)
+
+        def take(i: int) -> np.ndarray:
+            file.seek(places[i])
+            return np.frombuffer(file.read(places[i + 1] - places[i]), dtype=np.uint64)
+
+        def links() -> Iterator[pa.RecordBatch]:
+            u, v = _settled(np.diff(places) // 8, take, least)
+            if u:
+                yield pa.RecordBatch.from_arrays([pa.array([sids[i] for i in u]), pa.array([sids[i] for i in v])], schema=pa.schema(list(schema)[1:]))
+
+        for batch in batches:
+            for group, sid, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if group != g:
+                    yield from links()
+                    file.close()
+                    g, sids, places, file = group, [], [0], tempfile.SpooledTemporaryFile(64 << 20)
+                sids.append(sid)
+                file.seek(places[-1])
+                file.write(raw)
+                places.append(places[-1] + len(raw))
+        yield from links()
+        file.close()
+
     dealt = rows.select("h", "sid", "fp", "n", "kept").repartition(parts, "h").sortWithinPartitions("h", "sid")
-    return dealt.mapInArrow(run, "u long, v long")
+    first = cut(dealt.mapInArrow(run, "g long, u long, v long"), "supposed")
+    unsure = cut(first.where("g IS NOT NULL").select("g", F.col("u").alias("sid")).distinct(), "unsure")
+    full = cut(whole(unsure.select("sid").distinct()), "whole")
+    second = unsure.join(full, "sid").select("g", "sid", "whole").repartition(parts, "g").sortWithinPartitions("g", "sid")
+    return first.where("g IS NULL").select("u", "v").union(second.mapInArrow(settle, "u long, v long"))
 
 
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 5, radius: int = 3, similarity: float = 0.8) -> DataFrame:
@@ -307,12 +407,13 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shi
     i = F.col(doc_id).cast("long")
     keyed = docs.withColumns({"_al_i": i, "_al_k": F.xxhash64(i, F.col(text))})
     rows = cut(sketches(keyed, doc_id, text, "_al_k", shingle), "sketches")
-    sets = cut(rows.groupBy("sid").agg(F.first("fp").alias("fp"), F.first("n").alias("n"), F.first("least").alias("least"), F.first("kept").alias("kept")), "sets")
+    sets = cut(rows.groupBy("sid").agg(F.first("fp").alias("fp"), F.first("n").alias("n"), F.first("least").alias("least"), F.first("kept").alias("kept"), F.min("_al_k").alias("_al_k")), "sets")
     # Fingerprints within the radius join the sets that have them.
     near = cut(near_duplicates(rows.select("doc_id", "fp", "sid"), radius).select("sid", "root").distinct(), "near")
     low = near.groupBy("root").agg(F.min("sid").alias("low"), F.count("*").alias("m")).where("m > 1")
     by_print = near.join(cut(low, "low"), "root").where("sid <> low").select(F.col("sid").alias("u"), F.col("low").alias("v"))
-    roots = components(by_print.union(similar_links(sets, similarity))).withColumnRenamed("node", "sid").withColumnRenamed("root", "grp")
+    whole = lambda sids: whole_sets(keyed, cut(sets.select("_al_k", "sid").join(sids, "sid"), "wanted").select("_al_k", "sid"), text, "_al_k", shingle)
+    roots = components(by_print.union(similar_links(sets, whole, similarity))).withColumnRenamed("node", "sid").withColumnRenamed("root", "grp")
     order = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", F.col("_al_k").alias("k"))
     first = cut(rows.groupBy("sid").agg(F.min(order).alias("o")), "first")
     grouped = first.join(roots, "sid", "left").groupBy(F.coalesce("grp", "sid").alias("grp")).agg(F.min("o").alias("o"))

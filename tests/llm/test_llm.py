@@ -181,6 +181,24 @@ def test_similar_sets(spark, crowd, monkeypatch):
     assert got <= sure and len(sure - got) <= 3
 
 
+def jaccard(a, b):
+    a, b = ({tuple(t.split()[i : i + 5]) for i in range(len(t.split()) - 4)} for t in (a, b))
+    return len(a & b) / len(a | b)
+
+
+def test_long_texts_are_settled_exactly(spark):
+    rng, texts = np.random.default_rng(14), []
+    for k in range(24):
+        base = [f"w{x}" for x in rng.integers(0, 10**9, 1200)]
+        # The copy's end differs: by a little less or a little more than a similarity of 0.8 allows.
+        cut_at = 1200 - (131, 135)[k % 2]
+        texts += [" ".join(base), " ".join(base[:cut_at] + [f"v{x}" for x in rng.integers(0, 10**9, 1200 - cut_at)])]
+    likeness = [jaccard(*texts[i : i + 2]) for i in range(0, 48, 2)]
+    assert all(0.79 < x < 0.81 for x in likeness) and 0 < sum(x >= 0.8 for x in likeness) < 24
+    got = {r.doc_id for r in simhash.one_of_each(docs_of(spark, [(i, t, "s") for i, t in enumerate(texts)])).collect()}
+    assert got == set(range(0, 48, 2)) | {2 * k + 1 for k, x in enumerate(likeness) if x < 0.8}
+
+
 def test_held_groups(monkeypatch):
     rng = np.random.default_rng(13)
     base = np.unique(rng.integers(0, 2**32, 200, dtype=np.uint64).astype("<u4"))
