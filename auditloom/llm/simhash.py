@@ -24,7 +24,6 @@ gives an empty result.
 from __future__ import annotations
 
 import tempfile
-from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -196,8 +195,8 @@ MARGIN = 0.1
 FAR = 22
 #: Sets that share a hash with more others than this must share a second one.
 CROWD = 4096
-#: Sets of one meeting that a task holds at once; of each group found so far, so many go on to the next ones.
-HELD, ENVOYS = 8192, 16
+#: Larger meetings are dealt into blocks of about so many sets, and every block meets every other.
+HELD = 2048
 
 
 def _shingle_set(digests: list[bytes]) -> tuple[np.ndarray, int]:
@@ -281,8 +280,11 @@ def _settled(n: np.ndarray, take: Callable[[int], np.ndarray], least: float) ->
     return u, v
 
 
-def _similar_forest(fp: np.ndarray, n: np.ndarray, kept: list[bytes], least: float) -> tuple[list[int], list[int], np.ndarray]:
-    """Links that join what pairs of (perhaps) similar sets join, and each set's group; joined sets aren't compared again."""
+def _similar_forest(fp: np.ndarray, n: np.ndarray, kept: list[bytes], least: float, block: np.ndarray | None = None) -> tuple[list[int], list[int], np.ndarray]:
+    """Links that join what pairs of (perhaps) similar sets join, and each set's group; joined sets aren't compared again.
+
+    Where two blocks meet, sets of one block aren't compared: they meet by themselves.
+    """
     root, u, v = np.arange(len(fp)), [], []
     sets: dict[int, np.ndarray] = {}
     take = lambda i: sets.setdefault(i, np.frombuffer(kept[i], dtype="<u4"))
@@ -291,6 +293,8 @@ def _similar_forest(fp: np.ndarray, n: np.ndarray, kept: list[bytes], least: flo
         for i in range(at, min(len(fp), at + 256)):
             near = far[i - at, :i]
             mates = np.nonzero((near <= FAR) & (np.minimum(n[:i], n[i]) >= least * np.maximum(n[:i], n[i])))[0]
+            if block is not None and block[0] != block[-1]:
+                mates = mates[block[mates] != block[i]]
             for j in mates[np.argsort(near[mates], kind="stable")].tolist():
                 if root[j] != root[i] and _similar(take(i), n[i], take(j), n[j], least):
                     u.append(i)
@@ -314,38 +318,31 @@ def similar_links(sets: DataFrame, whole: Callable[[DataFrame], DataFrame], leas
     shared = cut(met.join(counts, "h"), "met-shared")
     crowded = shared.where(F.col("m") > CROWD).select("sid", "h", F.explode("least").alias("h2")).where("h <> h2")
     keys = shared.where(F.col("m") <= CROWD).select("sid", "h").union(crowded.select("sid", F.xxhash64(F.least("h", "h2"), F.greatest("h", "h2")))).distinct()
-    rows = cut(keys, "meetings").join(sets.select("sid", "fp", "n", "kept"), "sid")
+    keys = cut(keys, "meetings")
+    large = cut(keys.groupBy("h").agg(F.count("*").alias("m")).where(F.col("m") > HELD).select("h", F.ceil(F.col("m") / HELD).cast("int").alias("blocks")), "large")
+    own = keys.join(large, "h", "left").select("h", "sid", F.coalesce("blocks", F.lit(1)).alias("blocks"))
+    own = own.withColumn("block", F.pmod(F.xxhash64("sid", "h"), F.col("blocks")).cast("int"))
+    own = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    own = own.select("h", "sid", "block", F.least("block", "other").alias("a"), F.greatest("block", "other").alias("b"))
+    rows = cut(own, "blocks").join(sets.select("sid", "fp", "n", "kept"), "sid")
     schema = pa.schema([("g", pa.int64()), ("u", pa.int64()), ("v", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
 
         def links() -> Iterator[pa.RecordBatch]:
-            """Links among what is held; then only some of each group stay held."""
             if len(held) > 1:
-                _, sid, fp, n, kept = zip(*held, strict=True)
-                u, v, root = _similar_forest(np.array(fp, dtype=np.int64).view(np.uint64), np.array(n), list(kept), least)
+                _, _, _, block, sid, fp, n, kept = zip(*held, strict=True)
+                u, v, root = _similar_forest(np.array(fp, dtype=np.int64).view(np.uint64), np.array(n), list(kept), least, np.array(block))
                 if u:
                     yield found(np.array(sid, dtype=np.int64), np.array(n), np.array(u), np.array(v), root)
-                sent, stay = Counter(), []
-                for row, group in zip(held, root.tolist(), strict=True):
-                    sent[group] += 1
-                    if sent[group] <= ENVOYS:
-                        stay.append(row)
-                held[:] = stay
-
-        fresh = 0
+
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if held and held[0][0] != row[0]:
+                if held and held[0][:3] != row[:3]:
                     yield from links()
                     held.clear()
-                    fresh = 0
                 held.append(row)
-                fresh += 1
-                if fresh >= HELD:
-                    yield from links()
-                    fresh = 0
         yield from links()
 
     def found(sid: np.ndarray, n: np.ndarray, u: np.ndarray, v: np.ndarray, root: np.ndarray) -> pa.RecordBatch:
@@ -390,7 +387,7 @@ def similar_links(sets: DataFrame, whole: Callable[[DataFrame], DataFrame], leas
         yield from links()
         file.close()
 
-    dealt = rows.select("h", "sid", "fp", "n", "kept").repartition(parts, "h").sortWithinPartitions("h", "sid")
+    dealt = rows.select("h", "a", "b", "block", "sid", "fp", "n", "kept").repartition(parts, "h", "a", "b").sortWithinPartitions("h", "a", "b", "block", "sid")
     first = cut(dealt.mapInArrow(run, "g long, u long, v long"), "supposed")
     unsure = cut(first.where("g IS NOT NULL").select("g", F.col("u").alias("sid")).distinct(), "unsure")
     full = cut(whole(unsure.select("sid").distinct()), "whole")

@@ -199,6 +199,22 @@ def test_long_texts_are_settled_exactly(spark):
     assert got == set(range(0, 48, 2)) | {2 * k + 1 for k, x in enumerate(likeness) if x < 0.8}
 
 
+def test_large_meetings_miss_nothing(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "HELD", 20)
+    # Sets in order of identity: each is like the ones next to it only, and all share one hash.
+    rng = np.random.default_rng(15)
+    pool = np.unique(rng.integers(2**20, 2**32, 1000, dtype=np.uint64)).astype("<u4")
+    pool = pool[rng.permutation(len(pool))]
+    rows = []
+    for k in range(150):
+        # Sliding windows, dealt over the ids so that like sets lie far apart.
+        one = np.unique(np.concatenate([pool[k * 5 : k * 5 + 99], np.array([7], dtype="<u4")]))
+        rows.append((k * 67 % 150, 0, len(one), [7], bytearray(one.tobytes())))
+    sets = spark.createDataFrame(rows, "sid long, fp long, n long, least array<long>, kept binary")
+    links = simhash.similar_links(cut(sets), lambda sids: sids.select("sid", F.lit(b"").alias("whole")))
+    assert components(cut(links)).where("root = 0").count() == 150
+
+
 def test_held_groups(monkeypatch):
     rng = np.random.default_rng(13)
     base = np.unique(rng.integers(0, 2**32, 200, dtype=np.uint64).astype("<u4"))
