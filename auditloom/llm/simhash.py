@@ -193,10 +193,8 @@ KEPT = 512
 MARGIN = 0.1
 #: Sets of similarity 0.8 differ in more bits than this once in some 100,000 pairs.
 FAR = 22
-#: Sets that share a hash with more others than this must share a second one.
-CROWD = 4096
-#: Larger meetings are dealt into blocks of about so many sets, and every block meets every other.
-HELD = 2048
+#: Sets that share a hash with more others than this are dealt into blocks of about so many, and every block meets every other.
+CROWD = 2048
 
 
 def _shingle_set(digests: list[bytes]) -> tuple[np.ndarray, int]:
@@ -316,11 +314,7 @@ def similar_links(sets: DataFrame, whole: Callable[[DataFrame], DataFrame], leas
     met = cut(sets.select("sid", "least", F.explode("least").alias("h")), "met")
     counts = cut(met.groupBy("h").agg(F.count("*").alias("m")).where("m > 1"), "met-counts")
     shared = cut(met.join(counts, "h"), "met-shared")
-    crowded = shared.where(F.col("m") > CROWD).select("sid", "h", F.explode("least").alias("h2")).where("h <> h2")
-    keys = shared.where(F.col("m") <= CROWD).select("sid", "h").union(crowded.select("sid", F.xxhash64(F.least("h", "h2"), F.greatest("h", "h2")))).distinct()
-    keys = cut(keys, "meetings")
-    large = cut(keys.groupBy("h").agg(F.count("*").alias("m")).where(F.col("m") > HELD).select("h", F.ceil(F.col("m") / HELD).cast("int").alias("blocks")), "large")
-    own = keys.join(large, "h", "left").select("h", "sid", F.coalesce("blocks", F.lit(1)).alias("blocks"))
+    own = shared.select("h", "sid", F.ceil(F.col("m") / CROWD).cast("int").alias("blocks"))
     own = own.withColumn("block", F.pmod(F.xxhash64("sid", "h"), F.col("blocks")).cast("int"))
     own = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     own = own.select("h", "sid", "block", F.least("block", "other").alias("a"), F.greatest("block", "other").alias("b"))

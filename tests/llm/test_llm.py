@@ -200,7 +200,7 @@ def test_long_texts_are_settled_exactly(spark):
 
 
 def test_large_meetings_miss_nothing(spark, monkeypatch):
-    monkeypatch.setattr(simhash, "HELD", 20)
+    monkeypatch.setattr(simhash, "CROWD", 20)
     # Sets in order of identity: each is like the ones next to it only, and all share one hash.
     rng = np.random.default_rng(15)
     pool = np.unique(rng.integers(2**20, 2**32, 1000, dtype=np.uint64)).astype("<u4")
@@ -215,6 +215,19 @@ def test_large_meetings_miss_nothing(spark, monkeypatch):
     assert components(cut(links)).where("root = 0").count() == 150
 
 
+def test_crowds_need_no_second_hash(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "CROWD", 4)
+    rng = np.random.default_rng(16)
+    rows = []
+    for k in range(12):
+        base = np.unique(rng.integers(2**20, 2**32, 60, dtype=np.uint64)).astype("<u4")
+        # All twenty-four sets share hash 7; a set and its copy share no other of the five least.
+        rows += [(2 * k + j, 0, len(base), [7, *rng.integers(100, 10**9, 4).tolist()], bytearray(base.tobytes())) for j in (0, 1)]
+    sets = spark.createDataFrame(rows, "sid long, fp long, n long, least array<long>, kept binary")
+    links = simhash.similar_links(cut(sets), lambda sids: sids.select("sid", F.lit(b"").alias("whole")))
+    assert {tuple(sorted(r)) for r in links.collect()} == {(2 * k, 2 * k + 1) for k in range(12)}
+
+
 def test_held_groups(monkeypatch):
     rng = np.random.default_rng(13)
     base = np.unique(rng.integers(0, 2**32, 200, dtype=np.uint64).astype("<u4"))
