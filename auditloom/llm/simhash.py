@@ -182,8 +182,8 @@ def near_duplicates(prints: DataFrame, radius: int = 3) -> DataFrame:
 #
 # Texts whose shingle sets have a Jaccard similarity of 0.8 differ in about 10 of 64 bits
 # (5 to 14 as measured); a cover of that radius has tens of thousands of tables. So sets
-# that share one of their least shingle hashes are compared as well: fingerprints first,
-# then the sets.
+# that share one of their least shingle hashes are compared as well, whatever their
+# fingerprints, which count repeated shingles; these only tell what to try first.
 
 #: Least hashes by which sets meet: a pair of similarity 0.8 misses all with probability 0.2^5.
 MEET = 5
@@ -191,8 +191,8 @@ MEET = 5
 KEPT = 512
 #: By the kept elements alone, larger sets may be alike down to this much below the similarity: over five standard errors.
 MARGIN = 0.1
-#: Sets of similarity 0.8 differ in more bits than this once in some 100,000 pairs.
-FAR = 22
+#: So many sets are tried one by one, the nearest fingerprints first; the rest by counts of shared hashes.
+NEAR = 8
 #: Sets that share a hash with more others than this are dealt into blocks of about so many, and every block meets every other.
 CROWD = 2048
 
@@ -284,26 +284,56 @@ def _similar_forest(fp: np.ndarray, n: np.ndarray, kept: list[bytes], least: flo
     Where two blocks meet, sets of one block aren't compared: they meet by themselves.
     """
     root, u, v = np.arange(len(fp)), [], []
-    sets: dict[int, np.ndarray] = {}
-    take = lambda i: sets.setdefault(i, np.frombuffer(kept[i], dtype="<u4"))
-    for at in range(0, len(fp), 256):
-        far = np.bitwise_count(fp[at : at + 256, None] ^ fp[None, :])
-        for i in range(at, min(len(fp), at + 256)):
-            near = far[i - at, :i]
-            mates = np.nonzero((near <= FAR) & (np.minimum(n[:i], n[i]) >= least * np.maximum(n[:i], n[i])))[0]
-            if block is not None and block[0] != block[-1]:
-                mates = mates[block[mates] != block[i]]
-            for j in mates[np.argsort(near[mates], kind="stable")].tolist():
-                if root[j] != root[i] and _similar(take(i), n[i], take(j), n[j], least):
+    sets = [np.frombuffer(k, dtype="<u4") for k in kept]
+    sizes, shared = np.array([len(x) for x in sets]), None
+    for i in range(1, len(fp)):
+        mates = np.nonzero(np.minimum(n[:i], n[i]) >= least * np.maximum(n[:i], n[i]))[0]
+        if block is not None and block[0] != block[-1]:
+            mates = mates[block[mates] != block[i]]
+        mates = mates[np.argsort(np.bitwise_count(fp[mates] ^ fp[i]), kind="stable")]
+        for some in (slice(NEAR), slice(NEAR, None)):
+            trial = mates[some]
+            trial = trial[root[trial] != root[i]]
+            if len(trial) > NEAR:
+                shared = shared or _shared(sets)
+                # A pair that shares less of the larger set can't pass.
+                trial = trial[shared(i)[trial] >= (least - MARGIN) * np.maximum(sizes[trial], sizes[i])]
+            for j in trial.tolist():
+                if root[j] != root[i] and _similar(sets[i], n[i], sets[j], n[j], least):
                     u.append(i)
                     v.append(j)
                     low, high = sorted((int(root[i]), int(root[j])))
                     root[root == high] = low
-        if len(sets) > 8192:
-            sets.clear()
     return u, v, root
 
 
+def _shared(sets: list[np.ndarray]) -> Callable[[int], np.ndarray]:
+    """A function of i: how many elements set i shares with each set before it."""
+    lengths = np.array([len(x) for x in sets])
+    of = np.repeat(np.arange(len(sets)), lengths)
+    _, which, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    many = count[which] > 1
+    of, which = of[many].astype(np.int32), which[many].astype(np.int32)
+    order = np.argsort(which, kind="stable")
+    owners, sorted_ = of[order], which[order]
+    start = np.concatenate([[0], np.nonzero(np.diff(sorted_))[0] + 1]) if len(sorted_) else np.zeros(0, dtype=np.int64)
+    place = np.empty(len(order), dtype=np.int64)
+    place[order] = np.arange(len(order))
+    first = start[np.searchsorted(start, place, side="right") - 1]
+    bounds = np.searchsorted(of, np.arange(len(sets) + 1))
+
+    def counts(i: int) -> np.ndarray:
+        out = np.zeros(i, dtype=np.int64)
+        for at in range(bounds[i], bounds[i + 1], 64):
+            a, b = first[at : min(at + 64, bounds[i + 1])], place[at : min(at + 64, bounds[i + 1])]
+            runs = b - a
+            places = np.repeat(a - (np.cumsum(runs) - runs), runs) + np.arange(runs.sum())
+            out += np.bincount(owners[places], minlength=i)
+        return out
+
+    return counts
+
+
 def similar_links(sets: DataFrame, whole: Callable[[DataFrame], DataFrame], least: float = 0.8) -> DataFrame:
     """Links ``u, v`` between distinct shingle sets (sid, fp, n, least, kept) of at least the similarity.
 

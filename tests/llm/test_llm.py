@@ -228,6 +228,26 @@ def test_crowds_need_no_second_hash(spark, monkeypatch):
     assert {tuple(sorted(r)) for r in links.collect()} == {(2 * k, 2 * k + 1) for k in range(12)}
 
 
+def test_repeats_inside_a_line(spark):
+    rng = np.random.default_rng(17)
+    rows = []
+    for k in range(6):
+        base = " ".join(f"w{x}" for x in rng.integers(0, 10**9, 304))
+        phrase = " ".join(f"p{x}" for x in rng.integers(0, 10**9, 5))
+        rows += [(2 * k, base, "s"), (2 * k + 1, base + (" " + phrase) * 60, "s")]
+        assert jaccard(rows[-1][1], base) > 0.9
+    assert max((simhash.fingerprint(a, 5) ^ simhash.fingerprint(b, 5)).bit_count() for (_, a, _), (_, b, _) in zip(rows[::2], rows[1::2], strict=True)) > 22
+    assert {r.doc_id for r in simhash.one_of_each(docs_of(spark, rows)).collect()} == set(range(0, 12, 2))
+
+
+def test_shared_counts():
+    rng = np.random.default_rng(18)
+    sets = [np.unique(rng.integers(0, 300, rng.integers(0, 150), dtype=np.uint64)).astype("<u4") for _ in range(30)]
+    shared = simhash._shared(sets)
+    for i in range(30):
+        assert shared(i).tolist() == [len(set(sets[i].tolist()) & set(sets[j].tolist())) for j in range(i)]
+
+
 def test_held_groups(monkeypatch):
     rng = np.random.default_rng(13)
     base = np.unique(rng.integers(0, 2**32, 200, dtype=np.uint64).astype("<u4"))
