@@ -32,14 +32,15 @@ from pyspark.sql.window import Window
 from auditloom.llm.common import WORD, cut, running_total, small_batches
 
 BLANKS = " \t\r\x0b\x0c"
-DOC = ["doc_id", "dk"]
+#: A document; a null id is ``late`` with zero in its place, as joins by name don't match nulls.
+DOC = ["late", "doc_id", "dk"]
 
 
 def _lines(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """``doc_id, dk, i, h1, h2, w``: the lines that aren't blank, by place."""
+    """``late, doc_id, dk, i, h1, h2, w``: the lines that aren't blank, by place."""
     trimmed = F.transform(F.split(F.col("text"), "\n"), lambda x: F.btrim(x, F.lit(BLANKS)))
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).where("text IS NOT NULL")
-    rows = rows.select("doc_id", F.xxhash64("doc_id", "text").alias("dk"), F.posexplode(F.filter(trimmed, lambda x: x != "")).alias("i", "line"))
+    rows = rows.select(F.col("doc_id").isNull().alias("late"), F.coalesce("doc_id", F.lit(0)).alias("doc_id"), F.xxhash64("doc_id", "text").alias("dk"), F.posexplode(F.filter(trimmed, lambda x: x != "")).alias("i", "line"))
     words = F.greatest(F.lit(1), F.regexp_count("line", F.lit(WORD)))
     # Equal rows would repeat their places; one of them stands for all.
     return rows.select(*DOC, "i", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"), words.alias("w")).dropDuplicates([*DOC, "i"])
@@ -54,7 +55,7 @@ def _ranked(rows: DataFrame, key: list[str], name: str) -> DataFrame:
 
 
 def suffix_ranks(lines: DataFrame, longest: int) -> DataFrame:
-    """``doc_id, dk, i, k, rank, w``: ranks of runs of 2^k lines that occur more than once."""
+    """``late, doc_id, dk, i, k, rank, w``: ranks of runs of 2^k lines that occur more than once."""
     level = _ranked(lines, ["h1", "h2"], "level0")
     levels, k = [level.withColumn("k", F.lit(0))], 0
     while 2 << k <= longest:
@@ -91,12 +92,12 @@ def repeated_runs(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", m
     heads = ranks.select(*DOC, F.col("i").alias("a"), "k", F.col("rank").alias("r1"))
     tails = ranks.select(*DOC, F.col("i").alias("z"), "k", F.col("rank").alias("r2"))
     classed = cut(runs.join(heads, [*DOC, "a", "k"]).join(tails, [*DOC, "z", "k"]).select(*DOC, "a", "m", "r1", "r2"), "classed")
-    order = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "dk", "a")
+    order = F.struct(*DOC, "a")
     first = classed.groupBy("m", "r1", "r2").agg(F.min(order).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
     copies = classed.join(cut(first, "first"), ["m", "r1", "r2"]).where(order > F.col("first"))
-    same = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("dk") == F.col("first.dk"))
+    same = (F.col("late") == F.col("first.late")) & (F.col("doc_id") == F.col("first.doc_id")) & (F.col("dk") == F.col("first.dk"))
     begin = F.when(same, F.greatest("a", F.col("first.a") + F.col("m"))).otherwise(F.col("a"))
-    return copies.select(*DOC, begin.alias("a"), (F.col("a") + F.col("m")).alias("b")).where("a < b")
+    return copies.select(F.when(~F.col("late"), F.col("doc_id")).alias("doc_id"), "dk", begin.alias("a"), (F.col("a") + F.col("m")).alias("b")).where("a < b")
 
 
 def without_lines(text: str, runs: list[tuple[int, int]]) -> tuple[str, int]:
@@ -122,7 +123,7 @@ def deduplicate_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     small_batches(docs.sparkSession)
     docs = docs.drop(out)
     runs = repeated_runs(docs, doc_id, text, min_words)
-    gone = cut(runs.groupBy(*DOC).agg(F.collect_set(F.struct("a", "b")).alias("_al_runs")), "gone")
+    gone = cut(runs.groupBy("doc_id", "dk").agg(F.collect_set(F.struct("a", "b")).alias("_al_runs")), "gone")
     gone = gone.select(F.col("doc_id").alias("_al_id"), F.col("dk").alias("_al_dk"), "_al_runs")
     keyed = docs.withColumns({"_al_k": F.xxhash64(F.col(doc_id).cast("long"), F.col(text)), "_al_i": F.col(doc_id).cast("long")})
     # One plan at every size: the texts meet their runs by a sort-merge join on a nearly unique key.

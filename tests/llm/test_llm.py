@@ -384,6 +384,13 @@ def test_line_dedup(spark):
     assert {r.doc_id: (r.text, r.n_deleted) for r in got} == plain_lines(rows, 6)
 
 
+def test_line_copies_without_ids(spark):
+    body = "one two three four\nfive six seven"
+    rows = [(None, "head\n" + body), (9, body), (None, body + "\ntail"), (0, "zero\n" + body), (None, "x\n\n" + body + "\n" + body)]
+    got = {r.text: r.n_deleted for r in lines.deduplicate_lines(spark.createDataFrame(rows, "doc_id long, text string"), min_words=6).collect()}
+    assert got == {"zero\n" + body: 0, "": 2, "head": 2, "tail": 2, "x\n": 4}
+
+
 def test_line_edges(edge, none):
     out = lines.deduplicate_lines(edge)
     assert out.count() == len(EDGE) and set(out.columns) == set(edge.columns)
