@@ -6,11 +6,13 @@ plus sign). It is trained in numpy on labelled spans: seeded invented values set
 passages of a bounded sample of the corpus, beside numbers and marks that are no personal
 data. A text is read in overlapping windows at fixed places; each is decoded by itself, and
 spans are reconciled over the whole text: a span at the edge of a window yields to the
-window that sees it whole, equal and overlapping finds become one, base spans win.
+window that sees it whole (where none at the fixed places does, one is decoded round it),
+equal and overlapping finds become one, base spans win.
 
-An added span must hold what its kind can't lack: an at-mark and a dot-mark, or seven
-digits (and the kind's own check). A window in which that is impossible, because it has
-neither mark nor that many digits, can't yield a span, so it isn't decoded.
+An added span must hold what its kind can't lack: an at-mark and after it a dot-mark, or
+four digits (and the kind's own check). Windows that touch no such marks or digits within
+LONGEST characters can't yield a span of that length, so they aren't decoded; longer spans
+aren't looked for.
 
 Defined results: a null text is empty; an empty text has no spans; rows are independent,
 so repeated rows repeat their result; offsets are code points, ends exclusive; an empty
@@ -21,6 +23,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,6 +36,8 @@ from auditloom.llm.common import small_batches
 KINDS = ("email", "ip", "card", "phone")
 SAMPLE, SAMPLE_CHARS = 300, 4000
 WINDOW, STRIDE, EDGE = 128, 64, 4
+#: Spans up to this length lie whole within a window, edges apart.
+LONGEST = WINDOW - 2 * EDGE
 F4 = np.float32
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -80,7 +85,8 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 #: At-marks and dot-marks as written or spelled out.
 _AT = re.compile(r"@|[\[({<]\s*at\s*[\])}>]|\sat\s|_at_", re.I)
 _DOT = re.compile(r"\.|[\[({<]\s*dot\s*[\])}>]|\sdot\s|_dot_", re.I)
-_SPELLED = re.compile(r"@|[\[({<]\s*at\s*[\])}>]|[\[({<\s_]\s*dot\s*[\])}>\s_]|_at_", re.I)
+# The same marks at every place, also where they overlap.
+_ANY_AT, _ANY_DOT = (re.compile(f"(?=({x.pattern}))", re.I) for x in (_AT, _DOT))
 
 
 def plausible(kind: str, value: str) -> bool:
@@ -91,7 +97,7 @@ def plausible(kind: str, value: str) -> bool:
         return bool(at and at.start() > 0 and (dot := _DOT.search(value, at.end())) and at.end() < dot.start() and dot.end() < len(value) and "\n" not in value)
     if kind == "ip":
         parts = re.findall("[0-9]+", value)
-        return len(parts) == 4 and all(len(p) <= 3 and int(p) <= 255 for p in parts) and len(digits) >= 7
+        return len(parts) == 4 and all(len(p) <= 3 and int(p) <= 255 for p in parts)
     if kind == "card":
         return 13 <= len(digits) <= 19 and luhn(digits) and len(set(digits)) > 1
     return 7 <= len(digits) <= 15 and "\n" not in value
@@ -295,16 +301,25 @@ def train(texts: list[str], windows: int = 5000, epochs: int = 10, batch: int =
 
 
 def _starts(text: str) -> list[int]:
-    """Starts of the windows that can hold an added span; windows lie at multiples of STRIDE."""
+    """Starts of the windows that touch what a plausible span of up to LONGEST characters holds; they lie at multiples of STRIDE."""
     n, wanted = len(text), set()
     last = max(0, -(-(n - WINDOW) // STRIDE))
-    around = lambda i: range(max(0, -(-(i - WINDOW + 1) // STRIDE)), min(last, i // STRIDE) + 1)
-    for m in _SPELLED.finditer(text):
-        wanted.update(around(m.start()))
+    around = lambda i, j: range(max(0, -(-(i - WINDOW + 1) // STRIDE)), min(last, j // STRIDE) + 1)
+    marks = [m.span(1) for m in _ANY_AT.finditer(text)]
+    if marks:
+        dots = [m.span(1) for m in _ANY_DOT.finditer(text)]
+        starts, ends = [x for x, _ in dots], [x for _, x in dots]
+        for k in range(len(ends) - 2, -1, -1):
+            ends[k] = min(ends[k], ends[k + 1])
+        for i, j in marks:
+            k = bisect_right(starts, j)
+            # An address has more on both sides.
+            if i > 0 and k < len(ends) and ends[k] < n and ends[k] + 1 - (i - 1) <= LONGEST:
+                wanted.update(around(i - 1, ends[k]))
     places = [m.start() for m in _DIGIT.finditer(text)]
-    for i, j in zip(places, places[6:], strict=False):
-        if j - i < WINDOW:
-            wanted.update(k for k in around(i) if k * STRIDE + WINDOW > j)
+    for i, j in zip(places, places[3:], strict=False):
+        if j - i < LONGEST:
+            wanted.update(around(i, j))
     return [k * STRIDE for k in sorted(wanted)]
 
 
@@ -319,10 +334,9 @@ def _spans(tags: np.ndarray) -> list[tuple[int, int, int]]:
     return out
 
 
-def added_spans(texts: list[str], bases: list[list[tuple[str, int, int]]], model: Model) -> list[list[tuple[str, int, int]]]:
-    """The network's spans of texts, reconciled over each whole text."""
-    where = [(i, s) for i, t in enumerate(texts) for s in _starts(t)]
-    found: list[list[tuple[str, int, int]]] = [[] for _ in texts]
+def _decoded(texts: list[str], where: list[tuple[int, int]], model: Model, found: list[list[tuple[str, int, int]]]) -> list[tuple[int, int, int, int]]:
+    """Adds the plausible spans of windows (text, start) to ``found``; gives those near an inner edge: text, kind, start, end."""
+    torn = []
     for at in range(0, len(where), 256):
         some = where[at : at + 256]
         ids = np.zeros((len(some), WINDOW), np.int64)
@@ -332,8 +346,9 @@ def added_spans(texts: list[str], bases: list[list[tuple[str, int, int]]], model
         for (i, s), tags in zip(some, model.decode(ids), strict=True):
             n = min(WINDOW, len(texts[i]) - s)
             for kind, a, b in _spans(tags[:n]):
-                # Near an inner edge the next window sees more of the span.
+                # Near an inner edge another window sees more of the span.
                 if (a < EDGE and s > 0) or (b > n - EDGE and s + n < len(texts[i])):
+                    torn.append((i, kind, s + a, s + b))
                     continue
                 while a < b and texts[i][s + a].isspace():
                     a += 1
@@ -341,6 +356,25 @@ def added_spans(texts: list[str], bases: list[list[tuple[str, int, int]]], model
                     b -= 1
                 if plausible(KINDS[kind], texts[i][s + a : s + b]):
                     found[i].append((KINDS[kind], s + a, s + b))
+    return torn
+
+
+def added_spans(texts: list[str], bases: list[list[tuple[str, int, int]]], model: Model) -> list[list[tuple[str, int, int]]]:
+    """The network's spans of texts, reconciled over each whole text."""
+    found: list[list[tuple[str, int, int]]] = [[] for _ in texts]
+    torn = _decoded(texts, [(i, s) for i, t in enumerate(texts) for s in _starts(t)], model, found)
+    # Spans cut at an edge, joined over the windows, that no window saw whole: a window round each.
+    again: set[tuple[int, int]] = set()
+    joined: list[list] = []
+    for i, kind, a, b in sorted(torn):
+        if joined and joined[-1][:2] == [i, kind] and a <= joined[-1][3]:
+            joined[-1][3] = max(b, joined[-1][3])
+        else:
+            joined.append([i, kind, a, b])
+    for i, kind, a, b in joined:
+        if b - a <= LONGEST and not any(k == KINDS[kind] and c < b and a < d for k, c, d in found[i]):
+            again.add((i, max(0, min(len(texts[i]) - WINDOW, (a + b - WINDOW) // 2))))
+    _decoded(texts, sorted(again), model, found)
     out = []
     for spans, base in zip(found, bases, strict=True):
         kept: list[tuple[str, int, int]] = []

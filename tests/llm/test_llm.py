@@ -338,6 +338,29 @@ def test_added_spans(pii_model):
     assert hit / sum(map(len, want)) > 0.5 and hit / max(1, sum(map(len, got))) > 0.5
 
 
+class Marks:
+    """Tags what lies between { and } as a span of a kind, as far as a window shows it."""
+
+    def __init__(self, kind):
+        self.kind = pii.KINDS.index(kind)
+
+    def decode(self, ids):
+        tags = np.zeros(ids.shape, np.int64)
+        for row, out in zip(ids, tags, strict=True):
+            text = "".join(chr(x + 31) if 0 < x < 96 else " " for x in row)
+            for m in re.finditer(r"\{[^{}]*\}?|^[^{}]*\}", text):
+                out[m.start() : m.end()] = 2 + 2 * self.kind
+                out[m.start()] -= 1
+        return tags
+
+
+@pytest.mark.parametrize(("kind", "value"), [("email", "{john at example.com}"), ("ip", "{10[.]0[.]0[.]1}"), ("email", "{" + "j" * 60 + " at " + "e" * 30 + ".com}")])
+def test_added_spans_are_whole(kind, value):
+    for at in range(0, 140):
+        text = "x " * 70 + "y" * at + value + " z" * 70
+        assert pii.added_spans([text], [[]], Marks(kind)) == [[(kind, 140 + at, 140 + at + len(value))]]
+
+
 def test_pii_frame(spark, edge, none, pii_model):
     rows = docs_of(spark, [(1, "mail a@b.co and +1 (132) 555-1352", "s"), (2, None, "s"), (2, None, "s")])
     got = pii.find_personal_data(rows.withColumn("spans", F.lit(0)), pii_model).orderBy("doc_id").collect()
