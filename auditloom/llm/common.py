@@ -5,18 +5,29 @@ Columns whose names start with ``_al_`` are reserved for internal use.
 
 from __future__ import annotations
 
+import atexit
 import contextlib
 import ctypes
 import gc
+import hashlib
+import inspect
+import io
+import shutil
+import sys
 import tempfile
+import threading
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Iterable, Sequence
 
+import numpy as np
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from auditloom.llm import store
+
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -38,6 +49,39 @@ def kept_by_worker(key: tuple, make):
     return _held[key]
 
 
+_models: dict[tuple[str, str], dict[str, np.ndarray]] = {}
+
+
+def saved_arrays(spark: SparkSession, name: str, sample: Iterable, make: Callable[[], dict[str, np.ndarray]]) -> dict[str, np.ndarray]:
+    """What ``make`` gives for a training sample, kept as an artefact of the shared folder.
+
+    The artefact's name is a digest of the sample, its parameters among it, and of the code of
+    ``make``'s module, so another sample or training never meets it. It is moved into place
+    whole; who finds none makes it.
+    """
+    digest = hashlib.sha256()
+    for x in (inspect.getsource(sys.modules[make.__module__]), *sample):
+        raw = x if isinstance(x, bytes) else repr(x).encode("utf-8", "surrogatepass")
+        digest.update(len(raw).to_bytes(8, "little") + raw)
+    key = digest.hexdigest()
+    if (name, key) not in _models:
+        where, path = store.locate(f"{scratch_root(spark)}/auditloom-models/{name}-{key}.npz")
+        if where.get_file_info(path).type == fs.FileType.File:
+            with where.open_input_file(path) as f, np.load(io.BytesIO(f.read())) as found:
+                arrays = dict(found)
+        else:
+            arrays, raw = make(), io.BytesIO()
+            np.savez(raw, **arrays)
+            where.create_dir(path.rpartition("/")[0], recursive=True)
+            own = f"{path}.{uuid.uuid4().hex}"
+            with where.open_output_stream(own, compression=None) as f:
+                f.write(raw.getvalue())
+            where.move(own, path)
+        _models.clear()  # one sample's model at a time
+        _models[name, key] = arrays
+    return _models[name, key]
+
+
 def small_batches(spark: SparkSession) -> None:
     """Bound the batches in which texts go to Python workers and back.
 
@@ -48,27 +92,40 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(key, str(most))
 
 
+_local_roots: dict[str, str] = {}
+
+
 def scratch_root(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``, else the warehouse.
+    """The folder all executors share, as ``spark.checkpoint.dir`` names it.
 
-    Only a purely local session (tests) without that setting gets a temporary folder.
+    Only a purely local session (tests) without that setting gets a temporary folder, which
+    goes when the process ends; on a cluster the setting is required, as no other folder is
+    known to be shared.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not base:
-        if spark.sparkContext.master.startswith("local[") or spark.sparkContext.master == "local":
-            base = "file://" + tempfile.mkdtemp(prefix="auditloom-")
-            spark.conf.set("spark.checkpoint.dir", base)
-        else:
-            base = spark.conf.get("spark.sql.warehouse.dir")
-    return base.rstrip("/")
+    if base:
+        return base.rstrip("/")
+    if not (spark.sparkContext.master == "local" or spark.sparkContext.master.startswith("local[")):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    app = spark.sparkContext.applicationId
+    if app not in _local_roots:
+        folder = tempfile.mkdtemp(prefix="auditloom-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        _local_roots[app] = "file://" + folder
+    return _local_roots[app]
+
+
+def _hadoop(spark: SparkSession, path: str):
+    """A path and its file system."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared folder; it is removed when the driver's JVM ends."""
+    """A fresh path under the shared folder; what is still there goes when the driver's JVM ends."""
     path = f"{scratch_root(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
+    where, files = _hadoop(spark, path)
+    files.deleteOnExit(where)
     return path
 
 
@@ -82,7 +139,50 @@ def cut(df: DataFrame, name: str = "table") -> DataFrame:
     small_batches(spark)
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._al_scratch = path
+    if _open.scopes:
+        _open.scopes[-1].append(out)
+    return out
+
+
+class _Open(threading.local):
+    def __init__(self) -> None:
+        self.scopes: list[list[DataFrame]] = []
+
+
+_open = _Open()
+
+
+@contextlib.contextmanager
+def tidy():
+    """A scope whose written tables go at its end, but for those that were passed to what it gives.
+
+    What the kept ones hold must have been written, as nothing else can be read later.
+    """
+    _open.scopes.append([])
+    kept: list[DataFrame] = []
+
+    def keep(table: DataFrame) -> DataFrame:
+        kept.append(table)
+        return table
+
+    try:
+        yield keep
+    finally:
+        written = _open.scopes.pop()
+    forget(*[t for t in written if not any(t is k for k in kept)])
+    if _open.scopes:
+        _open.scopes[-1] += kept
+
+
+def forget(*tables: DataFrame) -> None:
+    """Delete tables that ``cut`` or ``running_total`` has written and nothing will read again."""
+    for table in tables:
+        path = getattr(table, "_al_scratch", None)
+        if isinstance(path, str):
+            where, files = _hadoop(table.sparkSession, path)
+            files.delete(where, True)
 
 
 def running_total(df: DataFrame, order: Sequence[Column], value: Column, out: str) -> DataFrame:
@@ -108,12 +208,14 @@ def running_total(df: DataFrame, order: Sequence[Column], value: Column, out: st
     # One row per shuffle partition: the broadcast is bounded by that setting.
     shift = F.broadcast(spark.createDataFrame(offsets, "_al_p int, _al_o long"))
     own = F.sum("_al_v").over(Window.partitionBy("_al_p").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1))
-    return (
+    summed = (
         ranged.withColumn("_al_s", own)
         .join(shift, "_al_p")
         .withColumn(out, F.coalesce(F.col("_al_s"), F.lit(0)) + F.col("_al_o"))
         .drop("_al_v", "_al_p", "_al_s", "_al_o")
     )
+    summed._al_scratch = ranged._al_scratch
+    return summed
 
 
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
@@ -133,10 +235,12 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         up = both.where(F.col("v") > F.col("u")).join(least, "u", "left").select(F.col("v").alias("u"), F.coalesce("m", "u").alias("v"))
         # A node's edges to smaller nodes keep only what the large side of them emits; its own minimum stays.
         large = cut(up.union(least.select("u", F.col("m").alias("v"))).where(F.col("u") != F.col("v")).distinct(), "large")
+        forget(least, stars)
         # Small star: a node links all its smaller neighbours and itself to the smallest.
         least = cut(large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")), "least")
         many = large.join(least.where("n > 1").select("u", "m"), "u").where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
         stars = cut(many.union(least.select("u", F.col("m").alias("v"))).distinct(), "stars")
+        forget(least, large)
         now = stars.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if tuple(now) == seen:
             break

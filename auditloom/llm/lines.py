@@ -8,6 +8,13 @@ common prefix is at least that length. Every line is one word or more, so a run
 ``min_words`` words has at most ``min_words`` lines and the rounds are few whatever the
 corpus holds.
 
+The suffix array is thus kept as ranks: suffixes of equal rank at level k are one interval
+whose longest common prefix is 2^k lines or more, and an interval of length m is where the
+ranks at a, and at a + m - 2^k, agree for the largest 2^k up to m. Longer intervals needn't
+be ranked: a maximal repeated run of ``min_words`` words or more is covered by the
+shortest runs of that many words inside it, each of at most ``min_words`` lines, and what
+is deleted, the union of later copies, is the same.
+
 A run is a copy to be deleted where it has ``min_words`` words or more and occurs before,
 in order of document id and line. Each maximal repeated run is the union of the shortest
 such runs that start or end at its lines; two overlapping prefixes of known rank decide
@@ -15,8 +22,10 @@ whether two of those are equal. The first occurrence stays whole, also where a r
 overlaps itself.
 
 Defined results: null and empty texts stay as they are; blank lines stay; rows of equal id
-and text are one document and get the same result; null ids come after the others; extra
-columns are carried along; an empty table gives an empty result.
+and text are one document and get the same result; rows of one id and several texts are
+several documents, in the order of a hash of the text; null ids come after the others; a
+text of any length is taken whole; extra columns are carried along, but for one named as
+``out``, which is replaced; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -29,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructType
 from pyspark.sql.window import Window
 
-from auditloom.llm.common import WORD, cut, running_total, small_batches
+from auditloom.llm.common import WORD, cut, forget, running_total, small_batches, tidy
 
 BLANKS = " \t\r\x0b\x0c"
 #: A document; a null id is ``late`` with zero in its place, as joins by name don't match nulls.
@@ -48,10 +57,11 @@ def _lines(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 def _ranked(rows: DataFrame, key: list[str], name: str) -> DataFrame:
     """Rows of keys that occur more than once, with ``rank``: how many rows have smaller keys."""
-    groups = cut(rows.groupBy(*key).agg(F.count("*").alias("n")).where("n > 1"), f"{name}-groups")
-    ranks = running_total(groups, [F.col(k) for k in key], F.col("n"), "rank")
-    # Both sides are written tables, so a very common line's rows can be split among tasks.
-    return cut(rows.join(cut(ranks.select(*key, "rank"), f"{name}-ranks"), key).drop(*key), name)
+    with tidy() as keep:
+        groups = cut(rows.groupBy(*key).agg(F.count("*").alias("n")).where("n > 1"), f"{name}-groups")
+        ranks = running_total(groups, [F.col(k) for k in key], F.col("n"), "rank")
+        # Both sides are written tables, so a very common line's rows can be split among tasks.
+        return keep(cut(rows.join(cut(ranks.select(*key, "rank"), f"{name}-ranks"), key).drop(*key), name))
 
 
 def suffix_ranks(lines: DataFrame, longest: int) -> DataFrame:
@@ -62,6 +72,7 @@ def suffix_ranks(lines: DataFrame, longest: int) -> DataFrame:
         after = level.select(*DOC, (F.col("i") - (1 << k)).alias("i"), F.col("rank").alias("r2"))
         pairs = cut(level.withColumnRenamed("rank", "r1").join(after, [*DOC, "i"]), "pairs")
         level, k = _ranked(pairs, ["r1", "r2"], f"level{k + 1}"), k + 1
+        forget(pairs)
         levels.append(level.withColumn("k", F.lit(k)))
     out = levels[0]
     for other in levels[1:]:
@@ -122,8 +133,9 @@ def deduplicate_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     """``docs`` with repeated runs of lines deleted, and ``out``, how many lines went; it replaces a column of its name."""
     small_batches(docs.sparkSession)
     docs = docs.drop(out)
-    runs = repeated_runs(docs, doc_id, text, min_words)
-    gone = cut(runs.groupBy("doc_id", "dk").agg(F.collect_set(F.struct("a", "b")).alias("_al_runs")), "gone")
+    with tidy() as keep:
+        runs = repeated_runs(docs, doc_id, text, min_words)
+        gone = keep(cut(runs.groupBy("doc_id", "dk").agg(F.collect_set(F.struct("a", "b")).alias("_al_runs")), "gone"))
     gone = gone.select(F.col("doc_id").alias("_al_id"), F.col("dk").alias("_al_dk"), "_al_runs")
     keyed = docs.withColumns({"_al_k": F.xxhash64(F.col(doc_id).cast("long"), F.col(text)), "_al_i": F.col(doc_id).cast("long")})
     # One plan at every size: the texts meet their runs by a sort-merge join on a nearly unique key.

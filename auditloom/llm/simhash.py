@@ -16,9 +16,11 @@ Equal texts meet as one fingerprint, and what leaves a key is a forest of links,
 pairs, so groups of copies cost no more than their number.
 
 Defined results: a null or blank text has fingerprint zero and is linked like any other;
-fewer words than a shingle form one shingle; rows of one id are rows of their own; null
-ids take part, but a component's id is the smallest id that is not null; an empty table
-gives an empty result.
+fewer words than a shingle form one shingle; a text of any length is hashed whole, some
+shingles at a time; rows of one id are rows of their own; null ids take part, but a
+component's id is the smallest id that is not null; ``fingerprints`` leaves further columns
+out and ``one_of_each`` carries them along, whatever their names; an empty table gives an
+empty result.
 """
 
 from __future__ import annotations
@@ -31,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from auditloom.llm.common import components, cut, small_batches
+from auditloom.llm.common import components, cut, small_batches, tidy
 
 KEY_LIMIT = 512
 #: Shingles hashed at once; bounds memory for very long texts.
@@ -169,12 +171,13 @@ def links(distinct: DataFrame, radius: int = 3, seed: int = 7, key_limit: int =
 
 def near_duplicates(prints: DataFrame, radius: int = 3) -> DataFrame:
     """``prints`` (doc_id, fp, ...) with ``component_id``, the smallest id that links reach."""
-    distinct = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("_al_low")), "distinct")
-    roots = components(links(distinct.select("fp"), radius))
-    rooted = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    rooted = cut(rooted, "rooted")
-    lowest = rooted.groupBy("root").agg(F.min("_al_low").alias("component_id"))
-    named = cut(rooted.join(cut(lowest, "lowest"), "root").select("fp", "root", "component_id"), "named")
+    with tidy() as keep:
+        distinct = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("_al_low")), "distinct")
+        roots = components(links(distinct.select("fp"), radius))
+        rooted = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+        rooted = cut(rooted, "rooted")
+        lowest = rooted.groupBy("root").agg(F.min("_al_low").alias("component_id"))
+        named = keep(cut(rooted.join(cut(lowest, "lowest"), "root").select("fp", "root", "component_id"), "named"))
     return prints.join(named, "fp")
 
 
@@ -427,20 +430,21 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shi
     """
     i = F.col(doc_id).cast("long")
     keyed = docs.withColumns({"_al_i": i, "_al_k": F.xxhash64(i, F.col(text))})
-    rows = cut(sketches(keyed, doc_id, text, "_al_k", shingle), "sketches")
-    sets = cut(rows.groupBy("sid").agg(F.first("fp").alias("fp"), F.first("n").alias("n"), F.first("least").alias("least"), F.first("kept").alias("kept"), F.min("_al_k").alias("_al_k")), "sets")
-    # Fingerprints within the radius join the sets that have them.
-    near = cut(near_duplicates(rows.select("doc_id", "fp", "sid"), radius).select("sid", "root").distinct(), "near")
-    low = near.groupBy("root").agg(F.min("sid").alias("low"), F.count("*").alias("m")).where("m > 1")
-    by_print = near.join(cut(low, "low"), "root").where("sid <> low").select(F.col("sid").alias("u"), F.col("low").alias("v"))
-    whole = lambda sids: whole_sets(keyed, cut(sets.select("_al_k", "sid").join(sids, "sid"), "wanted").select("_al_k", "sid"), text, "_al_k", shingle)
-    roots = components(by_print.union(similar_links(sets, whole, similarity))).withColumnRenamed("node", "sid").withColumnRenamed("root", "grp")
-    order = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", F.col("_al_k").alias("k"))
-    first = cut(rows.groupBy("sid").agg(F.min(order).alias("o")), "first")
-    grouped = first.join(roots, "sid", "left").groupBy(F.coalesce("grp", "sid").alias("grp")).agg(F.min("o").alias("o"))
-    # One plan at every size, as in the line stage.
-    kept = cut(grouped.select(F.col("o.doc_id").alias("_al_d"), F.col("o.k").alias("_al_h")).distinct(), "kept").hint("merge")
-    out = keyed.join(kept, (F.col("_al_k") == F.col("_al_h")) & F.col("_al_i").eqNullSafe(F.col("_al_d")), "left_semi")
+    with tidy() as keep:
+        rows = cut(sketches(keyed, doc_id, text, "_al_k", shingle), "sketches")
+        sets = cut(rows.groupBy("sid").agg(F.first("fp").alias("fp"), F.first("n").alias("n"), F.first("least").alias("least"), F.first("kept").alias("kept"), F.min("_al_k").alias("_al_k")), "sets")
+        # Fingerprints within the radius join the sets that have them.
+        near = cut(near_duplicates(rows.select("doc_id", "fp", "sid"), radius).select("sid", "root").distinct(), "near")
+        low = near.groupBy("root").agg(F.min("sid").alias("low"), F.count("*").alias("m")).where("m > 1")
+        by_print = near.join(cut(low, "low"), "root").where("sid <> low").select(F.col("sid").alias("u"), F.col("low").alias("v"))
+        whole = lambda sids: whole_sets(keyed, cut(sets.select("_al_k", "sid").join(sids, "sid"), "wanted").select("_al_k", "sid"), text, "_al_k", shingle)
+        roots = components(by_print.union(similar_links(sets, whole, similarity))).withColumnRenamed("node", "sid").withColumnRenamed("root", "grp")
+        order = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", F.col("_al_k").alias("k"))
+        first = cut(rows.groupBy("sid").agg(F.min(order).alias("o")), "first")
+        grouped = first.join(roots, "sid", "left").groupBy(F.coalesce("grp", "sid").alias("grp")).agg(F.min("o").alias("o"))
+        # One plan at every size, as in the line stage.
+        kept = keep(cut(grouped.select(F.col("o.doc_id").alias("_al_d"), F.col("o.k").alias("_al_h")).distinct(), "kept"))
+    out = keyed.join(kept.hint("merge"), (F.col("_al_k") == F.col("_al_h")) & F.col("_al_i").eqNullSafe(F.col("_al_d")), "left_semi")
     return out.dropDuplicates(["_al_k", "_al_i"]).drop("_al_i", "_al_k")
 
 

@@ -7,6 +7,10 @@ from functools import lru_cache
 from pyarrow import fs
 
 
+#: The names that Hadoop gives to object stores, and those of the library below.
+SCHEMES = {"s3a": "s3", "s3n": "s3", "gcs": "gs"}
+
+
 @lru_cache(maxsize=8)
 def _file_system(prefix: str) -> fs.FileSystem:
     return fs.FileSystem.from_uri(prefix + "/")[0]
@@ -17,10 +21,11 @@ def locate(uri: str) -> tuple[fs.FileSystem, str]:
     if "://" not in uri:
         uri = "file://" + uri.removeprefix("file:")
     scheme, _, rest = uri.partition("://")
-    authority, slash, path = rest.partition("/")
+    scheme = SCHEMES.get(scheme, scheme)
+    authority, _, path = rest.partition("/")
     where = _file_system(f"{scheme}://{authority}")
     # Object stores keep the bucket in the path; the others don't.
-    return where, (f"{authority}/{path}" if scheme in ("s3", "s3a", "gs", "gcs") else f"/{path}")
+    return where, (f"{authority}/{path}" if scheme in ("s3", "gs") else f"/{path}")
 
 
 def create(uri: str):
