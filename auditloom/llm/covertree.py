@@ -28,13 +28,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from auditloom.llm.common import components, cut
+from auditloom.llm.common import components, cut, tidy
 
 BLOCK = 4096
 #: All pivots together; bounds what is broadcast, while blocks bound what a task holds.
 PIVOTS = 2048
-#: Bounds are loosened by this much, so rounding never drops a pair.
-SLACK = 1e-9
+#: Bounds are loosened by this much, so rounding never drops a pair: near zero a distance
+#: made from a cosine is off by up to the root of twice the rounding error, about 3e-8.
+SLACK = 1e-7
 
 
 class CoverTree:
@@ -238,42 +239,48 @@ def _visits(points: DataFrame, pivots: dict, r: float) -> DataFrame:
 
 
 def near_vectors(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", label: str = "label", threshold: float = 0.98, block: int = BLOCK) -> DataFrame:
-    """``vec_id, n_links, component_id, kept`` for every vector."""
-    units = cut(unit_vectors(vectors, vec_id, embedding, label), "units")
-    valid = units.where("key IS NOT NULL")
-    points = cut(valid.groupBy("label", "dim", "key").agg(F.min("vec_id").alias("cid"), F.count("*").alias("n"), F.first("unit").alias("unit")), "points")
-    sizes = points.groupBy("label", "dim").agg(F.count("*").alias("m"))
-    placed = cut(_visits(points, _sample_pivots(points, sizes, block), float(np.sqrt(2.0 - 2.0 * threshold))), "placed")
-    cell = ["label", "dim", "cell"]
-    data = placed.select("label", "dim", F.col("home").alias("cell"), "cid", "n", "unit")
-    asking = placed.select("label", "dim", F.explode("cells").alias("cell"), "cid", "n", "unit")
-    blocks = lambda n: F.ceil(F.col(n) / float(block)).cast("int")
-    plan = data.groupBy(*cell).agg(F.count("*").alias("nd")).join(asking.groupBy(*cell).agg(F.count("*").alias("nq")), cell)
-    plan = cut(plan.select(*cell, blocks("nd").alias("bd"), blocks("nq").alias("bq")), "plan")
-    h = F.xxhash64("cid")
-    own = F.pmod(h, F.col("bd")).cast("int")
-    asks = F.pmod(h, F.col("bq")).cast("int")
-    upto = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
-    rows = data.join(plan, cell).select(*cell, own.alias("d"), F.explode(upto("bq")).alias("q"), F.lit(False).alias("asks"), "cid", "n", "unit")
-    rows = rows.union(asking.join(plan, cell).select(*cell, F.explode(upto("bd")).alias("d"), asks.alias("q"), F.lit(True).alias("asks"), "cid", "n", "unit"))
-
-    def search(pdf: pd.DataFrame) -> pd.DataFrame:
-        def table(asked: bool) -> tuple:
-            part = pdf[pdf.asks == asked].sort_values("cid")
-            dim = int(pdf.dim.iloc[0])
-            return part.cid.to_numpy(), np.frombuffer(b"".join(part.unit), dtype="<f8").reshape(-1, dim), part.n.to_numpy()
-
-        (qi, qx, _), (di, dx, dn) = table(True), table(False)
-        counts, u, v = dual_links(qx, dx, dn, threshold)
-        every = np.concatenate([qi, di])
-        a, b = every[np.array(u, dtype=np.int64)], every[np.array(v, dtype=np.int64)]
-        other = a != b
-        return pd.DataFrame({"a": np.concatenate([qi, a[other]]), "b": np.concatenate([np.full(len(qi), -1), b[other]]), "n": np.concatenate([counts, np.full(int(other.sum()), -1)])})
-
-    found = cut(rows.groupBy(*cell, "d", "q").applyInPandas(search, "a long, b long, n long"), "found")
-    counts = found.where("n >= 0").groupBy(F.col("a").alias("cid")).agg(F.sum("n").alias("links"))
-    roots = components(found.where("n < 0").select(F.col("a").alias("u"), F.col("b").alias("v"))).withColumnRenamed("node", "cid")
-    named = cut(points.select("label", "dim", "key", "cid").join(counts, "cid").join(roots, "cid", "left").select("label", "dim", "key", "links", F.coalesce("root", "cid").alias("root")), "named")
+    """``vec_id, n_links, component_id, kept`` for every row; a row without an id has no component."""
+    with tidy() as keep:
+        units = keep(cut(unit_vectors(vectors, vec_id, embedding, label), "units"))
+        valid = units.where("key IS NOT NULL")
+        points = valid.groupBy("label", "dim", "key").agg(F.min("vec_id").alias("low"), F.count("*").alias("n"), F.first("unit").alias("unit"))
+        # A distinct vector of a label is a point, numbered once for all as it is written.
+        points = cut(points.withColumn("cid", F.monotonically_increasing_id()), "points")
+        sizes = points.groupBy("label", "dim").agg(F.count("*").alias("m"))
+        placed = cut(_visits(points, _sample_pivots(points, sizes, block), float(np.sqrt(2.0 - 2.0 * threshold))), "placed")
+        cell = ["label", "dim", "cell"]
+        data = placed.select("label", "dim", F.col("home").alias("cell"), "cid", "n", "unit")
+        asking = placed.select("label", "dim", F.explode("cells").alias("cell"), "cid", "n", "unit")
+        blocks = lambda n: F.ceil(F.col(n) / float(block)).cast("int")
+        plan = data.groupBy(*cell).agg(F.count("*").alias("nd")).join(asking.groupBy(*cell).agg(F.count("*").alias("nq")), cell)
+        plan = cut(plan.select(*cell, blocks("nd").alias("bd"), blocks("nq").alias("bq")), "plan")
+        h = F.xxhash64("cid")
+        own = F.pmod(h, F.col("bd")).cast("int")
+        asks = F.pmod(h, F.col("bq")).cast("int")
+        upto = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+        rows = data.join(plan, cell).select(*cell, own.alias("d"), F.explode(upto("bq")).alias("q"), F.lit(False).alias("asks"), "cid", "n", "unit")
+        rows = rows.union(asking.join(plan, cell).select(*cell, F.explode(upto("bd")).alias("d"), asks.alias("q"), F.lit(True).alias("asks"), "cid", "n", "unit"))
+
+        def search(pdf: pd.DataFrame) -> pd.DataFrame:
+            def table(asked: bool) -> tuple:
+                part = pdf[pdf.asks == asked].sort_values("cid")
+                dim = int(pdf.dim.iloc[0])
+                return part.cid.to_numpy(), np.frombuffer(b"".join(part.unit), dtype="<f8").reshape(-1, dim), part.n.to_numpy()
+
+            (qi, qx, _), (di, dx, dn) = table(True), table(False)
+            counts, u, v = dual_links(qx, dx, dn, threshold)
+            every = np.concatenate([qi, di])
+            a, b = every[np.array(u, dtype=np.int64)], every[np.array(v, dtype=np.int64)]
+            other = a != b
+            return pd.DataFrame({"a": np.concatenate([qi, a[other]]), "b": np.concatenate([np.full(len(qi), -1), b[other]]), "n": np.concatenate([counts, np.full(int(other.sum()), -1)])})
+
+        found = cut(rows.groupBy(*cell, "d", "q").applyInPandas(search, "a long, b long, n long"), "found")
+        counts = found.where("n >= 0").groupBy(F.col("a").alias("cid")).agg(F.sum("n").alias("links"))
+        roots = components(found.where("n < 0").select(F.col("a").alias("u"), F.col("b").alias("v"))).withColumnRenamed("node", "cid")
+        rooted = points.select("label", "dim", "key", "low", "cid").join(counts, "cid").join(roots, "cid", "left")
+        rooted = cut(rooted.select("label", "dim", "key", "low", "links", F.coalesce("root", "cid").alias("root")), "rooted")
+        lowest = cut(rooted.groupBy("root").agg(F.min("low").alias("component_id")), "lowest")
+        named = keep(cut(rooted.join(lowest, "root").select("label", "dim", "key", "links", "component_id"), "named"))
     out = units.select("vec_id", "label", "dim", "key").join(named, ["label", "dim", "key"], "left")
-    component = F.coalesce("root", "vec_id")
+    component = F.coalesce("component_id", "vec_id")
     return out.select("vec_id", F.coalesce(F.col("links") - 1, F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("vec_id") == component, F.lit(True)).alias("kept"))
