@@ -7,8 +7,11 @@ of the source and, for the rest, one more reading of documents in a seeded order
 of them in part, so a source's taken words equal its target rounded down.
 
 Defined results: a null text has size 0; null is a source of its own, last in order; a
-source without words has target 0; repeated rows are mixed as rows of their own; an empty
-table gives an empty mix; further columns are carried along.
+source without words has target 0; an empty table gives an empty mix; further columns are
+carried along, but for those of a result's name, which it replaces. Rows of one id, or of
+none, stand side by side in the seeded order, by size and then by a hash of the whole row,
+so a rerun takes the same words; rows that agree in all of that are rows of their own, and
+which of them is read in part is no difference in the result. Long texts are read whole.
 """
 
 from __future__ import annotations
@@ -58,12 +61,23 @@ def source_targets(sized: DataFrame, source: str, size: str, weights: Sequence[i
     return ranked.select("_al_null", "_al_src", "source_size", target.alias("target"))
 
 
+ADDED = ("source_size", "target", "repeats", "extra", "taken")
+
+
+def _row_hash(docs: DataFrame) -> Column:
+    """A hash of the columns that have one; maps have none."""
+    return F.xxhash64(*[F.col(f"`{f.name}`") for f in docs.schema.fields if "map<" not in f.dataType.simpleString()])
+
+
 def mix_sources(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", size: str = "size", weights: Sequence[int] = (3, 1, 2), share: float = 1.5, max_epochs: float = 2.0, seed: int = 42) -> DataFrame:
-    """``docs`` with ``source_size, target, repeats, extra, taken`` added.
+    """``docs`` with ``source_size, target, repeats, extra, taken``; they replace columns of their names.
 
     ``repeats`` whole readings and the first ``extra`` words once more make ``taken``.
     ``docs`` must have the word count in ``size``.
     """
+    if {doc_id, source, size} & set(ADDED):
+        raise ValueError(f"the id, source and size may not be named as a result: {', '.join(ADDED)}")
+    docs = docs.drop(*ADDED)
     order = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(doc_id).cast("string"), F.lit(""))).cast("binary"))
     base = docs.withColumns({"_al_null": F.col(source).isNull(), "_al_src": F.coalesce(F.col(source), F.lit("")), "_al_h": order})
     base = base.withColumn("_al_b", F.conv(F.substring("_al_h", 1, 3), 16, 10).cast("int"))
@@ -83,25 +97,31 @@ def mix_sources(docs: DataFrame, doc_id: str = "doc_id", source: str = "source",
     rows = base.join(plan, ["_al_null", "_al_src"])
     at_edge = F.coalesce(F.col("_al_b") == F.col("_al_edge"), F.lit(False))
     sure = rows.where(~at_edge).withColumn("extra", F.when(F.col("_al_b") < F.col("_al_edge"), F.col(size)).otherwise(F.lit(0)).cast("long"))
-    w = Window.partitionBy("_al_null", "_al_src").orderBy("_al_h", doc_id, size).rowsBetween(Window.unboundedPreceding, -1)
-    left = F.col("_al_rest") - F.col("_al_before") - F.coalesce(F.sum(size).over(w), F.lit(0))
-    close = rows.where(at_edge).withColumn("extra", F.greatest(F.lit(0), F.least(F.col(size), left)).cast("long"))
-    out = sure.unionByName(close).withColumn("taken", F.col("repeats") * F.col(size) + F.col("extra"))
+    # An edge bucket may hold all rows of one id, so its order is made over ranges of rows, not in one task;
+    # the rows are numbered as they are written, which tells equal ones apart.
+    close = cut(rows.where(at_edge).withColumns({"_al_r": _row_hash(docs), "_al_u": F.monotonically_increasing_id()}), "close")
+    keys = [F.col("_al_null"), F.col("_al_src"), F.col("_al_h"), F.col(doc_id).asc_nulls_last(), F.col(size), F.col("_al_r"), F.col("_al_u")]
+    summed = running_total(close, keys, F.col(size), "_al_upto")
+    starts = cut(summed.groupBy("_al_null", "_al_src").agg(F.min("_al_upto").alias("_al_start")), "starts")
+    summed = summed.join(starts, ["_al_null", "_al_src"])
+    left = F.col("_al_rest") - F.col("_al_before") - (F.col("_al_upto") - F.col("_al_start"))
+    close = summed.withColumn("extra", F.greatest(F.lit(0), F.least(F.col(size), left)).cast("long"))
+    out = sure.unionByName(close, allowMissingColumns=True).withColumn("taken", F.col("repeats") * F.col(size) + F.col("extra"))
     return out.drop(*[c for c in out.columns if c.startswith("_al_")])
 
 
-def mixed_documents(docs: DataFrame, text: str = "text", **parameters) -> DataFrame:
+def mixed_documents(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", source: str = "source", **parameters) -> DataFrame:
     """The mix itself: ``docs``' columns, a row per whole reading and one per partial reading.
 
-    A partial reading holds the document's first ``extra`` words.
+    A partial reading holds the document's first ``extra`` words. Columns of any name are
+    carried along.
     """
     columns = docs.columns
-    plain = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("_al_row"), *[F.col(parameters.get(k, k)) for k in ("doc_id", "source")]).withColumn("size", n_words(F.col(f"_al_row.{text}")))
-    # The row is renamed, as columns with _al_ are dropped by the mix.
-    mixed = mix_sources(plain.withColumnRenamed("_al_row", "row"), **parameters)
-    part = F.regexp_extract(F.col(f"row.{text}"), r"^[\x20\x09-\x0D]*", 0)
-    words = F.array_join(F.slice(F.regexp_extract_all(F.col(f"row.{text}"), F.lit(f"({WORD}[\\x20\\x09-\\x0D]*)"), 1), F.lit(1), F.col("extra").cast("int")), "")
-    cut_text = F.when(F.col("extra") >= F.col("size"), F.col(f"row.{text}")).otherwise(F.concat(part, words))
+    plain = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), F.col(f"`{doc_id}`").alias("id"), F.col(f"`{source}`").alias("from")).withColumn("size", n_words(F.col(f"row.`{text}`")))
+    mixed = mix_sources(plain, doc_id="id", source="from", size="size", **parameters)
+    part = F.regexp_extract(F.col(f"row.`{text}`"), r"^[\x20\x09-\x0D]*", 0)
+    words = F.array_join(F.slice(F.regexp_extract_all(F.col(f"row.`{text}`"), F.lit(f"({WORD}[\\x20\\x09-\\x0D]*)"), 1), F.lit(1), F.col("extra").cast("int")), "")
+    cut_text = F.when(F.col("extra") >= F.col("size"), F.col(f"row.`{text}`")).otherwise(F.concat(part, words))
     whole = mixed.where("repeats > 0").withColumn("_al_i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("repeats")))).select("row.*")
-    partial = mixed.where("extra > 0").withColumn("_al_t", cut_text).select(*[F.col("_al_t").alias(c) if c == text else F.col(f"row.`{c}`") for c in columns])
+    partial = mixed.where("extra > 0").withColumn("_al_t", cut_text).select(*[F.col("_al_t").alias(c) if c == text else F.col(f"row.`{c}`").alias(c) for c in columns])
     return whole.unionByName(partial)
