@@ -2,9 +2,10 @@
 
 Documents are range-partitioned and sorted by id before they are encoded, so the files
 stand in id order and the text crosses the network once. The ids column is dictionary
-encoded (a byte-pair vocabulary fits one dictionary page), the metadata columns are delta
-encoded, and small pages with their page index let a reader fetch some documents' ids, or
-the metadata alone, without the rest.
+encoded (a byte-pair vocabulary fits one dictionary page) and the metadata columns are
+delta encoded. A page holds ``PAGE_ROWS`` documents at most and has its place and its least
+and greatest id in the page index: ``read_documents`` opens only files that can hold what
+was asked for, and reads only the pages that can; ``token_index`` reads the metadata alone.
 
 Encoding is that of the tokenizers library: a text is split by the vocabulary's own
 pattern and every distinct piece goes to the library's model once per worker; texts with
@@ -12,8 +13,9 @@ characters beyond the Latin ranges, control characters or a special token's open
 the library whole.
 
 Defined results: a null text is empty and holds only the end id; null ids stand first;
-rows of one id are all kept, in the order in which they are stored; an empty table gives
-an empty dataset.
+rows of one id are all kept, in the order of a hash of their text and then of the text, so
+reruns agree and an id that very many rows share is spread over files; very long texts are
+encoded whole; columns beyond the two are left out; an empty table gives an empty dataset.
 """
 
 from __future__ import annotations
@@ -22,13 +24,14 @@ import array
 import re
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.parquet as pq
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from auditloom.llm import store
@@ -36,6 +39,10 @@ from auditloom.llm.common import cut, kept_by_worker, running_total, scratch_pat
 
 #: Pieces a worker remembers before it starts anew; this bounds memory alone.
 REMEMBERED = 400_000
+#: Documents of a page at most; a selective read fetches whole pages.
+PAGE_ROWS = 64
+#: Ids asked for in one scan; more are asked for in several.
+ASKED = 128
 
 #: Latin text, on which Python's character classes agree with the vocabulary's pattern.
 _ODD = re.compile("[^\t-\r -~À-ÖØ-öø-ɏ]")
@@ -88,14 +95,14 @@ def encoder(path: str) -> ByteLevelEncoder:
 
 
 _FILE = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.list_(pa.int32()))])
-_MANIFEST = pa.schema([("part", pa.int32()), ("file", pa.string()), ("grp", pa.int32()), ("n_rows", pa.int64()), ("n_tokens", pa.int64())])
+_MANIFEST = pa.schema([("part", pa.int32()), ("file", pa.string()), ("grp", pa.int32()), ("n_rows", pa.int64()), ("n_tokens", pa.int64()), ("low", pa.int64()), ("high", pa.int64())])
 
 
 def write_tokens(docs: DataFrame, vocabulary: str, doc_id: str = "doc_id", text: str = "text", end_id: int | None = 0, path: str | None = None, group_tokens: int = 4 << 20, page_bytes: int = 64 << 10) -> DataFrame:
     """Encode ``docs`` into files of ``(doc_id, n_tokens, ids)`` in ascending id order.
 
-    Returns the manifest: a row per row group with its place, its rows and tokens, and
-    ``start``, the tokens before it. A file has the name of its task's attempt, and only
+    Returns the manifest: a row per row group with its place, its rows and tokens, its first
+    and last id (``low``, ``high``) and ``start``, the tokens before it. A file has the name of its task's attempt, and only
     files in the manifest count. A row group holds about ``group_tokens`` tokens.
     """
     small_batches(docs.sparkSession)
@@ -103,7 +110,9 @@ def write_tokens(docs: DataFrame, vocabulary: str, doc_id: str = "doc_id", text:
     root = path or scratch_path(spark, "tokens")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(text, F.lit("")).alias("text"))
-    rows = rows.repartitionByRange(parts, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first())
+    # Ids are told apart by a hash of the text, so rows of one id can be spread, and equal ones lie together.
+    order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
+    rows = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order, "text")
     end = b"" if end_id is None else int(end_id).to_bytes(4, "little")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -117,12 +126,12 @@ def write_tokens(docs: DataFrame, vocabulary: str, doc_id: str = "doc_id", text:
                 out = store.create(file)
                 writer = pq.ParquetWriter(
                     out, _FILE, compression="zstd", compression_level=1, use_dictionary=["ids.list.element"], dictionary_pagesize_limit=1 << 20,
-                    column_encoding={"doc_id": "DELTA_BINARY_PACKED", "n_tokens": "DELTA_BINARY_PACKED"}, data_page_size=page_bytes, write_page_index=True,
+                    column_encoding={"doc_id": "DELTA_BINARY_PACKED", "n_tokens": "DELTA_BINARY_PACKED"}, data_page_size=page_bytes, max_rows_per_page=PAGE_ROWS, write_page_index=True,
                 )
             n = np.array([len(x) // 4 for x in held], dtype=np.int64)
             ids = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32)), pa.array(np.frombuffer(b"".join(held), dtype="<i4")))
             writer.write_table(pa.Table.from_arrays([pa.array(held_ids, pa.int64()), pa.array(n), ids], schema=_FILE), row_group_size=len(held))
-            done = pa.RecordBatch.from_pylist([{"part": part, "file": file, "grp": group, "n_rows": len(held), "n_tokens": tokens}], schema=_MANIFEST)
+            done = pa.RecordBatch.from_pylist([{"part": part, "file": file, "grp": group, "n_rows": len(held), "n_tokens": tokens, "low": held_ids[0], "high": held_ids[-1]}], schema=_MANIFEST)
             held_ids.clear()
             held.clear()
             tokens, group = 0, group + 1
@@ -145,7 +154,7 @@ def write_tokens(docs: DataFrame, vocabulary: str, doc_id: str = "doc_id", text:
                 writer.close()
                 out.close()
 
-    manifest = cut(rows.mapInArrow(write, "part int, file string, grp int, n_rows long, n_tokens long"), "manifest")
+    manifest = cut(rows.mapInArrow(write, "part int, file string, grp int, n_rows long, n_tokens long, low long, high long"), "manifest")
     return running_total(manifest, [F.col("part"), F.col("grp")], F.col("n_tokens"), "start")
 
 
@@ -177,6 +186,32 @@ def read_tokens(manifest: DataFrame) -> DataFrame:
     return _groups(manifest, read, schema, "doc_id long, start long, n_tokens long, ids array<int>")
 
 
+def read_documents(manifest: DataFrame, doc_ids: Sequence[int]) -> DataFrame:
+    """``doc_id, n_tokens, ids`` of the documents with one of ``doc_ids``, by the page index.
+
+    The ids are a list that a caller names, not a table: the plan grows with it. Ids that no
+    document has give no row; documents without an id can't be asked for.
+    """
+    spark, schema = manifest.sparkSession, "doc_id long, n_tokens long, ids array<int>"
+    wanted, found = sorted({int(i) for i in doc_ids}), None
+    for at in range(0, len(wanted), ASKED):
+        some = wanted[at : at + ASKED]
+        reach = F.exists(F.array(*map(F.lit, some)), lambda x: (x >= F.coalesce("low", F.lit(-(1 << 63)))) & (x <= F.col("high")))
+        files = [r["file"] for r in manifest.where(reach).select("file").distinct().orderBy("file").collect()]
+        if files:
+            # Equalities reach the reader one by one; a long IN would reach it as a range.
+            rows = spark.read.schema(schema).parquet(*files).where(_any([F.col("doc_id") == i for i in some]))
+            found = rows if found is None else found.unionByName(rows)
+    return spark.createDataFrame([], schema) if found is None else found
+
+
+def _any(terms: list[Column]) -> Column:
+    """A balanced disjunction."""
+    while len(terms) > 1:
+        terms = [reduce(Column.__or__, terms[k : k + 2]) for k in range(0, len(terms), 2)]
+    return terms[0]
+
+
 def token_index(manifest: DataFrame) -> DataFrame:
     """``doc_id, start, n_tokens`` alone: the ids' pages are not read."""
     schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64())])
