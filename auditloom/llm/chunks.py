@@ -8,16 +8,19 @@ document to another is the share of its chunks' length that the other has too.
 
 Defined results: a null text is empty, and an empty text has the empty fingerprint; two
 empty texts are alike (1.0), an empty and another one are not (0.0); null ids stand first
-in order; rows of one id follow one another by their text; the last document's next is
-the first, and a single document is its own next; an empty table gives an empty result.
+in order; rows of one id follow one another by a hash of their text, then by the text; the
+last document's next is the first, and a single document is its own next; very long texts
+are chunked whole; columns beyond the two are left out; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -96,35 +99,38 @@ def likeness(a: dict[int, int], b: dict[int, int]) -> float:
 def with_neighbour(docs: DataFrame, doc_id: str, text: str) -> DataFrame | None:
     """Rows ``block, role, doc_id, text`` dealt so that each document's next one is in its task.
 
-    Blocks are ranges of ids; a block also gets the first document of the next one (role 1),
-    the last one the first document of all (role 2). One boundary per block, a number fixed
-    by the shuffle setting, is all that the driver sees. None for an empty table.
+    Blocks are ranges of ids, and within an id of text hashes. A block also gets the first
+    document of the next one (role 1), the last one the first document of all (role 2). One
+    boundary per block, a number fixed by the shuffle setting, is all that the driver sees;
+    rows find their block among the boundaries by bisection, so the plan's size doesn't
+    depend on their number. None for an empty table.
     """
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ids = docs.select(F.col(doc_id).cast("long").alias("doc_id"))
-    ranged = ids.repartitionByRange(2 * parts, F.col("doc_id").asc_nulls_first())
-    bounds = ranged.groupBy(F.spark_partition_id().alias("p")).agg(F.min("doc_id").alias("low"), F.max(F.col("doc_id").isNull()).alias("nulls")).collect()
+    spark = docs.sparkSession
+    parts = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn("h", F.xxhash64("text"))
+    order = [F.col("doc_id").asc_nulls_first(), F.col("h")]
+    ranged = rows.select("doc_id", "h").repartitionByRange(parts, *order)
+    first = F.min(F.struct(F.col("doc_id").isNotNull().alias("late"), F.coalesce("doc_id", F.lit(0)).alias("i"), "h"))
+    bounds = sorted(tuple(r["first"]) for r in ranged.groupBy(F.spark_partition_id().alias("p")).agg(first.alias("first")).collect())
     if not bounds:
         return None
-    nulls, lows = any(r["nulls"] for r in bounds), sorted(r["low"] for r in bounds if r["low"] is not None)
-    starts = lows[1:]
-    i = F.col("doc_id")
-    # Position among the boundaries by nested halving: log2 comparisons a row.
-    def place(lo: int, hi: int):
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(i >= starts[mid], place(mid + 1, hi)).otherwise(place(lo, mid))
-
-    block = F.when(i.isNull(), 0).otherwise(place(0, len(starts)))
-    is_start = F.coalesce(i == F.get(F.array(*[F.lit(x) for x in starts]), F.col("block") - 1), F.lit(False)) if starts else F.lit(False)
-    is_first = i.isNull() if nulls else (i == lows[0])
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn("block", block)
-    to = F.struct(F.col("block").alias("block"), F.lit(0).alias("role"))
-    ahead = F.when(is_start, F.struct((F.col("block") - 1).alias("block"), F.lit(1).alias("role")))
-    wrap = F.when(is_first, F.struct(F.lit(len(starts)).alias("block"), F.lit(2).alias("role")))
-    dealt = rows.select("doc_id", "text", F.explode(F.array_compact(F.array(to, ahead, wrap))).alias("to")).select("to.block", "to.role", "doc_id", "text")
-    return dealt.repartition(parts, "block").sortWithinPartitions("block", "role", F.col("doc_id").asc_nulls_first(), "text")
+    sent = spark.sparkContext.broadcast(bounds)
+
+    @F.pandas_udf("array<struct<block:int,role:int>>")
+    def places(ids: pd.Series, hashes: pd.Series) -> pd.Series:
+        starts, out = sent.value, []
+        for i, h in zip(ids.array, hashes.array, strict=True):
+            at = (False, 0, h) if pd.isna(i) else (True, int(i), h)
+            block = max(0, bisect_right(starts, at) - 1)
+            to = [{"block": block, "role": 0}]
+            if at == starts[block]:  # the block before it, or the last one, ends with this document
+                to.append({"block": block - 1, "role": 1} if block else {"block": len(starts) - 1, "role": 2})
+            out.append(to)
+        return pd.Series(out, dtype=object)
+
+    ids = F.col("doc_id").cast("string")  # a long column with nulls would reach pandas as doubles
+    dealt = rows.withColumn("to", F.explode(places(ids, F.col("h")))).select("to.block", "to.role", "doc_id", "h", "text")
+    return dealt.repartitionById(len(bounds), "block").sortWithinPartitions("block", "role", *order, "text").drop("h")
 
 
 OUT = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
