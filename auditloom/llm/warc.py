@@ -11,7 +11,8 @@ in the committed index count, so repeated or lost attempts leave nothing that is
 Defined results: a null payload is empty; a null URL leaves the header out; control
 characters and blanks in a URL are percent-encoded; of pages with equal payloads those
 with the smallest id are responses (repeated rows of that id all are); a page without an
-id is always a response and is never referred to; an empty table gives no archive.
+id is always a response and is never referred to; a very long payload is one record;
+columns beyond the three are left out; an empty table gives no archive.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,19 +41,22 @@ def _bare(digest: bytes) -> str:
     return base64.b32encode(digest).decode("ascii")
 
 
-def _record_id(page_id: int | None) -> str:
-    return f"<urn:page:{page_id}>" if page_id is not None else f"<urn:uuid:{uuid.uuid4()}>"
+def _record_id(page_id: int | None, place: str = "") -> str:
+    return f"<urn:page:{page_id}>" if page_id is not None else f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, place)}>"
 
 
-def make_record(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None) -> tuple[bytes, str]:
-    """One record as it stands before compression, and its payload digest."""
+def make_record(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None, place: str = "") -> tuple[bytes, str]:
+    """One record as it stands before compression, and its payload digest.
+
+    ``place`` names a record without a page id: the same at every attempt of its task.
+    """
     digest = _bare(hashlib.sha1(payload).digest())
     revisit = refers_to is not None
     # The stored HTTP header keeps the payload's length, in a revisit as well.
     block = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode("ascii")
     if not revisit:
         block += payload
-    head = ["WARC/1.1", f"WARC-Type: {'revisit' if revisit else 'response'}", f"WARC-Record-ID: {_record_id(page_id)}", "WARC-Date: 1970-01-01T00:00:00Z"]
+    head = ["WARC/1.1", f"WARC-Type: {'revisit' if revisit else 'response'}", f"WARC-Record-ID: {_record_id(page_id, place)}", "WARC-Date: 1970-01-01T00:00:00Z"]
     if url is not None:
         head.append("WARC-Target-URI: " + re.sub(r"[\x00-\x20\x7f]", lambda m: f"%{ord(m[0]):02X}", url))
     head += [f"WARC-Payload-Digest: sha1:{digest}", "Content-Type: application/http; msgtype=response"]
@@ -99,15 +104,16 @@ def write_archives(pages: DataFrame, page_id: str = "page_id", url: str = "url",
     rows = full.withColumn("sha", F.sha1("payload")).join(cut(again, "again"), ["page_id", "sha"], "left")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out, file, at = None, None, 0
+        out, file, at, part, n = None, None, 0, TaskContext.get().partitionId(), 0
         try:
             for batch in batches:
                 index = []
                 for row in batch.to_pylist():
+                    n += 1
                     if out is None:
                         file, at = f"{root}/{uuid.uuid4().hex}.warc.gz", 0
                         out = store.create(file)
-                    raw, digest = make_record(row["page_id"], row["url"], row["payload"], row["refers_to"])
+                    raw, digest = make_record(row["page_id"], row["url"], row["payload"], row["refers_to"], f"{part}/{n}/{row['url']}")
                     packer = zlib.compressobj(level, zlib.DEFLATED, 31)
                     member = packer.compress(raw) + packer.flush()
                     out.write(member)
