@@ -7,8 +7,10 @@ into memory. Words that it lacks are merged exactly, lowest rank and leftmost fi
 
 Defined results: a null text is empty; an empty text has no ids and decodes to the empty
 text; a special token's string is that token; an unpaired or unknown sequence can't occur,
-as every byte has a token; rows are independent, so repeated rows repeat their result; an
-empty table gives an empty result.
+as every byte has a token; a text of any length is encoded whole; rows are independent, so
+repeated rows repeat their result; words of equal count enter the lexicon in their order,
+which changes no ids; columns beyond the two are left out, whatever their names; an empty
+table gives an empty result.
 """
 
 from __future__ import annotations

@@ -125,7 +125,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    return pii.find_personal_data(docs, pii.train(pii.sample_texts(docs)))
+    return pii.find_personal_data(docs, pii.fit(docs))
 
 
 ORACLES["op1_warc"] = """

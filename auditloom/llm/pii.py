@@ -14,9 +14,11 @@ four digits (and the kind's own check). Windows that touch no such marks or digi
 LONGEST characters can't yield a span of that length, so they aren't decoded; longer spans
 aren't looked for.
 
-Defined results: a null text is empty; an empty text has no spans; rows are independent,
-so repeated rows repeat their result; offsets are code points, ends exclusive; an empty
-table gives an empty result.
+Defined results: a null text is empty; an empty text has no spans; a text of any length is
+read whole; rows are independent, so repeated rows repeat their result; of added spans that
+overlap the longest stays, then the first, then that of the kind listed first; offsets are
+code points, ends exclusive; columns beyond the two are left out, whatever their names; an
+empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -31,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from auditloom.llm.common import small_batches
+from auditloom.llm.common import saved_arrays, small_batches
 
 KINDS = ("email", "ip", "card", "phone")
 SAMPLE, SAMPLE_CHARS = 300, 4000
@@ -233,7 +235,8 @@ def _invent(rng: np.random.Generator) -> tuple[str | None, str]:
         return kind, name.strip("._-") + at + dot.join([word(3), *([word(3)] if rng.random() < 0.3 else []), pick("com", "org", "net", "edu", "de", "fr", "es", "io")])
     if kind == "ip":
         sep = pick(".", ".", " . ", "[.]", "(.)", ",", "-", " dot ")
-        return kind, sep.join(str(int(x)) for x in rng.integers(10, 256, 4))
+        # Short numbers between commas or dashes are more often something else.
+        return kind, sep.join(str(int(x)) for x in rng.integers(10 if sep in ",-" else 0, 256, 4))
     if kind == "card":
         digits = number(pick(15, 15, 15, 14, 18))
         digits = next(digits + str(k) for k in range(10) if luhn(digits + str(k)))
@@ -297,6 +300,14 @@ def train(texts: list[str], windows: int = 5000, epochs: int = 10, batch: int =
     return model
 
 
+def fit(docs: DataFrame, windows: int = 5000, epochs: int = 10, seed: int = 42, **columns) -> Model:
+    """The model trained on a bounded sample of ``docs``, or the one kept for that sample."""
+    texts, model = sample_texts(docs, **columns), Model(seed)
+    key = [windows, epochs, seed, *texts]
+    model.p = saved_arrays(docs.sparkSession, "personal-data", key, lambda: train(texts, windows, epochs, seed=seed).p)
+    return model
+
+
 # ---- finding --------------------------------------------------------------------------
 
 

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructType
 
-from auditloom.llm.common import kept_by_worker, small_batches
+from auditloom.llm.common import kept_by_worker, saved_arrays, small_batches
 
 SAMPLE, SAMPLE_CHARS = 2500, 12_000
 WINDOW, STRIDE = 32, 24
@@ -397,8 +397,19 @@ def training_sample(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id",
     return [r["text"] for r in rows], [r["y"] for r in rows]
 
 
-def fit(docs: DataFrame, labels: DataFrame, **columns) -> Model:
-    return train(*training_sample(docs, labels, **columns))
+def fit(docs: DataFrame, labels: DataFrame, seed: int = 42, **columns) -> Model:
+    """The model trained on the bounded sample, or the one kept for that sample."""
+    texts, marks = training_sample(docs, labels, **columns)
+
+    def made() -> dict[str, np.ndarray]:
+        model = train(texts, marks, seed=seed)
+        return {**model.p, "word_odds": model.word_odds, "gram_odds": model.gram_odds, "trained": np.array(model.trained)}
+
+    found = saved_arrays(docs.sparkSession, "toxicity", [seed, *marks, *texts], made)
+    model = Model(seed)
+    model.p = {k: found[k] for k in model.p}
+    model.word_odds, model.gram_odds, model.trained = found["word_odds"], found["gram_odds"], bool(found["trained"])
+    return model
 
 
 def score_documents(docs: DataFrame, model: Model, text: str = "text", out: str = "score") -> DataFrame:
