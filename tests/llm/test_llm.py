@@ -12,7 +12,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from auditloom.llm import bpe, chunks, covertree, lines, mixing, pii, simhash, tokens, toxicity, warc
-from auditloom.llm.catalog import ORACLES, QUERIES
 from auditloom.llm.common import components, cut, running_total
 
 DOC = "doc_id long, text string, lang string, source string, n_chars long"
@@ -59,6 +58,46 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "u long, v long")).count() == 0
 
 
+def test_scratch_goes_when_spent(spark):
+    import os
+
+    from auditloom.llm.common import forget, tidy
+
+    there = lambda t: os.path.isdir(t._al_scratch.removeprefix("file://"))
+    with tidy() as keep:
+        with tidy() as inner:
+            a, b = cut(spark.range(3)), inner(cut(spark.range(4)))
+        assert not there(a) and there(b)
+        c = keep(cut(spark.range(5)))
+    assert not there(b) and there(c) and c.count() == 5
+    forget(c)
+    assert not there(c)
+
+
+def test_stores_by_their_own_names(monkeypatch):
+    from auditloom.llm import store
+
+    monkeypatch.setattr(store, "_file_system", lambda prefix: prefix)
+    assert [store.locate(u) for u in ("s3a://b/x/y", "s3://b/x", "gs://b/x", "hdfs://host:9000/x/y", "file:///x", "/x")] == [
+        ("s3://b", "b/x/y"), ("s3://b", "b/x"), ("gs://b", "b/x"), ("hdfs://host:9000", "/x/y"), ("file://", "/x"), ("file://", "/x"),
+    ]
+
+
+def test_models_are_kept_by_sample(spark, monkeypatch):
+    from auditloom.llm import common
+
+    made, own = [], str(random.SystemRandom().random())  # earlier runs may have left theirs
+
+    def make():
+        made.append(1)
+        return {"x": np.arange(3)}
+
+    for sample in ([own, "a"], [own, "a"], [own, "b"], [own, "a"]):
+        monkeypatch.setattr(common, "_models", {})
+        assert common.saved_arrays(spark, "test", sample, make)["x"].tolist() == [0, 1, 2]
+    assert len(made) == 2
+
+
 # ---- 1 archives ----
 
 
@@ -174,11 +213,9 @@ def test_similar_sets(spark, crowd, monkeypatch):
     for _ in texts:
         for i, a in enumerate(sets):
             for j, b in enumerate(sets):
-                # Above 512 shingles the similarity is an estimate; pairs near the threshold may go either way.
-                if len(a & b) >= (0.8 if len(a) < 500 else 0.84) * len(a | b):
+                if len(a & b) >= 0.8 * len(a | b):
                     group[i] = group[j] = min(group[i], group[j])
-    sure = {g for g in group}
-    assert got <= sure and len(sure - got) <= 3
+    assert got == set(group)
 
 
 def jaccard(a, b):
@@ -276,6 +313,25 @@ def test_mixing_edges(spark, edge, none):
     assert mixing.mixed_documents(none).count() == 0
 
 
+def test_mixing_clashing_columns_and_hot_ids(spark, monkeypatch):
+    names = ["source_size", "target", "repeats", "extra", "taken"]
+    rows = [(None if i % 3 else i, f"t{i} " * (1 + i % 5), "ab"[i % 2]) for i in range(120)]
+    docs = docs_of(spark, rows).withColumns({k: F.lit("z") for k in names})
+    sized = docs.withColumn("size", mixing.n_words(F.col("text")))
+    got = mixing.mix_sources(sized).collect()
+    taken, target = {}, {}
+    for r in got:
+        taken[r.source], target[r.source] = taken.get(r.source, 0) + r.taken, int(r.target)
+        assert r.extra <= r.size and r.taken <= 2 * r.size
+    assert taken == target and len(got) == 120
+    again = mixing.mix_sources(sized.repartition(7)).collect()
+    assert sorted(map(repr, got)) == sorted(map(repr, again))
+    mixed = mixing.mixed_documents(docs)
+    assert mixed.columns == docs.columns and set(mixed.select("target").distinct().collect()) == {("z",)}
+    with pytest.raises(ValueError):
+        mixing.mix_sources(sized.withColumnRenamed("size", "extra_"), size="extra")
+
+
 def test_mixing_targets(spark):
     rows = [(i, s, n) for i, (s, n) in enumerate([("a", 10), ("a", 30), ("b", 500), ("c", 100), (None, 60), ("d", 0)])]
     got = {r.source: r.target for r in mixing.mix_sources(spark.createDataFrame(rows, "doc_id long, source string, size long")).collect()}
@@ -297,11 +353,6 @@ def test_mixing_targets(spark):
 # ---- 4 personal data ----
 
 
-@pytest.fixture(scope="module")
-def pii_model():
-    return pii.train(["the quick brown fox jumps over the lazy dog and runs away again " * 4], windows=1200, epochs=6)
-
-
 def test_base_spans():
     kinds = {
         "email": re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"), "ip": re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
@@ -325,17 +376,17 @@ def test_base_spans():
     assert pii.base_spans("a" * 200_000 + "1" * 200_000 + "@") == []
 
 
-def test_added_spans(pii_model):
+def test_added_spans(tagger):
     texts = ["write to jane.doe [at] example [dot] com now please and thank you for all", "call me at 555-123-4567 tomorrow morning or in the evening if you can", "nothing here at all. dot the i", ""]
     bases = [pii.base_spans(t) for t in texts]
-    found = pii.added_spans(texts, bases, pii_model)
+    found = pii.added_spans(texts, bases, tagger)
     assert [{k for k, _, _ in f} for f in found[2:]] == [set(), set()]
-    assert sum(bool(f) for f in found[:2]) >= 1
+    assert [{k for k, _, _ in f} for f in found[:2]] == [{"email"}, {"phone"}]
     held, tags = pii.training_windows(["some other words that stand between the finds of it " * 5], 300, seed=9)
     want = [set(pii._spans(t)) for t in tags]
-    got = [set(pii._spans(t)) for t in pii_model.decode(held)]
+    got = [set(pii._spans(t)) for t in tagger.decode(held)]
     hit = sum(len(a & b) for a, b in zip(want, got, strict=True))
-    assert hit / sum(map(len, want)) > 0.5 and hit / max(1, sum(map(len, got))) > 0.5
+    assert hit / sum(map(len, want)) > 0.8 and hit / max(1, sum(map(len, got))) > 0.8
 
 
 class Marks:
@@ -361,18 +412,19 @@ def test_added_spans_are_whole(kind, value):
         assert pii.added_spans([text], [[]], Marks(kind)) == [[(kind, 140 + at, 140 + at + len(value))]]
 
 
-def test_pii_frame(spark, edge, none, pii_model):
+def test_pii_frame(spark, edge, none, tagger):
     rows = docs_of(spark, [(1, "mail a@b.co and +1 (132) 555-1352", "s"), (2, None, "s"), (2, None, "s")])
-    got = pii.find_personal_data(rows.withColumn("spans", F.lit(0)), pii_model).orderBy("doc_id").collect()
+    got = pii.find_personal_data(rows.withColumn("spans", F.lit(0)), tagger).orderBy("doc_id").collect()
     assert (got[0].n_email, got[0].n_phone, got[0].spans) == (1, 1, "email:5:11,phone:16:33")
     assert got[1] == got[2] and got[1].spans == "" and got[1].base_sha256 == hashlib.sha256(b"").hexdigest()
-    assert pii.find_personal_data(edge, pii_model).count() == len(EDGE) and pii.find_personal_data(none, pii_model).count() == 0
+    assert pii.find_personal_data(edge, tagger).count() == len(EDGE) and pii.find_personal_data(none, tagger).count() == 0
 
 
 # ---- 5 lines ----
 
 
-def plain_lines(rows, least):
+def plain_lines(rows, least, longest=10**9):
+    """Texts without repeated runs; runs of more than ``longest`` lines are unions of shorter ones."""
     strip = lambda x: x.strip(lines.BLANKS)
     seqs = {i: [strip(x) for x in t.split("\n") if strip(x)] for i, t in rows if t is not None}
     seen, gone = {}, {i: set() for i in seqs}
@@ -380,7 +432,7 @@ def plain_lines(rows, least):
         s = seqs[i]
         for a in range(len(s)):
             words = 0
-            for b in range(a, len(s)):
+            for b in range(a, min(len(s), a + longest)):
                 words += len(s[b].split())
                 if words >= least:
                     first = seen.setdefault(tuple(s[a : b + 1]), (i, a))
@@ -548,6 +600,35 @@ def test_token_files(spark, edge, none):
     assert tokens.token_checks(tokens.write_tokens(none, path)).count() == 0
 
 
+def test_selected_documents_by_page(spark, none, tmp_path):
+    rng = np.random.default_rng(19)
+    rows = [(int(i), " ".join(f"w{x}" for x in rng.integers(0, 10**6, 200)), "s") for i in range(3000)] + [(None, "n", "s"), (7, "again", "s")]
+    manifest = tokens.write_tokens(docs_of(spark, rows), public_tokenizers.path("byte_bpe_50k.json"), path=f"file://{tmp_path}/t")
+    all_ids = tokens.read_tokens(manifest)
+    files = spark.sparkContext._jvm.org.apache.hadoop.fs.FileSystem
+
+    def read_by(job):
+        before = sum(x.getBytesRead() for x in files.getAllStatistics())
+        got = sorted((r.doc_id, r.n_tokens, tuple(r.ids)) for r in job.collect())
+        return got, sum(x.getBytesRead() for x in files.getAllStatistics()) - before
+
+    wanted = [7, 1500, 1501, 999_999, -4]
+    whole = sum(p.stat().st_size for p in (tmp_path / "t").iterdir())
+    got, spent = read_by(tokens.read_documents(manifest, wanted))
+    assert got == sorted((r.doc_id, r.n_tokens, tuple(r.ids)) for r in all_ids.where(F.col("doc_id").isin(wanted)).collect()) and len(got) == 4
+    assert spent < whole / 5
+    many, _ = read_by(tokens.read_documents(manifest, range(0, 3000, 10)))
+    assert [i for i, _, _ in many] == list(range(0, 3000, 10))
+    assert tokens.read_documents(manifest, []).count() == 0 and tokens.read_documents(tokens.write_tokens(none, public_tokenizers.path("byte_bpe_50k.json")), [1]).count() == 0
+
+
+def test_repeated_ids_are_ordered_by_text(spark):
+    rows = [(1, f"text {k}", "s") for k in range(40)] + [(None, f"none {k}", "s") for k in range(40)]
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    one, two = (sorted(map(tuple, tokens.token_checks(tokens.write_tokens(docs_of(spark, rows).repartition(n), path)).collect()), key=lambda r: r[1]) for n in (1, 5))
+    assert one == two
+
+
 def test_bpe_frame(spark, edge, none):
     path = public_tokenizers.path("word_bpe_49k.json")
     got = bpe.digest_documents(edge, path).collect()
@@ -632,29 +713,25 @@ def test_near_vectors(spark, block):
     assert covertree.near_vectors(df.limit(0)).count() == 0
 
 
-# ---- queries ----
-
-
-def test_queries_match_oracles(spark, sf, duck):
-    from compare import same
-
-    for name, sql in ORACLES.items():
-        assert same(QUERIES[name](spark, sf), duck.sql(sql)), name
-
-
-def test_pipeline(spark, sf):
-    import corpus_pipeline
-
-    docs = spark.read.parquet(f"{sf}/documents.parquet")
-    columns, before = docs.columns, docs.count()
-    for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
-        docs = cut(stage(spark, docs, sf), "stage")
-        if k < 4:
-            assert docs.columns == columns, name
-        if k < 3:
-            assert 0.5 * before < docs.count() <= before
-            before = docs.count()
-    assert docs.count() > 0 and corpus_pipeline.ORACLE_SQL is None and len(corpus_pipeline.STAGES) == 5
+def test_vectors_that_share_an_id(spark):
+    rows = [(5, [1.0, 0.0], 0), (5, [0.0, 1.0], 0), (6, [1.0, 0.001], 0), (7, [0.001, 1.0], 0), (5, [1.0, 0.0], 1), (6, [1.0, 0.0], 1), (6, [1.0, 0.0], 1), (None, [1.0, 0.0], 1)]
+    got = covertree.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()
+    assert sorted(((r.vec_id or -1), r.n_links, r.component_id or -1) for r in got) == [(-1, 0, -1), (5, 1, 5), (5, 1, 5), (5, 2, 5), (6, 1, 5), (6, 2, 5), (6, 2, 5), (7, 1, 5)]
+
+
+def test_pairs_at_the_threshold():
+    rng = np.random.default_rng(20)
+    a = rng.standard_normal((200, 8))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    side = rng.standard_normal((200, 8))
+    side -= (side * a).sum(axis=1, keepdims=True) * a
+    side /= np.linalg.norm(side, axis=1, keepdims=True)
+    # Each at a cosine within some 1e-12 of one threshold that is close to 1, where roots lose most.
+    t = 1.0 - 1e-9
+    b = t * a + np.sqrt(1 - t * t) * side
+    b /= np.linalg.norm(b, axis=1, keepdims=True)
+    counts, _, _ = covertree.dual_links(a, b, np.ones(200, dtype=np.int64), t)
+    assert counts.tolist() == (a @ b.T >= t).sum(axis=1).tolist()
 
 
 def test_stages_on_edges(spark, edge, none, tmp_path):
