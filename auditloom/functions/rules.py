@@ -1,20 +1,59 @@
 """Sensitivity rules and pattern helpers.
 
-Patterns avoid word-boundary escapes, whose meaning differs between regex engines: a
-boundary is written as a consuming class, which Java and RE2 read alike.
+A word boundary is written out as look-around over letters, marks, digits and the
+underscore of any script, so it doesn't depend on an engine's notion of a word. Patterns
+are compiled for a scan: a class of first characters comes first, which most positions of a
+text fail at once, and the boundary is only asked for after it.
 """
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
-#: One character that is no part of a word, in any script.
-EDGE = r"[^\p{L}\p{M}\p{N}_]"
+#: What makes up words, in any script.
+WORDS = r"[\p{L}\p{M}\p{N}_]"
 
 
-def bounded(body: str) -> str:
-    """``body`` as whole words."""
-    return rf"(^|{EDGE})({body})($|{EDGE})"
+def _alternatives(body: str) -> list[str]:
+    """The parts of ``body`` between bars that stand in no bracket."""
+    parts, depth = [""], 0
+    for c in body:
+        depth += (c == "(") - (c == ")")
+        if c == "|" and not depth:
+            parts.append("")
+        else:
+            parts[-1] += c
+    return parts
+
+
+def _either_case(letters: str) -> str:
+    return "[" + "".join(dict.fromkeys(x for c in letters for x in (c.lower(), c.upper()))) + "]"
+
+
+def starting(bodies: list[str]) -> str:
+    """Any of ``bodies`` from the start of a word on, in either case; each starts with a plain character."""
+    by_first: dict[str, list[str]] = {}
+    for part in [p for body in bodies for p in _alternatives(body)]:
+        by_first.setdefault(part[0].lower(), []).append(part[1:])
+    rest = "|".join(f"(?<={_either_case(c)})(?i:{'|'.join(tails)})" for c, tails in by_first.items())
+    return f"{_either_case(''.join(by_first))}(?<!{WORDS}.)(?:{rest})"
+
+
+def anywhere(bodies: list[str]) -> str:
+    """The letters that any of ``bodies`` starts with, at any place and in either case."""
+    stems = [re.match("_?[A-Za-z]+", part)[0] for body in bodies for part in _alternatives(body)]
+    return starting(["|".join(dict.fromkeys(stems))]).replace(f"(?<!{WORDS}.)", "")
+
+
+def whole_words(body: str) -> str:
+    """``body`` as whole words in either case."""
+    return f"{starting([body])}(?!{WORDS})"
+
+
+def digits_first(body: str) -> str:
+    """``body``, which starts with a digit, as whole words."""
+    return rf"(?=[0-9])(?<!{WORDS})(?:{body})(?!{WORDS})"
 
 
 @dataclass(frozen=True)
@@ -22,8 +61,11 @@ class Rule:
     name: str
     category: int
     severity: str
+    #: The pattern as a scan runs it.
     pattern: str
-    by_line: bool = False
+    #: What a text must hold for the pattern to be tried: words of the vocabulary, a digit, an at-sign.
+    gate: str
+    body: str = ""
 
     @property
     def label(self) -> str:
@@ -32,53 +74,67 @@ class Rule:
 
 # The rule vocabulary. Categories run from direct identifiers (1) to
 # restricted-use and biometric data (10).
-_OCTET = r"(1?[0-9]{1,2}|2[0-4][0-9]|25[0-5])"
-_SUBJECT = "patient|subject|respondent|participant|score|scale|diagnosis|_id|_code"
+_VOCABULARY = (
+    ("birth_date", 1, "RED", "date.?of.?birth|dob|birth.?date"),
+    ("name_field", 1, "RED", "first_?name|last_?name|full_?name|respondent_?name|participant_?name"),
+    ("geography", 3, "YELLOW", "census.?tract|block.?group|zip.?code|street.?address|latitude|longitude|geocode"),
+    ("health_id", 4, "RED", "medical.?record|patient.?id|mrn|health.?plan|beneficiary"),
+    ("clinical", 4, "YELLOW", "diagnosis|icd.?[0-9]|prescription|medication|treatment.?plan|discharge.?summary"),
+    ("mental_health", 5, "YELLOW", "suicid(e|al|ality)|self.?harm|bipolar|schizophren(ia|ic)|psychosis|eating.?disorder"),
+    ("legal_status", 6, "RED", "undocumented|immigration.?status|deportat|asylum.?seek|visa.?status|DACA|refugee.?status|legal.?status|citizenship.?status"),
+    ("criminal_history", 6, "RED", "arrest.?record|criminal.?record|conviction|incarcerat|parole|probation|mugshot|booking"),
+    ("orientation", 7, "YELLOW", "sexual.?orientation|gender.?identity|transgender|lgbtq|non.?binary|sexual.?preference|coming.?out"),
+    ("affiliation", 8, "YELLOW", "religious.?affiliation|political.?affiliation|party.?registration|church.?membership|mosque|synagogue|temple.?membership"),
+    ("account", 9, "RED", "credit.?card|account.?number|bank.?account|routing.?number|ssn|tax.?id|ein"),
+    ("finance", 9, "YELLOW", "income.?amount|salary|wage.?rate|net.?worth"),
+    ("restricted_use", 10, "YELLOW", "restricted.?use|confidential|under.?embargo|data.?use.?agreement|DUA"),
+    ("biometric", 10, "RED", "biometric|fingerprint|retina|facial.?recognition|dna.?sample|genetic.?data|genome"),
+)
+_MARKER = "patient|subject|respondent|participant|score|scale|diagnosis|_id|_code"
 _CONDITION = "depression|ptsd|anxiety.?disorder|psychiatric|mental.?health.?diagnosis"
-_OTHER = r"[^\p{L}\p{M}\p{N}_\n]"
-
-RULES: tuple[Rule, ...] = (
-    Rule("ssn", 1, "RED", bounded(r"[0-9]{3}-[0-9]{2}-[0-9]{4}")),
-    Rule("phone", 1, "RED", r"(^|[^0-9.])\+?1?[-. ]?\(?[0-9]{3}\)?[-. ][0-9]{3}[-. ][0-9]{4}([^0-9.]|$)"),
-    Rule("birth_date", 1, "RED", "(?i)" + bounded("date.?of.?birth|dob|birth.?date")),
-    Rule("name_field", 1, "RED", "(?i)" + bounded("first_?name|last_?name|full_?name|respondent_?name|participant_?name")),
-    Rule("email", 2, "YELLOW", r"[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}"),
-    Rule(
-        "street_address", 2, "YELLOW",
-        rf"(?i)(^|{EDGE})[0-9]{{1,5}}[ \t]+(north|south|east|west|n\.|s\.|e\.|w\.)?[ \t]*((street|avenue|road|boulevard|drive|lane|court)($|{EDGE})|(st|ave|rd|blvd|dr|ln|ct)\.[\p{{L}}\p{{M}}\p{{N}}_])",
-    ),
-    Rule("geography", 3, "YELLOW", "(?i)" + bounded("census.?tract|block.?group|zip.?code|street.?address|latitude|longitude|geocode")),
-    Rule("ip_address", 3, "YELLOW", bounded(rf"{_OCTET}\.{_OCTET}\.{_OCTET}\.{_OCTET}")),
-    Rule("health_id", 4, "RED", "(?i)" + bounded("medical.?record|patient.?id|mrn|health.?plan|beneficiary")),
-    Rule("clinical", 4, "YELLOW", "(?i)" + bounded("diagnosis|icd.?[0-9]|prescription|medication|treatment.?plan|discharge.?summary")),
-    Rule("mental_health", 5, "YELLOW", "(?i)" + bounded("suicid(e|al|ality)|self.?harm|bipolar|schizophren(ia|ic)|psychosis|eating.?disorder")),
-    Rule(
-        "mental_health_record", 5, "RED",
-        rf"(?i)((^|{EDGE})({_SUBJECT}){_OTHER}([^\n]*{_OTHER})?({_CONDITION})($|{EDGE})|(^|{EDGE})({_CONDITION}){_OTHER}([^\n]*{_OTHER})?({_SUBJECT})($|{EDGE}))",
-    ),
-    Rule("legal_status", 6, "RED", "(?i)" + bounded("undocumented|immigration.?status|deportat|asylum.?seek|visa.?status|DACA|refugee.?status|legal.?status|citizenship.?status")),
-    Rule("criminal_history", 6, "RED", "(?i)" + bounded("arrest.?record|criminal.?record|conviction|incarcerat|parole|probation|mugshot|booking")),
-    Rule("orientation", 7, "YELLOW", "(?i)" + bounded("sexual.?orientation|gender.?identity|transgender|lgbtq|non.?binary|sexual.?preference|coming.?out")),
-    Rule("affiliation", 8, "YELLOW", "(?i)" + bounded("religious.?affiliation|political.?affiliation|party.?registration|church.?membership|mosque|synagogue|temple.?membership")),
-    Rule("account", 9, "RED", "(?i)" + bounded("credit.?card|account.?number|bank.?account|routing.?number|ssn|tax.?id|ein")),
-    Rule("finance", 9, "YELLOW", "(?i)" + bounded("income.?amount|salary|wage.?rate|net.?worth")),
-    Rule("restricted_use", 10, "YELLOW", "(?i)" + bounded("restricted.?use|confidential|under.?embargo|data.?use.?agreement|DUA")),
-    Rule("biometric", 10, "RED", "(?i)" + bounded("biometric|fingerprint|retina|facial.?recognition|dna.?sample|genetic.?data|genome")),
+_OCTET = "(1?[0-9]{1,2}|2[0-4][0-9]|25[0-5])"
+EMAIL = r"[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}"
+_STREET = (
+    r"[0-9]{1,5}[ \t]+(?i:(north|south|east|west|n\.|s\.|e\.|w\.)?[ \t]*"
+    rf"((street|avenue|road|boulevard|drive|lane|court)(?!{WORDS})|(st|ave|rd|blvd|dr|ln|ct)\.{WORDS}))"
 )
+_PHONE = r"(?=[-+. (0-9])(?<![0-9.])\+?1?[-. ]?\(?[0-9]{3}\)?[-. ][0-9]{3}[-. ][0-9]{4}(?![0-9.])"
+
+# A condition and a marker of data in one line, either first; only the second may end a longer word.
+_RECORD = rf"{starting([_MARKER])}(?!{WORDS})[^\n]*(?i:{_CONDITION})(?!{WORDS})|{starting([_CONDITION])}(?!{WORDS})[^\n]*(?i:{_MARKER})(?!{WORDS})"
+
+_WORD_RULES = [Rule(name, category, severity, whole_words(body), "words", body) for name, category, severity, body in _VOCABULARY]
+_OTHER_RULES = [
+    Rule("ssn", 1, "RED", digits_first("[0-9]{3}-[0-9]{2}-[0-9]{4}"), "digit"),
+    Rule("phone", 1, "RED", _PHONE, "digit"),
+    Rule("email", 2, "YELLOW", EMAIL, "at"),
+    Rule("street_address", 2, "YELLOW", rf"(?=[0-9])(?<!{WORDS}){_STREET}", "digit"),
+    Rule("ip_address", 3, "YELLOW", digits_first(r"\.".join([_OCTET] * 4)), "digit"),
+    Rule("mental_health_record", 5, "RED", _RECORD, "words"),
+]
+
+RULES: tuple[Rule, ...] = tuple(sorted([*_WORD_RULES, *_OTHER_RULES], key=lambda r: (r.category, r.name)))
+BY_NAME = {r.name: r for r in RULES}
+
+#: Found wherever a rule of the vocabulary may fire: one pass that most texts end with.
+ANY_WORD = starting([r.body for r in _WORD_RULES] + [_MARKER, _CONDITION])
+#: Found wherever a term of the vocabulary begins, whatever stands before and between its words.
+ANY_STEM = anywhere([r.body for r in _WORD_RULES] + [_MARKER, _CONDITION])
 
-#: Extensions whose content can't be read as text; a clean scan of one is never GREEN.
+# Extensions whose content can't be read as text; a clean scan of one is never GREEN.
 OPAQUE_EXTENSIONS = (
     "xlsx xls ods parquet feather arrow dta sav rds rdata sqlite db h5 hdf5 mat pkl npy npz pickle "
     "wav mp3 flac m4a ogg aac aiff mp4 mov avi mkv webm jpg jpeg png tiff tif heic heif bmp webp gif pdf doc docx xlsm pptx ppt"
 ).split()
 
-#: Residual patterns, applied in this order when a text is scrubbed.
+# Residual patterns, applied in this order when a text is scrubbed.
 SCRUB = (
-    (r"[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}", "[EMAIL REMOVED]"),
+    (EMAIL, "[EMAIL REMOVED]"),
     (r"(\+?1[-. \t\n\r\f\x0b]?)?(\(?[0-9]{3}\)?[-. \t\n\r\f\x0b]?)?[0-9]{3}[-. \t\n\r\f\x0b]?[0-9]{4}", "[PHONE REMOVED]"),
     (r"\b[0-9]{3}-[0-9]{2}-[0-9]{4}\b", "[SSN REMOVED]"),
 )
 
+# Citations, causal wording, markers of claims, statuses, names of institutions.
 CITATION = r"\([A-Z][a-z]+( (and|&) [A-Z][a-z]+| et al\.?)? [12][0-9]{3}[a-z]?\)"
 CAUSAL = "proves|causes|leads to|produces|results in|demonstrates conclusively|establishes that|confirms that"
 CITED = r"(\([A-Za-z][A-Za-z '&.,-]+ [12][0-9]{3}[a-z]?\)|[A-Z][A-Za-z'-]+( (and|&) [A-Z][A-Za-z'-]+)?( et al\.?)? \([12][0-9]{3}[a-z]?\))"

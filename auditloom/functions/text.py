@@ -2,9 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Rows that a declared list may have, to be sent to every task.
+FEW = 10_000
+
+
+def few(table: DataFrame) -> DataFrame:
+    """A declared list, broadcast once its size has been seen; a longer one raises an error."""
+    if table.limit(FEW + 1).count() > FEW:
+        raise ValueError(f"a declared list may have {FEW} rows at most")
+    return F.broadcast(table)
+
 
 def lines(text: Column | str) -> Column:
     return F.split(text, "\n")

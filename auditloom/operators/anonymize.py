@@ -10,21 +10,32 @@ from pyspark.sql.window import Window
 
 from auditloom.functions.rules import INSTITUTION, SCRUB
 
-#: Least score per entity that is replaced.
+# Least score per entity that is replaced, and what replaces it: a numbered
+# stand-in with this prefix, or a token. Other entities stay in the text.
 ENTITY_FLOOR = {
     "PERSON": 0.6, "LOCATION": 0.5, "INSTITUTION": 0.5, "EMAIL_ADDRESS": 0.4, "PHONE_NUMBER": 0.4,
     "US_SSN": 0.4, "CREDIT_CARD": 0.4, "IP_ADDRESS": 0.4, "DATE_OF_BIRTH": 0.7, "HIPAA_IDENTIFIER": 0.6,
 }
-#: Entities with a numbered stand-in; the others have a fixed token.
 NUMBERED = {"PERSON": "P", "LOCATION": "LOC", "INSTITUTION": "ORG"}
+TOKENS = {
+    "EMAIL_ADDRESS": "[EMAIL REMOVED]", "PHONE_NUMBER": "[PHONE REMOVED]", "US_SSN": "[SSN REMOVED]", "CREDIT_CARD": "[CARD REMOVED]",
+    "IP_ADDRESS": "[IP REMOVED]", "DATE_OF_BIRTH": "[DOB REMOVED]", "HIPAA_IDENTIFIER": "[HIPAA REMOVED]",
+}
+
+
+def _lookup(table: dict) -> Column:
+    return F.create_map(*[F.lit(x) for kv in table.items() for x in kv])[F.col("entity")]
 
 
 def detections(found: DataFrame, keys: list[str], floor: float = 0.35) -> DataFrame:
-    """What is replaced: above the general and the entity's floor, one per place, not blank."""
-    least = F.coalesce(F.create_map(*[F.lit(x) for kv in ENTITY_FLOOR.items() for x in kv])[F.col("entity")], F.lit(0.5))
+    """What is replaced: the best find of a place, if above its entity's floor, replaceable and not blank.
+
+    ``keys`` name a place, its text among them; an entity that has no replacement still
+    takes its place from a find of lower score.
+    """
     w = Window.partitionBy(*keys).orderBy(F.desc("score"), "entity")
-    kept = found.where((F.col("score") >= floor) & (F.trim("value") != "")).withColumn("_r", F.row_number().over(w)).where("_r = 1").drop("_r")
-    return kept.where(F.col("score") >= least)
+    best = found.where(F.col("score") >= floor).withColumn("_r", F.row_number().over(w)).where("_r = 1").drop("_r")
+    return best.where((F.col("score") >= _lookup(ENTITY_FLOOR)) & (F.trim("value") != ""))
 
 
 def value_summary(found: DataFrame, most: int = 20) -> DataFrame:
@@ -38,16 +49,17 @@ def pseudonym_key(found: DataFrame, start: dict[str, int] | None = None) -> Data
     """``original, pseudonym, type``: numbered by first occurrence, best score first.
 
     ``found`` has entity, value, score, at; ties go by place. Only distinct values are ordered.
+    Entities without a replacement get no row.
     """
     first = found.groupBy("entity", "value").agg(F.max("score").alias("score"), F.min("at").alias("at"))
     w = Window.partitionBy("entity").orderBy(F.desc("score"), "at", "value")
-    prefix = F.create_map(*[F.lit(x) for kv in NUMBERED.items() for x in kv])[F.col("entity")]
+    prefix = _lookup(NUMBERED)
     offset = F.coalesce(F.create_map(*[F.lit(x) for kv in (start or {"-": 0}).items() for x in kv])[F.col("entity")], F.lit(0))
     n = F.row_number().over(w) + offset
     number = F.concat(prefix, F.when(n < 10, F.concat(F.lit("0"), n.cast("string"))).otherwise(n.cast("string")))
     # Only names, places and institutions are numbered; the rest needs no order.
     numbered = first.where(prefix.isNotNull()).withColumn("pseudonym", number)
-    fixed = first.where(prefix.isNull()).withColumn("pseudonym", F.concat(F.lit("["), F.col("entity"), F.lit("]")))
+    fixed = first.withColumn("pseudonym", _lookup(TOKENS)).where("pseudonym IS NOT NULL")
     return numbered.unionByName(fixed).select(F.col("value").alias("original"), "pseudonym", F.col("entity").alias("type"))
 
 

@@ -8,13 +8,24 @@ from pyspark.sql.window import Window
 
 from auditloom.functions.text import fingerprint, floor_percent
 
-CLAIM_KINDS = "map_cell direct_quote statistic theory method context gap definition".split()
-STANCES = "supports contradicts context".split()
+# What a record of evidence may say, and an audit of one.
+ANCHOR_SCHEMA = "claim-anchor/v1"
+CLAIM_KINDS = "prose_sentence map_cell hypothesis mechanism_status magnitude theory_attribution gap_claim reading_list".split()
+STANCES = "supports contradicts qualifies".split()
+EVIDENCE_FORMS = "source_verbatim abstract_verbatim kg_paraphrase metadata_only".split()
+ACCESS_TIERS = "T0_kg_fulltext T1_fulltext T2_oa_fulltext T3_abstract T4_none".split()
+FULL_TEXT_TIERS = ACCESS_TIERS[:3]
+TIER_RANK = {"T1_fulltext": 0, "T2_oa_fulltext": 1, "T0_kg_fulltext": 2, "T3_abstract": 3, "T4_none": 4}
+AUDIT_SCHEMA = "claim-audit-record/v1"
 VERDICT_SEVERITY = {
-    "VERIFIED": "NONE", "REVERSED": "HIGH", "MISCHARACTERIZED": "HIGH", "OVERCAUSAL": "HIGH", "UNSUPPORTED": "HIGH",
-    "WRONG_POPULATION": "MEDIUM", "IMPRECISE": "LOW", "NOT_CHECKABLE": "LOW", "METADATA_ONLY": "LOW",
+    "CLAIM-REVERSED": "HIGH", "CLAIM-UNSUPPORTED": "HIGH", "CLAIM-MISCHARACTERIZED": "MED", "CLAIM-OVERCAUSAL": "MED", "CLAIM-WRONG-POPULATION": "MED",
+    "CLAIM-IMPRECISE": "MED", "CLAIM-VERIFIED": "OK", "CLAIM-NOT-A-CLAIM": "OK", "CLAIM-NOT-CHECKABLE": "UNVERIFIABLE",
 }
+ACTION_VERDICTS = "CLAIM-REVERSED CLAIM-UNSUPPORTED CLAIM-MISCHARACTERIZED CLAIM-OVERCAUSAL CLAIM-WRONG-POPULATION".split()
+AUDIT_REQUIRED = "claim_id cite_key manuscript_loc manuscript_quote citation_function sentence_verdict severity access_tier_max".split()
 ANCHOR_ID = r"^[a-z0-9_-]+-[0-9a-f]{8}$"
+CITING = r"\(([A-Z][A-Za-z-]+[^)]*[12][0-9]{3}[a-z]?)\)|\[@[a-zA-Z]"
+TAG = r"<!--[ \t]*ev:[ \t]*[a-z0-9_, \t-]*-->"
 
 
 def last_wins(records: DataFrame, key: str, order: list[str]) -> DataFrame:
@@ -40,11 +51,11 @@ def anchor_id(cite_key: Column, quote_sha256: Column, source_loc: Column) -> Col
 
 def anchor_problems(anchors: DataFrame) -> DataFrame:
     """``anchors`` with ``problems``: what each record fails; an unreadable one fails at once."""
-    c, filled = F.col, lambda k: F.coalesce(F.trim(F.col(k)) != "", F.lit(False))
+    c, filled = F.col, lambda k: F.length(F.col(k)) > 0
     checks = {
-        "schema": c("schema") == "claim-anchor/v1", "anchor_id": c("anchor_id").rlike(ANCHOR_ID), "cite_key": filled("cite_key"),
-        "claim_kind": c("claim_kind").isin(CLAIM_KINDS), "stance": c("stance").isin(STANCES), "evidence_quote": filled("evidence_quote"),
-        "access_tier": c("access_tier").rlike("^T[0-4]"), "produced_by": filled("produced_by"), "ts": c("ts").rlike(r"^\d{4}-\d{2}-\d{2}T"),
+        "schema": c("schema") == ANCHOR_SCHEMA, "anchor_id": c("anchor_id").rlike(ANCHOR_ID), "cite_key": filled("cite_key"),
+        "claim_kind": c("claim_kind").isin(CLAIM_KINDS), "stance": c("stance").isin(STANCES), "evidence_form": c("evidence_form").isin(EVIDENCE_FORMS),
+        "access_tier": c("access_tier").isin(ACCESS_TIERS), "produced_by": filled("produced_by"), "ts": filled("ts"),
     }
     failed = F.array_compact(F.array(*[F.when(~F.coalesce(ok, F.lit(False)), F.lit(k)) for k, ok in checks.items()]))
     return anchors.withColumn("problems", F.when(c("_corrupt").isNotNull(), F.array(F.lit("unparseable"))).otherwise(failed))
@@ -78,12 +89,24 @@ def tags(lines: DataFrame, line: str = "line") -> DataFrame:
     return lines.select("*", F.explode(ids).alias("anchor_id"))
 
 
+def tag_coverage(lines: DataFrame, line: str = "line", least: int = 60) -> DataFrame:
+    """``citing, tagged, pct, verdict``: lines that cite and how many of them carry an evidence tag.
+
+    Below ``least`` percent is YELLOW; where nothing is cited there is nothing to cover.
+    """
+    cites, has_tag = F.col(line).rlike(CITING), F.col(line).rlike(TAG)
+    citing, tagged = F.count_if(cites), F.count_if(cites & has_tag)
+    pct = floor_percent(tagged, citing)
+    return lines.agg(citing.alias("citing"), tagged.alias("tagged"), pct.alias("pct"), F.when(pct < least, "YELLOW").otherwise("GREEN").alias("verdict"))
+
+
 def adjacent(tagged: DataFrame, anchors: DataFrame, line: str = "line") -> DataFrame:
-    """Whether a tag's author and year stand in its line, comments left out."""
+    """Whether a tag's author and year stand in its line, comments left out; a key may lack either."""
     bare = F.lower(F.regexp_replace(line, r"<!--[^>]*-->", ""))
     keyed = tagged.join(anchors.select("anchor_id", "cite_key"), "anchor_id", "left")
-    author, year = F.lower(F.regexp_extract("cite_key", r"^([A-Za-z]+)", 1)), F.regexp_extract("cite_key", r"([0-9]{4})", 1)
-    return keyed.withColumn("adjacent", F.coalesce(bare.contains(author) & bare.contains(year) & (author != ""), F.lit(False)))
+    author, year = F.regexp_replace(F.lower("cite_key"), r"[0-9].*$", ""), F.regexp_extract("cite_key", r"([12][0-9]{3})", 1)
+    there = bare.contains(author) & bare.contains(year)
+    return keyed.withColumn("adjacent", F.coalesce(there, F.lit(False)))
 
 
 def reconcile(draft: DataFrame, audited: DataFrame) -> DataFrame:
@@ -119,7 +142,7 @@ def brief(anchors: DataFrame) -> DataFrame:
     Ranks run within each of the dozen classes and are shifted by the sizes of those before,
     so no single task orders all anchors.
     """
-    tier = F.element_at(F.create_map(*[F.lit(x) for k, v in {"T1": 0, "T2": 1, "T0": 2, "T3": 3, "T4": 4}.items() for x in (k, v)]), F.substring("access_tier", 1, 2))
+    tier = F.create_map(*[F.lit(x) for kv in TIER_RANK.items() for x in kv])[F.col("access_tier")]
     classed = anchors.withColumn("_c", F.when(F.col("verified"), 0).otherwise(10) + F.coalesce(tier, F.lit(9)))
     sizes = classed.groupBy("_c").agg(F.count("*").alias("_n"))
     before = F.coalesce(F.sum("_n").over(Window.orderBy("_c").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
@@ -132,15 +155,17 @@ def audit_problems(audits: DataFrame) -> DataFrame:
     """Audit records with ``problems`` by the seven consistency rules."""
     c, subs = F.col, F.coalesce(F.col("sub_claims"), F.array())
     severity = F.create_map(*[F.lit(x) for kv in VERDICT_SEVERITY.items() for x in kv])[c("sentence_verdict")]
-    filled = lambda k: F.coalesce(F.trim(F.col(k)) != "", F.lit(False))
-    unquoted = F.exists(subs, lambda s: s["verdict"].isin("SUPPORTED", "CONTRADICTED") & ~F.coalesce(F.trim(s["evidence_quote"]) != "", F.lit(False)))
+    complete = F.forall(F.array(*[c(k) for k in AUDIT_REQUIRED]), lambda x: F.coalesce(F.length(x) > 0, F.lit(False)))
+    unquoted = F.exists(subs, lambda s: s["verdict"].isin("SUPPORTED", "CONTRADICTED") & (F.length(F.coalesce(s["evidence_quote"], F.lit(""))) == 0))
+    said = c("sentence_verdict").eqNullSafe
     rules = {
-        "R1 schema": c("schema") == "claim-audit-record/v1",
-        "R2 required": filled("claim_id") & filled("cite_key") & filled("manuscript_quote") & (F.size(subs) > 0) & c("evidence_retrieved").isNotNull(),
-        "R3 severity": severity == c("severity"),
+        "R1 schema": c("schema") == AUDIT_SCHEMA,
+        "R2 required": complete & (F.size(subs) > 0) & c("evidence_retrieved").isNotNull(),
+        "R3 verdict": severity.isNotNull(),
+        "R3 severity": severity.isNull() | (severity == c("severity")),
         "R4 quote": ~unquoted,
-        "R5 tier": (c("sentence_verdict") != "UNSUPPORTED") | c("access_tier_max").rlike("^T[0-2]"),
-        "R6 retrieval": (c("sentence_verdict") != "VERIFIED") | c("evidence_retrieved"),
+        "R5 tier": ~said("CLAIM-UNSUPPORTED") | c("access_tier_max").isin(FULL_TEXT_TIERS),
+        "R6 retrieval": ~said("CLAIM-VERIFIED") | c("evidence_retrieved"),
         "R7 anchors": F.forall(F.coalesce(c("anchor_refs"), F.array()), lambda r: r.rlike(ANCHOR_ID)),
     }
     failed = F.array_compact(F.array(*[F.when(~F.coalesce(ok, F.lit(False)), F.lit(k)) for k, ok in rules.items()]))
@@ -153,15 +178,50 @@ def audit_verdict(checked: DataFrame) -> DataFrame:
     return checked.agg(n.alias("records"), bad.alias("failed"), F.when((n == 0) | (bad > 0), "RED").otherwise("GREEN").alias("verdict"))
 
 
-def action_required(audits: DataFrame, stale: DataFrame) -> DataFrame:
-    """What needs a hand: high severity, stale sentences, unmatched or metadata-only claims."""
-    pick = lambda cond, why: audits.where(cond).select("claim_id", F.lit(why).alias("reason"))
-    return (
-        pick(F.col("severity") == "HIGH", "high severity")
-        .unionByName(pick(F.col("unmatched_reason").isNotNull(), "unmatched"))
-        .unionByName(pick(F.col("sentence_verdict") == "METADATA_ONLY", "metadata only"))
-        .unionByName(stale.select("claim_id", F.lit("stale").alias("reason")))
-    )
+def action_required(audits: DataFrame, anchors: DataFrame, tagged: DataFrame, draft: DataFrame | None = None) -> DataFrame:
+    """``reason, id, cite_key``: what needs a hand.
+
+    Audited claims of high severity or a verdict that asks for a change; where a draft is
+    given (``sentence``), audited claims whose fingerprint it no longer has; tags
+    (``anchor_id``) that no active anchor has; anchors that rest on metadata alone.
+    """
+    wanted = (F.col("severity") == "HIGH") | F.col("sentence_verdict").isin(ACTION_VERDICTS)
+    out = audits.where(wanted).select(F.lit("verdict").alias("reason"), F.col("claim_id").alias("id"), "cite_key")
+    if draft is not None:
+        now = draft.select(fingerprint(F.col("sentence")).alias("claim_fingerprint")).distinct()
+        gone = audits.where(F.length("claim_fingerprint") > 0).join(now, "claim_fingerprint", "left_anti")
+        out = out.union(gone.select(F.lit("stale"), "claim_id", "cite_key"))
+    loose = tagged.select("anchor_id").distinct().join(anchors.select("anchor_id"), "anchor_id", "left_anti")
+    weak = anchors.where((F.col("evidence_form") == "metadata_only") | (F.col("access_tier") == "T4_none"))
+    return out.union(loose.select(F.lit("unmatched tag"), "anchor_id", F.lit(None).cast("string"))).union(weak.select(F.lit("metadata only"), "anchor_id", "cite_key"))
+
+
+def metadata_rate(anchors: DataFrame, producer: str, most: int = 40) -> DataFrame:
+    """``n, pct, warns``: the share of a producer's anchors that rest on metadata alone; null without any."""
+    own = anchors.where(F.col("produced_by") == producer)
+    weak = F.count_if((F.col("evidence_form") == "metadata_only") | (F.col("access_tier") == "T4_none"))
+    pct = floor_percent(weak, F.count("*"))
+    return own.agg(F.count("*").alias("n"), pct.alias("pct"), F.coalesce(pct > most, F.lit(False)).alias("warns"))
+
+
+def audit_coverage(tagged: DataFrame, audited: DataFrame, least: int = 70) -> DataFrame:
+    """``tagged, audited, pct, verdict``: distinct tagged ids and how many of them an audit refers to."""
+    ids = tagged.select("anchor_id").distinct()
+    known = audited.select("anchor_id").distinct().withColumn("_hit", F.lit(True))
+    n, hit = F.count("*"), F.count("_hit")
+    pct = floor_percent(hit, n)
+    return ids.join(known, "anchor_id", "left").agg(n.alias("tagged"), hit.alias("audited"), pct.alias("pct"), F.when(n == 0, "INERT").when(pct < least, "YELLOW").otherwise("GREEN").alias("verdict"))
+
+
+def dashboard(records: DataFrame, keys: list[str]) -> DataFrame:
+    """``keys, level, n``: counts by each key and in all; a missing value shows as ``?``, one that was summed over as ``(all)``.
+
+    ``level`` has a bit for each key that was summed over, so the two can't be mixed up.
+    """
+    columns = [F.col(k) for k in keys]
+    sets = records.groupingSets([[c] for c in columns] + [columns, []], *columns).agg(F.grouping_id().alias("level"), F.count("*").alias("n"))
+    bit = lambda i: F.col("level").bitwiseAND(F.lit(1 << (len(keys) - 1 - i))) > 0
+    return sets.select(*[F.when(bit(i), "(all)").otherwise(F.coalesce(k, F.lit("?"))).alias(k) for i, k in enumerate(keys)], F.col("level").cast("long").alias("level"), "n")
 
 
 def chosen_audit(files: DataFrame, pointer: str | None = None) -> DataFrame:

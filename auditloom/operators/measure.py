@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
+import json
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 from pyspark.sql.window import Window
 
+from auditloom.functions.text import few
+
 
 def scored(gold: DataFrame, predictions: DataFrame, key: str) -> DataFrame:
     """Gold rows with their prediction and ``why``, the reason a row can't be scored.
@@ -20,10 +27,12 @@ def scored(gold: DataFrame, predictions: DataFrame, key: str) -> DataFrame:
 def kappa(rows: DataFrame) -> DataFrame:
     """Coverage, observed and chance agreement and Cohen's kappa of ``gold, pred, why``.
 
-    A kappa that is undefined (chance agreement of one) is null and fails.
+    Rows without a gold label stand outside the count of gold. A kappa that is undefined
+    (chance agreement of one) is null and fails.
     """
     ok = rows.where("why IS NULL")
-    n = rows.agg(F.count("*").alias("n_gold"), F.count_if(F.col("why").isNull()).alias("n_scored"))
+    labelled = F.coalesce(F.col("why") != "gold_empty", F.lit(True))
+    n = rows.agg(F.count_if(labelled).alias("n_gold"), F.count_if(F.col("why").isNull()).alias("n_scored"))
     g = ok.groupBy(F.col("gold").alias("v")).agg(F.count("*").alias("g"))
     p = ok.groupBy(F.col("pred").alias("v")).agg(F.count("*").alias("p"))
     chance = g.join(p, "v", "left").agg(F.sum(F.col("g") * F.coalesce("p", F.lit(0))).alias("s"))
@@ -34,14 +43,50 @@ def kappa(rows: DataFrame) -> DataFrame:
     return one.select("n_gold", "n_scored", F.try_divide("n_scored", "n_gold").alias("coverage"), "po", "pe", F.when(F.col("pe") < 1, (F.col("po") - F.col("pe")) / (1 - F.col("pe"))).alias("kappa"))
 
 
-def kappa_gate(result: DataFrame, least_kappa: float = 0.70, least_coverage: float = 0.95) -> DataFrame:
+def kappa_gate(result: DataFrame, least_kappa: float = 0.70, least_coverage: float = 0.95, allow_zero_coverage: bool = False) -> DataFrame:
+    """``result`` with ``reason, verdict, coverage_waived``; a coverage of nothing asked must be waived by name."""
     if not (0 <= least_kappa <= 1 and 0 <= least_coverage <= 1):
         raise ValueError("thresholds lie between 0 and 1")
+    disabled = least_coverage == 0 and not allow_zero_coverage
     reason = (
-        F.when(F.col("n_scored") == 0, "nothing scored").when(F.col("coverage") < least_coverage, "coverage")
+        F.when(F.lit(disabled), "coverage check disabled").when(F.col("n_scored") == 0, "nothing scored").when(F.col("coverage") < least_coverage, "coverage")
         .when(F.col("kappa").isNull() | F.isnan("kappa"), "kappa undefined").when(F.col("kappa") < least_kappa, "kappa")
     )
-    return result.withColumn("reason", reason).withColumn("verdict", F.when(F.col("reason").isNull(), "GREEN").otherwise("RED"))
+    waived = F.lit(least_coverage == 0 and allow_zero_coverage)
+    return result.withColumn("reason", reason).withColumn("verdict", F.when(F.col("reason").isNull(), "GREEN").otherwise("RED")).withColumn("coverage_waived", waived)
+
+
+def duplicate_ids(rows: DataFrame, key: str) -> DataFrame:
+    """``key, n``: ids that stand more than once; they would weigh a label twice."""
+    return rows.groupBy(key).agg(F.count("*").alias("n")).where("n > 1")
+
+
+def agreement(gold: DataFrame, predictions: DataFrame, key: str, fields: list[str], primary_only: bool = False, **limits) -> DataFrame:
+    """``field, n_gold, n_scored, coverage, kappa, reason, verdict``: every field, each by its own kappa.
+
+    ``gold`` and ``predictions`` have the key and the fields. No field, the key as a field, and
+    ids that repeat in gold are RED, with their reason. ``primary_only`` lets only the first
+    field decide; the others keep their figures and read as ``not gated``. Empty strings are
+    missing labels.
+    """
+    spark, schema = gold.sparkSession, "field string, n_gold long, n_scored long, coverage double, kappa double, reason string, verdict string"
+    wanted = [f for f in fields if f]
+    if not wanted:
+        return spark.createDataFrame([("-", 0, 0, None, None, "no fields to validate", "RED")], schema)
+    if key in wanted:
+        return spark.createDataFrame([(key, 0, 0, None, None, "the key is no field", "RED")], schema)
+    doubled = duplicate_ids(gold, key).agg(F.count("*").alias("_d"))
+    filled = lambda df, f, name: df.select(key, F.when(F.col(f).cast("string") != "", F.col(f).cast("string")).alias(name))
+    out = None
+    for i, f in enumerate(wanted):
+        pairs = scored(filled(gold, f, "gold"), filled(predictions, f, "pred").dropDuplicates([key]), key)
+        one = kappa_gate(kappa(pairs), **limits).crossJoin(doubled)  # one row each
+        reason = F.when(F.col("_d") > 0, "duplicate ids").otherwise(F.col("reason"))
+        free = primary_only and i > 0
+        verdict = F.lit("not gated") if free else F.when(reason.isNull(), "GREEN").otherwise("RED")
+        row = one.select(F.lit(f).alias("field"), "n_gold", "n_scored", F.col("coverage").cast("double").alias("coverage"), F.col("kappa").cast("double").alias("kappa"), reason.alias("reason"), verdict.alias("verdict"))
+        out = row if out is None else out.unionByName(row)
+    return out
 
 
 def hash_sample(df: DataFrame, key: str, n: int, seed: int) -> DataFrame:
@@ -50,26 +95,58 @@ def hash_sample(df: DataFrame, key: str, n: int, seed: int) -> DataFrame:
     return df.withColumn("_h", h).orderBy("_h", key).limit(n).drop("_h")
 
 
-def two_rater_suite(rows: DataFrame, a: str, b: str) -> DataFrame:
-    """Krippendorff's nominal alpha, Cohen's kappa, Gwet's AC1 and Scott's pi for two raters."""
-    pairs = rows.where(F.col(a).isNotNull() & F.col(b).isNotNull())
-    n = pairs.agg(F.count("*").alias("n"), F.count_if(F.col(a) == F.col(b)).alias("agree"))
-    both = pairs.select(F.explode(F.array(a, b)).alias("v"))
-    pooled = both.groupBy("v").agg(F.count("*").alias("c"))
-    sums = pooled.agg(F.sum(F.col("c") * (F.col("c") - 1)).alias("cc"), F.sum(F.col("c") * F.col("c")).alias("c2"), F.count("*").alias("q"))
-    one = n.crossJoin(sums)
-    total = F.col("n") * 2
-    do = 1 - F.col("agree") / F.col("n")
-    de = 1 - F.col("cc") / (total * (total - 1))
-    pe_pi = F.col("c2") / (total * total)
-    pe_ac = (1 - pe_pi) / (F.col("q") - 1)
-    po = F.col("agree") / F.col("n")
-    return one.select("n", po.alias("po"), F.when(de > 0, 1 - do / de).alias("alpha"), F.when(pe_pi < 1, (po - pe_pi) / (1 - pe_pi)).alias("fleiss"), F.when((F.col("q") > 1) & (pe_ac < 1), (po - pe_ac) / (1 - pe_ac)).alias("ac1"))
+def sample_design(n: int, pool: int, seed: int, key: str, strata: str | None = None) -> str:
+    """What a sample was drawn by, as the JSON of its sidecar."""
+    return json.dumps({"n": n, "pool": pool, "seed": seed, "key": key, "strata": strata, "order": "sha256(key:seed)"}, sort_keys=True)
+
+
+def stratified_sample(df: DataFrame, key: str, strata: str, n: int, seed: int) -> DataFrame:
+    """The n rows of least seeded hash in each stratum."""
+    h = F.sha2(F.concat(F.col(key).cast("string"), F.lit(f":{seed}")), 256)
+    w = Window.partitionBy(strata).orderBy(h, key)
+    return df.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= n).drop("_r")
+
+
+def rater_suite(rows: DataFrame, raters: list[str]) -> DataFrame:
+    """``n, po, alpha, fleiss, ac1`` of two or more raters on nominal labels.
+
+    Krippendorff's alpha takes every item that two raters or more have labelled; Fleiss'
+    kappa and Gwet's AC1 take the items that all have labelled, ``n`` of them, and ``po`` is
+    their observed agreement.
+    """
+    k = len(raters)
+    if k < 2:
+        raise ValueError("agreement takes two raters or more")
+    labels = F.filter(F.array(*[F.col(r).cast("string") for r in raters]), lambda x: x.isNotNull())
+    items = rows.select(labels.alias("_l")).where(F.size("_l") >= 2).withColumn("_m", F.size("_l"))
+    # How many ordered pairs of an item's labels agree, by counts of each distinct label.
+    same = F.aggregate(F.array_distinct("_l"), F.lit(0), lambda acc, v: acc + F.size(F.filter("_l", lambda x: x == v)) * (F.size(F.filter("_l", lambda x: x == v)) - 1))
+    items = items.withColumn("_s", same)
+    full = F.col("_m") == k
+    agreed = F.col("_s") / (F.col("_m") * (F.col("_m") - 1))
+    one = items.agg(F.count_if(full).alias("n"), F.avg(F.when(full, agreed)).alias("po"), F.sum("_m").alias("_all"), F.sum(F.col("_s") / (F.col("_m") - 1)).alias("_ok"))
+    pooled = items.select(F.explode("_l").alias("v"), full.alias("f")).groupBy("v").agg(F.count("*").alias("c"), F.count_if("f").alias("c2"))
+    sums = pooled.agg(F.sum(F.col("c") * (F.col("c") - 1)).alias("_cc"), F.sum(F.col("c2") * F.col("c2")).alias("_c2"), F.count_if(F.col("c2") > 0).alias("_q"))
+    one = one.crossJoin(sums)  # one row each
+    expected = 1 - F.try_divide(F.col("_cc"), F.col("_all") * (F.col("_all") - 1))
+    observed = 1 - F.try_divide(F.col("_ok"), F.col("_all"))
+    chance = F.try_divide(F.col("_c2"), F.col("n") * k * F.col("n") * k)
+    gwet = F.try_divide(1 - chance, F.col("_q") - 1)
+    return one.select(
+        "n", "po", F.when(expected > 0, 1 - observed / expected).alias("alpha"), F.when(chance < 1, (F.col("po") - chance) / (1 - chance)).alias("fleiss"),
+        F.when((F.col("_q") > 1) & (gwet < 1), (F.col("po") - gwet) / (1 - gwet)).alias("ac1"),
+    )
+
+
+#: Cells of a grid of attributes; a larger one is a mistake, not a table.
+CELLS = 100_000
 
 
 def rake(cells: DataFrame, margins: dict[str, dict[str, float]], rounds: int = 50) -> list[dict]:
-    """Iterative proportional fitting of a small grid of cells to marginals, on the driver."""
-    rows = [r.asDict() | {"w": 1.0} for r in cells.limit(100_000).collect()]
+    """Iterative proportional fitting of a small grid of cells to marginals, on the driver; a large grid raises an error."""
+    rows = [r.asDict() | {"w": 1.0} for r in cells.limit(CELLS + 1).collect()]
+    if len(rows) > CELLS:
+        raise ValueError(f"a grid may have {CELLS} cells at most")
     for _ in range(rounds):
         for axis, want in margins.items():
             have: dict = {}
@@ -82,13 +159,45 @@ def rake(cells: DataFrame, margins: dict[str, dict[str, float]], rounds: int = 5
 
 
 def draw_personas(weighted: DataFrame, n: int, seed: int) -> DataFrame:
-    """``n`` seeded draws from weighted cells: a running weight met by a range join."""
-    w = Window.orderBy(*[c for c in weighted.columns if c != "w"]).rowsBetween(Window.unboundedPreceding, 0)
-    upto = weighted.withColumn("hi", F.sum("w").over(w)).withColumn("lo", F.col("hi") - F.col("w"))
-    total = weighted.agg(F.sum("w")).first()[0]
-    u = F.conv(F.substring(F.sha2(F.concat(F.col("id").cast("string"), F.lit(f":{seed}")), 256), 1, 13), 16, 10).cast("double") / float(16**13) * total
-    draws = weighted.sparkSession.range(n).withColumn("u", u)
-    return draws.join(F.broadcast(upto), (F.col("u") >= F.col("lo")) & (F.col("u") < F.col("hi"))).drop("u", "lo", "hi", "w")
+    """``n`` seeded draws from weighted cells: a number from 0 to the total falls into one cell's stretch of it.
+
+    Cells are a grid that ``rake`` bounds, so their running weights are one array, in which
+    draws find their place by bisection.
+    """
+    spark, cells = weighted.sparkSession, [f for f in weighted.schema.fields if f.name != "w"]
+    rows = sorted(weighted.limit(CELLS + 1).collect(), key=lambda r: tuple(repr(r[f.name]) for f in cells))
+    if len(rows) > CELLS:
+        raise ValueError(f"a grid may have {CELLS} cells at most")
+    ends = np.cumsum([float(r["w"]) for r in rows])
+
+    @F.pandas_udf("int")
+    def place(u: pd.Series) -> pd.Series:
+        return pd.Series(np.minimum(np.searchsorted(ends, u * ends[-1], side="right"), len(ends) - 1))
+
+    grid = spark.createDataFrame([(i, *[r[f.name] for f in cells]) for i, r in enumerate(rows)], StructType([StructField("_i", IntegerType()), *cells]))
+    u = F.conv(F.substring(F.sha2(F.concat(F.col("id").cast("string"), F.lit(f":{seed}")), 256), 1, 13), 16, 10).cast("double") / float(16**13)
+    return spark.range(n if rows else 0).withColumn("_i", place(u)).join(F.broadcast(grid), "_i").drop("_i")
+
+
+def fan_out(conditions: DataFrame, personas: DataFrame, items: DataFrame, repetitions: int = 1) -> DataFrame:
+    """``custom_id, condition, persona_id, item_id, rep``: every request of a design; nothing is sent.
+
+    Conditions and items are short declared lists, held as two arrays; personas may be many
+    and stay where they are.
+    """
+    lists = few(conditions).agg(F.sort_array(F.collect_list("condition")).alias("_c")).crossJoin(few(items).agg(F.sort_array(F.collect_list("item_id")).alias("_i")))
+    rows = personas.select("persona_id").crossJoin(F.broadcast(lists)).withColumn("condition", F.explode("_c")).withColumn("item_id", F.explode("_i"))  # one row
+    rows = rows.withColumn("rep", F.explode(F.sequence(F.lit(0), F.lit(repetitions - 1))))
+    return rows.select(F.concat_ws("|", "condition", "persona_id", "item_id", F.concat(F.lit("r"), F.col("rep").cast("string"))).alias("custom_id"), "condition", "persona_id", "item_id", "rep")
+
+
+def request_estimate(conditions: DataFrame, personas: DataFrame, items: DataFrame, repetitions: int, cost_each: float, cap: float | None = None) -> DataFrame:
+    """``n_requests, cost, within_cap`` by counting the lists alone."""
+    n = lambda df, name: df.agg(F.count("*").alias(name))
+    one = n(conditions, "_c").crossJoin(n(personas, "_p")).crossJoin(n(items, "_i"))  # one row each
+    total = F.col("_c") * F.col("_p") * F.col("_i") * repetitions
+    cost = total * cost_each
+    return one.select(total.alias("n_requests"), cost.alias("cost"), (cost <= cap if cap is not None else F.lit(True)).alias("within_cap"))
 
 
 def fidelity(values: DataFrame, item: str, group: str, value: str, left, right, bins: int = 10, width: float | None = None) -> DataFrame:
@@ -108,6 +217,35 @@ def fidelity(values: DataFrame, item: str, group: str, value: str, left, right,
     return means.join(ks, "item").join(jsd, "item").select("item", (F.col("ml") - F.col("mr")).alias("mean_diff"), "ks", "jsd", F.col("nl").cast("long").alias("n_left"), F.col("nr").cast("long").alias("n_right"))
 
 
+def fidelity_gate(
+    values: DataFrame, items: DataFrame, item: str, group: str, value: str, left, right,
+    most_mean: float = 0.5, most_ks: float = 0.3, most_jsd: float = 0.1, least_pass: float = 0.8, least_coverage: float = 0.8,
+    subgroup: str | None = None, least_r: float = 0.5, allow_missing_subgroup: bool = False,
+) -> DataFrame:
+    """``items, item_pass_rate, coverage, subgroup_r, reason, verdict`` of simulated (left) against human (right) values.
+
+    ``items`` is what ``fidelity`` gives. An item passes with mean difference, KS and JSD
+    within their limits; it is covered where the simulated mean lies within two standard
+    errors of the human one. ``subgroup_r`` correlates the means of (item, subgroup); where
+    it can't be computed the gate fails unless that is allowed by name.
+    """
+    v = values.where(F.col(group).isin(left, right)).select(F.col(item).alias("item"), (F.col(group) == left).alias("l"), F.col(value).cast("double").alias("x"), (F.col(subgroup) if subgroup else F.lit(None).cast("string")).alias("s"))
+    m = v.groupBy("item").agg(F.avg(F.when(F.col("l"), F.col("x"))).alias("ml"), F.avg(F.when(~F.col("l"), F.col("x"))).alias("mr"), F.stddev_samp(F.when(~F.col("l"), F.col("x"))).alias("sd"), F.count_if(~F.col("l")).alias("nr"))
+    inside = m.select("item", F.coalesce(F.abs(F.col("ml") - F.col("mr")) <= 2 * F.col("sd") / F.sqrt("nr"), F.lit(False)).alias("covered"))
+    good = (F.abs("mean_diff") <= most_mean) & (F.col("ks") <= most_ks) & (F.col("jsd") <= most_jsd)
+    per = items.join(inside, "item").select(F.coalesce(good, F.lit(False)).alias("good"), "covered")
+    one = per.agg(F.count("*").alias("items"), F.avg(F.col("good").cast("double")).alias("item_pass_rate"), F.avg(F.col("covered").cast("double")).alias("coverage"))
+    cells = v.where("s IS NOT NULL").groupBy("item", "s").agg(F.avg(F.when(F.col("l"), F.col("x"))).alias("a"), F.avg(F.when(~F.col("l"), F.col("x"))).alias("b"))
+    pairs = cells.where("a IS NOT NULL AND b IS NOT NULL")
+    r = pairs.agg(F.when((F.count("*") > 1) & (F.stddev_samp("a") > 0) & (F.stddev_samp("b") > 0), F.corr("a", "b")).alias("subgroup_r"))
+    one = one.crossJoin(r)  # one row each
+    reason = (
+        F.when(F.col("items") == 0, "no items").when(F.col("item_pass_rate") < least_pass, "item pass rate").when(F.col("coverage") < least_coverage, "coverage")
+        .when(F.col("subgroup_r").isNull(), F.lit(None).cast("string") if allow_missing_subgroup else "no subgroup correlation").when(F.col("subgroup_r") < least_r, "subgroup correlation")
+    )
+    return one.withColumn("reason", reason).withColumn("verdict", F.when(F.col("reason").isNull(), "PASS").otherwise("FAIL"))
+
+
 def drift(declared: Column, found: Column) -> Column:
     """RED where a constant differs or isn't a finite number; null where it isn't found."""
     bad = F.isnan(declared) | F.isnan(found) | (F.abs(declared) == float("inf")) | (F.abs(declared - found) > 1e-12)
@@ -176,6 +314,30 @@ def undeclared_literals(scripts: DataFrame, declared: DataFrame) -> DataFrame:
     return looks.join(declared.select("name").distinct(), "name", "left_anti")
 
 
+#: The version of a validation report that this engine writes and reads.
+REPORT_VERSION = 2
+
+
+def report_json(fields: DataFrame, instrument_id: str | None = None, waived: bool = False) -> DataFrame:
+    """``report``: one strict JSON of the fields' figures; what is no number is null, never NaN."""
+    plain = lambda c: F.when(~F.isnan(c), F.col(c)).alias(c)
+    numbers = {f.name for f in fields.schema.fields if f.dataType.simpleString() == "double"}
+    rows = fields.select(F.struct(*[plain(c) if c in numbers else F.col(c) for c in fields.columns]).alias("f"))
+    listed = rows.agg(F.sort_array(F.collect_list("f")).alias("fields"))
+    instrument = F.struct(F.lit(instrument_id is not None).alias("declared"), F.lit(waived).alias("waived"), F.lit(instrument_id).alias("instrument_id"))
+    body = F.struct(F.lit(REPORT_VERSION).alias("schema_version"), F.col("fields"), instrument.alias("instrument"))
+    return listed.select(F.to_json(body, {"ignoreNullFields": "false"}).alias("report"))
+
+
+def report_problem(report: Column) -> Column:
+    """Why a report can't be used, or null: not strict JSON, another version, no fields."""
+    version = F.get_json_object(report, "$.schema_version")
+    return (
+        F.when(F.json_object_keys(report).isNull() | report.rlike(r"[:\[,]\s*-?(NaN|Infinity)"), "not strict JSON").when(~F.coalesce(version == str(REPORT_VERSION), F.lit(False)), "another version")
+        .when(F.coalesce(F.json_array_length(F.get_json_object(report, "$.fields")), F.lit(0)) == 0, "no fields")
+    )
+
+
 def instrument_state(reports: DataFrame) -> DataFrame:
     """``reports(report, json)``: an instrument declared, waived (YELLOW) or absent (RED).
 

@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BLOCKING = r"(?i)^[ #*>-]*(verdict|overall|status)[ *:]+.*(BLOCK|FAIL|RED)"
+from auditloom.functions.text import few
+
+# The labels and the verdicts of a line that blocks.
+BLOCKING = r"([Oo]verall[ \t]+[Vv]erdict|^VERDICT)[ \t]*:[ \t]*(CRITICAL|HALT|FAIL|MAJOR[ \t]+ISSUES|FIXES[ \t]+NEEDED|DO[ \t]+NOT[ \t]+TRUST)"
 
 
 def required_coverage(required: DataFrame, dispatched: DataFrame, excused: DataFrame, key: str) -> DataFrame:
@@ -49,10 +52,12 @@ def broken_chain(manifests: DataFrame) -> DataFrame:
 
 
 def token_coverage(reports: DataFrame, required: DataFrame, text: str = "text") -> DataFrame:
-    """Without a manifest: lines that mention each required name, less those that excuse it."""
+    """Without a manifest: lines that mention each required name, less those that excuse it.
+
+    The required names are a declared handful; ``few`` checks that, as each line meets them all.
+    """
     lines = reports.select(F.explode(F.split(text, "\n")).alias("line"))
-    # The required names are a handful; each line is tested against them.
-    hits = lines.join(F.broadcast(required), F.expr("contains(line, name)"))
+    hits = lines.join(few(required), F.expr("contains(line, name)"))
     excuse = F.expr(r"line rlike concat('\\[EXCUSED:[^]]*\\][ \\t]+', name, '|', name, '[ \\t]+\\[EXCUSED:')")
     counts = hits.groupBy("name").agg(F.count("*").alias("total"), F.count_if(excuse).alias("excused"))
     out = required.join(counts, "name", "left").fillna(0, ["total", "excused"])

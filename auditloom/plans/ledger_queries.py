@@ -9,9 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auditloom.functions.text import floor_percent
 from auditloom.operators import ledger, prose, review, trace
-from auditloom.plans.registry import query, quoted
+from auditloom.plans.registry import query
 from auditloom.sources.tables import table
 
 
@@ -87,12 +86,10 @@ def dangling_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""WITH t AS (SELECT DISTINCT l_partkey AS id FROM lineitem WHERE l_returnflag = 'R'), a AS (SELECT DISTINCT p_partkey AS id FROM part WHERE p_size < 25)
-SELECT (SELECT count(*) FROM t) AS tagged, (SELECT count(*) FROM (SELECT id FROM t INTERSECT SELECT id FROM a)) AS audited, ((SELECT count(*) FROM (SELECT id FROM t INTERSECT SELECT id FROM a)) * 100 // (SELECT count(*) FROM t))::BIGINT AS pct""")
+SELECT tagged, audited, (audited * 100 // tagged)::BIGINT AS pct, CASE WHEN audited * 100 // tagged < 70 THEN 'YELLOW' ELSE 'GREEN' END AS verdict FROM (SELECT (SELECT count(*) FROM t) AS tagged, (SELECT count(*) FROM (SELECT id FROM t INTERSECT SELECT id FROM a)) AS audited)""")
 def audit_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tagged = table(spark, sf_dir, "lineitem").where("l_returnflag = 'R'").select(F.col("l_partkey").alias("id")).distinct()
-    audited = table(spark, sf_dir, "part").where("p_size < 25").select(F.col("p_partkey").alias("id")).distinct().withColumn("hit", F.lit(1))
-    both = tagged.join(audited, "id", "left")
-    return both.agg(F.count("*").alias("tagged"), F.count("hit").alias("audited"), floor_percent(F.count("hit"), F.count("*")).alias("pct"))
+    tagged = table(spark, sf_dir, "lineitem").where("l_returnflag = 'R'").select(F.col("l_partkey").alias("anchor_id"))
+    return ledger.audit_coverage(tagged, table(spark, sf_dir, "part").where("p_size < 25").select(F.col("p_partkey").alias("anchor_id")))
 
 
 @query("SELECT p_partkey AS anchor_id FROM part EXCEPT (SELECT l_partkey FROM lineitem WHERE l_shipdate < TIMESTAMP '1992-06-01' UNION SELECT l_suppkey FROM lineitem)")
@@ -102,10 +99,12 @@ def unused_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ledger.unused(table(spark, sf_dir, "part").select(F.col("p_partkey").alias("anchor_id")), early, items.select("l_suppkey"))
 
 
-@query("SELECT o_orderstatus, CASE WHEN count(*) > 0 THEN (count(*) FILTER (o_orderpriority LIKE '5%') * 100 // count(*))::BIGINT END AS pct, coalesce(count(*) FILTER (o_orderpriority LIKE '5%') * 100 // count(*) > 40, false) AS warns FROM orders GROUP BY o_orderstatus")
+@query("SELECT count(*) AS n, CASE WHEN count(*) > 0 THEN (count(*) FILTER (o_orderpriority LIKE '5%' OR o_custkey % 4 = 1) * 100 // count(*))::BIGINT END AS pct, coalesce(count(*) FILTER (o_orderpriority LIKE '5%' OR o_custkey % 4 = 1) * 100 // count(*) > 40, false) AS warns FROM orders WHERE o_orderstatus = 'F'")
 def metadata_only_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pct = floor_percent(F.count_if(F.col("o_orderpriority").startswith("5")), F.count("*"))
-    return table(spark, sf_dir, "orders").groupBy("o_orderstatus").agg(pct.alias("pct"), F.coalesce(pct > 40, F.lit(False)).alias("warns"))
+    form = F.when(F.col("o_orderpriority").startswith("5"), "metadata_only").otherwise("source_verbatim")
+    tier = F.when(F.col("o_custkey") % 4 == 1, "T4_none").otherwise("T1_fulltext")
+    anchors = table(spark, sf_dir, "orders").select(F.col("o_orderstatus").alias("produced_by"), form.alias("evidence_form"), tier.alias("access_tier"))
+    return ledger.metadata_rate(anchors, "F")
 
 
 _F = r"sha256(trim(regexp_replace(lower({}), '[ \t\n\r\f\x0b]+', ' ', 'g')))"
@@ -129,12 +128,11 @@ def section_running(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ledger.running_heading(marked, "doc_id").select("doc_id", F.col("line_no").cast("long").alias("line_no"), "section")
 
 
-@query("SELECT coalesce(event_type, '?') AS event_type, coalesce(day, '?') AS day, count(*) AS n FROM (SELECT event_type, strftime(ts, '%Y-%m-%d') AS day FROM events) GROUP BY GROUPING SETS ((event_type), (day), (event_type, day), ())")
+@query("""WITH e AS (SELECT CASE WHEN event_id % 9 <> 0 THEN event_type END AS event_type, strftime(ts, '%Y-%m-%d') AS day FROM events)
+SELECT CASE WHEN grouping(event_type) = 1 THEN '(all)' ELSE coalesce(event_type, '?') END AS event_type, CASE WHEN grouping(day) = 1 THEN '(all)' ELSE coalesce(day, '?') END AS day, grouping(event_type, day)::BIGINT AS level, count(*) AS n FROM e GROUP BY GROUPING SETS ((event_type), (day), (event_type, day), ())""")
 def ledger_dashboard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = table(spark, sf_dir, "events").select("event_type", F.date_format("ts", "yyyy-MM-dd").alias("day"))
-    e, d = F.col("event_type"), F.col("day")
-    sets = events.groupingSets([[e], [d], [e, d], []], e, d).agg(F.count("*").alias("n"))
-    return sets.select(F.coalesce("event_type", F.lit("?")).alias("event_type"), F.coalesce("day", F.lit("?")).alias("day"), "n")
+    kind = F.when(F.col("event_id") % 9 != 0, F.col("event_type"))
+    return ledger.dashboard(table(spark, sf_dir, "events").select(kind.alias("event_type"), F.date_format("ts", "yyyy-MM-dd").alias("day")), ["event_type", "day"])
 
 
 @query("SELECT n_name, array_to_string(list_sort(list(s_suppkey)), ',') AS suppliers FROM nation JOIN supplier ON s_nationkey = n_nationkey GROUP BY n_name")
@@ -147,7 +145,7 @@ def source_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT p_partkey AS anchor_id, row_number() OVER (ORDER BY CASE WHEN p_size > 25 THEN 0 ELSE 1 END, CASE p_partkey % 5 WHEN 1 THEN 0 WHEN 2 THEN 1 WHEN 0 THEN 2 WHEN 3 THEN 3 ELSE 4 END, p_partkey) AS rank FROM part WHERE p_type LIKE '%BRASS%' OR p_partkey % 3 = 0")
 def brief_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = table(spark, sf_dir, "part").where(F.col("p_type").contains("BRASS") | (F.col("p_partkey") % 3 == 0))
-    tier = F.concat(F.lit("T"), (F.col("p_partkey") % 5).cast("string"))
+    tier = F.get(F.array(*[F.lit(t) for t in ledger.ACCESS_TIERS]), (F.col("p_partkey") % 5).cast("int"))
     anchors = parts.select(F.col("p_partkey").alias("anchor_id"), (F.col("p_size") > 25).alias("verified"), tier.alias("access_tier"))
     return ledger.brief(anchors).select("anchor_id", F.col("rank").cast("long").alias("rank"))
 
@@ -190,7 +188,7 @@ def trace_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select("event_id", ok.alias("valid"))
 
 
-@query(f"SELECT conv_id, turn, coalesce(regexp_matches(text, {quoted(trace.EMAIL_OR_SSN)}), false) AS warns FROM conversations")
+@query(f"SELECT conv_id, turn, coalesce(regexp_matches(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\\.[A-Za-z]{{2,}}|\\d{{3}}-\\d{{2}}-\\d{{4}}'), false) AS warns FROM conversations")
 def trace_pii_warn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "conversations").select("conv_id", "turn", trace.warns(F.col("text")).alias("warns"))
 
@@ -207,10 +205,11 @@ def manifest_binding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trace.bound(table(spark, sf_dir, "events").select("event_id", "user_id"), manifest, "user_id").select("event_id", "bound")
 
 
-@query(r"SELECT conv_id, turn, CASE role WHEN 'user' THEN '✓' WHEN 'system' THEN '✗' ELSE '–' END AS symbol, replace(regexp_replace(regexp_replace(left(text, 40), '[\n\r\t]', ' ', 'g'), '[\x00-\x1F\x7F]', '', 'g'), '|', '\|') AS cell FROM conversations")
+@query(r"SELECT conv_id, turn, CASE role WHEN 'user' THEN '✓' WHEN 'system' THEN '✗' ELSE 'SKIPPED' END AS symbol, sha256(CASE WHEN trim(replace(text, chr(10), ' ')) = '' THEN '—' ELSE replace(trim(replace(text, chr(10), ' ')), '|', '\|') END) AS cell_sha256, CASE WHEN turn % 3 = 0 THEN '—' ELSE '03:04:0' || (turn % 10) END AS clock FROM conversations")
 def trace_render(spark: SparkSession, sf_dir: str) -> DataFrame:
     state = F.when(F.col("role") == "user", "ok").when(F.col("role") == "system", "fail").otherwise("skipped")
-    return table(spark, sf_dir, "conversations").select("conv_id", "turn", trace.rendered(state).alias("symbol"), trace.cell(F.substring("text", 1, 40)).alias("cell"))
+    stamp = F.when(F.col("turn") % 3 != 0, F.concat(F.lit("2024-01-02T03:04:0"), (F.col("turn") % 10).cast("string"), F.lit("Z")))
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", trace.rendered(state).alias("symbol"), F.sha2(trace.cell(F.col("text")), 256).alias("cell_sha256"), trace.clock(stamp).alias("clock"))
 
 
 @query("SELECT user_id, arg_min(event_type, (ts, event_id)) AS purpose, count(DISTINCT event_type) > 1 AS conflict FROM events GROUP BY user_id")
@@ -238,7 +237,8 @@ def consolidated_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return review.consolidated(table(spark, sf_dir, "events"), "user_id", "event_type")
 
 
-@query("""SELECT doc_id, CASE WHEN doc_id % 11 = 3 THEN 'missing' WHEN doc_id % 5 = 0 THEN 'mismatch' ELSE 'bound' END AS state FROM documents""")
+@query("""WITH r AS (SELECT doc_id, sha256(text) AS h FROM documents), d AS (SELECT doc_id, sha256(text || CASE WHEN doc_id % 5 = 0 THEN '!' ELSE '' END) AS h FROM documents WHERE doc_id % 11 <> 3)
+SELECT r.doc_id, CASE WHEN d.h IS NULL THEN 'missing' WHEN d.h <> r.h THEN 'mismatch' ELSE 'bound' END AS state FROM r LEFT JOIN d USING (doc_id)""")
 def hash_binding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.col("doc_id").cast("string").alias("path"))
     reviewed = docs.select("doc_id", "path", F.sha2("text", 256).alias("sha256"))

@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auditloom.functions.rules import CAUSAL, CITATION, CITED
 from auditloom.operators import measure, prose, retrieve
 from auditloom.plans.registry import query, quoted
-from auditloom.sources.tables import table
+from auditloom.sources.tables import spread, table
 from auditloom.streaming import twins
 
 # Documents hold few citations of their own, so a seeded share of them gets some.
@@ -24,10 +23,11 @@ def _cited(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(k == 2, "\n# References\nSmith 2019\nSmith 2019\n[CLAIM-IMPRECISE]")
         .otherwise("")
     )
-    return table(spark, sf_dir, "documents").select("doc_id", F.concat("text", more).alias("text"))
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", F.concat("text", more).alias("text"))
 
 
-_CITATIONS = f"{_CITED}, c AS (SELECT DISTINCT doc_id, unnest(regexp_extract_all(text, {quoted(CITATION)})) AS citation FROM d)"
+_SQL_CITATION = r"\([A-Z][a-z]+(?: (?:and|&) [A-Z][a-z]+| et al\.?)? [12]\d{3}[a-z]?\)"
+_CITATIONS = f"{_CITED}, c AS (SELECT DISTINCT doc_id, unnest(regexp_extract_all(text, {quoted(_SQL_CITATION)})) AS citation FROM d)"
 
 
 @query(f"WITH {_CITATIONS} SELECT * FROM c")
@@ -44,7 +44,7 @@ def _count_sql(pattern: str) -> str:
     return f"len(list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, {quoted(pattern)})))::BIGINT"
 
 
-@query(f"WITH {_CITED} SELECT doc_id, regexp_matches(text, {quoted(CITATION)}) AND {_count_sql(prose.REFERENCES)} = 0 AS unreferenced FROM d")
+@query(f"WITH {_CITED} SELECT doc_id, regexp_matches(text, {quoted(_SQL_CITATION)}) AND {_count_sql('^(?:##? References|## Bibliography|## Works Cited)')} = 0 AS unreferenced FROM d")
 def citations_unreferenced(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _cited(spark, sf_dir).select("doc_id", prose.unreferenced("text").alias("unreferenced"))
 
@@ -52,7 +52,7 @@ def citations_unreferenced(spark: SparkSession, sf_dir: str) -> DataFrame:
 _CITED_LINES = f"{_CITED}, l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(generate_series(0, len(string_split(text, chr(10))) - 1)) AS line_no FROM d)"
 
 
-@query(f"WITH {_CITED_LINES}, h AS (SELECT doc_id, min(line_no) AS head FROM l WHERE regexp_matches(line, {quoted(prose.REFERENCE_START)}) GROUP BY doc_id) SELECT l.doc_id, line, count(*) AS n FROM l JOIN h ON h.doc_id = l.doc_id AND line_no > head WHERE line <> '' AND NOT starts_with(line, '#') GROUP BY ALL HAVING count(*) > 1")
+@query(f"WITH {_CITED_LINES}, h AS (SELECT doc_id, min(line_no) AS head FROM l WHERE regexp_matches(line, '^#.*(?:[Rr]eferences|[Bb]ibliography)') GROUP BY doc_id) SELECT l.doc_id, line, count(*) AS n FROM l JOIN h ON h.doc_id = l.doc_id AND line_no > head WHERE line <> '' AND NOT starts_with(line, '#') GROUP BY ALL HAVING count(*) > 1")
 def duplicate_references(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prose.duplicate_lines(_cited(spark, sf_dir), "doc_id")
 
@@ -63,7 +63,7 @@ def duplicate_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.sha2("line", 256).alias("line_sha256"), "n")
 
 
-_MARKS = {name.lower().replace("-", "_"): rf"\[CLAIM-{name}[\]:]" for name, _ in prose.MARKERS}
+_MARKS = {k: rf"\[CLAIM-{k.upper().replace('_', '-')}(?:\]|:)" for k in "reversed mischaracterized overcausal wrong_population unsupported imprecise not_checkable".split()}
 
 
 @query(f"WITH {_CITED} SELECT doc_id, " + ", ".join(f"{_count_sql(p)} AS {k}" for k, p in _MARKS.items()) + ", CASE WHEN reversed + mischaracterized + overcausal + unsupported > 0 THEN 'FAIL' WHEN wrong_population + imprecise > 0 THEN 'PASS_WITH_WARNINGS' ELSE 'PASS' END AS verdict FROM d")
@@ -73,7 +73,11 @@ def marker_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return named.withColumn("verdict", prose.marker_verdict({k: F.col(k) for k in counts}))
 
 
-@query(f"WITH {_CITED} SELECT doc_id, {_count_sql(f'({CAUSAL})[^{chr(92)}n]{{0,80}}{CITED}|{CITED}[^{chr(92)}n]{{0,80}}({CAUSAL})')} AS n_lines FROM d")
+_SQL_CITED = r"(?:\([A-Za-z][A-Za-z '&.,-]+ [12]\d{3}[a-z]?\)|[A-Z][A-Za-z'-]+(?: (?:and|&) [A-Z][A-Za-z'-]+)?(?: et al\.?)? \([12]\d{3}[a-z]?\))"
+_SQL_CAUSAL = "(?:proves|causes|leads to|produces|results in|demonstrates conclusively|establishes that|confirms that)"
+
+
+@query(f"WITH {_CITED} SELECT doc_id, {_count_sql(_SQL_CAUSAL + '.{0,80}' + _SQL_CITED + '|' + _SQL_CITED + '.{0,80}' + _SQL_CAUSAL)} AS n_lines FROM d")
 def causal_near_citation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _cited(spark, sf_dir).select("doc_id", prose.causal_lines("text").alias("n_lines"))
 
@@ -101,9 +105,15 @@ def em_dash_density(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dashed.select("doc_id", dashes.alias("dashes"), pages.alias("pages"), F.coalesce(each, F.lit(0)).cast("long").alias("per_page"))
 
 
-@query(f"SELECT page_id, {_count_sql('^## Table|^[|].*[|].*[|]').replace('(text,', '(html,')} AS tables, {_count_sql('<img|!' + chr(92) + '[').replace('(text,', '(html,')} AS figures FROM pages")
+_EMBEDS = "p AS (SELECT page_id, html || CASE page_id % 4 WHEN 0 THEN chr(10) || '## Table 1' || chr(10) || '|a|b|' || chr(10) || '![f](f.png)' WHEN 1 THEN chr(10) || '<img src=x>' ELSE '' END AS text FROM pages)"
+
+
+@query(f"WITH {_EMBEDS} SELECT page_id, {_count_sql('^## Table|^[|].*[|].*[|]')} AS tables, len(list_filter(string_split(text, chr(10)), lambda x: contains(x, '![')))::BIGINT AS figures FROM p")
 def embedded_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "pages").select("page_id", prose.count_lines("html", "^## Table|^[|].*[|].*[|]").alias("tables"), prose.count_lines("html", r"<img|!\[").alias("figures"))
+    k = F.col("page_id") % 4
+    more = F.when(k == 0, "\n## Table 1\n|a|b|\n![f](f.png)").when(k == 1, "\n<img src=x>").otherwise("")
+    tables, figures = prose.embedded("text")
+    return table(spark, sf_dir, "pages").select("page_id", F.concat("html", more).alias("text")).select("page_id", tables.alias("tables"), figures.alias("figures"))
 
 
 @query("""WITH r(phase, pattern, least, severity) AS (VALUES ('ingest', 'src[0-4]$', 100, 'FAIL'), ('draft', 'src1[0-9]$', 1000, 'WARN'), ('final', 'final', 1, 'FAIL')), f AS (SELECT phase, pattern, count(source) AS files, any_value(least) AS least, any_value(severity) AS severity FROM r LEFT JOIN documents ON regexp_matches('/drafts/' || source, pattern) GROUP BY phase, pattern)
@@ -132,7 +142,7 @@ def kappa_exclusions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(spark, sf_dir).groupBy(F.coalesce("why", F.lit("scored")).alias("why")).agg(F.count("*").alias("n"))
 
 
-@query(f"""WITH {_SCORED}, o AS (SELECT gold, pred FROM s WHERE why IS NULL), n AS (SELECT count(*) AS n_gold, count(*) FILTER (why IS NULL) AS n_scored FROM s),
+@query(f"""WITH {_SCORED}, o AS (SELECT gold, pred FROM s WHERE why IS NULL), n AS (SELECT count(*) FILTER (why IS DISTINCT FROM 'gold_empty') AS n_gold, count(*) FILTER (why IS NULL) AS n_scored FROM s),
 e AS (SELECT sum(a.c * coalesce(b.c, 0)) AS pe FROM (SELECT gold AS v, count(*) AS c FROM o GROUP BY gold) a LEFT JOIN (SELECT pred AS v, count(*) AS c FROM o GROUP BY pred) b USING (v)),
 k AS (SELECT n_gold, n_scored, n_scored / n_gold AS coverage, (SELECT count(*) FROM o WHERE gold = pred) / n_scored AS po, pe / (n_scored * n_scored) AS pe FROM n, e)
 SELECT n_gold, n_scored, round(coverage, 6) AS coverage, round((po - pe) / (1 - pe), 6) AS kappa, CASE WHEN coverage < 0.95 THEN 'coverage' WHEN (po - pe) / (1 - pe) < 0.7 THEN 'kappa' END AS reason, CASE WHEN coverage >= 0.95 AND (po - pe) / (1 - pe) >= 0.7 THEN 'GREEN' ELSE 'RED' END AS verdict FROM k""")
@@ -145,7 +155,7 @@ def kappa_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
 t AS (SELECT n, agree / n AS po, (SELECT sum(c * (c - 1)) FROM v) AS cc, (SELECT sum(c * c) FROM v) AS c2, (SELECT count(*) FROM v) AS q FROM c)
 SELECT n, round(po, 6) AS po, round(1 - (1 - po) / (1 - cc / (2 * n * (2 * n - 1))), 6) AS alpha, round((po - c2 / (4 * n * n)) / (1 - c2 / (4 * n * n)), 6) AS fleiss, round((po - (1 - c2 / (4 * n * n)) / (q - 1)) / (1 - (1 - c2 / (4 * n * n)) / (q - 1)), 6) AS ac1 FROM t""")
 def rater_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = measure.two_rater_suite(table(spark, sf_dir, "labels"), "quality", "toxic")
+    out = measure.rater_suite(table(spark, sf_dir, "labels"), ["quality", "toxic"])
     return out.select("n", *[F.round(c, 6).alias(c) for c in ("po", "alpha", "fleiss", "ac1")])
 
 
@@ -154,11 +164,11 @@ def reproducible_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return measure.hash_sample(table(spark, sf_dir, "documents").select("doc_id"), "doc_id", 50, 7)
 
 
-@query("SELECT r_name, count(*) AS n_requests, round(count(*) * 0.002, 6) AS cost FROM region JOIN nation ON n_regionkey = r_regionkey CROSS JOIN (SELECT p_partkey FROM part WHERE p_partkey < 8) GROUP BY r_name")
+@query("SELECT r_name, count(*) AS n_requests, round(count(*) * 0.002, 6) AS cost FROM region JOIN nation ON n_regionkey = r_regionkey CROSS JOIN part GROUP BY r_name")
 def fanout_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Conditions, personas and items are small declared lists; their product is the request list.
     personas = table(spark, sf_dir, "region").join(table(spark, sf_dir, "nation"), F.col("n_regionkey") == F.col("r_regionkey")).groupBy("r_name").agg(F.count("*").alias("personas"))
-    items = table(spark, sf_dir, "part").where("p_partkey < 8").agg(F.count("*").alias("items"))
+    items = table(spark, sf_dir, "part").agg(F.count("*").alias("items"))
     n = F.col("personas") * F.col("items")
     return personas.crossJoin(F.broadcast(items)).select("r_name", n.alias("n_requests"), F.round(n * 0.002, 6).alias("cost"))
 
@@ -202,29 +212,10 @@ def digest_last7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recent.groupBy("event_type").agg(F.count("*").alias("n"), F.round(F.avg("value"), 4).alias("mean"))
 
 
-_EDGES = "e AS (SELECT DISTINCT l_suppkey AS src, l_partkey AS dst, CASE WHEN l_returnflag = 'R' THEN 'contradicts' WHEN l_returnflag = 'A' THEN 'supports' ELSE 'extends' END AS kind FROM lineitem WHERE l_quantity < 6)"
-
-
-def _edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    items = table(spark, sf_dir, "lineitem").where("l_quantity < 6")
-    kind = F.when(F.col("l_returnflag") == "R", "contradicts").when(F.col("l_returnflag") == "A", "supports").otherwise("extends")
-    return items.select(F.col("l_suppkey").alias("src"), F.col("l_partkey").alias("dst"), kind.alias("kind")).distinct()
-
-
-@query(f"WITH {_EDGES} SELECT s.dst, s.src, c.src AS against FROM e s JOIN e c ON s.dst = c.dst AND s.src <> c.src WHERE s.kind = 'supports' AND c.kind = 'contradicts'")
-def edge_contradictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return retrieve.contradictions(_edges(spark, sf_dir))
-
-
-@query(f"WITH {_EDGES} SELECT p_partkey AS id FROM part WHERE p_partkey NOT IN (SELECT dst FROM e) AND p_partkey NOT IN (SELECT src FROM e)")
-def graph_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return retrieve.gaps(table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id")), _edges(spark, sf_dir))
-
-
-@query("""WITH RECURSIVE e AS (SELECT o_custkey AS a, (o_custkey * 7 + o_orderkey % 3) % 150 AS b FROM orders WHERE o_orderkey % 20 = 0), b AS (SELECT a, b FROM e WHERE a <> b UNION SELECT b, a FROM e WHERE a <> b),
+@query("""WITH RECURSIVE e AS (SELECT o_custkey AS a, (o_custkey * 7 + o_orderkey % 3) % 150 AS b FROM orders), b AS (SELECT a, b FROM e WHERE a <> b UNION SELECT b, a FROM e WHERE a <> b),
 r(a, b) AS (SELECT a, a FROM b UNION SELECT r.a, b.b FROM r JOIN b ON r.b = b.a) SELECT a AS id, min(b) AS root FROM r GROUP BY a""")
 def topic_communities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    edges = table(spark, sf_dir, "orders").where("o_orderkey % 20 = 0").selectExpr("o_custkey AS src", "(o_custkey * 7 + o_orderkey % 3) % 150 AS dst")
+    edges = table(spark, sf_dir, "orders").selectExpr("o_custkey AS src", "(o_custkey * 7 + o_orderkey % 3) % 150 AS dst")
     return retrieve.communities(edges.where("src <> dst"))
 
 
@@ -240,7 +231,7 @@ s AS (SELECT doc_id, sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf +
 
 @query(f"WITH {_BM25} SELECT doc_id, round(score, 6) AS score, row_number() OVER (ORDER BY round(score, 6) DESC, doc_id) AS rank FROM s ORDER BY rank LIMIT 10")
 def bm25_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scores = retrieve.bm25(retrieve.terms(table(spark, sf_dir, "documents"), "doc_id"), ["the", "license", "retion"], "doc_id")
+    scores = retrieve.bm25(spread(table(spark, sf_dir, "documents").select("doc_id", "text")), ["the", "license", "retion"], "doc_id")
     return retrieve.top_k(scores.withColumn("score", F.round("score", 6)), 10, [F.desc("score"), F.col("doc_id")])
 
 
@@ -261,7 +252,7 @@ def cosine_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""WITH {_BM25}, {_COS}, a AS (SELECT doc_id AS id, row_number() OVER (ORDER BY round(score, 6) DESC, doc_id) AS rank FROM s ORDER BY rank LIMIT 50), b AS (SELECT vec_id AS id, row_number() OVER (ORDER BY round(score, 6) DESC, vec_id) AS rank FROM c ORDER BY rank LIMIT 50)
 SELECT id, round(coalesce(1.0::DOUBLE / (60 + a.rank), 0) + coalesce(1.0::DOUBLE / (60 + b.rank), 0), 8) AS score FROM a FULL JOIN b USING (id)""")
 def rrf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scores = retrieve.bm25(retrieve.terms(table(spark, sf_dir, "documents"), "doc_id"), ["the", "license", "retion"], "doc_id").withColumn("score", F.round("score", 6))
+    scores = retrieve.bm25(spread(table(spark, sf_dir, "documents").select("doc_id", "text")), ["the", "license", "retion"], "doc_id").withColumn("score", F.round("score", 6))
     text = retrieve.top_k(scores, 50, [F.desc("score"), F.col("doc_id")]).withColumnRenamed("doc_id", "id")
     near = retrieve.top_k(_cosines(spark, sf_dir), 50, [F.desc("score"), F.col("vec_id")]).withColumnRenamed("vec_id", "id")
     return retrieve.fuse(text, near, "id").select("id", F.round("score", 8).alias("score"))

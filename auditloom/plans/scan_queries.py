@@ -5,68 +5,56 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auditloom.functions.rules import EMAIL_OR_SSN, INSTITUTION, RULES, SCRUB
+from auditloom.functions.rules import BY_NAME, EMAIL, EMAIL_OR_SSN, RULES
 from auditloom.functions.text import clip, fingerprint
 from auditloom.operators import anonymize, prose, scan, status
-from auditloom.plans.registry import query, quoted
-from auditloom.sources.tables import table
+from auditloom.plans.registry import Given, query, quoted
+from auditloom.plans.scan_oracle import DOC_FLAGS, DOC_VERDICT, RED, SEVERITY, SQL_RULES, YELLOW, entities_sql, flags, scan_sql
+from auditloom.sources.tables import spread, table
 
 
-def _flags(text: str) -> str:
-    return ", ".join(f"coalesce(regexp_matches({text}, {quoted(r.pattern)}), false) AS {r.name}" for r in RULES)
-
-
-_RED = " + ".join(f"{r.name}::INT" for r in RULES if r.severity == "RED")
-_YELLOW = " + ".join(f"{r.name}::INT" for r in RULES if r.severity == "YELLOW")
-_VERDICT = f"CASE WHEN {_RED} > 0 THEN 'RED' WHEN {_YELLOW} > 0 THEN 'YELLOW' ELSE 'GREEN' END"
-
-
-def _scan_sql(source: str, keys: str, text: str) -> str:
-    return f"""WITH f AS (SELECT {keys}, {_flags(text)} FROM {source})
-SELECT {keys}, {_VERDICT} AS verdict, ({_RED})::BIGINT AS red_count, ({_YELLOW})::BIGINT AS yellow_count FROM f"""
-
-
-DOC_FLAGS = f"f AS (SELECT doc_id, lang, source, {_flags('text')} FROM documents)"
-DOC_VERDICT = f"{DOC_FLAGS}, v AS (SELECT doc_id, lang, source, {_VERDICT} AS verdict FROM f)"
+def _texts(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    """Columns of a table, over all cores."""
+    return spread(table(spark, sf_dir, name).select(*columns))
 
 
 @query(f"WITH {DOC_VERDICT} SELECT lang, count(*) FILTER (verdict = 'GREEN') AS green, count(*) FILTER (verdict = 'YELLOW') AS yellow, count(*) FILTER (verdict = 'RED') AS red FROM v GROUP BY lang")
 def scan_verdict_by_lang(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scanned = scan.scan(table(spark, sf_dir, "documents").select("lang", "text"))
+    scanned = scan.scan(_texts(spark, sf_dir, "documents", "lang", "text"))
     return scanned.groupBy("lang").agg(*[F.count_if(F.col("verdict") == v).alias(v.lower()) for v in ("GREEN", "YELLOW", "RED")])
 
 
-@query("WITH " + DOC_FLAGS + " " + " UNION ALL ".join(f"SELECT '{r.name}' AS rule, {r.category}::BIGINT AS category, '{r.severity}' AS severity, count(*) FILTER ({r.name}) AS n_docs FROM f" for r in RULES))
+@query("WITH " + DOC_FLAGS + " " + " UNION ALL ".join(f"SELECT '{name}' AS rule, {category}::BIGINT AS category, '{severity}' AS severity, count(*) FILTER ({name}) AS n_docs FROM f" for name, (severity, category, _) in SQL_RULES.items()))
 def scan_rule_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("text")
-    one = docs.agg(*[F.count_if(scan.rule_hit(r)).alias(r.name) for r in RULES])
+    docs = scan.with_hits(_texts(spark, sf_dir, "documents", "text"))
+    one = docs.agg(*[F.count_if(F.array_contains("hits", r.label)).alias(r.name) for r in RULES])
     rows = F.array(*[F.struct(F.lit(r.name).alias("rule"), F.lit(r.category).cast("long").alias("category"), F.lit(r.severity).alias("severity"), F.col(r.name).alias("n_docs")) for r in RULES])
     return one.select(F.explode(rows).alias("r")).select("r.*")
 
 
-@query(_scan_sql("documents", "doc_id", "text"))
+@query(scan_sql("documents", "doc_id", "text"))
 def scan_verdict_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scan.scan(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "verdict", "red_count", "yellow_count")
+    return scan.scan(_texts(spark, sf_dir, "documents", "doc_id", "text")).select("doc_id", "verdict", "red_count", "yellow_count")
 
 
-@query(_scan_sql("pages", "page_id", "html"))
+@query(scan_sql("pages", "page_id", "html"))
 def scan_verdict_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scan.scan(table(spark, sf_dir, "pages").select("page_id", "html"), "html").select("page_id", "verdict", "red_count", "yellow_count")
+    return scan.scan(_texts(spark, sf_dir, "pages", "page_id", "html"), "html").select("page_id", "verdict", "red_count", "yellow_count")
 
 
-@query(_scan_sql("conversations", "conv_id, turn", "text"))
+@query(scan_sql("conversations", "conv_id, turn", "text"))
 def scan_verdict_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scan.scan(table(spark, sf_dir, "conversations").select("conv_id", "turn", "text")).select("conv_id", "turn", "verdict", "red_count", "yellow_count")
+    return scan.scan(_texts(spark, sf_dir, "conversations", "conv_id", "turn", "text")).select("conv_id", "turn", "verdict", "red_count", "yellow_count")
 
 
-@query("WITH " + DOC_FLAGS + " SELECT doc_id, concat_ws(',', " + ", ".join(f"CASE WHEN {r.name} THEN '{r.label}' END" for r in sorted(RULES, key=lambda r: r.label)) + ") AS issues FROM f")
+@query("WITH " + DOC_FLAGS + " SELECT doc_id, concat_ws(',', " + ", ".join(f"CASE WHEN {name} THEN '{label}' END" for label, name in sorted((f"{x[0]}:{name}", name) for name, x in SQL_RULES.items())) + ") AS issues FROM f")
 def scan_issue_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    hits = scan.with_hits(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    hits = scan.with_hits(_texts(spark, sf_dir, "documents", "doc_id", "text"))
     return hits.select("doc_id", F.array_join(F.sort_array("hits"), ",").alias("issues"))
 
 
-_E = next(r for r in RULES if r.name == "email").pattern
-_IP = next(r for r in RULES if r.name == "ip_address").pattern
+_E, _IP = EMAIL, BY_NAME["ip_address"].pattern
+_SQL_E, _SQL_IP = SQL_RULES["email"][2], r"(?:^|[^\pL\pM\pN_])((?:(?:1?\d{1,2}|2[0-4]\d|25[0-5])\.){3}(?:1?\d{1,2}|2[0-4]\d|25[0-5]))(?:$|[^\pL\pM\pN_])"
 
 
 def _span_sql(pattern: str, group: int, name: str) -> str:
@@ -74,24 +62,24 @@ def _span_sql(pattern: str, group: int, name: str) -> str:
 SELECT doc_id, '{name}' AS rule, ord::BIGINT AS ord, CASE WHEN length(v) > 60 THEN left(v, 57) || '...' ELSE v END AS snippet FROM s"""
 
 
-@query(_span_sql(_E, 0, "email"))
+@query(_span_sql(_SQL_E, 0, "email"))
 def span_emails(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan.spans(table(spark, sf_dir, "documents"), ["doc_id"], "email", _E, 0)
 
 
-@query(_span_sql(_IP, 2, "ip_address"))
+@query(_span_sql(_SQL_IP, 1, "ip_address"))
 def span_ipv4(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scan.spans(table(spark, sf_dir, "documents"), ["doc_id"], "ip_address", _IP, 2)
+    return scan.spans(table(spark, sf_dir, "documents"), ["doc_id"], "ip_address", _IP, 0)
 
 
-_FOUND = f"""e AS (SELECT doc_id, 'EMAIL_ADDRESS' AS entity, unnest(regexp_extract_all(text, {quoted(_E)})) AS value, 1.0::DOUBLE AS score FROM documents
-  UNION ALL SELECT doc_id, 'IP_ADDRESS', unnest(regexp_extract_all(text, {quoted(_IP)}, 2)), 0.95::DOUBLE FROM documents)"""
+_FOUND = f"""e AS (SELECT doc_id, 'EMAIL_ADDRESS' AS entity, unnest(regexp_extract_all(text, {quoted(_SQL_E)})) AS value, 1.0::DOUBLE AS score FROM documents
+  UNION ALL SELECT doc_id, 'IP_ADDRESS', unnest(regexp_extract_all(text, {quoted(_SQL_IP)}, 1)), 0.95::DOUBLE FROM documents)"""
 
 
 def _found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = _texts(spark, sf_dir, "documents", "doc_id", "text")
     pick = lambda name, p, g, s: docs.select("doc_id", F.lit(name).alias("entity"), F.explode(F.regexp_extract_all("text", F.lit(p), F.lit(g))).alias("value"), F.lit(s).alias("score"))
-    return pick("EMAIL_ADDRESS", _E, 0, 1.0).unionByName(pick("IP_ADDRESS", _IP, 2, 0.95))
+    return pick("EMAIL_ADDRESS", _E, 0, 1.0).unionByName(pick("IP_ADDRESS", _IP, 0, 0.95))
 
 
 @query(f"""WITH {_FOUND}, b AS (SELECT entity, value, max(score) AS score, count(*) AS n FROM e GROUP BY ALL)
@@ -102,28 +90,35 @@ def pii_value_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""WITH {_FOUND}, b AS (SELECT CASE WHEN entity = 'IP_ADDRESS' THEN 'LOCATION' ELSE entity END AS type, value, max(score) AS score, min(doc_id) AS place FROM e GROUP BY ALL),
 n AS (SELECT *, row_number() OVER (PARTITION BY type ORDER BY score DESC, place, encode(value)) AS i FROM b)
-SELECT value AS original, CASE WHEN type = 'LOCATION' THEN 'LOC' || CASE WHEN i < 10 THEN '0' ELSE '' END || i ELSE '[' || type || ']' END AS pseudonym, type FROM n""")
+SELECT value AS original, CASE WHEN type = 'LOCATION' THEN 'LOC' || CASE WHEN i < 10 THEN '0' ELSE '' END || i ELSE '[EMAIL REMOVED]' END AS pseudonym, type FROM n""")
 def pseudonym_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     entity = F.when(F.col("entity") == "IP_ADDRESS", "LOCATION").otherwise(F.col("entity"))
     return anonymize.pseudonym_key(_found(spark, sf_dir).withColumn("entity", entity).withColumnRenamed("doc_id", "at"))
 
 
+_SPACED = r"[-. \t\n\r\f\v]?"
+
+
 def _scrub_sql(text: str) -> str:
-    for pattern, token in SCRUB:
+    phone = rf"(?:\+?1{_SPACED})?(?:\(?\d{{3}}\)?{_SPACED})?\d{{3}}{_SPACED}\d{{4}}"
+    for pattern, token in ((r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}", "[EMAIL REMOVED]"), (phone, "[PHONE REMOVED]"), (r"\b\d{3}-\d{2}-\d{4}\b", "[SSN REMOVED]")):
         text = f"regexp_replace({text}, {quoted(pattern)}, '{token}', 'g')"
     return text
 
 
+_LEFT = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}|\d{3}-\d{2}-\d{4}"
+
+
 @query(f"SELECT doc_id, sha256({_scrub_sql('text')}) AS scrubbed_sha256, {_scrub_sql('text')} <> text AS changed FROM documents")
 def scrub_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = anonymize.scrub(F.col("text"))
-    return table(spark, sf_dir, "documents").select("doc_id", F.sha2(out, 256).alias("scrubbed_sha256"), (out != F.col("text")).alias("changed"))
+    return _texts(spark, sf_dir, "documents", "doc_id", "text").select("doc_id", F.sha2(out, 256).alias("scrubbed_sha256"), (out != F.col("text")).alias("changed"))
 
 
-@query(f"""WITH s AS (SELECT doc_id, {_scrub_sql('text')} AS t FROM documents), r AS (SELECT doc_id, unnest(regexp_extract_all(t, {quoted(EMAIL_OR_SSN)})) AS value FROM s)
+@query(f"""WITH s AS (SELECT doc_id, {_scrub_sql('text')} AS t FROM documents), r AS (SELECT doc_id, unnest(regexp_extract_all(t, {quoted(_LEFT)})) AS value FROM s)
 SELECT count(*) AS residual, CASE WHEN count(*) > 0 THEN 'FAIL' ELSE 'PASS' END AS verdict FROM r WHERE NOT regexp_matches(value, '^\\[.*\\]$') AND NOT regexp_matches(value, '^(P|LOC|ORG)[0-9]{{2,}}$')""")
 def scrub_verify(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = table(spark, sf_dir, "documents").select(F.explode(F.regexp_extract_all(anonymize.scrub(F.col("text")), F.lit(EMAIL_OR_SSN), F.lit(0))).alias("value"))
+    found = _texts(spark, sf_dir, "documents", "text").select(F.explode(F.regexp_extract_all(anonymize.scrub(F.col("text")), F.lit(EMAIL_OR_SSN), F.lit(0))).alias("value"))
     n = F.count("*")
     return anonymize.residual(found).agg(n.alias("residual"), F.when(n > 0, "FAIL").otherwise("PASS").alias("verdict"))
 
@@ -131,29 +126,40 @@ def scrub_verify(spark: SparkSession, sf_dir: str) -> DataFrame:
 _PAIRS = [("the thing", "[A]"), ("the", "P01"), ("and", "P02")]
 
 
-@query("SELECT doc_id, sha256(regexp_replace(regexp_replace(regexp_replace(text, 'the thing', '[A]', 'gi'), 'and', 'P02', 'gi'), 'the', 'P01', 'gi')) AS replaced_sha256 FROM documents WHERE lang = 'en'")
+@query("SELECT doc_id, sha256(regexp_replace(regexp_replace(regexp_replace(text, 'the thing', '[A]', 'gi'), 'and', 'P02', 'gi'), 'the', 'P01', 'gi')) AS replaced_sha256 FROM documents")
 def scrub_longest_first(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").where("lang = 'en'")
+    docs = _texts(spark, sf_dir, "documents", "doc_id", "text")
     return docs.select("doc_id", F.sha2(anonymize.replace_longest_first(F.col("text"), _PAIRS), 256).alias("replaced_sha256"))
 
 
-@query("SELECT doc_id, unnest(list_concat(" + ", ".join(f"regexp_extract_all(text, {quoted(p)})" for p in INSTITUTION) + ")) AS value FROM documents")
+_NAMED = "text || CASE doc_id % 5 WHEN 0 THEN ' at the University of North Dakota and Mercy Hospital.' WHEN 1 THEN chr(10) || 'Stanford Law School, Center of Gravity' ELSE '' END"
+_KIND = "University|College|Hospital|Clinic|School|Church|Academy|Institute"
+
+
+@query(rf"""WITH d AS (SELECT doc_id, {_NAMED} AS text FROM documents)
+SELECT doc_id, unnest(list_concat(regexp_extract_all(text, '(?:{_KIND}|Center|Centre)\s+(?:of\s+)?[A-Z][a-z]+(?:\s+[A-Z][a-z]+)*'), regexp_extract_all(text, '[A-Z][a-z]+(?:\s+[A-Z][a-z]+)*\s+(?:{_KIND})'))) AS value FROM d""")
 def institution_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return anonymize.institutions(table(spark, sf_dir, "documents"), ["doc_id"])
+    k = F.col("doc_id") % 5
+    more = F.when(k == 0, " at the University of North Dakota and Mercy Hospital.").when(k == 1, "\nStanford Law School, Center of Gravity").otherwise("")
+    return anonymize.institutions(_texts(spark, sf_dir, "documents", "doc_id", "text").withColumn("text", F.concat("text", more)), ["doc_id"])
+
 
+_THERE = Given("name string", [("src1.txt",), ("src2-2.txt",), ("src2-4.txt",), ("other.txt",)])
 
-@query("""WITH n AS (SELECT doc_id, source || '.txt' AS name, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS i FROM documents)
-SELECT doc_id, CASE WHEN i = 1 THEN name ELSE regexp_extract(name, '^(.*?)(\\.[^.]*)?$', 1) || '-' || i || regexp_extract(name, '(\\.[^.]*)$', 1) END AS unique_name FROM n""")
+
+@query(f"""WITH t AS {_THERE.sql}, d AS (SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS i FROM documents),
+c AS (SELECT source, k, CASE WHEN k = 1 THEN source || '.txt' ELSE source || '-' || k || '.txt' END AS name FROM (SELECT source, unnest(generate_series(1, count(*) + 5)) AS k FROM documents GROUP BY source)),
+f AS (SELECT source, name, row_number() OVER (PARTITION BY source ORDER BY k) AS i FROM c WHERE name NOT IN (SELECT name FROM t)) SELECT doc_id, name AS unique_name FROM d JOIN f USING (source, i)""")
 def collision_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     named = table(spark, sf_dir, "documents").select("doc_id", F.concat("source", F.lit(".txt")).alias("name"))
-    return scan.unique_names(named, "name", "doc_id").select("doc_id", "unique_name")
+    return scan.unique_names(named, "name", "doc_id", existing=_THERE.frame(spark)).select("doc_id", "unique_name")
 
 
 STATUS_SQL = f"{DOC_VERDICT}, st AS (SELECT doc_id, verdict, CASE WHEN verdict = 'GREEN' THEN 'CLEARED' ELSE 'NEEDS_REVIEW:' || verdict END AS status FROM v)"
 
 
 def _status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scanned = scan.scan(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "verdict")
+    scanned = scan.scan(_texts(spark, sf_dir, "documents", "doc_id", "text")).select("doc_id", "verdict")
     return scanned.withColumn("status", status.initial_status(F.col("verdict")))
 
 
@@ -179,8 +185,9 @@ r AS (SELECT *, CASE WHEN status = 'OVERRIDE' AND k = 1 THEN 'override refused'
   WHEN k = 2 THEN 'raw image' WHEN verdict = 'GREEN' THEN 'scan is green' ELSE 'scan blocks' END AS reason FROM p)
 SELECT doc_id, CASE WHEN reason IN ('status allows', 'image', 'scan is green') THEN 'ALLOW' ELSE 'BLOCK' END AS decision, reason FROM r""")
 def access_decision(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    docs = _texts(spark, sf_dir, "documents", "doc_id", "source", "text")
     ext = F.get(F.array(F.lit(".csv"), F.lit(".wav"), F.lit(".png"), F.lit(".dta")), (F.col("doc_id") % 4).cast("int"))
+    # Verdicts are made where the texts are; only ids, paths and verdicts meet the statuses.
     rows = scan.scan(docs).select("doc_id", "verdict", F.concat(F.lit("/proj/data/raw/"), "source", ext).alias("path"))
     q, t = F.col("quality"), F.col("toxic")
     said = table(spark, sf_dir, "labels").select("doc_id", F.when((q == 1) & (t == 0), "CLEARED").when(q == 1, "OVERRIDE").when(t == 1, "HALTED").otherwise("NEEDS_REVIEW:RED").alias("status"))
@@ -188,10 +195,16 @@ def access_decision(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.join(said, "doc_id", "left").select("doc_id", decision.alias("decision"), reason.alias("reason"))
 
 
-@query(f"SELECT page_id, count(*) AS n_lines FROM (SELECT page_id, unnest(string_split(html, chr(10))) AS line FROM pages) WHERE regexp_matches(line, {quoted(prose.ABSOLUTE_DATA_PATH)}) GROUP BY page_id")
+_PATHS = "html || chr(10) || CASE page_id % 3 WHEN 0 THEN 'd <- read_dta(\"/Users/me/cfps.dta\")' WHEN 1 THEN 'setwd(''/proj/data/raw'')' || chr(10) || 'x = \"data/raw/rel.csv\"' ELSE 'open(\"/srv/raw/a.txt\")' END"
+_DATA_PATH = r"""["']/[^"' ]*\.(?:dta|sav|por|zsav|rds|rdata|rda|RData|parquet|feather|sas7bdat|xpt|dbf)["']?|["']/[^"' ]*/(?:data|raw)/|setwd\(["']/[^"' ]*/(?:data|raw)[^"' ]*["']\)"""
+
+
+@query(f"WITH p AS (SELECT page_id, string_split({_PATHS}, chr(10)) AS l FROM pages) SELECT page_id, line_no::BIGINT AS line_no, sha256(line) AS line_sha256 FROM (SELECT page_id, unnest(l) AS line, unnest(generate_series(1, len(l))) AS line_no FROM p) WHERE regexp_matches(line, {quoted(_DATA_PATH)})")
 def abs_path_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = prose.line_table(table(spark, sf_dir, "pages"), ["page_id"], "html")
-    return lines.where(F.col("line").rlike(prose.ABSOLUTE_DATA_PATH)).groupBy("page_id").agg(F.count("*").alias("n_lines"))
+    k = F.col("page_id") % 3
+    more = F.when(k == 0, '\nd <- read_dta("/Users/me/cfps.dta")').when(k == 1, "\nsetwd('/proj/data/raw')\nx = \"data/raw/rel.csv\"").otherwise('\nopen("/srv/raw/a.txt")')
+    pages = _texts(spark, sf_dir, "pages", "page_id", "html").withColumn("html", F.concat("html", more))
+    return prose.data_path_lines(pages, ["page_id"], "html").select("page_id", "line_no", F.sha2("line", 256).alias("line_sha256"))
 
 
 _WIDE = "len(list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '(,[^\n]*,)|(\t[^\n]*\t)')))"
@@ -199,12 +212,13 @@ _WIDE = "len(list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x
 
 @query(f"SELECT doc_id, {_WIDE} > 20 AS bulk20, {_WIDE} > 200 AS bulk200 FROM documents")
 def bulk_row_detect(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", scan.is_bulk("text", 20).alias("bulk20"), scan.is_bulk("text", 200).alias("bulk200"))
+    return _texts(spark, sf_dir, "documents", "doc_id", "text").select("doc_id", scan.is_bulk("text", 20).alias("bulk20"), scan.is_bulk("text", 200).alias("bulk200"))
 
 
-@query(f"WITH f AS (SELECT conv_id, turn, text, {_WIDE} > 5 AS bulk, {_flags('text')} FROM conversations) SELECT conv_id, turn, sha256(CASE WHEN {_RED} > 0 OR bulk THEN '[REDACTED]' ELSE text END) AS redacted_sha256 FROM f")
+@query(f"WITH c AS (SELECT conv_id, turn, text || repeat(chr(10) || 'a,b,c', CASE WHEN turn = 1 THEN 200 + (conv_id % 3)::INT ELSE 0 END) AS text FROM conversations), f AS (SELECT conv_id, turn, text, {_WIDE} > 200 AS bulk, {flags('text')} FROM c) SELECT conv_id, turn, sha256(CASE WHEN {RED} > 0 OR bulk THEN '[REDACTED]' ELSE text END) AS redacted_sha256 FROM f")
 def redact_output(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = scan.redact(table(spark, sf_dir, "conversations").select("conv_id", "turn", "text"), limit=5)
+    rows = F.expr("repeat('\\na,b,c', CASE WHEN turn = 1 THEN cast(200 + conv_id % 3 AS INT) ELSE 0 END)")
+    out = scan.redact(_texts(spark, sf_dir, "conversations", "conv_id", "turn", "text").withColumn("text", F.concat("text", rows)))
     return out.select("conv_id", "turn", F.sha2("redacted", 256).alias("redacted_sha256"))
 
 
@@ -213,17 +227,72 @@ def snippet_clip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "benchmark").select("item_id", clip(F.col("text")).alias("snippet"))
 
 
-@query(f"WITH {DOC_FLAGS} SELECT CASE WHEN {_RED} > 0 THEN 'HIGH' WHEN {_YELLOW} >= 3 THEN 'MEDIUM' ELSE 'LOW' END AS risk, count(*) AS n FROM f GROUP BY 1")
+@query(f"WITH {DOC_FLAGS} SELECT CASE WHEN {RED} > 0 THEN 'HIGH' WHEN {YELLOW} >= 3 THEN 'MEDIUM' ELSE 'LOW' END AS risk, count(*) AS n FROM f GROUP BY 1")
 def composite_risk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scanned = scan.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    scanned = scan.scan(_texts(spark, sf_dir, "documents", "doc_id", "text"))
     return scanned.groupBy(scan.risk(F.col("red_count"), F.col("yellow_count")).alias("risk")).agg(F.count("*").alias("n"))
 
 
-@query(None)
+# The phone recogniser looks around itself, which the other engine can't; span queries cover its pattern.
+_SHARED = tuple(r for r in scan.RECOGNISERS + scan.BUILT_IN if r.name != "phone")
+_MARKED = "text || CASE doc_id % 7 WHEN 0 THEN ' diagnosis,prescription,medication 123-45-6789 987-65-4321' WHEN 1 THEN chr(10) || 'patient_id, depression DACA' ELSE '' END"
+_ENTITIES = f"d AS (SELECT doc_id, {_MARKED} AS text FROM documents), {entities_sql('d')}"
+
+
+def _marked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("doc_id") % 7
+    more = F.when(k == 0, " diagnosis,prescription,medication 123-45-6789 987-65-4321").when(k == 1, "\npatient_id, depression DACA").otherwise("")
+    return _texts(spark, sf_dir, "documents", "doc_id", "text").withColumn("text", F.concat("text", more))
+
+
+@query(f"""WITH {_ENTITIES} SELECT doc_id, entity, start, "end", score, {SEVERITY} AS severity FROM (SELECT doc_id, entity, start, "end", max(score) AS score FROM e WHERE score >= 0.4 GROUP BY ALL)""")
 def recognised_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = scan.recognise(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    kept = scan.best_spans(found, ["doc_id", "entity", "first"])
-    return kept.select("doc_id", "entity", "score", scan.entity_severity(F.col("entity"), F.col("score")).alias("severity"), "first")
+    found = scan.recognise(_marked(spark, sf_dir), ["doc_id"], recognisers=_SHARED)
+    kept = scan.best_spans(found, ["doc_id"])
+    return kept.select("doc_id", "entity", "start", "end", "score", scan.entity_severity(F.col("entity"), F.col("score")).alias("severity"))
+
+
+@query(f"""WITH {_ENTITIES}, s AS (SELECT DISTINCT doc_id, entity, start, "end", {SEVERITY} AS severity FROM (SELECT doc_id, entity, start, "end", max(score) AS score FROM e GROUP BY ALL)),
+c AS (SELECT doc_id, count(*) FILTER (severity = 'RED') AS red_count, count(*) FILTER (severity = 'YELLOW') AS yellow_count FROM s GROUP BY doc_id)
+SELECT d.doc_id, coalesce(red_count, 0)::BIGINT AS red_count, coalesce(yellow_count, 0)::BIGINT AS yellow_count, CASE WHEN red_count > 0 THEN 'RED' WHEN yellow_count > 0 THEN 'YELLOW' ELSE 'GREEN' END AS verdict FROM d LEFT JOIN c USING (doc_id)""")
+def entity_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _marked(spark, sf_dir)
+    found = scan.recognise(docs, ["doc_id"], recognisers=_SHARED)
+    return scan.entity_verdicts(docs, found, ["doc_id"]).select("doc_id", "red_count", "yellow_count", "verdict")
+
+
+@query("SELECT doc_id, length(text)::BIGINT AS n_chars FROM documents WHERE length(text) > 5000")
+def text_truncations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan.truncations(table(spark, sf_dir, "documents"), ["doc_id"], limit=5_000)
+
+
+_FILES = Given("path string, text string", [
+    ("/p/a.csv", "plain words"), ("/p/b.parquet", "plain words"), ("/p/c.DTA", "patient_id"), ("/p/d.pdf", "me@site.org"), ("/p/e", None), ("/p/f.xlsx", None), ("/p/g.tar.gz", "ok"),
+    ("/p/h.txt ", "ok"), ("/p.wav/i", "ok"), ("/p/j.png", "SSN: 123-45-6789"), ("/p/k.md", "")])
+_OPAQUE = "'xlsx', 'xls', 'ods', 'parquet', 'feather', 'arrow', 'dta', 'sav', 'rds', 'rdata', 'sqlite', 'db', 'h5', 'hdf5', 'mat', 'pkl', 'npy', 'npz', 'pickle', 'wav', 'mp3', 'flac', 'm4a', 'ogg', 'aac', 'aiff', 'mp4', 'mov', 'avi', 'mkv', 'webm', 'jpg', 'jpeg', 'png', 'tiff', 'tif', 'heic', 'heif', 'bmp', 'webp', 'gif', 'pdf', 'doc', 'docx', 'xlsm', 'pptx', 'ppt'"
+_EXT = "CASE WHEN contains(parse_filename(path), '.') THEN lower(trim(string_split(parse_filename(path), '.')[-1])) ELSE '' END"
+
+
+@query(f"WITH g AS {_FILES.sql}, f AS (SELECT path, text, {flags('text')} FROM g) SELECT path, CASE WHEN {RED} > 0 THEN 'RED' WHEN {YELLOW} > 0 OR text IS NULL OR {_EXT} IN ({_OPAQUE}) THEN 'YELLOW' ELSE 'GREEN' END AS verdict FROM f")
+def scan_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan.scan(_FILES.frame(spark), path="path").select("path", "verdict")
+
+
+@query(f"SELECT path, 'BINARY_FORMAT' AS entity, 1.0::DOUBLE AS score, '.' || {_EXT} AS value FROM {_FILES.sql} WHERE {_EXT} IN ({_OPAQUE})")
+def opaque_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan.opaque_findings(_FILES.frame(spark), ["path"], "path")
+
+
+@query(f"WITH {DOC_VERDICT}, k AS (SELECT CASE WHEN doc_id % 50 = 3 THEN 'odd' ELSE verdict END AS level FROM v) SELECT level, (SELECT count(*) FROM k WHERE k.level = l.level OR (l.level = 'UNKNOWN' AND k.level NOT IN ('GREEN', 'YELLOW', 'RED'))) AS n FROM (VALUES ('GREEN'), ('YELLOW'), ('RED'), ('UNKNOWN')) l(level)")
+def level_tally(spark: SparkSession, sf_dir: str) -> DataFrame:
+    levels = scan.scan(_texts(spark, sf_dir, "documents", "doc_id", "text")).select(F.when(F.col("doc_id") % 50 == 3, "odd").otherwise(F.col("verdict")).alias("verdict"))
+    return scan.level_tally(levels)
+
+
+@query(f"WITH {DOC_FLAGS} SELECT doc_id, CASE WHEN {RED} > 0 THEN 'RED' WHEN {YELLOW} > 0 THEN 'YELLOW' ELSE 'GREEN' END AS verdict, 'regex' AS backend FROM f")
+def scan_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A model that isn't at hand: the rules decide, and say so."""
+    return scan.scan_with(_texts(spark, sf_dir, "documents", "doc_id", "text"), ["doc_id"], "model").select("doc_id", "verdict", "backend")
 
 
 _FINGER = "sha256(trim(regexp_replace(lower(regexp_replace(text, '<!--[^>]*-->', '', 'g')), '[ \t\n\r\f\x0b]+', ' ', 'g')))"

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType, TimestampNTZType
+from pyspark.sql.window import Window
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -14,13 +15,67 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("timestamp") for c in zoneless})
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` dealt over all cores where its files give fewer tasks than there are; tables of many files stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def text_lines(spark: SparkSession, path: str) -> DataFrame:
+    """``file, line_no, value`` of text files, lines numbered from 0 in each file, blank ones counted.
+
+    A file may be read in several parts: each part's lines are numbered where they are read,
+    and shifted by the lines of the file's parts before it, one number a part.
+    """
+    raw = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("_m"))
+    raw = raw.withColumns({"_p": F.shiftright("_m", 33), "_i": F.col("_m").bitwiseAND(F.lit((1 << 33) - 1))})
+    parts = raw.groupBy("file", "_p").agg(F.min("_i").alias("_first"), F.count("*").alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.partitionBy("file").orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    shift = parts.select("file", "_p", (before - F.col("_first")).alias("_shift"))
+    return raw.join(shift, ["file", "_p"]).select("file", (F.col("_i") + F.col("_shift")).alias("line_no"), "value")
+
+
 def ndjson(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """Append-only JSON lines with ``line_no``; a malformed line fills ``_corrupt`` and fails nothing.
+    """Append-only JSON lines with ``file, line_no``; a malformed line fills ``_corrupt`` and fails nothing."""
+    return parse_ndjson(text_lines(spark, path), schema)
+
+
+def json_document(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """Files that are one JSON document each: ``file`` and its fields; a malformed one fills ``_corrupt``."""
+    rows = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), F.lit(0).alias("line_no"), "value")
+    return parse_ndjson(rows, schema).drop("line_no")
 
-    Line numbers follow files' byte order: they are exact for a single file per ledger.
+
+def jdbc_query(spark: SparkSession, url: str, sql: str, split: tuple[str, int, int, int] | None = None, **options) -> DataFrame:
+    """A query's result over JDBC; ``split`` (column, least, greatest, parts) reads it in several connections."""
+    reader = spark.read.format("jdbc").option("url", url).options(**options)
+    if split is None:
+        return reader.option("query", sql).load()
+    column, least, greatest, parts = split
+    bounds = {"partitionColumn": column, "lowerBound": least, "upperBound": greatest, "numPartitions": parts}
+    return reader.option("dbtable", f"({sql}) q").options(**bounds).load()
+
+
+def sqlite_query(spark: SparkSession, path: str, sql: str, schema: str) -> DataFrame:
+    """A query's result from an SQLite file that executors can open, read-only, in one task and by batches.
+
+    The file is a library's own database, which its owner may hold open; columns follow ``schema``.
     """
-    lines = spark.read.text(path).select(F.col("value"), F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("line_no"))
-    return parse_ndjson(lines, schema)
+    import pyarrow as pa
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    form = to_arrow_schema(spark.createDataFrame([], schema).schema)
+
+    def run(batches):
+        import sqlite3
+
+        for _ in batches:
+            with sqlite3.connect(f"file:{path}?mode=ro", uri=True) as db:
+                cursor = db.execute(sql)
+                while rows := cursor.fetchmany(4096):
+                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), form, strict=True)], schema=form)
+
+    return spark.range(1, numPartitions=1).mapInArrow(run, schema)
 
 
 def parse_ndjson(lines: DataFrame, schema: StructType) -> DataFrame:

@@ -1,76 +1,67 @@
 """Streaming twins of batch operators, run to the end of what is there.
 
-Each runs with ``availableNow`` and writes to a table in the folder that the cluster names
-in ``spark.checkpoint.dir``; the same transformations serve an endless stream.
+Each runs with ``availableNow``; the same transformations serve an endless stream. State is
+kept by key in Spark's own state store, and what a batch changes is written under the
+batch's number, so a batch that is repeated overwrites itself. A run that is given a folder
+goes on where the last one in that folder stopped; without one it has a folder of its own
+under ``spark.checkpoint.dir``.
 """
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from auditloom.operators.ledger import last_wins as batch_last_wins
-
-
-def work_folder(spark: SparkSession) -> str:
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        local = spark.sparkContext.master.startswith("local")
-        base = "file://" + tempfile.mkdtemp(prefix="auditloom-stream-") if local else spark.conf.get("spark.sql.warehouse.dir")
-    return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
+from auditloom.sources.scratch import exists, scratch_path
 
 
-def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def events(spark: SparkSession, sf_dir: str, pattern: str = "events.parquet*") -> DataFrame:
     """The events table as a stream; its time becomes a timestamp, which a watermark needs."""
-    path = f"{sf_dir}/events.parquet"
-    schema = spark.read.parquet(path).schema
-    parent, _, name = path.rpartition("/")
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet").parquet(f"{parent}/{name}*")
+    schema = spark.read.parquet(f"{sf_dir}/{pattern}").schema
+    stream = spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet").parquet(f"{sf_dir}/{pattern}")
     return stream.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
-def _run(stream: DataFrame, mode: str = "append") -> DataFrame:
-    spark = stream.sparkSession
-    work = work_folder(spark)
-    stream.writeStream.outputMode(mode).format("parquet").option("path", f"{work}/out").option("checkpointLocation", f"{work}/state").trigger(availableNow=True).start().awaitTermination()
-    return spark.read.schema(stream.schema).parquet(f"{work}/out")
+def upserted(changes: DataFrame, keys: list[str], folder: str) -> DataFrame:
+    """The latest row of each key of an aggregation that reports its changes.
 
+    Only changed keys are written, a folder a batch; a reader takes the highest batch of a
+    key. Old batches may be compacted into one at any time.
+    """
+    spark, out = changes.sparkSession, f"{folder}/out"
 
-def daily_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events a day and type. Complete mode keeps the last window open days too."""
-    spec = events(spark, sf_dir).withWatermark("ts", "1 day").groupBy(F.window("ts", "1 day"), "event_type").agg(F.count("*").alias("n"))
-    work = work_folder(spark)
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out}/batch={number}")
 
-    def replace(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{work}/batch={number}")
-        last.append(f"{work}/batch={number}")
+    changes.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start().awaitTermination()
+    if not exists(spark, out):
+        return spark.createDataFrame([], changes.schema)
+    rest = [c for c in changes.columns if c not in keys]
+    rows = spark.read.schema(StructType([*changes.schema.fields]).add("batch", "long")).parquet(out)
+    return rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch").alias("r")).select(*keys, "r.*")
 
-    last: list[str] = []
-    spec.writeStream.outputMode("complete").foreachBatch(replace).option("checkpointLocation", f"{work}/state").trigger(availableNow=True).start().awaitTermination()
-    return spark.read.schema(spec.schema).parquet(last[-1]).select(F.date_format("window.start", "yyyy-MM-dd").alias("day"), "event_type", "n")
 
+def daily_counts(spark: SparkSession, sf_dir: str, folder: str | None = None) -> DataFrame:
+    """Events a day and type."""
+    stream = events(spark, sf_dir).withWatermark("ts", "1 day")
+    spec = stream.groupBy(F.window("ts", "1 day"), "event_type").agg(F.count("*").alias("n"))
+    changes = spec.select(F.date_format("window.start", "yyyy-MM-dd").alias("day"), "event_type", "n")
+    return upserted(changes, ["day", "event_type"], folder or scratch_path(spark, "daily"))
 
-def captured(spark: SparkSession, sf_dir: str) -> DataFrame:
+
+def captured(spark: SparkSession, sf_dir: str, folder: str | None = None) -> DataFrame:
     """First capture of each event within the watermark; the source is fed twice over."""
     stream = events(spark, sf_dir)
     both = stream.union(events(spark, sf_dir)).withWatermark("ts", "60 days")
-    return _run(both.dropDuplicatesWithinWatermark(["event_id"]).select("event_id", "event_type"))
-
-
-def last_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each user's last event, by merging every micro-batch into the state so far."""
-    work, state = work_folder(spark), []
+    work = folder or scratch_path(spark, "captured")
+    first = both.dropDuplicatesWithinWatermark(["event_id"]).select("event_id", "event_type")
+    first.writeStream.outputMode("append").format("parquet").option("path", f"{work}/out").option("checkpointLocation", f"{work}/state").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(first.schema).parquet(f"{work}/out")
 
-    def merge(batch: DataFrame, number: int) -> None:
-        rows = batch.select("user_id", "event_id", "event_type", "ts")
-        if state:
-            rows = rows.unionByName(spark.read.parquet(state[-1]))
-        path = f"{work}/state-{number}"
-        batch_last_wins(rows, "user_id", ["ts", "event_id"]).write.mode("overwrite").parquet(path)
-        state.append(path)
 
-    events(spark, sf_dir).writeStream.foreachBatch(merge).option("checkpointLocation", f"{work}/progress").trigger(availableNow=True).start().awaitTermination()
-    return spark.read.parquet(state[-1]).select("user_id", "event_id", "event_type")
+def last_wins(spark: SparkSession, sf_dir: str, folder: str | None = None) -> DataFrame:
+    """Each user's last event, by time and then by id."""
+    last = F.max_by(F.struct("event_id", "event_type"), F.struct("ts", "event_id")).alias("l")
+    changes = events(spark, sf_dir).groupBy("user_id").agg(last).select("user_id", "l.event_id", "l.event_type")
+    return upserted(changes, ["user_id"], folder or scratch_path(spark, "last"))

@@ -13,6 +13,16 @@ CASES = [
     ("Respondents reported their immigration status: undocumented, DACA, visa holder.", "RED", {"legal_status"}),
     ("subject depression", "RED", {"mental_health_record"}),
     ("depression of the subject", "RED", {"mental_health_record"}),
+    ("depression,participant_id", "RED", {"mental_health_record"}),
+    ("depression,age,respondent_code", "RED", {"mental_health_record"}),
+    ("PTSD, outscore", "RED", {"mental_health_record"}),
+    ("outscore, PTSD", "GREEN", set()),
+    ("subject,postdepression", "RED", {"mental_health_record"}),
+    ("subject, depressions", "GREEN", set()),
+    ("123-45-6789", "RED", {"ssn"}),
+    ("a123-45-6789", "GREEN", set()),
+    ("\u00e9SSN", "GREEN", set()),
+    ("x\u00a0SSN.", "RED", {"account"}),
     ("patient_id depression", "RED", {"health_id"}),
     ("subject one\nmild depression", "GREEN", set()),
     ("facing deportation", "GREEN", set()),
@@ -74,17 +84,48 @@ def test_guard(spark, level, n, want):
 
 
 def test_entities(spark):
-    docs = spark.createDataFrame([(1, "diagnosis for patient id 7, dob, ssn 123-45-6789"), (2, "patient with depression")], "doc_id int, text string")
-    found = scan.best_spans(scan.recognise(docs), ["doc_id", "entity", "first"])
-    got = {(r.doc_id, r.entity, r.sev) for r in found.withColumn("sev", scan.entity_severity(F.col("entity"), F.col("score"))).collect()}
-    assert {(1, "US_SSN", "RED"), (1, "DATE_OF_BIRTH", "RED"), (1, "HIPAA_IDENTIFIER", "RED"), (1, "HIPAA_IDENTIFIER", "YELLOW"), (2, "MENTAL_HEALTH_DATA", "RED")} <= got
+    text = "diagnosis,prescription,medication for patient id 7, dob, ssn 123-45-6789 987-65-4321"
+    docs = spark.createDataFrame([(1, text), (2, "patient\nwith depression"), (3, None), (4, "plain")], "doc_id int, text string")
+    found = scan.best_spans(scan.recognise(docs, ["doc_id"]), ["doc_id"])
+    rows = found.withColumn("sev", scan.entity_severity(F.col("entity"), F.col("score"))).collect()
+    texts = {1: text, 2: "patient\nwith depression"}
+    assert all(texts[r.doc_id][r.start : r.end] == r.value and not r.truncated for r in rows)
+    got = {(r.doc_id, r.entity, r.value, r.sev) for r in rows}
+    want = {(1, "HIPAA_IDENTIFIER", v, "YELLOW") for v in ("diagnosis", "prescription", "medication")} | {(1, "US_SSN", v, "RED") for v in ("123-45-6789", "987-65-4321")}
+    assert want | {(1, "DATE_OF_BIRTH", "dob", "RED"), (1, "HIPAA_IDENTIFIER", "patient id", "RED"), (2, "MENTAL_HEALTH_DATA", texts[2], "RED")} <= got
     skip = spark.createDataFrame([("URL", 0.9), ("PERSON", 0.8), ("PERSON", 0.85), ("ODD", 0.5)], "e string, s double")
     assert [r[0] for r in skip.select(scan.entity_severity(F.col("e"), F.col("s"))).collect()] == [None, "YELLOW", "RED", "YELLOW"]
 
 
+def test_truncated_finds_say_so(spark):
+    docs = spark.createDataFrame([(1, "salary " + "x" * 50 + " mrn"), (2, "mrn")], "doc_id int, text string")
+    got = {(r.doc_id, r.value, r.truncated) for r in scan.recognise(docs, ["doc_id"], limit=20).collect()}
+    assert got == {(1, "salary", True), (2, "mrn", False)}
+    assert [tuple(r) for r in scan.truncations(docs, ["doc_id"], limit=20).collect()] == [(1, 61)]
+
+
+def test_backends(spark):
+    docs = spark.createDataFrame([(1, "call 212-555-0199", "a.txt"), (2, "plain", "b.dta"), (3, None, "c.txt"), (4, "plain", "d.txt")], "doc_id int, text string, path string")
+    by = lambda *a, **k: {r.doc_id: (r.verdict, r.backend) for r in scan.scan_with(docs, ["doc_id"], *a, **k).collect()}
+    # A telephone number is RED by rule and YELLOW as an entity.
+    assert by() == {1: ("RED", "regex"), 2: ("GREEN", "regex"), 3: ("YELLOW", "regex"), 4: ("GREEN", "regex")}
+    assert by("entities", "path") == {1: ("YELLOW", "entities"), 2: ("YELLOW", "entities"), 3: ("YELLOW", "entities"), 4: ("GREEN", "entities")}
+    assert by("model")[1] == ("RED", "regex") and by("model", model=lambda df, keys: df.select("doc_id"))[1] == ("RED", "regex")
+
+    def person(df, keys):
+        return df.where("doc_id = 4").select("doc_id", F.lit("PERSON").alias("entity"), F.lit(0).cast("long").alias("start"), F.lit(5).cast("long").alias("end"), F.lit(0.9).alias("score"), F.lit("plain").alias("value"), F.lit(False).alias("truncated"))
+
+    assert by("model", model=person)[4] == ("RED", "model")
+    with pytest.raises(ValueError):
+        scan.scan_with(docs, ["doc_id"], "other")
+
+
 def test_names_and_clip(spark):
     rows = spark.createDataFrame([(1, "a.csv"), (2, "a.csv"), (3, "b"), (4, "b")], "id int, name string")
     assert {r.id: r.unique_name for r in scan.unique_names(rows, "name", "id").collect()} == {1: "a.csv", 2: "a-2.csv", 3: "b", 4: "b-2"}
+    more = rows.union(spark.createDataFrame([(5, "a.csv"), (6, "a-3.csv")], "id int, name string"))
+    there = spark.createDataFrame([("a-2.csv",), ("b",)], "name string")
+    assert {r.id: r.unique_name for r in scan.unique_names(more, "name", "id", existing=there).collect()} == {1: "a.csv", 2: "a-4.csv", 3: "b-2", 4: "b-3", 5: "a-5.csv", 6: "a-3.csv"}
     out = spark.createDataFrame([("x" * 60,), ("x" * 61,)], "s string").select(clip(F.col("s"))).collect()
     assert [len(r[0]) for r in out] == [60, 60] and out[1][0].endswith("...")
 
@@ -101,7 +142,7 @@ def test_anonymise(spark):
 def test_keys(spark):
     found = spark.createDataFrame([("PERSON", "Zoe", 0.9, 5), ("PERSON", "Ann", 0.9, 2), ("PERSON", "Bob", 0.95, 9), ("EMAIL_ADDRESS", "a@b.c", 1.0, 1)], "entity string, value string, score double, at int")
     key = {r.original: r.pseudonym for r in anonymize.pseudonym_key(found).collect()}
-    assert key == {"Bob": "P01", "Ann": "P02", "Zoe": "P03", "a@b.c": "[EMAIL_ADDRESS]"}
+    assert key == {"Bob": "P01", "Ann": "P02", "Zoe": "P03", "a@b.c": "[EMAIL REMOVED]"}
     more = {r.original: r.pseudonym for r in anonymize.pseudonym_key(found, {"PERSON": 9}).collect()}
     assert more["Bob"] == "P10"
     auto = spark.createDataFrame([("Ann", "P01", "PERSON", 0.9), ("Bob", "P02", "PERSON", 0.9)], "original string, pseudonym string, type string, confidence double")
@@ -118,6 +159,13 @@ def test_detection_floors(spark):
     assert [(r.entity, r.value) for r in anonymize.detections(found, ["doc", "a", "b"]).collect()] == [("PERSON", "Bob")]
 
 
+def test_entities_without_replacement(spark):
+    found = spark.createDataFrame([(1, 0, 3, "NRP", "Ann", 0.9), (1, 0, 3, "PERSON", "Ann", 0.8), (1, 9, 12, "URL", "x.y", 0.9), (1, 20, 24, "DATE_TIME", "1999", 0.9), (1, 30, 33, "IP_ADDRESS", "::1", 0.5)], "doc int, a int, b int, entity string, value string, score double")
+    kept = anonymize.detections(found, ["doc", "a", "b"])
+    assert [r.entity for r in kept.collect()] == ["IP_ADDRESS"]
+    assert [r.pseudonym for r in anonymize.pseudonym_key(kept.withColumnRenamed("a", "at")).collect()] == ["[IP REMOVED]"]
+
+
 def test_institutions(spark):
     rows = spark.createDataFrame([(1, "at Stanford University and University of Michigan today")], "id int, text string")
     assert {r.value for r in anonymize.institutions(rows, ["id"]).collect()} == {"Stanford University", "University of Michigan"}
