@@ -5,16 +5,13 @@ Columns whose names start with ``_al_`` are reserved for internal use.
 
 from __future__ import annotations
 
-import atexit
 import contextlib
 import ctypes
 import gc
 import hashlib
 import inspect
 import io
-import shutil
 import sys
-import tempfile
 import threading
 import uuid
 from collections.abc import Callable, Iterable, Sequence
@@ -27,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from auditloom.llm import store
+from auditloom.sources.scratch import remove, scratch_path, scratch_root, written  # noqa: F401
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -92,54 +90,14 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(key, str(most))
 
 
-_local_roots: dict[str, str] = {}
-
-
-def scratch_root(spark: SparkSession) -> str:
-    """The folder all executors share, as ``spark.checkpoint.dir`` names it.
-
-    Only a purely local session (tests) without that setting gets a temporary folder, which
-    goes when the process ends; on a cluster the setting is required, as no other folder is
-    known to be shared.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if base:
-        return base.rstrip("/")
-    if not (spark.sparkContext.master == "local" or spark.sparkContext.master.startswith("local[")):
-        raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-    app = spark.sparkContext.applicationId
-    if app not in _local_roots:
-        folder = tempfile.mkdtemp(prefix="auditloom-")
-        atexit.register(shutil.rmtree, folder, ignore_errors=True)
-        _local_roots[app] = "file://" + folder
-    return _local_roots[app]
-
-
-def _hadoop(spark: SparkSession, path: str):
-    """A path and its file system."""
-    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return where, where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared folder; what is still there goes when the driver's JVM ends."""
-    path = f"{scratch_root(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
-    where, files = _hadoop(spark, path)
-    files.deleteOnExit(where)
-    return path
-
-
 def cut(df: DataFrame, name: str = "table") -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back.
 
     This cuts lineage, survives lost executors, and lets the next join bring its own
     exchanges on both sides, which adaptive execution can split where a key is hot.
     """
-    spark = df.sparkSession
-    small_batches(spark)
-    path = scratch_path(spark, name)
-    df.write.parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
+    small_batches(df.sparkSession)
+    out, path = written(df, name)
     out._al_scratch = path
     if _open.scopes:
         _open.scopes[-1].append(out)
@@ -181,8 +139,7 @@ def forget(*tables: DataFrame) -> None:
     for table in tables:
         path = getattr(table, "_al_scratch", None)
         if isinstance(path, str):
-            where, files = _hadoop(table.sparkSession, path)
-            files.delete(where, True)
+            remove(table.sparkSession, path)
 
 
 def running_total(df: DataFrame, order: Sequence[Column], value: Column, out: str) -> DataFrame:
