@@ -197,7 +197,7 @@ MARGIN = 0.1
 #: So many sets are tried one by one, the nearest fingerprints first; the rest by counts of shared hashes.
 NEAR = 8
 #: Sets that share a hash with more others than this are dealt into blocks of about so many, and every block meets every other.
-CROWD = 2048
+CROWD = 512
 
 
 def _shingle_set(digests: list[bytes]) -> tuple[np.ndarray, int]:
