@@ -142,9 +142,9 @@ def source_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.groupBy("n_name").agg(F.array_join(ids, ",").alias("suppliers"))
 
 
-@query("SELECT p_partkey AS anchor_id, row_number() OVER (ORDER BY CASE WHEN p_size > 25 THEN 0 ELSE 1 END, CASE p_partkey % 5 WHEN 1 THEN 0 WHEN 2 THEN 1 WHEN 0 THEN 2 WHEN 3 THEN 3 ELSE 4 END, p_partkey) AS rank FROM part WHERE p_type LIKE '%BRASS%' OR p_partkey % 3 = 0")
+@query("SELECT p_partkey AS anchor_id, row_number() OVER (ORDER BY CASE WHEN p_size > 25 THEN 0 ELSE 1 END, CASE p_partkey % 5 WHEN 1 THEN 0 WHEN 2 THEN 1 WHEN 0 THEN 2 WHEN 3 THEN 3 ELSE 4 END, p_partkey) AS rank FROM part")
 def brief_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parts = table(spark, sf_dir, "part").where(F.col("p_type").contains("BRASS") | (F.col("p_partkey") % 3 == 0))
+    parts = table(spark, sf_dir, "part")
     tier = F.get(F.array(*[F.lit(t) for t in ledger.ACCESS_TIERS]), (F.col("p_partkey") % 5).cast("int"))
     anchors = parts.select(F.col("p_partkey").alias("anchor_id"), (F.col("p_size") > 25).alias("verified"), tier.alias("access_tier"))
     return ledger.brief(anchors).select("anchor_id", F.col("rank").cast("long").alias("rank"))

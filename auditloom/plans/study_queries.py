@@ -84,10 +84,10 @@ def persona_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drawn.groupBy("sex", "age").agg(F.count("*").alias("n"))
 
 
-@query("SELECT c || '|' || c_custkey || '|' || p_partkey || '|r' || r AS custom_id, c AS condition, c_custkey::VARCHAR AS persona_id, p_partkey::VARCHAR AS item_id, r::INT AS rep FROM (VALUES ('base'), ('primed')) x(c), customer, (SELECT p_partkey FROM part ORDER BY p_partkey LIMIT 5), generate_series(0, 1) g(r)")
+@query("SELECT c || '|' || c_custkey || '|' || r_regionkey || '|r' || r AS custom_id, c AS condition, c_custkey::VARCHAR AS persona_id, r_regionkey::VARCHAR AS item_id, r::INT AS rep FROM (VALUES ('base'), ('primed')) x(c), customer, region, generate_series(0, 1) g(r)")
 def request_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     personas = table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("persona_id"))
-    items = table(spark, sf_dir, "part").orderBy("p_partkey").limit(5).select(F.col("p_partkey").cast("string").alias("item_id"))
+    items = table(spark, sf_dir, "region").select(F.col("r_regionkey").cast("string").alias("item_id"))
     return measure.fan_out(spark.createDataFrame([("base",), ("primed",)], "condition string"), personas, items, 2)
 
 
