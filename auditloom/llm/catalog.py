@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auditloom.llm import bpe, chunks, covertree, lines, mixing, pii, simhash, tokens, toxicity, warc
+from auditloom.llm import align, bpe, chunks, covertree, licenses, lines, mixing, pii, simhash, tokens, toxicity, variants, warc
 from auditloom.llm.common import cut
 
 QUERIES: dict = {}
@@ -128,6 +128,22 @@ def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_personal_data(docs, pii.fit(docs))
 
 
+@query
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.align_documents(_table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
+
+
+@query
+def op12_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan_licenses(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", *[F.array_join(c, ",").alias(c) for c in ("base_labels", "labels")], "score", "restriction")
+
+
+@query
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.variants_of_texts(_table(spark, sf_dir, "documents"))
+
+
 ORACLES["op1_warc"] = """
 WITH p AS (SELECT page_id, url, coalesce(html, '') AS h FROM pages),
 d AS (SELECT page_id, url, strlen(h) AS n, sha1(h) AS hex, min(page_id) OVER (PARTITION BY h) AS first FROM p)
