@@ -13,8 +13,9 @@ compressed differences. Totals by pair and the highest of every B id go back to
 by equi-joins, one chunk at a time. Only a table with a row per id of B is broadcast.
 
 Texts are split where no token can reach across, and each distinct piece goes to the
-tokenizer once a worker: by the vocabulary's pattern for A, before blanks for B, whose
-pieces hold blanks only at their start.
+tokenizer once a worker: by the vocabulary's pattern for A, for B between characters that
+no piece has side by side. A piece is compared with its ids' bytes when it is first met; once one
+differs, or where a text goes to a tokenizer whole, whole texts are.
 
 Defined results: a text that is null, empty or not given back by either tokenizer has no
 tokens, and all its counts are 0 and its digest empty; strings of special tokens are plain
@@ -25,6 +26,7 @@ beyond the two are left out, whatever their names; an empty table gives an empty
 
 from __future__ import annotations
 
+import array
 import hashlib
 import re
 from collections.abc import Iterator
@@ -38,18 +40,32 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 from auditloom.llm.common import cut, forget, kept_by_worker, small_batches
-from auditloom.llm.tokens import ByteLevelEncoder
+from auditloom.llm.tokens import _ODD, ByteLevelEncoder, _Pieces
 
 #: Links of a chunk, about: what a task holds of one, and the documents that share its pair counts.
 CHUNK = 4 << 20
 #: Bytes of text that are aligned at once; a longer text stands alone.
 BLOCK = 4 << 20
 #: Pieces of text that a worker remembers per tokenizer; this bounds memory alone.
-REMEMBERED = 200_000
+REMEMBERED = 400_000
 #: An id pair is one number: A's id in the high bits.
 BITS = 20
 
-_UNIT = re.compile(r" *[^ ]+| +")
+_LETTER = "A-Za-zÀ-ÖØ-öø-ÿ"
+
+
+class _Checked(_Pieces):
+    """Pieces of A, each compared with the bytes of its ids when it is first met."""
+
+    def __init__(self, tokenizer) -> None:
+        super().__init__(tokenizer)
+        self.wrong = False
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = super().__missing__(piece)
+        own = self.bytes
+        self.wrong |= b"".join([own[i] for i in memoryview(ids).cast("I")]) != piece.encode("utf-8")
+        return ids
 
 
 class _BytePair(ByteLevelEncoder):
@@ -58,14 +74,24 @@ class _BytePair(ByteLevelEncoder):
     def __init__(self, path: str) -> None:
         super().__init__(path)
         self.tokenizer.encode_special_tokens = True
+        self.pieces = _Checked(self.tokenizer)
         alphabet = {chr(c) if isinstance(c, int) else c: b for b, c in self.pieces.level.items()}
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         shown = [self.tokenizer.id_to_token(i) or "" for i in range(size)]
-        self.bytes = [bytes(map(alphabet.__getitem__, t)) if all(c in alphabet for c in t) else t.encode() for t in shown]
+        self.bytes = self.pieces.bytes = [bytes(map(alphabet.__getitem__, t)) if all(c in alphabet for c in t) else t.encode() for t in shown]
 
+    def whole(self, text: str) -> bool:
+        """Whether the text's ids may differ from its bytes: it goes to the library whole, or a piece has once been wrong."""
+        return self.pieces.wrong or "<|" in text or _ODD.search(text) is not None
 
-class _Pieces:
-    """B: a model of the sentencepiece library, which puts a blank before a text."""
+
+class _SentencePieces:
+    """B: a model of the sentencepiece library, which puts a blank before a text.
+
+    A merge makes a piece, so none reaches across two characters that stand side by side in no
+    piece: texts are cut between such ones, before blanks, between letters and what follows
+    them, and around characters that no longer piece has.
+    """
 
     def __init__(self, path: str) -> None:
         import sentencepiece
@@ -73,34 +99,51 @@ class _Pieces:
         self.model = model = sentencepiece.SentencePieceProcessor(model_file=path)
         pieces = [model.id_to_piece(i) for i in range(model.get_piece_size())]
         self.bytes = [bytes([int(p[3:-1], 16)]) if model.is_byte(i) else p.replace("\u2581", " ").encode() for i, p in enumerate(pieces)]
-        # Where a blank stands within a piece, a merge could reach across units; texts go to the model whole then.
-        self.whole = any("\u2581" in p.lstrip("\u2581") for p in pieces)
+        long_ = [p for i, p in enumerate(pieces) if len(p) > 1 and not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i))]
+        letter = re.compile(f"[{_LETTER}]")
+        others = [chr(c) for c in (9, 10, 13, *range(33, 127)) if not letter.match(chr(c))]
+        inside = {c for p in long_ for c in p}
+        after = {b for p in long_ for a, b in zip(p, p[1:], strict=False) if letter.match(a)}
+        lone = re.escape("".join(c for c in others if c not in inside))
+        end = re.escape("".join(c for c in others if c not in after)) + lone
+        self.unit = re.compile(rf" *[{_LETTER}]+(?=[ {end}]|\Z)|[{lone}]| *[^ {lone}]+| +")
+        self.first = model.encode("\n")
+        # Units without a blank before them are encoded after a line end, which stands alone.
+        self.apart = "\n" not in inside and len(self.first) == 2 and not any("\u2581" in p.lstrip("\u2581") for p in long_)
         self.known: dict[str, bytes] = {}
+        self.wrong = False
 
     def __call__(self, text: str) -> bytes:
         """Ids of blank + text; ``text`` has the blank already."""
-        if self.whole:
+        if not self.apart:
             return np.array(self.model.encode(text[1:]), dtype="<u4").tobytes()
-        units = _UNIT.findall(text)
+        units = self.unit.findall(text)
         new = [u for u in dict.fromkeys(units) if u not in self.known]
         if new:
             if len(self.known) + len(new) > REMEMBERED:
                 self.known.clear()
                 new = list(dict.fromkeys(units))
-            for u, ids in zip(new, self.model.encode([u[1:] for u in new], num_threads=1), strict=True):
-                self.known[u] = np.array(ids, dtype="<u4").tobytes()
+            worded = [u[0] == " " and u[-1] != " " for u in new]
+            for u, own, ids in zip(new, worded, self.model.encode([u[1:] if w else "\n" + u for u, w in zip(new, worded, strict=True)], num_threads=1), strict=True):
+                own = ids if own else ids[2:]
+                self.wrong |= b"".join(map(self.bytes.__getitem__, own)) != u.encode("utf-8", "surrogatepass")
+                self.known[u] = array.array("I", own).tobytes()
         return b"".join(map(self.known.__getitem__, units))
 
+    def whole(self, text: str) -> bool:
+        """Whether the text's ids may differ from its bytes."""
+        return self.wrong or not self.apart
+
 
 class Aligner:
     """Both tokenizers with the tables of their tokens' lengths and decimal names."""
 
     def __init__(self, a: str, b: str) -> None:
-        self.a, self.b = _BytePair(a), _Pieces(b)
+        self.a, self.b = _BytePair(a), _SentencePieces(b)
         self.length_a, self.length_b = (np.array([len(x) for x in t.bytes], dtype=np.int64) for t in (self.a, self.b))
-        # An id's name with what follows it: 0 within its side of a group, 1 at the side's end.
-        self.names_a = [f"{i}{sep}".encode() for i in range(len(self.length_a)) for sep in ",|"]
-        self.names_b = [f"{i}{sep}".encode() for i in range(len(self.length_b)) for sep in ",;"]
+        # An id's name with what follows it: first within its side of a group, then at the side's end; B's names after A's.
+        names = [f"{i}{sep}".encode() for n, ends in ((len(self.length_a), ",|"), (len(self.length_b), ",;")) for i in range(n) for sep in ends]
+        self.names = np.array(names, dtype=bytes)  # padded with zero bytes, which no name has
 
     def tokens(self, text: str | None) -> tuple[bytes, np.ndarray, np.ndarray]:
         """The bytes of blank + text and both tokenizers' ids; nothing where one doesn't give the bytes back."""
@@ -110,8 +153,8 @@ class Aligner:
         spaced = " " + text
         raw = spaced.encode("utf-8", "surrogatepass")
         a, b = (np.frombuffer(t(spaced), dtype="<u4") for t in (self.a, self.b))
-        for ids, lengths, table in ((a, self.length_a, self.a.bytes), (b, self.length_b, self.b.bytes)):
-            if int(lengths[ids].sum()) != len(raw) or b"".join(map(table.__getitem__, ids.tolist())) != raw:
+        for ids, lengths, own in ((a, self.length_a, self.a), (b, self.length_b, self.b)):
+            if int(lengths[ids].sum()) != len(raw) or (own.whole(spaced) and b"".join(map(own.bytes.__getitem__, ids.tolist())) != raw):
                 return b"", none, none
         return raw, a, b
 
@@ -137,12 +180,13 @@ class Aligner:
         last_a[upto_a[shared] - 1], last_b[upto_b[shared] - 1] = 1, 1
         group_a, group_b = np.cumsum(last_a) - last_a, np.cumsum(last_b) - last_b
         before_b = np.concatenate([[0], upto_b[shared]])
-        order = np.empty(len(a) + len(b), dtype=object)
-        order[np.arange(len(a)) + before_b[group_a]] = list(map(self.names_a.__getitem__, (2 * a.astype(np.int64) + last_a).tolist()))
-        order[np.arange(len(b)) + upto_a[shared][group_b]] = list(map(self.names_b.__getitem__, (2 * b.astype(np.int64) + last_b).tolist()))
-        names, at, digests = order.tolist(), 0, []
+        order = np.empty(len(a) + len(b), dtype=np.int64)
+        order[np.arange(len(a)) + before_b[group_a]] = 2 * a.astype(np.int64) + last_a
+        order[np.arange(len(b)) + upto_a[shared][group_b]] = 2 * len(self.length_a) + 2 * b.astype(np.int64) + last_b
+        at, digests = 0, []
         for n in (counts["n_a"] + counts["n_b"]).tolist():
-            digests.append(hashlib.sha256(b"".join(names[at : at + n])[:-1]).hexdigest() if n else "")
+            named = self.names[order[at : at + n]].tobytes().translate(None, b"\0")
+            digests.append(hashlib.sha256(named[:-1]).hexdigest() if n else "")
             at += n
         return counts, digests, pairs, np.concatenate([[0], np.cumsum(counts["n_links"])])
 
