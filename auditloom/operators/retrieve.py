@@ -126,11 +126,14 @@ def gaps(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 def communities(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """Connected components by smallest label with shortcuts; every round is written, and the one before it goes.
 
-    ``edges(src, dst)`` to ``id, root``. The rounds grow with the logarithm of the longest
-    path; components that haven't settled after ``max_rounds`` raise an error.
+    ``edges(src, dst)`` to ``id, root``, with ids of any one type that orders; an edge with a
+    null end is left out, a loop makes its node a component. The rounds grow with the
+    logarithm of the longest path; components that haven't settled after ``max_rounds`` raise
+    an error.
     """
     spark = edges.sparkSession
-    both, at = written(edges.select(F.col("src").alias("a"), F.col("dst").alias("b")).union(edges.select("dst", "src")).distinct(), "edges")
+    ends = edges.where("src IS NOT NULL AND dst IS NOT NULL")
+    both, at = written(ends.select(F.col("src").alias("a"), F.col("dst").alias("b")).union(ends.select("dst", "src")).distinct(), "edges")
     label, before, last = both.groupBy(F.col("a").alias("id")).agg(F.least(F.min("b"), F.first("a")).alias("root")), None, None
     for _ in range(max_rounds):
         near = both.join(label.withColumnRenamed("id", "b"), "b").groupBy(F.col("a").alias("id")).agg(F.min("root").alias("n"))
@@ -139,7 +142,7 @@ def communities(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         label, path = written(jump, "labels")
         if last:
             remove(spark, last)
-        now, last = label.agg(F.sum(F.col("root").cast("decimal(38,0)"))).first()[0], path
+        now, last = label.agg(F.sum(F.xxhash64("id", "root").cast("decimal(38,0)"))).first()[0], path
         if now == before:
             remove(spark, at)
             return label

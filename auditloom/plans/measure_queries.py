@@ -212,13 +212,6 @@ def digest_last7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recent.groupBy("event_type").agg(F.count("*").alias("n"), F.round(F.avg("value"), 4).alias("mean"))
 
 
-@query("""WITH RECURSIVE e AS (SELECT o_custkey AS a, (o_custkey * 7 + o_orderkey % 3) % 150 AS b FROM orders), b AS (SELECT a, b FROM e WHERE a <> b UNION SELECT b, a FROM e WHERE a <> b),
-r(a, b) AS (SELECT a, a FROM b UNION SELECT r.a, b.b FROM r JOIN b ON r.b = b.a) SELECT a AS id, min(b) AS root FROM r GROUP BY a""")
-def topic_communities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    edges = table(spark, sf_dir, "orders").selectExpr("o_custkey AS src", "(o_custkey * 7 + o_orderkey % 3) % 150 AS dst")
-    return retrieve.communities(edges.where("src <> dst"))
-
-
 @query("SELECT doc_id, i::BIGINT AS chunk, length(substr(text, (i * 1000 + 1)::INT, 1000))::BIGINT AS n_chars FROM (SELECT doc_id, text, unnest(generate_series(0, (length(text) + 999) // 1000 - 1)) AS i FROM documents WHERE length(text) > 0)")
 def chunk_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return retrieve.chunks(table(spark, sf_dir, "documents"), "doc_id").select("doc_id", "chunk", F.length("body").cast("long").alias("n_chars"))
