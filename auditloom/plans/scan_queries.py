@@ -266,23 +266,6 @@ def text_truncations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan.truncations(table(spark, sf_dir, "documents"), ["doc_id"], limit=5_000)
 
 
-_FILES = Given("path string, text string", [
-    ("/p/a.csv", "plain words"), ("/p/b.parquet", "plain words"), ("/p/c.DTA", "patient_id"), ("/p/d.pdf", "me@site.org"), ("/p/e", None), ("/p/f.xlsx", None), ("/p/g.tar.gz", "ok"),
-    ("/p/h.txt ", "ok"), ("/p.wav/i", "ok"), ("/p/j.png", "SSN: 123-45-6789"), ("/p/k.md", "")])
-_OPAQUE = "'xlsx', 'xls', 'ods', 'parquet', 'feather', 'arrow', 'dta', 'sav', 'rds', 'rdata', 'sqlite', 'db', 'h5', 'hdf5', 'mat', 'pkl', 'npy', 'npz', 'pickle', 'wav', 'mp3', 'flac', 'm4a', 'ogg', 'aac', 'aiff', 'mp4', 'mov', 'avi', 'mkv', 'webm', 'jpg', 'jpeg', 'png', 'tiff', 'tif', 'heic', 'heif', 'bmp', 'webp', 'gif', 'pdf', 'doc', 'docx', 'xlsm', 'pptx', 'ppt'"
-_EXT = "CASE WHEN contains(parse_filename(path), '.') THEN lower(trim(string_split(parse_filename(path), '.')[-1])) ELSE '' END"
-
-
-@query(f"WITH g AS {_FILES.sql}, f AS (SELECT path, text, {flags('text')} FROM g) SELECT path, CASE WHEN {RED} > 0 THEN 'RED' WHEN {YELLOW} > 0 OR text IS NULL OR {_EXT} IN ({_OPAQUE}) THEN 'YELLOW' ELSE 'GREEN' END AS verdict FROM f")
-def scan_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scan.scan(_FILES.frame(spark), path="path").select("path", "verdict")
-
-
-@query(f"SELECT path, 'BINARY_FORMAT' AS entity, 1.0::DOUBLE AS score, '.' || {_EXT} AS value FROM {_FILES.sql} WHERE {_EXT} IN ({_OPAQUE})")
-def opaque_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scan.opaque_findings(_FILES.frame(spark), ["path"], "path")
-
-
 @query(f"WITH {DOC_VERDICT}, k AS (SELECT CASE WHEN doc_id % 50 = 3 THEN 'odd' ELSE verdict END AS level FROM v) SELECT level, (SELECT count(*) FROM k WHERE k.level = l.level OR (l.level = 'UNKNOWN' AND k.level NOT IN ('GREEN', 'YELLOW', 'RED'))) AS n FROM (VALUES ('GREEN'), ('YELLOW'), ('RED'), ('UNKNOWN')) l(level)")
 def level_tally(spark: SparkSession, sf_dir: str) -> DataFrame:
     levels = scan.scan(_texts(spark, sf_dir, "documents", "doc_id", "text")).select(F.when(F.col("doc_id") % 50 == 3, "odd").otherwise(F.col("verdict")).alias("verdict"))

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from cases import case as query
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auditloom.operators import anonymize, ledger, measure, prose, retrieve, review, scan, status, trace
-from auditloom.plans.registry import Given, query, quoted
+from auditloom.operators import anonymize, ledger, measure, review, scan, status, trace
+from auditloom.plans.registry import Given, quoted
 from auditloom.sources import sinks
-from auditloom.sources.tables import parse_ndjson, table
+from auditloom.sources.tables import parse_ndjson
 
 # ---- safety status ----
 
