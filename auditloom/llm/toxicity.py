@@ -1,11 +1,14 @@
 """Toxicity scores from a bidirectional gated recurrent network with attention pooling.
 
-A word enters as a learned vector of its own, the mean of its character n-grams' learned
-vectors, and smoothed log-odds of both from the training sample. Texts are cut into
-overlapping windows of ``WINDOW`` words that cover them whole; forward and backward gated
-units read each window, attention pools their states, and a document's score is that of
-its highest window. Training, in numpy, goes by documents: the window that speaks most for
-a document's class, a hard example where the label is 0, is the one that learns.
+A word enters as a learned vector of its own and the mean of its character n-grams' learned
+vectors, and nothing else. Texts are cut into overlapping windows of ``WINDOW`` words that
+cover them whole; forward and backward gated units read each window, attention pools their
+states, and a document's score is that of its highest window. Training, in numpy, goes by
+documents: the window that the network scores highest, a hard example where the label is 0,
+is the one that learns. In the first epoch, when the network knows nothing, the window with
+the most telling words is taken, by their log-odds in the sample's other folds; they are no
+input and no part of the model. Own vectors are left out at random, so that n-grams learn
+what they can for words that training hasn't seen.
 
 The sample is bounded: at most ``SAMPLE`` labelled documents of each class, in seeded
 order, of at most ``SAMPLE_CHARS`` characters. Scoring reads every text whole.
@@ -33,7 +36,9 @@ from auditloom.llm.common import kept_by_worker, saved_arrays, small_batches
 
 SAMPLE, SAMPLE_CHARS = 2500, 12_000
 WINDOW, STRIDE = 32, 24
-HIDDEN, OWN, CHARS = 8, 4, 4
+HIDDEN, OWN, CHARS = 8, 4, 16
+#: How often training leaves a word's own vector out, and the rate at which vectors learn.
+LEFT_OUT, VECTOR_RATE = 0.5, 0.8
 WORD_BITS, GRAM_BITS = 17, 18
 FOLDS = 4
 GRAMS = range(3, 8)
@@ -111,7 +116,7 @@ class Model:
 
     def __init__(self, seed: int = 42) -> None:
         rng = np.random.default_rng(seed)
-        d, h = OWN + CHARS + 4, HIDDEN
+        d, h = OWN + CHARS + 1, HIDDEN
         draw = lambda *shape, scale: (rng.standard_normal(shape) * scale).astype(F4)
         self.p = {
             "own": draw(1 << WORD_BITS, OWN, scale=0.1),
@@ -124,21 +129,12 @@ class Model:
             "w": draw(2 * h, scale=0.3),
             "c": np.zeros(1, F4),
         }
-        self.word_odds = np.zeros(1 << WORD_BITS, F4)
-        self.gram_odds = np.zeros(1 << GRAM_BITS, F4)
         self.trained = False
 
-    def odds(self, grams: Grams) -> np.ndarray:
-        """What the sample says of words: of the word itself, and the highest and the mean of its n-grams."""
-        odds = self.gram_odds[grams.flat]
-        mean = np.add.reduceat(odds, grams.first) / grams.size
-        return np.stack([self.word_odds[grams.own], np.maximum.reduceat(odds, grams.first), mean], axis=1).astype(F4)
-
-    def inputs(self, grams: Grams, odds: np.ndarray | None = None) -> np.ndarray:
+    def inputs(self, grams: Grams) -> np.ndarray:
         """The input vectors of words."""
         mean = np.add.reduceat(self.p["chars"][grams.flat], grams.first, axis=0) / grams.size[:, None]
-        odds = self.odds(grams) if odds is None else odds
-        return np.concatenate([self.p["own"][grams.own], mean, odds, np.ones((len(odds), 1), F4)], axis=1).astype(F4)
+        return np.concatenate([self.p["own"][grams.own], mean, np.ones((len(mean), 1), F4)], axis=1).astype(F4)
 
     def project(self, x: np.ndarray) -> np.ndarray:
         """Inputs to the gates of both directions: (words, 2, 3 HIDDEN)."""
@@ -217,6 +213,27 @@ class _Adam:
             p[k] -= (self.rate * (m / (1 - 0.9**self.t)) / (np.sqrt(v / (1 - 0.999**self.t)) + 1e-8)).astype(F4)
 
 
+def _first_lead(grams: Grams, rows: list[np.ndarray], y: np.ndarray, fold: np.ndarray, ids: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """How telling windows are before anything is learned: the highest log-odds of a word and its n-grams in other folds' documents."""
+    words, parts = np.zeros((FOLDS, 2, 1 << WORD_BITS), F4), np.zeros((FOLDS, 2, 1 << GRAM_BITS), F4)
+    for i, r in enumerate(rows):
+        mine = grams.take(np.unique(r)) if len(r) else grams.take(np.zeros(1, dtype=np.int32))
+        words[fold[i], int(y[i]), np.unique(mine.own)] += 1
+        parts[fold[i], int(y[i]), np.unique(mine.flat)] += 1
+    lead = np.zeros(len(ids), F4)
+    for f in range(FOLDS):
+        others = fold != f
+        ratio = (max(1.0, (1 - y[others]).sum()) / max(1.0, y[others].sum())) ** 0.5
+        word_odds, part_odds = (_odds((x.sum(axis=0) - x[f])[1] * ratio, (x.sum(axis=0) - x[f])[0] / ratio) for x in (words, parts))
+        by_word = np.zeros(grams.own.size, F4)
+        for k in range(0, len(by_word), 4096):
+            some = grams.take(np.arange(k, min(k + 4096, len(by_word))))
+            by_word[k : k + 4096] = word_odds[some.own] + np.maximum.reduceat(part_odds[some.flat], some.first)
+        mine = np.nonzero(fold[doc] == f)[0]
+        lead[mine] = by_word[ids[mine]].max(axis=1)
+    return lead
+
+
 def train(texts: list[str], labels: list[int], epochs: int = 8, batch: int = 64, rate: float = 0.01, seed: int = 42) -> Model:
     """Fit a model to labelled texts."""
     model, rng = Model(seed), np.random.default_rng(seed)
@@ -232,44 +249,29 @@ def train(texts: list[str], labels: list[int], epochs: int = 8, batch: int = 64,
     plain = [place[r] for r in plain]
     grams = all_grams(listed)
     del names, listed
-    # A document's words carry odds from the other folds, so the network sees odds as it will on new texts.
-    fold = rng.permutation(len(y)) % FOLDS
-    seen = {"word_odds": np.zeros((FOLDS, 2, 1 << WORD_BITS), F4), "gram_odds": np.zeros((FOLDS, 2, 1 << GRAM_BITS), F4)}
-    for i, r in enumerate(plain):
-        mine = grams.take(np.unique(r))
-        seen["word_odds"][fold[i], int(y[i]), np.unique(mine.own)] += 1
-        seen["gram_odds"][fold[i], int(y[i]), np.unique(mine.flat)] += 1
-
-    def tabulate(chosen: np.ndarray) -> None:
-        n = max(1.0, (1 - y[np.isin(fold, chosen)]).sum()), max(1.0, y[np.isin(fold, chosen)].sum())
-        for table, counts in seen.items():
-            negative, positive = counts[chosen].sum(axis=0)
-            setattr(model, table, _odds(positive * (n[0] / n[1]) ** 0.5, negative * (n[1] / n[0]) ** 0.5))
-
-    # A kind of input is a word in a fold.
-    kinds = np.unique(np.concatenate([[0], *(np.unique(r) + f * grams.own.size for f, r in zip(fold, plain, strict=True))]))
-    rows = [np.searchsorted(kinds, r + f * grams.own.size).astype(np.int32) for f, r in zip(fold, plain, strict=True)]
-    word_of, fold_of = (kinds % grams.own.size).astype(np.int32), kinds // grams.own.size
-    pad, odds = len(kinds), np.zeros((len(kinds) + 1, 3), F4)
-    word_of = np.append(word_of, 0).astype(np.int32)  # the last one pads
-    for f in range(FOLDS):
-        tabulate(np.array([k for k in range(FOLDS) if k != f]))
-        mine = np.nonzero(fold_of == f)[0]
-        for k in range(0, len(mine), 4096):
-            odds[mine[k : k + 4096]] = model.odds(grams.take(word_of[mine[k : k + 4096]]))
-    tabulate(np.arange(FOLDS))
-    del plain, seen, kinds, fold_of
+    rows = plain
     starts = [windows_of(len(r)) for r in rows]
     doc = np.repeat(np.arange(len(rows)), [len(s) for s in starts])
-    ids = np.full((len(doc), WINDOW), pad, dtype=np.int32)
+    ids = np.zeros((len(doc), WINDOW), dtype=np.int32)  # the empty word pads
     for k, (i, s) in enumerate(zip(doc, (s for one in starts for s in one), strict=True)):
         part = rows[i][s : s + WINDOW]
         ids[k, : len(part)] = part
     first = np.concatenate([[0], np.nonzero(np.diff(doc))[0] + 1])
-    mask = ids != pad
+    mask = ids > 0
     mask[:, 0] = True
-    adam, at_odds = _Adam(rate), slice(OWN + CHARS, OWN + CHARS + 3)
-    lead = odds[:, :2].sum(axis=1)[ids].max(axis=1)
+    fold = rng.permutation(len(y)) % FOLDS
+    lead = _first_lead(grams, rows, y, fold, ids, doc)
+    adam, squares = _Adam(rate), {k: np.zeros(len(model.p[k]), F4) for k in ("own", "chars")}
+
+    def learn(name: str, at: np.ndarray, d: np.ndarray) -> None:
+        """A step of vectors by what they have moved before; rows of ``at`` add up."""
+        which, back = np.unique(at, return_inverse=True)
+        total = np.zeros((len(which), d.shape[1]), F4)
+        np.add.at(total, back, d)
+        squares[name][which] += (total**2).mean(axis=1)
+        model.p[name][which] -= VECTOR_RATE * total / (np.sqrt(squares[name][which])[:, None] + F4(1e-6))
+
+    mean: dict[str, np.ndarray] = {}
     weight = np.where(y == 1, len(y) / (2 * y.sum()), len(y) / (2 * (len(y) - y.sum()))).astype(F4)
     for epoch in range(epochs):
         best = np.array([a + int(np.argmax(lead[a:b])) for a, b in zip(first, [*first[1:], len(doc)], strict=True)])
@@ -279,8 +281,9 @@ def train(texts: list[str], labels: list[int], epochs: int = 8, batch: int = 64,
             some = order[at : at + batch]
             w = best[some]
             used, back = np.unique(ids[w], return_inverse=True)
-            mine = grams.take(word_of[used])
-            x = model.inputs(mine, odds[used])
+            mine = grams.take(used)
+            x, out = model.inputs(mine), rng.random(len(used)) < LEFT_OUT
+            x[out, :OWN] = 0
             gates = model.project(x)[back.reshape(w.shape[0], WINDOW)]
             logits, cache = model.forward(gates, mask[w], keep=True)
             d = ((_sigmoid(logits) - y[some]) * weight[some] / len(some)).astype(F4)
@@ -291,22 +294,22 @@ def train(texts: list[str], labels: list[int], epochs: int = 8, batch: int = 64,
             g["W"], g["b"] = np.matmul(x.T[None], by_word), by_word.sum(axis=1, keepdims=True)
             dx = np.matmul(by_word, model.p["W"].transpose(0, 2, 1)).sum(axis=0)
             adam.step(model.p, g)
-            np.add.at(model.p["own"], mine.own, -rate * 5 * dx[:, :OWN])
-            np.add.at(model.p["chars"], mine.flat, -rate * 5 * np.repeat(dx[:, OWN : OWN + CHARS] / mine.size[:, None], mine.size, axis=0))
+            dx[out, :OWN] = 0
+            learn("own", mine.own, dx[:, :OWN])
+            learn("chars", mine.flat, np.repeat(dx[:, OWN : OWN + CHARS] / mine.size[:, None], mine.size, axis=0))
+        if epoch >= epochs // 2:
+            # What is kept is the mean of the later epochs' parameters, which sways less than the last.
+            for k, v in model.p.items():
+                mean[k] = mean.get(k, 0) + v / F4(epochs - epochs // 2)
         if epoch < epochs - 1:
-            # Gates by word, without odds, which differ by fold and are added window by window.
             table = np.zeros((grams.own.size, 2, 3 * HIDDEN), F4)
             for k in range(0, len(table), 4096):
-                part = np.arange(k, min(k + 4096, len(table)))
-                table[part] = model.project(model.inputs(grams.take(part), np.zeros((len(part), 3), F4)))
-            side = np.concatenate([model.p["W"][0, at_odds], model.p["W"][1, at_odds]], axis=1)
+                table[k : k + 4096] = model.project(model.inputs(grams.take(np.arange(k, min(k + 4096, len(table))))))
             lead = np.zeros(len(ids), F4)
             for k in range(0, len(ids), 512):
-                some = ids[k : k + 512]
-                gates = table[word_of[some]] + (odds[some] @ side).reshape(*some.shape, 2, 3 * HIDDEN)
-                lead[k : k + 512] = model.forward(gates, mask[k : k + 512])[0]
+                lead[k : k + 512] = model.forward(table[ids[k : k + 512]], mask[k : k + 512])[0]
             del table
-    model.trained = True
+    model.p, model.trained = mean, True
     return model
 
 
@@ -403,12 +406,12 @@ def fit(docs: DataFrame, labels: DataFrame, seed: int = 42, **columns) -> Model:
 
     def made() -> dict[str, np.ndarray]:
         model = train(texts, marks, seed=seed)
-        return {**model.p, "word_odds": model.word_odds, "gram_odds": model.gram_odds, "trained": np.array(model.trained)}
+        return {**model.p, "trained": np.array(model.trained)}
 
     found = saved_arrays(docs.sparkSession, "toxicity", [seed, *marks, *texts], made)
     model = Model(seed)
     model.p = {k: found[k] for k in model.p}
-    model.word_odds, model.gram_odds, model.trained = found["word_odds"], found["gram_odds"], bool(found["trained"])
+    model.trained = bool(found["trained"])
     return model
 
 
