@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import math
 
 import numpy as np
 import pandas as pd
@@ -363,3 +364,51 @@ def combined_verdict(findings: DataFrame, discovered: int) -> DataFrame:
     red, yellow = F.count_if(F.col("state") == "RED"), F.count_if(F.col("state") == "YELLOW")
     verdict = F.when(red > 0, "RED").when(yellow > 0, "YELLOW").otherwise("INERT" if discovered == 0 else "GREEN")
     return findings.agg(red.alias("red"), yellow.alias("yellow"), verdict.alias("verdict"))
+
+
+# ---- intervals of agreement ----
+
+
+def poisson_weight(key: Column, replicate: Column, seed: int = 42) -> Column:
+    """How often a replicate of a bootstrap takes a row: a Poisson number of mean one, by a hash of the row's key, the replicate and the seed.
+
+    The hash gives a number below 2^32, and the count is how many of the distribution's steps
+    it has passed; the ninth is beyond 32 bits.
+    """
+    h = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), replicate.cast("string"), key.cast("string")).cast("binary")), 1, 8), 16, 10).cast("long")
+    return sum((F.when(h >= step, 1).otherwise(0) for step in POISSON_STEPS), F.lit(0)).cast("long")
+
+
+#: The distribution of a Poisson number of mean one, up to each count, of 2^32.
+POISSON_STEPS = [round((1 << 32) * math.exp(-1) * sum(1 / math.factorial(i) for i in range(k + 1))) for k in range(9)]
+
+
+def agreement_intervals(rows: DataFrame, key: str, a: str, b: str, replicates: int = 200, level: float = 0.95, seed: int = 42) -> DataFrame:
+    """``measure, estimate, low, high, n``: Cohen's kappa and Krippendorff's alpha of two raters, with bootstrap intervals.
+
+    One pass: a row adds its weight in every replicate to the count of its pair of labels, and
+    what moves is a count per pair of labels and replicate. The interval runs between the
+    replicates' quantiles; a replicate in which a measure is undefined doesn't count, and an
+    undefined estimate has neither. Rows that lack a label or a key stand outside; rows of one
+    key are taken together.
+    """
+    pairs = rows.where(F.col(key).isNotNull() & F.col(a).isNotNull() & F.col(b).isNotNull()).select(F.col(key).alias("k"), F.col(a).cast("string").alias("a"), F.col(b).cast("string").alias("b"))
+    # Replicate 0 is the sample itself.
+    dealt = pairs.select("k", "a", "b", F.explode(F.sequence(F.lit(0), F.lit(replicates))).alias("r"))
+    weight = F.when(F.col("r") == 0, 1).otherwise(poisson_weight(F.col("k"), F.col("r"), seed))
+    cells = dealt.groupBy("r", "a", "b").agg(F.sum(weight).alias("w"))
+    agreed = cells.groupBy("r").agg(F.sum("w").alias("n"), F.sum(F.when(F.col("a") == F.col("b"), F.col("w")).otherwise(0)).alias("same"))
+    side = lambda c, out: cells.groupBy("r", F.col(c).alias("v")).agg(F.sum("w").alias(out))
+    ends = side("a", "wa").join(side("b", "wb"), ["r", "v"], "full_outer").na.fill(0, ["wa", "wb"])
+    both = F.col("wa") + F.col("wb")
+    chance = ends.groupBy("r").agg(F.sum(F.col("wa") * F.col("wb")).alias("pe"), F.sum(both * (both - 1)).alias("cc"))
+    n, po = F.col("n").cast("double"), F.try_divide("same", "n")
+    pe = F.try_divide(F.col("pe"), n * n)
+    expected = 1 - F.try_divide(F.col("cc"), 2 * n * (2 * n - 1))
+    by = agreed.join(chance, "r").select("r", "n", F.when(pe < 1, (po - pe) / (1 - pe)).alias("kappa"), F.when(expected > 0, 1 - (1 - po) / expected).alias("alpha"))
+    long_ = by.select("r", "n", F.explode(F.create_map(F.lit("kappa"), F.col("kappa"), F.lit("alpha"), F.col("alpha"))).alias("measure", "x"))
+    tail = (1 - level) / 2
+    own = lambda c: F.max(F.when(F.col("r") == 0, F.col(c)))
+    out = long_.groupBy("measure").agg(own("x").alias("estimate"), F.expr(f"percentile(IF(r > 0, x, NULL), {tail!r})").alias("low"), F.expr(f"percentile(IF(r > 0, x, NULL), {1 - tail!r})").alias("high"), own("n").alias("n"))
+    known = F.col("estimate").isNotNull()
+    return out.select("measure", "estimate", F.when(known, F.col("low")).alias("low"), F.when(known, F.col("high")).alias("high"), "n")

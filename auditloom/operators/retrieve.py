@@ -71,15 +71,44 @@ def relate(edges: DataFrame, paper: str, other: str | None = None) -> DataFrame:
     return both.where(F.col("other") == other) if other is not None else both
 
 
+def distances(edges: DataFrame, starts: DataFrame, depth: int | None = None) -> DataFrame:
+    """``id, steps``: the nodes that ``starts(id)`` reach along ``edges(src, dst)``, and the fewest steps to them; starts are 0 away.
+
+    A search by frontiers: what is reached first is joined with the edges once, is written, and
+    joins what was reached before, so a node is gone through once, however many paths lead to
+    it. Null ids and edges with a null end are left out. Rounds are as many as the longest
+    distance, or ``depth``.
+    """
+    spark = edges.sparkSession
+    own, at = written(edges.where("src IS NOT NULL AND dst IS NOT NULL").select("src", "dst").distinct(), "edges")
+    front, path = written(starts.where("id IS NOT NULL").select("id").distinct().withColumn("steps", F.lit(0)), "front")
+    paths, schema, step = [path], front.schema, 0
+    read = lambda where: spark.read.schema(schema).parquet(*where)
+    while depth is None or step < depth:
+        step += 1
+        near = own.join(front.select(F.col("id").alias("src")), "src").select(F.col("dst").alias("id")).distinct()
+        front, path = written(near.join(read(paths).select("id"), "id", "left_anti").withColumn("steps", F.lit(step)), "front")
+        if front.isEmpty():
+            remove(spark, path)
+            break
+        paths.append(path)
+    out, _ = written(read(paths), "distances")
+    for p in (at, *paths):
+        remove(spark, p)
+    return out
+
+
 def lineage(edges: DataFrame, paper: str, kind: str = "extends", depth: int = 5) -> DataFrame:
-    """``id, steps``: what a paper rests on through relations of a kind, the fewest steps first counted; at most ``depth``."""
-    own = edges.where(F.col("kind") == kind).select("src", "dst").distinct()
-    reached = own.where(F.col("src") == paper).select(F.col("dst").alias("id"), F.lit(1).alias("steps"))
-    front = reached
-    for k in range(2, depth + 1):
-        front = own.join(front.select(F.col("id").alias("src")).distinct(), "src").select(F.col("dst").alias("id"), F.lit(k).alias("steps"))
-        reached = reached.union(front)
-    return reached.where(F.col("id") != paper).groupBy("id").agg(F.min("steps").alias("steps"))
+    """``id, steps``: what a paper rests on through relations of a kind, the fewest steps counted; at most ``depth``."""
+    start = edges.sparkSession.createDataFrame([(paper,)], edges.select(F.col("src").alias("id")).schema)
+    return distances(edges.where(F.col("kind") == kind), start, depth).where("steps > 0")
+
+
+def relations(edges: DataFrame) -> DataFrame:
+    """``id, kind, direction, n``: every node's relations of each kind and direction, parallel ones once."""
+    once = edges.select("src", "kind", "dst").distinct()
+    ends = once.select(F.col("src").alias("id"), "kind", F.lit("out").alias("direction")).union(once.select("dst", "kind", F.lit("in")))
+    return ends.groupBy("id", "kind", "direction").agg(F.count("*").alias("n"))
 
 
 def graph_status(nodes: DataFrame, edges: DataFrame) -> DataFrame:

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from auditloom.operators import measure, retrieve
 from auditloom.plans.registry import query
+from auditloom.sources.scratch import scratch_path
 from auditloom.sources.tables import spread, table
+from auditloom.streaming.monitor import monitor
 
 # ---- agreement ----
 
@@ -56,6 +58,27 @@ def fidelity_gates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---- monitoring ----
 
+POLLS = 5
+
+
+@query(f"""WITH RECURSIVE b AS (SELECT min(epoch_us(ts)) AS lo, max(epoch_us(ts)) AS hi FROM events),
+p AS (SELECT event_type AS source, (event_id % 701)::VARCHAR AS item, ts, ({POLLS} * (epoch_us(ts) - lo)) // (hi - lo + 1) AS poll FROM events, b),
+i AS (SELECT source, poll, list(item ORDER BY t DESC, item) AS items FROM (SELECT source, poll, item, max(ts) AS t FROM p GROUP BY ALL) GROUP BY ALL),
+r(source, poll, seen, fresh) AS (SELECT DISTINCT source, -1::BIGINT, []::VARCHAR[], []::VARCHAR[] FROM i
+  UNION ALL SELECT source, poll + 1, list_slice(list_concat(f, seen), 1, 200), f FROM (SELECT r.source, r.poll, r.seen, list_filter(coalesce(i.items, []::VARCHAR[]), lambda x: NOT list_contains(r.seen, x)) AS f FROM r LEFT JOIN i ON i.source = r.source AND i.poll = r.poll + 1 WHERE r.poll < {POLLS - 1}))
+SELECT source, poll, unnest(fresh) AS item FROM r""")
+def monitor_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """New items of each type of event in five polls, the stream stopped and started again before each."""
+    rows = table(spark, sf_dir, "events").select(F.col("event_type").alias("source"), (F.col("event_id") % 701).cast("string").alias("item"), F.col("ts").alias("at"), F.lit(None).cast("string").alias("error"))
+    lo, hi = rows.agg(F.min(F.unix_micros("at")), F.max(F.unix_micros("at"))).first()
+    poll = F.expr(f"({POLLS} * (unix_micros(at) - {lo})) DIV {hi - lo + 1}")
+    folder = scratch_path(spark, "monitor")
+    for k in range(POLLS):
+        rows.where(poll == k).write.mode("append").parquet(f"{folder}/polls/{k}")
+        polls = spark.readStream.schema(rows.schema).option("recursiveFileLookup", "true").parquet(f"{folder}/polls")
+        found = monitor(polls, folder, cadence_days=3650)
+    return found.where("kind = 'new'").select("source", poll.cast("long").alias("poll"), "item")
+
 
 # ---- the knowledge graph ----
 
@@ -97,3 +120,62 @@ def section_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ---- phases ----
+
+
+_NAMED = "e AS (SELECT DISTINCT 's' || l_suppkey AS src, 'p' || l_partkey AS dst, CASE l_returnflag WHEN 'R' THEN 'contradicts' WHEN 'A' THEN 'supports' ELSE 'extends' END AS kind FROM lineitem), n AS (SELECT 's' || s_suppkey AS id, s_name AS name FROM supplier UNION ALL SELECT 'p' || p_partkey, p_name FROM part)"
+
+
+def _graph(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Suppliers and parts as nodes, what a supplier delivered as its relations."""
+    edges = graph_edges(spark, sf_dir).select(F.concat(F.lit("s"), "src").alias("src"), F.concat(F.lit("p"), "dst").alias("dst"), "kind")
+    suppliers = table(spark, sf_dir, "supplier").select(F.concat(F.lit("s"), "s_suppkey").alias("id"), F.col("s_name").alias("name"))
+    return suppliers.union(table(spark, sf_dir, "part").select(F.concat(F.lit("p"), "p_partkey"), "p_name")), edges
+
+
+@query("""WITH RECURSIVE b AS (SELECT DISTINCT 's' || l_suppkey AS x, 'p' || l_partkey AS y FROM lineitem WHERE l_quantity >= 49 AND l_returnflag = 'R'), e AS (SELECT x AS src, y AS dst FROM b UNION ALL SELECT y, x FROM b),
+r(id, steps) AS (SELECT 's' || s_suppkey, 0 FROM supplier WHERE s_nationkey = 0 UNION SELECT e.dst, r.steps + 1 FROM r JOIN e ON e.src = r.id WHERE r.steps < 60) SELECT id, min(steps) AS steps FROM r GROUP BY id""")
+def graph_distances(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far the suppliers of a nation reach through large returns of the same parts."""
+    big = table(spark, sf_dir, "lineitem").where("l_quantity >= 49 AND l_returnflag = 'R'").select(F.concat(F.lit("s"), "l_suppkey").alias("src"), F.concat(F.lit("p"), "l_partkey").alias("dst"))
+    starts = table(spark, sf_dir, "supplier").where("s_nationkey = 0").select(F.concat(F.lit("s"), "s_suppkey").alias("id"))
+    return retrieve.distances(big.union(big.select("dst", "src")), starts)
+
+
+@query(f"WITH {_NAMED} SELECT id, kind, direction, count(*) AS n FROM (SELECT src AS id, kind, 'out' AS direction FROM e UNION ALL SELECT dst, kind, 'in' FROM e) GROUP BY ALL")
+def edge_relations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return retrieve.relations(_graph(spark, sf_dir)[1])
+
+
+@query(f"""WITH {_NAMED} SELECT 'nodes' AS what, count(*) AS n FROM n UNION ALL SELECT 'edges', count(*) FROM e UNION ALL SELECT 'edges: ' || kind, count(*) FROM e GROUP BY kind
+UNION ALL SELECT 'isolated', count(*) FROM n WHERE id NOT IN (SELECT src FROM e) AND id NOT IN (SELECT dst FROM e)""")
+def edge_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return retrieve.graph_status(*_graph(spark, sf_dir))
+
+
+@query(f"WITH {_NAMED}, k AS (SELECT id FROM n WHERE id LIKE 's%' OR name LIKE '%ring%') SELECT src, dst, kind FROM e WHERE src IN (SELECT id FROM k) AND dst IN (SELECT id FROM k)")
+def edge_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nodes, edges = _graph(spark, sf_dir)
+    return retrieve.export(nodes, edges, F.col("id").startswith("s") | F.col("name").contains("ring"))[1].select("src", "dst", "kind")
+
+
+@query("""SELECT p_partkey AS id, (contains(lower(p_name), 'ring') OR contains(lower(p_name), 'large'))::BIGINT + (contains(lower(p_type), 'ring') OR contains(lower(p_type), 'large'))::BIGINT AS hits FROM part
+WHERE (contains(lower(p_name), 'ring') OR contains(lower(p_type), 'ring')) AND (contains(lower(p_name), 'large') OR contains(lower(p_type), 'large'))""")
+def part_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return retrieve.search(table(spark, sf_dir, "part"), "ring LARGE", ["p_name", "p_type"]).select(F.col("p_partkey").alias("id"), "hits")
+
+
+# ---- intervals of agreement ----
+
+
+@query(f"""WITH p AS (SELECT doc_id AS k, quality AS a, toxic AS b FROM labels WHERE doc_id IS NOT NULL AND quality IS NOT NULL AND toxic IS NOT NULL),
+h AS (SELECT a, b, r, ('0x' || substr(md5('42:' || r || ':' || k), 1, 8))::BIGINT AS h FROM p, range(0, 201) t(r)),
+w AS (SELECT r, a, b, sum(CASE WHEN r = 0 THEN 1 ELSE list_sum(list_transform({measure.POISSON_STEPS}, lambda x: (h >= x)::INT)) END)::DOUBLE AS w FROM h GROUP BY ALL),
+n AS (SELECT r, sum(w) AS n, sum(w) FILTER (a = b) AS same FROM w GROUP BY r),
+s AS (SELECT r, v, sum(wa) AS wa, sum(wb) AS wb FROM (SELECT r, a AS v, w AS wa, 0 AS wb FROM w UNION ALL SELECT r, b, 0, w FROM w) GROUP BY ALL),
+c AS (SELECT r, sum(wa * wb) AS pe, sum((wa + wb) * (wa + wb - 1)) AS cc FROM s GROUP BY r),
+k AS (SELECT r, n, (same / n - pe / (n * n)) / (1 - pe / (n * n)) AS kappa, 1 - (1 - same / n) / (1 - cc / (2 * n * (2 * n - 1))) AS alpha FROM n JOIN c USING (r)),
+l AS (SELECT r, n, 'kappa' AS measure, kappa AS x FROM k UNION ALL SELECT r, n, 'alpha', alpha FROM k)
+SELECT measure, round(max(x) FILTER (r = 0), 6) AS estimate, round(quantile_cont(x, 0.025) FILTER (r > 0), 6) AS low, round(quantile_cont(x, 0.975) FILTER (r > 0), 6) AS high, (max(n) FILTER (r = 0))::BIGINT AS n FROM l GROUP BY measure""")
+def agreement_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = measure.agreement_intervals(table(spark, sf_dir, "labels"), "doc_id", "quality", "toxic")
+    return out.select("measure", *[F.round(c, 6).alias(c) for c in ("estimate", "low", "high")], "n")
