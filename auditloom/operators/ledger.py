@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from auditloom.functions.text import fingerprint, floor_percent
+from auditloom.operators.order import numbered
 
 # What a record of evidence may say, and an audit of one.
 ANCHOR_SCHEMA = "claim-anchor/v1"
@@ -139,16 +140,12 @@ def phase_verdict(red: Column, yellow: Column, total: Column, strict: bool = Fal
 def brief(anchors: DataFrame) -> DataFrame:
     """Evidence in reading order: verified first, then by access tier, then by id.
 
-    Ranks run within each of the dozen classes and are shifted by the sizes of those before,
-    so no single task orders all anchors.
+    The order goes by ranges of rows, not by class, so a class that most anchors share is
+    spread like any other.
     """
     tier = F.create_map(*[F.lit(x) for kv in TIER_RANK.items() for x in kv])[F.col("access_tier")]
     classed = anchors.withColumn("_c", F.when(F.col("verified"), 0).otherwise(10) + F.coalesce(tier, F.lit(9)))
-    sizes = classed.groupBy("_c").agg(F.count("*").alias("_n"))
-    before = F.coalesce(F.sum("_n").over(Window.orderBy("_c").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    shift = F.broadcast(sizes.select("_c", before.alias("_b")))  # twenty rows at most
-    own = F.row_number().over(Window.partitionBy("_c").orderBy("anchor_id"))
-    return classed.withColumn("_r", own).join(shift, "_c").withColumn("rank", F.col("_r") + F.col("_b")).drop("_c", "_r", "_b")
+    return numbered(classed, [F.col("_c"), F.col("anchor_id")], "rank").withColumn("rank", F.col("rank") + 1).drop("_c")
 
 
 def audit_problems(audits: DataFrame) -> DataFrame:
@@ -235,6 +232,9 @@ def high_count(audits: DataFrame) -> DataFrame:
     return audits.agg(F.count_if(F.col("severity") == "HIGH").alias("n_high"))
 
 
-def source_index(anchors: DataFrame) -> DataFrame:
-    """Anchor ids by source, in order."""
-    return anchors.groupBy("cite_key").agg(F.sort_array(F.collect_list("anchor_id")).alias("anchor_ids"))
+def source_index(anchors: DataFrame, per_row: int = 10_000) -> DataFrame:
+    """``cite_key, page, anchor_ids``: anchor ids by source, in order, ``per_row`` of them a row; a source that most cite has many rows."""
+    placed = numbered(anchors.select("cite_key", "anchor_id"), [F.col("cite_key"), F.col("anchor_id")], "_n")
+    first = placed.groupBy(F.col("cite_key").alias("_k")).agg(F.min("_n").alias("_f"))
+    paged = placed.join(first, F.col("cite_key").eqNullSafe(F.col("_k"))).withColumn("page", F.floor((F.col("_n") - F.col("_f")) / per_row))
+    return paged.groupBy("cite_key", "page").agg(F.sort_array(F.collect_list("anchor_id")).alias("anchor_ids"))

@@ -128,6 +128,82 @@ TEXT_LIMIT = 9_500_000
 
 SPAN = "entity string, start long, end long, score double"
 
+#: Letters beyond ASCII that a pattern of ASCII letters takes for one of them when case is ignored.
+_ODD_CASE = re.compile("[\u0130\u0131\u017f\u212a]")
+
+
+def seeds(pattern: str) -> list[str] | None:
+    """What a find of ``pattern`` can begin with, in lower case: the leading letters of each alternative; None where one has none."""
+    head = re.match(r"\\b\((?:\?:)?", pattern)
+    if not head:
+        return None
+    out, depth, at, inside = [], 1, head.end(), False
+    for i in range(head.end(), len(pattern)):
+        c, escaped = pattern[i], pattern[i - 1] == "\\"
+        inside = not escaped and ((inside and c != "]") or c == "[")
+        if inside or escaped:
+            continue
+        depth += (c == "(") - (c == ")")
+        if (c == "|" and depth == 1) or depth == 0:
+            letters = re.match(r"[A-Za-z_]*", pattern[at:i])[0]
+            if letters and pattern[at + len(letters) :][:1] in ("?", "*", "{"):
+                letters = letters[:-1]  # the last one may be missing
+            if not letters:
+                return None
+            out.append(letters.lower())
+            at = i + 1
+        if depth == 0:
+            break
+    return sorted(set(out))
+
+
+class Finder:
+    """All recognisers over a text: one automaton finds where terms begin, and patterns are tried there alone.
+
+    A pattern without leading letters runs over the texts that hold a digit or an at-sign, as
+    its finds do, and over what holds letters that only differ from ASCII ones by case.
+    """
+
+    def __init__(self, recognisers: list[tuple[str, float, str]]) -> None:
+        import ahocorasick
+
+        self.ready = [(entity, score, re.compile(pattern, re.I | re.S | re.M)) for entity, score, pattern in recognisers]
+        begins: dict[str, list[int]] = {}
+        self.free = []
+        for i, (_, _, pattern) in enumerate(recognisers):
+            own = seeds(pattern)
+            for x in own or []:
+                begins.setdefault(x, []).append(i)
+            if own is None:
+                self.free.append(i)
+        self.terms = ahocorasick.Automaton()
+        for x, which in begins.items():
+            self.terms.add_word(x, (len(x), which))
+        if begins:
+            self.terms.make_automaton()
+        self.lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+        self.marked = re.compile("[0-9@]")
+
+    def __call__(self, body: str) -> Iterator[tuple[int, int, int, str]]:
+        """``(recogniser, start, end, value)`` of every find; those of one recogniser in order, without overlaps."""
+        if _ODD_CASE.search(body):
+            whole, hits = range(len(self.ready)), {}
+        else:
+            whole, hits = (self.free if self.marked.search(body) else ()), {}
+            # ASCII alone changes case, so places stay what they are.
+            for last, (n, which) in self.terms.iter(body.lower() if body.isascii() else body.translate(self.lower)) if len(self.terms) else ():
+                for i in which:
+                    hits.setdefault(i, []).append(last - n + 1)
+        for i in whole:
+            for m in self.ready[i][2].finditer(body):
+                yield i, m.start(), m.end(), m[0]
+        for i, places in hits.items():
+            upto, match = 0, self.ready[i][2].match
+            for at in sorted(set(places)):
+                if at >= upto and (m := match(body, at)):
+                    yield i, at, m.end(), m[0]
+                    upto = m.end()
+
 
 def recognise(df: DataFrame, keys: list[str], text: str = "text", recognisers: tuple[Recogniser, ...] = RECOGNISERS + BUILT_IN, limit: int = TEXT_LIMIT) -> DataFrame:
     """``keys, entity, start, end, score, value, truncated``: a row per find, in code points, ends exclusive.
@@ -142,17 +218,17 @@ def recognise(df: DataFrame, keys: list[str], text: str = "text", recognisers: t
     compiled = [(r.entity, r.score, r.pattern) for r in recognisers]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ready = [(entity, score, re.compile(pattern, re.I | re.S | re.M)) for entity, score, pattern in compiled]
+        find = Finder(compiled)
         for whole in batches:
             for at in range(0, whole.num_rows, 256):
                 batch = whole.slice(at, 256)
                 rows, place = [], []
                 for i, body in enumerate(batch.column(batch.num_columns - 1).to_pylist()):
                     part, cut = body[:limit], len(body) > limit
-                    for entity, score, pattern in ready:
-                        for m in pattern.finditer(part):
-                            rows.append((entity, m.start(), m.end(), score, m[0], cut))
-                            place.append(i)
+                    for which, start, end, value in find(part):
+                        entity, score, _ = compiled[which]
+                        rows.append((entity, start, end, score, value, cut))
+                        place.append(i)
                 if rows:
                     taken = [batch.column(i).take(pa.array(place, pa.int32())) for i in range(batch.num_columns - 1)]
                     kinds = (pa.string(), pa.int64(), pa.int64(), pa.float64(), pa.string(), pa.bool_())

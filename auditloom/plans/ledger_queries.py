@@ -138,8 +138,9 @@ def ledger_dashboard(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT n_name, array_to_string(list_sort(list(s_suppkey)), ',') AS suppliers FROM nation JOIN supplier ON s_nationkey = n_nationkey GROUP BY n_name")
 def source_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     joined = table(spark, sf_dir, "supplier").join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
-    ids = F.transform(F.sort_array(F.collect_list("s_suppkey")), lambda x: x.cast("string"))
-    return joined.groupBy("n_name").agg(F.array_join(ids, ",").alias("suppliers"))
+    index = ledger.source_index(joined.select(F.col("n_name").alias("cite_key"), F.col("s_suppkey").alias("anchor_id")), per_row=1 << 20)
+    ids = F.transform("anchor_ids", lambda x: x.cast("string"))
+    return index.select(F.col("cite_key").alias("n_name"), F.array_join(ids, ",").alias("suppliers"))
 
 
 @query("SELECT p_partkey AS anchor_id, row_number() OVER (ORDER BY CASE WHEN p_size > 25 THEN 0 ELSE 1 END, CASE p_partkey % 5 WHEN 1 THEN 0 WHEN 2 THEN 1 WHEN 0 THEN 2 WHEN 3 THEN 3 ELSE 4 END, p_partkey) AS rank FROM part")

@@ -417,6 +417,7 @@ def test_ledger_and_phase_rest(spark):
     assert sorted((r.reason, r.id) for r in todo.collect()) == [("metadata only", "a-2"), ("metadata only", "a-3"), ("stale", "c2"), ("unmatched tag", "a-9"), ("verdict", "c1"), ("verdict", "c2")]
     anchors = spark.createDataFrame([("k", "b"), ("k", "a"), ("j", "c")], "cite_key string, anchor_id string")
     assert {r.cite_key: r.anchor_ids for r in ledger.source_index(anchors).collect()} == {"k": ["a", "b"], "j": ["c"]}
+    assert {(r.cite_key, r.page): r.anchor_ids for r in ledger.source_index(anchors, per_row=1).collect()} == {("k", 0): ["a"], ("k", 1): ["b"], ("j", 0): ["c"]}
     lines = ["## Phase 10 — done", "Phase 10", "Phase 10b", "## Phase 10-x", "- Phase 10: y", "see Phase 10", "Phase 1.0"]
     assert [r[0] for r in column(spark, lines).select(prose.phase_heading(F.col("v"), "10")).collect()] == [True, True, False, False, True, False, False]
     inventory = spark.createDataFrame([("a.md", 2), ("b.md", 9)], "path string, n_lines int")

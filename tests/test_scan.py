@@ -1,3 +1,6 @@
+import random
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -169,3 +172,25 @@ def test_entities_without_replacement(spark):
 def test_institutions(spark):
     rows = spark.createDataFrame([(1, "at Stanford University and University of Michigan today")], "id int, text string")
     assert {r.value for r in anonymize.institutions(rows, ["id"]).collect()} == {"Stanford University", "University of Michigan"}
+
+
+PARTS = [
+    "Patient", "patient_id", "medical record", "MRN", "mrn1", "suicidality", "self harm", "depression", "DACA", "dua", "EIN", "being", "date.of.birth", "birth_date", "non binary", "123-45-6789", "a@b.co",
+    "10.0.0.1", "555-123-4567", "score", "PTSD", "salary", "\u017falary", "\u017fcore", "ban\u212a account", "lgbtq", "zip code", "zipcode", "\u00e9", "\u0130", "net worth", "first_name", "firstname", "ICD 9", "icd9",
+]
+
+
+def test_one_automaton_finds_what_all_patterns_find():
+    recognisers = scan.RECOGNISERS + scan.BUILT_IN
+    find = scan.Finder([(r.entity, r.score, r.pattern) for r in recognisers])
+    draw = random.Random(2)
+    for _ in range(3000):
+        text = "".join(draw.choice(PARTS) + draw.choice([" ", ",", "", "_", "\n"]) for _ in range(draw.randint(0, 14)))
+        plain = [(i, m.start(), m.end(), m[0]) for i, r in enumerate(recognisers) for m in re.finditer(r.pattern, text, re.I | re.S | re.M)]
+        assert sorted(find(text)) == sorted(plain), text
+
+
+def test_seeds():
+    assert scan.seeds(r"\b(first_?name|dob)\b") == ["dob", "first"]
+    assert scan.seeds(r"\b(?:a[|)]b|c\|d(?:e|f)|g)\b.*x|y") == ["a", "c", "g"]
+    assert scan.seeds(r"\b([0-9]+|x)\b") is None and scan.seeds("x") is None
