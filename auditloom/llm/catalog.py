@@ -168,3 +168,22 @@ n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id)
 SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_deleted, length(coalesce(k.text, ''))::BIGINT AS n_chars, sha256(coalesce(k.text, '')) AS text_sha256
 FROM documents d LEFT JOIN k USING (doc_id) LEFT JOIN n USING (doc_id)
 """
+
+ORACLES["op13_spelling_variants"] = r"""
+WITH RECURSIVE g(i, c, k) AS (SELECT i::BIGINT, i::BIGINT, 0 FROM range(256) t(i) UNION ALL SELECT i, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM g WHERE k < 8),
+tab AS (SELECT list(c ORDER BY i) AS t FROM g WHERE k = 8),
+r AS (SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]{7,}')) AS run FROM documents)),
+d AS (SELECT doc_id, run, count(*) AS n FROM r GROUP BY ALL),
+h AS (SELECT run, n, xor(4294967295, list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(string_split(coalesce(doc_id::VARCHAR, '') || ':' || run, ''), lambda x: CASE WHEN unicode(x) < 128 THEN [unicode(x)::BIGINT] ELSE [(192 + unicode(x) // 64)::BIGINT, (128 + unicode(x) % 64)::BIGINT] END))),
+  lambda a, x: xor(t[((xor(a, x) & 255) + 1)::INT], a >> 8))) AS h FROM d, tab),
+v AS (SELECT word, sum(n)::BIGINT AS n FROM (SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word, n FROM h) WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+p AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM v),
+l AS (SELECT word, n, i, substr(word, 1, (i - 1)::INT) || substr(word, (i + 1)::INT) AS rest FROM p),
+e AS (SELECT a.word, b.word AS near, b.n FROM l a JOIN l b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT l.word, v.word, v.n FROM l JOIN v ON v.word = l.rest UNION SELECT v.word, l.word, l.n FROM l JOIN v ON v.word = l.rest),
+b AS (SELECT word, near, n, count(*) OVER (PARTITION BY word) AS n_near FROM e QUALIFY row_number() OVER (PARTITION BY word ORDER BY n DESC, encode(near)) = 1),
+f AS (SELECT v.word, v.n, coalesce(b.n_near, 0)::BIGINT AS n_near, CASE WHEN b.n >= 10 * v.n THEN b.near END AS form, CASE WHEN b.n >= 10 * v.n THEN b.n END AS form_n FROM v LEFT JOIN b USING (word)),
+c(word, stop, k) AS (SELECT word, word, 0 FROM f UNION ALL SELECT c.word, f.form, k + 1 FROM c JOIN f ON f.word = c.stop WHERE f.form IS NOT NULL),
+z AS (SELECT word, max_by(stop, k) AS root FROM c GROUP BY word)
+SELECT word, form, root, n, n_near, form_n FROM f JOIN z USING (word)
+"""
