@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from auditloom.operators import measure, retrieve
 from auditloom.plans.registry import query
+from auditloom.sources import ledger_files
 from auditloom.sources.scratch import scratch_path
 from auditloom.sources.tables import spread, table
 from auditloom.streaming.monitor import monitor
@@ -179,3 +180,18 @@ SELECT measure, round(max(x) FILTER (r = 0), 6) AS estimate, round(quantile_cont
 def agreement_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = measure.agreement_intervals(table(spark, sf_dir, "labels"), "doc_id", "quality", "toxic")
     return out.select("measure", *[F.round(c, 6).alias(c) for c in ("estimate", "low", "high")], "n")
+
+
+# ---- ledger files ----
+
+
+@query("SELECT event_id, user_id, event_type, value, props, event_id % 2 AS append FROM events")
+def ledger_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events written to a ledger in two appends, and read back by byte ranges."""
+    ledger_files.register(spark)
+    path = scratch_path(spark, "ledger")
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value", "props")
+    for k in (0, 1):
+        spread(events).where(F.col("event_id") % 2 == k).write.format(ledger_files.NAME).mode("append").save(path)
+    lines = spark.read.format(ledger_files.NAME).load(path)
+    return lines.select(F.from_json("value", "event_id long, user_id long, event_type string, value double, props string").alias("r"), "append").select("r.*", "append")
