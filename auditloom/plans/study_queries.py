@@ -11,6 +11,7 @@ from auditloom.sources import ledger_files
 from auditloom.sources.scratch import scratch_path
 from auditloom.sources.tables import spread, table
 from auditloom.streaming.monitor import monitor
+from auditloom.streaming.sessions import sessions
 
 # ---- agreement ----
 
@@ -81,6 +82,21 @@ def monitor_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.where("kind = 'new'").select("source", poll.cast("long").alias("poll"), "item")
 
 
+@query("""WITH l AS (SELECT user_id, ts, value, lag(ts) OVER (PARTITION BY user_id ORDER BY ts) AS before FROM events),
+s AS (SELECT *, sum(CASE WHEN before IS NULL OR ts - before >= INTERVAL 6 HOUR THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM l)
+SELECT user_id, min(ts) AS start, max(ts) AS "end", count(*) AS n, round(sum(value), 4) AS total FROM s GROUP BY user_id, k""")
+def stream_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sessions of users whose events lie less than six hours apart, in three batches and a closing one."""
+    rows = table(spark, sf_dir, "events").select(F.col("user_id").cast("string").alias("key"), F.col("ts").alias("at"), "value", F.lit(False).alias("closing"))
+    lo, hi = rows.agg(F.min(F.unix_micros("at")), F.max(F.unix_micros("at"))).first()
+    slice_, folder = F.expr(f"(3 * (unix_micros(at) - {lo})) DIV {hi - lo + 1}"), scratch_path(spark, "sessions")
+    last = rows.select("key", F.lit(None).cast("timestamp").alias("at"), F.lit(None).cast("double").alias("value"), F.lit(True).alias("closing")).distinct()
+    for k in range(4):
+        (rows.where(slice_ == k) if k < 3 else last).write.parquet(f"{folder}/in/{k}")
+        found = sessions(spark.readStream.schema(rows.schema).option("recursiveFileLookup", "true").parquet(f"{folder}/in"), folder, gap=6 * 3600, delay=3600)
+    return found.where("kind = 'closed'").select(F.col("key").cast("long").alias("user_id"), "start", "end", "n", F.round("total", 4).alias("total"))
+
+
 # ---- the knowledge graph ----
 
 _EDGE = "e AS (SELECT DISTINCT l_suppkey AS src, l_partkey AS dst, CASE l_returnflag WHEN 'R' THEN 'contradicts' WHEN 'A' THEN 'supports' ELSE 'extends' END AS kind FROM lineitem)"
