@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from auditloom.operators import anonymize, ledger, measure, review, scan, status, trace
+from auditloom.plans.path_oracle import IN as _IN, IS_DATA as _IS_DATA, KNOWN_EXT as _KNOWN_EXT, MEDIA as _MEDIA, QUAL_SQL as _QUAL_SQL, RAW_SQL as _RAW_SQL, SYSTEM as _SYSTEM, TAIL as _TAIL, VALID as _VALID, WRITING as _WRITING
 from auditloom.plans.registry import Given, quoted
 from auditloom.sources import sinks
 from auditloom.sources.tables import parse_ndjson
@@ -14,7 +15,6 @@ from auditloom.sources.tables import parse_ndjson
 # ---- safety status ----
 
 _STATES = Given("status string", [(x,) for x in ("CLEARED", "ANONYMIZED", "OVERRIDE", "LOCAL_MODE", "HALTED", "NEEDS_REVIEW", "NEEDS_REVIEW:RED", "NEEDS_REVIEW:", "cleared", "TYPOED", "", None)])
-_VALID = "coalesce(status IN ('CLEARED', 'ANONYMIZED', 'OVERRIDE', 'LOCAL_MODE', 'HALTED', 'NEEDS_REVIEW') OR (starts_with(status, 'NEEDS_REVIEW:') AND length(status) > 13), false)"
 
 
 @query(f"SELECT status, {_VALID} AS valid FROM {_STATES.sql}")
@@ -44,15 +44,6 @@ _PATHS = Given("path string, lexical string", [(p, p) for p in (
     "/p/x.csv", "/p/x.WAV", "/p/a.trs", "/p/a.geojson", "/p/a.png", "/p/notes.txt", "/p/README.md", "/p/data/README.md", "/p/materials/consent.odt", "/p/subjects/s1.doc", "/p/config.json", "/p/corpus/c.json", "/p/materials/c.json",
     "/p/data/raw/dump", "/p/inputs/secret", "/p/photos/x.py", "/p/field_notes/n1", "/p/Transcripts/t.rtf", "/p/script.py", "/p/x.csv ", "/p/source_images/i.tiff", "/p/media/a.xyz", "/p/scans", "/p/transcripts", "/p/data/interim", "/p/output/t.tex", "/data.d/x")] + [
     ("/else/x.bin", "/p/data/raw/x.bin"), ("/else/x.py", "/p/interviews/x.py")])
-_TAIL = "CASE WHEN contains(string_split(p, '/')[-1], '.') THEN regexp_replace(string_split(string_split(p, '/')[-1], '.')[-1], '\\s.*$', '') ELSE '' END"
-_IN = lambda names, p: "(" + " OR ".join(f"contains({p}, '/{n}/')" for n in names.split()) + ")"
-_AT = lambda names, p: "(" + " OR ".join(f"contains({p}, '/{n}/') OR ends_with({p}, '/{n}')" for n in names.split()) + ")"
-_DATA_IN = "data raw datasets dataset corpus corpora"
-_RAW_SQL = lambda p: f"({_IN(_DATA_IN + ' input inputs photos subjects participants respondents media imagery scans originals source_images', p)} OR {_AT('materials transcripts interviews field-notes fieldnotes field_notes', p)} OR ends_with({p}, '/data/raw') OR ends_with({p}, '/data/interim') OR ends_with({p}, '/data/processed'))"
-_QUAL_SQL = lambda p: _AT("transcripts interviews field-notes fieldnotes field_notes materials participants subjects respondents", p)
-_KNOWN_EXT = "'csv', 'tsv', 'dta', 'sav', 'rds', 'rdata', 'xlsx', 'xls', 'parquet', 'feather', 'arrow', 'db', 'sqlite', 'jsonl', 'ndjson', 'wav', 'mp3', 'flac', 'm4a', 'ogg', 'aac', 'aiff', 'mp4', 'mov', 'avi', 'mkv', 'webm', 'jpg', 'jpeg', 'png', 'tiff', 'tif', 'heic', 'heif', 'bmp', 'webp', 'gif', 'eaf', 'textgrid', 'trs', 'cha', 'praat', 'shp', 'geojson', 'kml', 'gpx'"
-_WRITING = "'txt', 'rtf', 'docx', 'doc', 'odt', 'md'"
-_IS_DATA = f"(ext IN ({_KNOWN_EXT}) OR (ext = 'json' AND {_IN(_DATA_IN, 'p')}) OR (ext IN ({_WRITING}) AND {_IN(_DATA_IN + ' materials interviews transcripts field-notes fieldnotes subjects participants respondents', 'p')}) OR {_RAW_SQL('p')} OR {_RAW_SQL('l')})"
 
 
 @query(f"WITH g AS (SELECT path, lower(path) AS p, lower(lexical) AS l FROM {_PATHS.sql}), e AS (SELECT *, {_TAIL} AS ext FROM g) SELECT path, {_IS_DATA} AS data, {_RAW_SQL('p')} OR {_RAW_SQL('l')} AS raw, {_QUAL_SQL('p')} OR {_QUAL_SQL('l')} AS qualitative FROM e")
@@ -67,8 +58,6 @@ _READS = Given("path string, status string, verdict string", [
     ("/p/a.praat", "CLEARED", "RED"), ("/p/transcripts/a.txt", "OVERRIDE", "GREEN"), ("/p/participants/a.odt", "OVERRIDE", "GREEN"), ("/p/materials/consent/p1.txt", "OVERRIDE", "GREEN"), ("/p/materials/code.py", "OVERRIDE", "GREEN"), ("/p/notes/a.txt", None, "RED"),
     ("/p/data/raw/a.png", None, None), ("/p/fig/a.png", None, None), ("/p/fig/a.png", "HALTED", None), ("/etc/passwd", "CLEARED", "GREEN"), ("/System/x.csv", "CLEARED", "GREEN"), ("/var/db/x.csv", None, "GREEN"), ("/private/var/log/x.csv", "CLEARED", "GREEN"),
     ("/private/etc", None, None), ("/root/x.csv", None, "GREEN"), ("/boot/x.csv", "CLEARED", "RED"), ("/etcetera/x.csv", None, "GREEN"), ("/p/script.py", None, "RED")])
-_MEDIA = "'wav', 'mp3', 'flac', 'm4a', 'ogg', 'aac', 'aiff', 'mp4', 'mov', 'avi', 'mkv', 'webm', 'eaf', 'textgrid', 'trs', 'cha', 'praat'"
-_SYSTEM = "(" + " OR ".join(f"path = '{d}' OR starts_with(path, '{d}/')" for d in ("/etc", "/dev", "/proc", "/sys", "/System", "/var/db", "/var/log", "/private/etc", "/private/var/db", "/private/var/log")) + ")"
 
 
 @query(f"""WITH g AS (SELECT *, lower(path) AS p, lower(path) AS l FROM {_READS.sql}), e AS (SELECT *, {_TAIL} AS ext FROM g),

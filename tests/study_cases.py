@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from auditloom.operators import measure, prose, retrieve, scan
+from auditloom.plans.path_oracle import EXT as _EXT
+from auditloom.plans.path_oracle import OPAQUE as _OPAQUE
 from auditloom.plans.registry import Given
 from auditloom.plans.scan_oracle import RED, YELLOW, flags
 
@@ -196,10 +198,8 @@ _FILES = Given("path string, text string", [
     ("/p/h.txt ", "ok"), ("/p.wav/i", "ok"), ("/p/j.png", "SSN: 123-45-6789"), ("/p/k.md", "")])
 
 
-_OPAQUE = "'xlsx', 'xls', 'ods', 'parquet', 'feather', 'arrow', 'dta', 'sav', 'rds', 'rdata', 'sqlite', 'db', 'h5', 'hdf5', 'mat', 'pkl', 'npy', 'npz', 'pickle', 'wav', 'mp3', 'flac', 'm4a', 'ogg', 'aac', 'aiff', 'mp4', 'mov', 'avi', 'mkv', 'webm', 'jpg', 'jpeg', 'png', 'tiff', 'tif', 'heic', 'heif', 'bmp', 'webp', 'gif', 'pdf', 'doc', 'docx', 'xlsm', 'pptx', 'ppt'"
 
 
-_EXT = "CASE WHEN contains(parse_filename(path), '.') THEN lower(trim(string_split(parse_filename(path), '.')[-1])) ELSE '' END"
 
 
 @query(f"WITH g AS {_FILES.sql}, f AS (SELECT path, text, {flags('text')} FROM g) SELECT path, CASE WHEN {RED} > 0 THEN 'RED' WHEN {YELLOW} > 0 OR text IS NULL OR {_EXT} IN ({_OPAQUE}) THEN 'YELLOW' ELSE 'GREEN' END AS verdict FROM f")
