@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auditloom.operators import scan, status
-from auditloom.plans.path_oracle import EXT, IS_DATA, MEDIA, OPAQUE, QUAL_SQL, RAW_SQL, SYSTEM, TAIL, VALID, WRITING
+from auditloom.operators import ledger, scan, status
+from auditloom.plans.gate_oracle import AUDIT_OK, EXT, IS_DATA, MEDIA, OPAQUE, QUAL_SQL, RAW_SQL, SYSTEM, TAIL, VALID, WRITING, failed
 from auditloom.plans.registry import query, quoted
 from auditloom.plans.scan_oracle import DOC_VERDICT, RED, YELLOW, flags
 from auditloom.sources.tables import spread, table
@@ -97,3 +97,79 @@ def file_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     some = files.where("status <> ''")
     said = some.where("doc_id % 2 = 0").select(F.col("canonical").alias("path"), "status").union(some.where("doc_id % 3 = 0").select("lexical", "status")).union(files.where("doc_id % 5 = 0").select("raw", F.lit("HALTED")))
     return status.lookup_status(files.select("canonical", "lexical", "raw"), said).select("canonical", "status")
+
+
+# ---- audit records: every line of an order is a claim that was audited ----
+
+VERDICTS = ["CLAIM-VERIFIED", "CLAIM-REVERSED", "CLAIM-UNSUPPORTED", "CLAIM-IMPRECISE", "CLAIM-OVERCAUSAL", "CLAIM-NOT-CHECKABLE", "VERIFIED", "CLAIM-NOT-A-CLAIM"]
+SEVERITIES = ["OK", "HIGH", "HIGH", "MED", "MED", "UNVERIFIABLE", "OK", "OK", None]
+TIERS = ["T0_kg_fulltext", "T1_fulltext", "T2_oa_fulltext", "T3_abstract", "T4_none"]
+SUBS = ["SUPPORTED|because", "SUPPORTED|", "CONTRADICTED|no", "NOT_FOUND|", None]
+ANCHORS = ["autor2013-3f9a1c2e", "lee-and_wong-00000000", "BAD", None]
+
+_CLAIMS = f"""a AS (SELECT l_orderkey * 10 + l_linenumber AS id, CASE WHEN l_orderkey % 23 = 0 THEN 'x' ELSE 'claim-audit-record/v1' END AS schema, 'c' || l_orderkey || '-' || l_linenumber AS claim_id, 's' || l_suppkey AS cite_key,
+  CASE WHEN l_partkey % 31 = 0 THEN '' ELSE 'p. ' || l_linenumber END AS manuscript_loc, 'q' || l_partkey AS manuscript_quote, CASE WHEN l_returnflag = 'R' AND l_partkey % 11 = 0 THEN NULL ELSE 'support' END AS citation_function,
+  {_sql_pick(VERDICTS, 'l_partkey')} AS sentence_verdict, {_sql_pick(SEVERITIES, 'l_partkey + l_suppkey // 40')} AS severity, {_sql_pick(TIERS, 'l_orderkey')} AS access_tier_max, CASE WHEN l_linestatus = 'O' THEN true WHEN l_suppkey % 3 = 0 THEN false WHEN l_suppkey % 3 = 1 THEN true END AS evidence_retrieved,
+  list_filter([{_sql_pick(SUBS, 'l_orderkey // 2')}], lambda x: x IS NOT NULL) AS subs, list_filter([{_sql_pick(ANCHORS, 'l_suppkey')}], lambda x: x IS NOT NULL) AS anchor_refs, CASE WHEN l_orderkey % 997 = 1 THEN '{{' END AS _corrupt FROM lineitem)"""
+_PROBLEMS = f"{_CLAIMS}, c AS (SELECT id, severity, CASE WHEN _corrupt IS NOT NULL THEN 'unparseable' ELSE {failed(AUDIT_OK)} END AS problems FROM a)"
+
+
+def _claims(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines, c = table(spark, sf_dir, "lineitem"), F.col
+    sub = F.split(_pick(SUBS, "l_orderkey div 2"), r"\|")
+    found = F.struct(F.lit("finding").alias("kind"), F.get(sub, F.lit(0)).alias("verdict"), F.get(sub, F.lit(1)).alias("evidence_quote"))
+    return lines.select(
+        (c("l_orderkey") * 10 + c("l_linenumber")).alias("id"), F.when(c("l_orderkey") % 23 == 0, "x").otherwise(ledger.AUDIT_SCHEMA).alias("schema"), F.concat(F.lit("c"), "l_orderkey", F.lit("-"), "l_linenumber").alias("claim_id"),
+        F.concat(F.lit("s"), "l_suppkey").alias("cite_key"), F.when(c("l_partkey") % 31 == 0, "").otherwise(F.concat(F.lit("p. "), "l_linenumber")).alias("manuscript_loc"), F.concat(F.lit("q"), "l_partkey").alias("manuscript_quote"),
+        F.when((c("l_returnflag") == "R") & (c("l_partkey") % 11 == 0), None).otherwise("support").alias("citation_function"), _pick(VERDICTS, "l_partkey").alias("sentence_verdict"),
+        _pick(SEVERITIES, "l_partkey + l_suppkey div 40").alias("severity"), _pick(TIERS, "l_orderkey").alias("access_tier_max"),
+        F.when(c("l_linestatus") == "O", True).when(c("l_suppkey") % 3 == 0, False).when(c("l_suppkey") % 3 == 1, True).alias("evidence_retrieved"),
+        F.when(sub.isNull(), F.array().cast("array<struct<kind: string, verdict: string, evidence_quote: string>>")).otherwise(F.array(found)).alias("sub_claims"),
+        F.array_compact(F.array(_pick(ANCHORS, "l_suppkey"))).alias("anchor_refs"), F.when(c("l_orderkey") % 997 == 1, "{").alias("_corrupt"),
+    )
+
+
+@query(f"WITH {_PROBLEMS} SELECT id, problems, count(*) AS n FROM c GROUP BY id, problems")
+def claim_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The consistency rules that each audit record breaks; a line that an order has twice is two records."""
+    checked = ledger.audit_problems(_claims(spark, sf_dir)).select("id", F.array_join("problems", ",").alias("problems"))
+    return checked.groupBy("id", "problems").agg(F.count("*").alias("n"))
+
+
+@query(f"WITH {_PROBLEMS} SELECT count(*) AS records, count(*) FILTER (problems <> '') AS failed, CASE WHEN count(*) FILTER (problems <> '') > 0 THEN 'RED' ELSE 'GREEN' END AS verdict FROM c")
+def claim_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ledger.audit_verdict(ledger.audit_problems(_claims(spark, sf_dir)))
+
+
+@query(f"WITH {_PROBLEMS} SELECT count(*) FILTER (severity = 'HIGH') AS n_high FROM c")
+def claim_high(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ledger.high_count(_claims(spark, sf_dir))
+
+
+# ---- evidence tags: every document's first words are a line that may cite and may be tagged ----
+
+MARKS = ["Work falls (Autor 2013). <!--ev: autor2013-3f9a1c2e, ghost9999-deadbeef -->", "No author here <!--ev: autor2013-3f9a1c2e-->", "As (Autor and Dorn 2013a) say", "See [@autor2013] <!-- ev: lee2001-0a0b0c0d -->", "", "(Lee 2001) <!--note-->", "(Lee 2001) <!--ev: lee2001-0a0b0c0d-->"]
+_LINES = f"l AS (SELECT doc_id AS n, replace(left(text, 60), chr(10), ' ') || ' ' || {_sql_pick(MARKS, 'doc_id')} AS line FROM documents)"
+
+
+def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return docs.select(F.col("doc_id").alias("n"), F.concat(F.replace(F.substring("text", 1, 60), F.lit("\n"), F.lit(" ")), F.lit(" "), _pick(MARKS, "doc_id")).alias("line"))
+
+
+@query(f"""WITH {_LINES}, c AS (SELECT count(*) FILTER (c) AS citing, count(*) FILTER (c AND t) AS tagged FROM (SELECT regexp_matches(line, '\\(([A-Z][A-Za-z-]+[^)]*[12][0-9]{{3}}[a-z]?)\\)|\\[@[a-zA-Z]') AS c, regexp_matches(line, '<!--[ \t]*ev:[ \t]*[a-z0-9_, \t-]*-->') AS t FROM l))
+SELECT citing, tagged, (tagged * 100 // citing)::BIGINT AS pct, CASE WHEN tagged * 100 // citing < 60 THEN 'YELLOW' ELSE 'GREEN' END AS verdict FROM c""")
+def line_tag_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ledger.tag_coverage(_lines(spark, sf_dir))
+
+
+_KEYS = "k AS (SELECT DISTINCT 'autor2013-3f9a1c2e' AS anchor_id, 'Autor2013' AS cite_key FROM documents UNION SELECT DISTINCT 'lee2001-0a0b0c0d', 'Lee2001' FROM documents)"
+
+
+@query(f"""WITH {_LINES}, {_KEYS}, t AS (SELECT n, line, trim(unnest(regexp_extract_all(regexp_extract(line, '<!--[ ]*ev:([^>]*)-->', 1), '[a-z0-9_-]+-[0-9a-f]{{8}}'))) AS anchor_id FROM l),
+j AS (SELECT t.*, lower(cite_key) AS k, lower(regexp_replace(line, '<!--[^>]*-->', '', 'g')) AS bare FROM t LEFT JOIN k USING (anchor_id))
+SELECT n, anchor_id, coalesce(contains(bare, regexp_replace(k, '[0-9].*$', '')) AND contains(bare, regexp_extract(k, '[12][0-9]{{3}}')), false) AS adjacent FROM j""")
+def line_tag_adjacency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    keys = docs.select(F.explode(F.array(F.struct(F.lit("autor2013-3f9a1c2e").alias("anchor_id"), F.lit("Autor2013").alias("cite_key")), F.struct(F.lit("lee2001-0a0b0c0d").alias("anchor_id"), F.lit("Lee2001").alias("cite_key")))).alias("k")).select("k.*").distinct()
+    return ledger.adjacent(ledger.tags(_lines(spark, sf_dir)), keys).select("n", "anchor_id", "adjacent")

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from auditloom.operators import anonymize, ledger, measure, review, scan, status, trace
-from auditloom.plans.path_oracle import IN as _IN, IS_DATA as _IS_DATA, KNOWN_EXT as _KNOWN_EXT, MEDIA as _MEDIA, QUAL_SQL as _QUAL_SQL, RAW_SQL as _RAW_SQL, SYSTEM as _SYSTEM, TAIL as _TAIL, VALID as _VALID, WRITING as _WRITING
+from auditloom.plans.gate_oracle import AUDIT_OK as _AUDIT_OK, failed as _FAILED, IN as _IN, IS_DATA as _IS_DATA, KNOWN_EXT as _KNOWN_EXT, MEDIA as _MEDIA, QUAL_SQL as _QUAL_SQL, RAW_SQL as _RAW_SQL, SYSTEM as _SYSTEM, TAIL as _TAIL, VALID as _VALID, WRITING as _WRITING
 from auditloom.plans.registry import Given, quoted
 from auditloom.sources import sinks
 from auditloom.sources.tables import parse_ndjson
@@ -280,7 +280,6 @@ _ANCHOR_OK = {
     "claim_kind": "claim_kind IN ('prose_sentence', 'map_cell', 'hypothesis', 'mechanism_status', 'magnitude', 'theory_attribution', 'gap_claim', 'reading_list')", "stance": "stance IN ('supports', 'contradicts', 'qualifies')",
     "evidence_form": "evidence_form IN ('source_verbatim', 'abstract_verbatim', 'kg_paraphrase', 'metadata_only')", "access_tier": "access_tier IN ('T0_kg_fulltext', 'T1_fulltext', 'T2_oa_fulltext', 'T3_abstract', 'T4_none')", "produced_by": "produced_by <> ''", "ts": "ts <> ''",
 }
-_FAILED = lambda rules: "concat_ws(',', " + ", ".join(f"CASE WHEN NOT coalesce({ok}, false) THEN '{k}' END" for k, ok in rules.items()) + ")"
 
 
 @query(f"SELECT id, CASE WHEN _corrupt IS NOT NULL THEN 'unparseable' ELSE {_FAILED(_ANCHOR_OK)} END AS problems FROM {_ANCHORS.sql}")
@@ -312,14 +311,6 @@ _AUDITS = Given("id long, " + ", ".join(f"{k} {_AUDIT_TYPES.get(k, 'string')}" f
     _AUDITED, _AUDIT_FIELDS, {}, {"schema": "x"}, {"subs": []}, {"subs": None, "anchor_refs": None}, {"evidence_retrieved": None}, {"evidence_retrieved": False}, {"severity": "HIGH"}, {"severity": None}, {"sentence_verdict": "VERIFIED"}, {"sentence_verdict": "CLAIM-REVERSED", "severity": "HIGH"},
     {"sentence_verdict": "CLAIM-IMPRECISE", "severity": "MED"}, {"sentence_verdict": "CLAIM-UNSUPPORTED", "severity": "HIGH", "access_tier_max": "T3_abstract"}, {"sentence_verdict": "CLAIM-UNSUPPORTED", "severity": "HIGH", "access_tier_max": "T0_kg_fulltext"},
     {"sentence_verdict": "CLAIM-NOT-CHECKABLE", "severity": "UNVERIFIABLE", "evidence_retrieved": False}, {"subs": ["CONTRADICTED|"]}, {"subs": ["NOT_FOUND|"]}, {"anchor_refs": ["BAD"]}, {"manuscript_loc": ""}, {"citation_function": None}, {"_corrupt": "{"}))
-_SEV = "CASE sentence_verdict WHEN 'CLAIM-REVERSED' THEN 'HIGH' WHEN 'CLAIM-UNSUPPORTED' THEN 'HIGH' WHEN 'CLAIM-MISCHARACTERIZED' THEN 'MED' WHEN 'CLAIM-OVERCAUSAL' THEN 'MED' WHEN 'CLAIM-WRONG-POPULATION' THEN 'MED' WHEN 'CLAIM-IMPRECISE' THEN 'MED' WHEN 'CLAIM-VERIFIED' THEN 'OK' WHEN 'CLAIM-NOT-A-CLAIM' THEN 'OK' WHEN 'CLAIM-NOT-CHECKABLE' THEN 'UNVERIFIABLE' END"
-_AUDIT_OK = {
-    "R1 schema": "schema = 'claim-audit-record/v1'",
-    "R2 required": "claim_id <> '' AND cite_key <> '' AND manuscript_loc <> '' AND manuscript_quote <> '' AND citation_function <> '' AND sentence_verdict <> '' AND severity <> '' AND access_tier_max <> '' AND coalesce(len(subs), 0) > 0 AND evidence_retrieved IS NOT NULL",
-    "R3 verdict": f"({_SEV}) IS NOT NULL", "R3 severity": f"({_SEV}) IS NULL OR ({_SEV}) = severity", "R4 quote": "coalesce(len(list_filter(subs, lambda x: x IN ('SUPPORTED|', 'CONTRADICTED|'))), 0) = 0",
-    "R5 tier": "sentence_verdict <> 'CLAIM-UNSUPPORTED' OR access_tier_max IN ('T0_kg_fulltext', 'T1_fulltext', 'T2_oa_fulltext')", "R6 retrieval": "sentence_verdict <> 'CLAIM-VERIFIED' OR evidence_retrieved",
-    "R7 anchors": "coalesce(len(list_filter(anchor_refs, lambda x: NOT regexp_full_match(x, '[a-z0-9_-]+-[0-9a-f]{8}'))), 0) = 0",
-}
 
 
 def _audits(spark: SparkSession) -> DataFrame:

@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from auditloom.operators import measure, prose, retrieve, scan
-from auditloom.plans.path_oracle import EXT as _EXT
-from auditloom.plans.path_oracle import OPAQUE as _OPAQUE
+from auditloom.plans.gate_oracle import EXT as _EXT
+from auditloom.plans.gate_oracle import OPAQUE as _OPAQUE
 from auditloom.plans.registry import Given
 from auditloom.plans.scan_oracle import RED, YELLOW, flags
 
