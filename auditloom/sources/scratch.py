@@ -51,6 +51,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return files.exists(where)
 
 
+def children(spark: SparkSession, path: str) -> list[str]:
+    """The names in a folder; none where there is no such folder."""
+    where, files = _hadoop(spark, path)
+    return sorted(f.getPath().getName() for f in files.listStatus(where)) if files.exists(where) else []
+
+
 def remove(spark: SparkSession, path: str) -> None:
     where, files = _hadoop(spark, path)
     files.delete(where, True)

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from auditloom.sources.scratch import exists, scratch_path
+from auditloom.sources.scratch import children, exists, remove, scratch_path
 
 
 def events(spark: SparkSession, sf_dir: str, pattern: str = "events.parquet*") -> DataFrame:
@@ -23,23 +23,47 @@ def events(spark: SparkSession, sf_dir: str, pattern: str = "events.parquet*") -
     return stream.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
+#: Batches that may stand beside the last compaction.
+LOOSE = 16
+
+
 def upserted(changes: DataFrame, keys: list[str], folder: str) -> DataFrame:
     """The latest row of each key of an aggregation that reports its changes.
 
     Only changed keys are written, a folder a batch; a reader takes the highest batch of a
-    key. Old batches may be compacted into one at any time.
+    key. When a run ends with more than ``LOOSE`` batches, all that is there is written as one
+    base, which counts once it is whole, and the batches it holds go: what is read grows with
+    the keys, not with the batches that ever ran.
     """
-    spark, out = changes.sparkSession, f"{folder}/out"
+    spark, out, bases = changes.sparkSession, f"{folder}/out", f"{folder}/base"
 
     def write(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{out}/batch={number}")
 
     changes.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start().awaitTermination()
-    if not exists(spark, out):
-        return spark.createDataFrame([], changes.schema)
+    schema = StructType([*changes.schema.fields]).add("batch", "long")
     rest = [c for c in changes.columns if c not in keys]
-    rows = spark.read.schema(StructType([*changes.schema.fields]).add("batch", "long")).parquet(out)
-    return rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch").alias("r")).select(*keys, "r.*")
+    number = lambda name: int(name.split("=")[1])
+    whole = [number(n) for n in children(spark, bases) if exists(spark, f"{bases}/{n}/_SUCCESS")]
+    upto = max(whole, default=-1)
+    loose = [n for n in map(number, children(spark, out)) if n > upto]
+    parts = [spark.read.schema(schema).option("basePath", out).parquet(*[f"{out}/batch={n}" for n in loose])] if loose else []
+    if upto >= 0:
+        parts.append(spark.read.schema(changes.schema).parquet(f"{bases}/upto={upto}").withColumn("batch", F.lit(-1).cast("long")))
+    if not parts:
+        return spark.createDataFrame([], changes.schema)
+    rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    latest = rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch").alias("r")).select(*keys, "r.*")
+    if len(loose) <= LOOSE:
+        return latest
+    base = max(loose)
+    latest.write.mode("overwrite").parquet(f"{bases}/upto={base}")
+    # What the new base holds goes; a frame that an earlier call gave can't be read any more then.
+    for n in loose:
+        remove(spark, f"{out}/batch={n}")
+    for n in whole:
+        remove(spark, f"{bases}/upto={n}")
+    return spark.read.schema(changes.schema).parquet(f"{bases}/upto={base}")
 
 
 def daily_counts(spark: SparkSession, sf_dir: str, folder: str | None = None) -> DataFrame:

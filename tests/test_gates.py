@@ -493,6 +493,27 @@ def test_streams_go_on_where_they_stopped(spark, tmp_path):
     assert run() == batch(first.union(late))
 
 
+def test_batches_are_compacted(spark, tmp_path, monkeypatch):
+    import os
+
+    from auditloom.streaming import twins
+
+    monkeypatch.setattr(twins, "LOOSE", 2)
+    want, loose, bases = {}, [], []
+    for k in range(7):
+        rows = [(100 * k + i, f"2024-01-{1 + k:02d} 00:00:{i:02d}", (k + i) % 4, "ab"[k % 2]) for i in range(3)]
+        spark.createDataFrame(rows, "event_id long, ts string, user_id long, event_type string").withColumn("ts", F.to_timestamp("ts")).coalesce(1).write.mode("append").parquet(str(tmp_path / "events.parquet"))
+        want |= {u: (e, t) for e, _, u, t in rows}
+        got = twins.last_wins(spark, str(tmp_path), f"{tmp_path}/last")
+        assert {r.user_id: (r.event_id, r.event_type) for r in got.collect()} == want
+        loose.append(len(os.listdir(tmp_path / "last" / "out")))
+        bases.append(sorted(os.listdir(tmp_path / "last" / "base")) if (tmp_path / "last" / "base").exists() else [])
+    assert max(loose) <= 2 and all(len(b) <= 1 for b in bases) and bases[-1] != bases[2]
+    # A base that isn't whole doesn't count.
+    os.makedirs(tmp_path / "last" / "base" / "upto=99")
+    assert {r.user_id: (r.event_id, r.event_type) for r in twins.last_wins(spark, str(tmp_path), f"{tmp_path}/last").collect()} == want
+
+
 def test_bounds_raise(spark):
     from auditloom.functions import text as bounds
 
