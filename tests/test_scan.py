@@ -199,7 +199,7 @@ def test_seeds():
     assert scan.seeds(r"\b([0-9]+|x)\b") is None and scan.seeds("x") is None
 
 
-@pytest.mark.parametrize("name", ["span_ipv4"])
+@pytest.mark.parametrize("name", ["span_ipv4", "pii_value_summary", "pseudonym_key"])
 def test_addresses_side_by_side_as_in_sql(spark, tmp_path, name):
     """Addresses that share a sign between them, and longer rows of numbers, drawn at random and by hand."""
     rng = random.Random(5)
