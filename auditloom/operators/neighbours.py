@@ -4,8 +4,9 @@ Equal vectors are one, with their least ids. Each vector lies in the cell of its
 pivot, each cell in blocks. By the triangle inequality no member of a cell is nearer to a
 vector than the vector's distance to the pivot leaves over the cell's radius, so a vector
 needs the cells alone that can reach what it has found: first its own, then the few nearest,
-then all that are left. Blocks meet as matrices, and a meeting gives each vector's best few,
-never all pairs. Pivots and the cells' radii are all that every task has, bounded by
+then all that are left. Blocks meet as matrices, where their groups meet: a block is sent once
+a group, not once a pair, and a meeting of groups gives each vector's best few above what it
+has found, never all pairs. Pivots and the cells' radii are all that every task has, bounded by
 ``PIVOTS``; where bounds don't prune, as in many random dimensions, every block meets every
 other, and the work is that of comparing all.
 """
@@ -21,12 +22,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from auditloom.operators.order import running
 from auditloom.sources.scratch import remove, written
 
 #: Pivots at most, and vectors of a cell that make another one worth it.
 PIVOTS, CELL = 256, 512
-#: Vectors of a block at most.
-BLOCK = 2048
+#: Vectors of a block at most, and numbers of a group of blocks, about; two groups are what a task has in memory.
+BLOCK, GROUP = 2048, 1 << 21
 #: Cells besides its own that a vector visits before the rest.
 NEAR = 4
 #: Scores are ordered as rounded to so many digits.
@@ -42,17 +44,31 @@ def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(0.0, (a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2 * a @ b.T))
 
 
-def _best(scores: np.ndarray, names: np.ndarray, k: int) -> list[np.ndarray]:
-    """Per row the places of its ``k`` best, by rounded score and then name."""
-    n = scores.shape[1]
-    out = []
-    for row in scores:
-        some = np.arange(n)
-        if n > k:
-            some = np.flatnonzero(row >= np.partition(row, n - k)[n - k] - SLACK)
-        order = np.lexsort((names[some], -np.round(row[some], DIGITS)))[:k]
-        out.append(some[order])
-    return out
+class _Best:
+    """The ``k`` best others of a block's vectors, by rounded score and then name, while blocks meet it."""
+
+    def __init__(self, unit: np.ndarray, floor: np.ndarray, k: int) -> None:
+        self.unit, self.floor, self.k = unit, floor, k
+        self.row, self.name, self.score = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+
+    def meet(self, names: np.ndarray, unit: np.ndarray) -> None:
+        scores, k, n = self.unit @ unit.T, self.k, len(names)
+        open_ = np.flatnonzero(np.isneginf(self.floor))
+        cut = self.floor - SLACK
+        if len(open_) and n > k:
+            cut[open_] = np.partition(scores[open_], n - k, axis=1)[:, n - k] - SLACK
+        r, c = np.nonzero(scores >= cut[:, None])
+        if not len(r):
+            return
+        row, name, score = np.concatenate([self.row, r]), np.concatenate([self.name, names[c]]), np.concatenate([self.score, scores[r, c]])
+        rounded = np.round(score, DIGITS)
+        order = np.lexsort((name, -rounded, row))
+        row = row[order]
+        rank = np.arange(len(row)) - np.searchsorted(row, row)
+        last = rank == k - 1
+        self.floor[row[last]] = np.maximum(self.floor[row[last]], rounded[order][last])
+        keep = rank < k
+        self.row, self.name, self.score = row[keep], name[order][keep], score[order][keep]
 
 
 def nearest(vectors: DataFrame, k: int = 10, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
@@ -131,56 +147,76 @@ def nearest(vectors: DataFrame, k: int = 10, key: str = "vec_id", vector: str =
     heads = blocks.select("block", "width", "cell", "lo", "hi")
     rings = {(r["width"], r["cell"]): (r["lo"], r["hi"]) for r in heads.groupBy("width", "cell").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).limit(2 * PIVOTS).collect()}
 
-    def met(pairs: DataFrame) -> DataFrame:
-        """``name, other, score``: per pair of blocks ``(block, with)`` the best of the second for each vector of the first."""
-        a = blocks.select("block", "width", F.col("names").alias("na"), F.col("us").alias("ua"))
-        b = blocks.select(F.col("block").alias("with"), F.col("names").alias("nb"), F.col("us").alias("ub"))
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for i in range(batch.num_rows):
-                    w, (na, ua, nb, ub) = batch.column(0)[i].as_py(), (batch.column(j)[i].values for j in range(1, 5))
-                    na, nb = na.to_numpy(), nb.to_numpy()
-                    left, right = (x.to_numpy(zero_copy_only=False).reshape(-1, w) for x in (ua, ub))
-                    scores = left @ right.T
-                    best = _best(scores, nb, k + 1)
-                    sizes = [len(x) for x in best]
-                    flat = np.concatenate(best)
-                    rows = np.repeat(np.arange(len(na)), sizes)
-                    yield pa.RecordBatch.from_arrays([pa.array(na[rows]), pa.array(nb[flat]), pa.array(scores[rows, flat])], names=["name", "other", "score"])
-
-        return pairs.join(a, "block").join(b, "with").select("width", "na", "ua", "nb", "ub").mapInArrow(run, "name long, other long, score double")
+    # Blocks lie in groups of neighbouring cells; pairs of blocks meet where their groups do.
+    values, n_blocks = blocks.agg(F.coalesce(F.sum(F.size("names").cast("long") * F.col("width")), F.lit(0)), F.count("*")).first()
+    groups = max(1, -(-values // GROUP), min(spark.sparkContext.defaultParallelism, n_blocks))
+    before = running(blocks.select("block", (F.size("names").cast("long") * F.col("width")).alias("n")), [F.col("block")], {"before": F.col("n")})
+    homes = kept(before.select("block", F.expr(f"CAST(before * {groups} DIV {max(1, values)} AS INT)").alias("home")), "homes")
+    made.append(before._scratch)
 
     rank = F.row_number().over(Window.partitionBy("name").orderBy(F.desc(F.round("score", DIGITS)), "other"))
 
-    def visits(found: DataFrame, nearest_only: bool) -> DataFrame:
-        """``block, width, to``: cells besides its own that a block's vectors must still see, given what they have found."""
+    def floors_of(found: DataFrame) -> DataFrame:
+        """``block, floors``: for each vector of a block the score of the last that it keeps, null where it has found fewer."""
         floors = found.withColumn("_r", rank).where(F.col("_r") == k + 1).select("name", F.col("score").alias("floor"))
-        exploded = blocks.select("block", "width", "cell", F.posexplode("names").alias("at", "name"), "us").select("block", "width", "cell", "name", F.slice("us", F.col("at") * F.col("width") + 1, F.col("width")).alias("u"))
+        each = blocks.select("block", F.posexplode("names").alias("at", "name")).join(floors, "name", "left")
+        return kept(each.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("at", "floor"))).alias("l")).select("block", F.col("l.floor").alias("floors")), "floors")
+
+    def met(pairs: DataFrame, floors: DataFrame | None = None) -> DataFrame:
+        """``name, other, score``: of pairs of blocks ``(block, with)`` what the first's vectors may keep of the second's.
+
+        A block goes once to every group that holds blocks it meets, and what it finds there
+        leaves as one list of best, above the floors.
+        """
+        homed = pairs.join(homes.withColumnRenamed("home", "lg"), "block").join(homes.select(F.col("block").alias("with"), F.col("home").alias("rg")), "with")
+        homed = kept(homed.select("block", "with", "lg", "rg"), "pairs")
+        left = homed.groupBy("block", "lg", "rg").agg(F.collect_list("with").alias("withs")).join(blocks.select("block", "width", "names", "us"), "block")
+        left = left.withColumn("floors", F.lit(None).cast("array<double>")) if floors is None else left.join(floors, "block", "left")
+        theirs = blocks.select(F.col("block").alias("with"), F.col("width").alias("wide"), F.col("names").alias("others"), F.col("us").alias("units"))
+        right = homed.select("with", F.col("lg").alias("la"), F.col("rg").alias("ra")).distinct().join(theirs, "with")
+
+        def run(left: pa.Table, right: pa.Table) -> pa.Table:
+            def block(t: pa.Table, i: int, names: str, us: str, width: str) -> tuple[np.ndarray, np.ndarray]:
+                return t[names][i].values.to_numpy(), t[us][i].values.to_numpy(zero_copy_only=False).reshape(-1, t[width][i].as_py())
+
+            others = {w: block(right, i, "others", "units", "wide") for i, w in enumerate(right["with"].to_pylist())}
+            out = []
+            for i in range(left.num_rows):
+                names, unit = block(left, i, "names", "us", "width")
+                floor = left["floors"][i].values
+                best = _Best(unit, np.full(len(names), -np.inf) if floor is None else floor.fill_null(-np.inf).to_numpy(zero_copy_only=False).copy(), k + 1)
+                for w in left["withs"][i].as_py():
+                    best.meet(*others[w])
+                out.append((names[best.row], best.name, best.score))
+            columns = [np.concatenate(x) for x in zip(*out, strict=True)] or [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
+            return pa.table(dict(zip(("name", "other", "score"), columns, strict=True)))
+
+        ours, others = (df.repartition(parts, *at).groupBy(*at) for df, at in ((left, ("lg", "rg")), (right, ("la", "ra"))))
+        return ours.cogroup(others).applyInArrow(run, "name long, other long, score double")
+
+    def visits(floors: DataFrame, nearest_only: bool) -> DataFrame:
+        """``block, width, to``: cells besides its own that a block's vectors must still see, given their floors."""
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                width, out = batch.column(1).to_numpy(), set()
-                for w in set(width.tolist()):
-                    at = np.flatnonzero(width == w)
-                    some = batch.take(pa.array(at))
-                    d = _distances(_matrix(some.column(3), w), pivots.get(w, np.zeros((1, w))))
-                    floor = some.column(4).fill_null(-1.0).to_numpy(zero_copy_only=False)
+                out = set()
+                for i in range(batch.num_rows):
+                    block, w, own = (batch.column(j)[i].as_py() for j in range(3))
+                    d = _distances(batch.column(3)[i].values.to_numpy(zero_copy_only=False).reshape(-1, w), pivots.get(w, np.zeros((1, w))))
+                    floor = batch.column(4)[i].values.fill_null(-1.0).to_numpy(zero_copy_only=False)
                     reach = np.sqrt(np.maximum(0.0, 2 - 2 * (floor - SLACK))) + 1e-7
                     cells = np.array([c for ww, c in rings if ww == w])
                     lo, hi = (np.array([rings[w, c][j] for c in cells]) for j in (0, 1))
                     bound = np.maximum(d[:, cells] - hi, lo - d[:, cells])
-                    need = bound <= reach[:, None]
-                    need &= cells[None, :] != some.column(2).to_numpy()[:, None]
+                    need = (bound <= reach[:, None]) & (cells != own)[None, :]
                     if nearest_only:
                         bound = np.where(need, bound, np.inf)
                         need &= bound <= np.partition(bound, min(NEAR, len(cells)) - 1, axis=1)[:, min(NEAR, len(cells)) - 1 :][:, :1]
-                    r, c = np.nonzero(need)
-                    out |= set(zip(some.column(0).to_numpy()[r].tolist(), [w] * len(r), cells[c].tolist(), strict=True))
+                    out |= {(block, w, c) for c in cells[need.any(axis=0)].tolist()}
                 columns = [list(x) for x in zip(*out, strict=True)] or [[], [], []]
                 yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int32()), pa.array(columns[2], pa.int32())], names=["block", "width", "to"])
 
-        return exploded.join(floors, "name", "left").select("block", "width", "cell", "u", "floor").mapInArrow(run, "block long, width int, to int").distinct()
+        return blocks.join(floors, "block").select("block", "width", "cell", "us", "floors").mapInArrow(run, "block long, width int, to int")
 
     def pairs_of(cells: DataFrame) -> DataFrame:
         return cells.join(heads.select(F.col("block").alias("with"), "width", F.col("cell").alias("to")), ["width", "to"]).select("block", "with")
@@ -191,8 +227,9 @@ def nearest(vectors: DataFrame, k: int = 10, key: str = "vec_id", vector: str =
     seen = heads.select("block", "width", F.col("cell").alias("to"))
     found = best_of(met(pairs_of(seen)), "found")
     for nearest_only in (True, False):
-        cells = kept(visits(found, nearest_only).join(seen, ["block", "width", "to"], "left_anti"), "cells")
-        found = best_of(found.union(met(pairs_of(cells))), "found")
+        floors = floors_of(found)
+        cells = kept(visits(floors, nearest_only).join(seen, ["block", "width", "to"], "left_anti"), "cells")
+        found = best_of(found.union(met(pairs_of(cells), floors)), "found")
         seen = seen.union(cells.select("block", "width", "to"))
     # Vectors to ids: the k + 1 best ids of every distinct vector, less the row's own.
     ids = found.join(least.withColumnRenamed("name", "other"), "other").select("name", F.round("score", DIGITS).alias("score"), F.explode("ids").alias("other"))

@@ -101,3 +101,22 @@ def test_nearest(spark, monkeypatch):
     want = plain_nearest(rows, 4)
     assert {(a, b, r) for a, b, _, r in out} == {(a, b, r) for a, b, _, r in want}
     assert neighbours.nearest(df.limit(0), 4).count() == 0
+
+
+def test_a_block_keeps_its_best_over_many():
+    """What a block keeps while others meet it is what one comparison with all of them gives; floors known before leave nothing out."""
+    rng = np.random.default_rng(4)
+    unit = rng.normal(size=(300, 6))
+    unit[200:230] = unit[0]
+    unit /= np.sqrt((unit * unit).sum(1))[:, None]
+    names, k = rng.permutation(300), 7
+    want = {}
+    for i, scores in enumerate(np.round(unit @ unit.T, neighbours.DIGITS)):
+        want[i] = sorted(zip(-scores, names, strict=True))[:k]
+    floors = np.array([-want[i][-1][0] for i in range(300)])
+    for floor in (np.full(300, -np.inf), floors, np.where(np.arange(300) % 2, floors, -np.inf)):
+        best = neighbours._Best(unit, floor.copy(), k)
+        for at in range(0, 300, 13):
+            best.meet(names[at : at + 13], unit[at : at + 13])
+        kept = {i: sorted(zip(-np.round(best.score[best.row == i], neighbours.DIGITS), best.name[best.row == i], strict=True)) for i in range(300)}
+        assert kept == want
