@@ -5,6 +5,7 @@ from datetime import datetime, timedelta
 import numpy as np
 
 from auditloom.sources.scratch import scratch_path
+from auditloom.streaming import sessions as module
 from auditloom.streaming.sessions import sessions
 
 SCHEMA = "key string, at timestamp, value double, closing boolean"
@@ -51,3 +52,22 @@ def test_sessions(spark):
     assert late and len(closed) > 10
     assert sorted((r.key, r.start, r.end, r.n, round(r.total, 6)) for r in rows if r.kind == "closed") == closed
     assert sorted((r.key, r.start, r.total) for r in rows if r.kind == "late") == late
+
+
+def test_many_keys_of_few_buckets(spark, monkeypatch):
+    """State is followed by bucket: keys of one bucket don't touch each other, whether they have rows in a batch or not."""
+    monkeypatch.setattr(module, "BUCKETS", 2)
+    rng = np.random.default_rng(9)
+    batches = []
+    for b in range(3):
+        times, keys = b * 4000 + rng.integers(-2500, 4000, 150), rng.integers(0, 12 + 6 * b, 150)
+        batches.append([(f"k{k}", START + timedelta(seconds=int(10_000 + t)), float(v), False) for k, t, v in zip(keys, times, rng.integers(0, 9, 150), strict=True)])
+    batches.append([(f"k{k}", None, None, True) for k in range(24)])
+    folder = scratch_path(spark, "sessions")
+    for batch in batches:
+        spark.createDataFrame(batch, SCHEMA).repartition(2).write.mode("append").parquet(f"{folder}/in")
+        out = sessions(spark.readStream.schema(SCHEMA).parquet(f"{folder}/in"), folder, GAP, DELAY)
+    rows = out.collect()
+    closed, late = plain(batches)
+    assert late and sorted((r.key, r.start, r.end, r.n, round(r.total, 6)) for r in rows if r.kind == "closed") == closed
+    assert sorted((r.key, r.start, r.total) for r in rows if r.kind == "late") == late
