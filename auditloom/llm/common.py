@@ -32,6 +32,14 @@ WORD = r"[^\x20\x09-\x0D]+"
 _held: dict = {}
 
 
+def release() -> None:
+    """Give freed memory back to the system, which neither Arrow's pool nor C's allocator does by itself."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # other C libraries have no such call
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def kept_by_worker(key: tuple, make):
     """What a Python worker keeps from task to task: one operator's cache at a time.
 
@@ -39,10 +47,7 @@ def kept_by_worker(key: tuple, make):
     """
     if key not in _held:
         _held.clear()
-        gc.collect()
-        pa.default_memory_pool().release_unused()
-        with contextlib.suppress(OSError, AttributeError):  # other C libraries have no such call
-            ctypes.CDLL(None).malloc_trim(0)
+        release()
         _held[key] = make()
     return _held[key]
 
@@ -75,6 +80,8 @@ def saved_arrays(spark: SparkSession, name: str, sample: Iterable, make: Callabl
             with where.open_output_stream(own, compression=None) as f:
                 f.write(raw.getvalue())
             where.move(own, path)
+            del raw
+            release()  # what training took would stay with the driver to the end
         _models.clear()  # one sample's model at a time
         _models[name, key] = arrays
     return _models[name, key]
