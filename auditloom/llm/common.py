@@ -15,6 +15,7 @@ import sys
 import threading
 import uuid
 from collections.abc import Callable, Iterable, Sequence
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -55,12 +56,31 @@ def kept_by_worker(key: tuple, make):
 _models: dict[tuple[str, str], dict[str, np.ndarray]] = {}
 
 
-def saved_arrays(spark: SparkSession, name: str, sample: Iterable, make: Callable[[], dict[str, np.ndarray]]) -> dict[str, np.ndarray]:
+def _save(path: str, arrays: dict[str, np.ndarray]) -> None:
+    """Write an artefact beside its place and move it there whole."""
+    where, path = store.locate(path)
+    raw = io.BytesIO()
+    np.savez(raw, **arrays)
+    where.create_dir(path.rpartition("/")[0], recursive=True)
+    own = f"{path}.{uuid.uuid4().hex}"
+    with where.open_output_stream(own, compression=None) as f:
+        f.write(raw.getvalue())
+    where.move(own, path)
+
+
+def _save_in_task(make: Callable[[], dict[str, np.ndarray]], path: str) -> None:
+    _held.clear()  # what another operator has left with the worker goes first
+    _save(path, make())
+    release()
+
+
+def saved_arrays(spark: SparkSession, name: str, sample: Iterable, make: Callable[[], dict[str, np.ndarray]], apart: bool = False) -> dict[str, np.ndarray]:
     """What ``make`` gives for a training sample, kept as an artefact of the shared folder.
 
     The artefact's name is a digest of the sample, its parameters among it, and of the code of
     ``make``'s module, so another sample or training never meets it. It is moved into place
-    whole; who finds none makes it.
+    whole; who finds none makes it, in the driver or, ``apart``, in a task, so that the driver
+    has the sample and what comes of it, but never what training takes.
     """
     digest = hashlib.sha256()
     for x in (inspect.getsource(sys.modules[make.__module__]), *sample):
@@ -68,20 +88,19 @@ def saved_arrays(spark: SparkSession, name: str, sample: Iterable, make: Callabl
         digest.update(len(raw).to_bytes(8, "little") + raw)
     key = digest.hexdigest()
     if (name, key) not in _models:
-        where, path = store.locate(f"{scratch_root(spark)}/auditloom-models/{name}-{key}.npz")
-        if where.get_file_info(path).type == fs.FileType.File:
+        uri = f"{scratch_root(spark)}/auditloom-models/{name}-{key}.npz"
+        where, path = store.locate(uri)
+        arrays = None
+        if where.get_file_info(path).type != fs.FileType.File:
+            if apart:
+                spark.sparkContext.parallelize([uri], 1).foreach(partial(_save_in_task, make))
+            else:
+                arrays = make()
+                _save(uri, arrays)
+            release()  # what training took would stay with the driver to the end
+        if arrays is None:
             with where.open_input_file(path) as f, np.load(io.BytesIO(f.read())) as found:
                 arrays = dict(found)
-        else:
-            arrays, raw = make(), io.BytesIO()
-            np.savez(raw, **arrays)
-            where.create_dir(path.rpartition("/")[0], recursive=True)
-            own = f"{path}.{uuid.uuid4().hex}"
-            with where.open_output_stream(own, compression=None) as f:
-                f.write(raw.getvalue())
-            where.move(own, path)
-            del raw
-            release()  # what training took would stay with the driver to the end
         _models.clear()  # one sample's model at a time
         _models[name, key] = arrays
     return _models[name, key]
@@ -136,11 +155,20 @@ def tidy():
         yield keep
     finally:
         written = _open.scopes.pop()
-    forget(*[t for t in written if not any(t is k for k in kept)])
+    gone = [t for t in written if not any(t is k for k in kept)]
+    forget(*gone)
+    for spark in {t.sparkSession for t in gone}:
+        settle(spark)
     if _open.scopes:
         _open.scopes[-1] += kept
 
 
+def settle(spark: SparkSession) -> None:
+    """Have the driver drop finished plans and shuffles, and its heap shrink, which else grows to its limit over many small jobs."""
+    gc.collect()  # a Python handle keeps its plan in the JVM
+    spark.sparkContext._jvm.System.gc()
+
+
 def forget(*tables: DataFrame) -> None:
     """Delete tables that ``cut`` or ``running_total`` has written and nothing will read again."""
     for table in tables:
@@ -205,6 +233,7 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         many = large.join(least.where("n > 1").select("u", "m"), "u").where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
         stars = cut(many.union(least.select("u", F.col("m").alias("v"))).distinct(), "stars")
         forget(least, large)
+        settle(stars.sparkSession)
         now = stars.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if tuple(now) == seen:
             break

@@ -408,7 +408,7 @@ def fit(docs: DataFrame, labels: DataFrame, seed: int = 42, **columns) -> Model:
         model = train(texts, marks, seed=seed)
         return {**model.p, "trained": np.array(model.trained)}
 
-    found = saved_arrays(docs.sparkSession, "toxicity", [seed, *marks, *texts], made)
+    found = saved_arrays(docs.sparkSession, "toxicity", [seed, *marks, *texts], made, apart=True)
     model = Model(seed)
     model.p = {k: found[k] for k in model.p}
     model.trained = bool(found["trained"])
