@@ -25,6 +25,7 @@ import tempfile
 import unicodedata
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -36,13 +37,15 @@ from auditloom.llm.common import kept_by_worker, small_batches
 LEXICON = 50_000
 #: Longer words are merged, not compiled.
 LONGEST = 64
-#: Words a worker remembers before it starts anew; this bounds memory alone.
-REMEMBERED = 200_000
+#: Words a worker remembers; half of them go at a time. This bounds memory alone.
+REMEMBERED = 600_000
 #: Distinct words that a task counts before it hands the counts on.
 COUNTED = 250_000
 NONE = 1 << 62
 
 _ODD = re.compile("[^\t-\r -~À-ÖØ-öø-ɏ]")
+#: The same for ASCII, where bytes can be tried faster.
+_PLAIN = bytes([*range(9, 14), *range(32, 127)])
 # Letters come first and by range: the alternatives exclude one another but for the apostrophe's.
 _LATIN = re.compile(r"[a-zß-öø-ʯⱥⱦ]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|(?:_|[^\s\w])+")
 
@@ -158,11 +161,13 @@ class WordVocabulary:
         self.inner = [vocab[c] for c in level]
         self.last = [vocab[c + self.suffix] for c in level]
         self.merges = {vocab[a] << 16 | vocab[b]: rank << 16 | vocab[a + b] for rank, (a, b) in enumerate(map(tuple, model["merges"]))}
+        # What two bytes that stand before a word's last merge to.
+        self.firsts = [[self.merges.get(a << 16 | b, NONE) for b in self.inner] for a in self.inner]
         self.unicode = None
 
     def words(self, text: str) -> Iterable[str]:
         """The words of a text without special tokens."""
-        if not _ODD.search(text):
+        if not (text.encode("ascii").translate(None, _PLAIN) if text.isascii() else _ODD.search(text)):
             return _LATIN.findall(text.lower())
         if self.unicode is None:
             import regex
@@ -182,24 +187,25 @@ class WordVocabulary:
 
     def merge(self, word: bytes) -> bytes:
         """The ids of one word, lowest rank and leftmost pair first."""
-        inner = self.inner
-        ids = [inner[b] for b in word[:-1]]
-        ids.append(self.last[word[-1]])
+        ids = list(map(self.inner.__getitem__, word))
+        ids[-1] = self.last[word[-1]]
         if len(ids) > LONGEST:
             return self._merge_long(ids)
-        get = self.merges.get
-        pairs = [get(a << 16 | b, NONE) for a, b in zip(ids, ids[1:], strict=False)]
+        get, firsts = self.merges.get, self.firsts
+        pairs = [firsts[a][b] for a, b in pairwise(word)]
+        if pairs:
+            pairs[-1] = get(ids[-2] << 16 | ids[-1], NONE)
         while pairs:
             best = min(pairs)
             if best == NONE:
                 break
             i = pairs.index(best)
-            ids[i : i + 2] = [best & 0xFFFF]
-            del pairs[i]
+            ids[i] = new = best & 0xFFFF
+            del ids[i + 1], pairs[i]
             if i < len(pairs):
-                pairs[i] = get(ids[i] << 16 | ids[i + 1], NONE)
+                pairs[i] = get(new << 16 | ids[i + 1], NONE)
             if i:
-                pairs[i - 1] = get(ids[i - 1] << 16 | ids[i], NONE)
+                pairs[i - 1] = get(ids[i - 1] << 16 | new, NONE)
         return array.array("I", ids).tobytes()
 
     def _merge_long(self, ids: list[int]) -> bytes:
@@ -228,17 +234,21 @@ class WordVocabulary:
 
 
 class Encoder(dict):
-    """Texts to ids; a mapping of the words met so far."""
+    """Texts to ids; a mapping of the words met of late, those met before apart."""
 
     def __init__(self, vocabulary: WordVocabulary, lexicon: Lexicon | None = None) -> None:
-        self.vocabulary, self.lexicon = vocabulary, lexicon
+        self.vocabulary, self.lexicon, self.before = vocabulary, lexicon, {}
 
     def __missing__(self, word: str) -> bytes:
-        if len(self) >= REMEMBERED:
+        if len(self) >= REMEMBERED // 2:
+            self.before = dict(self)
             self.clear()
-        raw = word.encode("utf-8")
-        ids = self.lexicon.get(raw) if self.lexicon else None
-        self[word] = ids = self.vocabulary.merge(raw) if ids is None else ids
+        ids = self.before.get(word)
+        if ids is None:
+            raw = word.encode("utf-8")
+            ids = self.lexicon.get(raw) if self.lexicon else None
+            ids = self.vocabulary.merge(raw) if ids is None else ids
+        self[word] = ids
         return ids
 
     def encode(self, text: str) -> bytes:
