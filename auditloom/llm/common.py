@@ -127,12 +127,20 @@ def cut(df: DataFrame, name: str = "table") -> DataFrame:
     out._al_scratch = path
     if _open.scopes:
         _open.scopes[-1].append(out)
+    _open.since += 1
+    if _open.since >= UNSETTLED:
+        _settled(df.sparkSession)
     return out
 
 
+#: So many tables are written before the driver collects, so what its heap grows to follows the tables at hand, not all of a job's.
+UNSETTLED = 2
+
+
 class _Open(threading.local):
     def __init__(self) -> None:
         self.scopes: list[list[DataFrame]] = []
+        self.since = 0
 
 
 _open = _Open()
@@ -157,12 +165,18 @@ def tidy():
         written = _open.scopes.pop()
     gone = [t for t in written if not any(t is k for k in kept)]
     forget(*gone)
-    for spark in {t.sparkSession for t in gone}:
-        settle(spark)
+    if _open.since:
+        for spark in {t.sparkSession for t in gone}:
+            _settled(spark)
     if _open.scopes:
         _open.scopes[-1] += kept
 
 
+def _settled(spark: SparkSession) -> None:
+    _open.since = 0
+    settle(spark)
+
+
 def settle(spark: SparkSession) -> None:
     """Have the driver drop finished plans and shuffles, and its heap shrink, which else grows to its limit over many small jobs."""
     gc.collect()  # a Python handle keeps its plan in the JVM
@@ -233,7 +247,8 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         many = large.join(least.where("n > 1").select("u", "m"), "u").where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
         stars = cut(many.union(least.select("u", F.col("m").alias("v"))).distinct(), "stars")
         forget(least, large)
-        settle(stars.sparkSession)
+        if _open.since:
+            _settled(stars.sparkSession)
         now = stars.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if tuple(now) == seen:
             break

@@ -42,3 +42,14 @@ def test_a_scope_has_the_driver_collect(spark, monkeypatch):
     with common.tidy():
         common.cut(spark.range(3))
     assert collected == [spark]
+
+
+def test_few_tables_are_written_without_a_collection(spark, sf, monkeypatch):
+    from auditloom.llm import mixing
+
+    seen, written = [], common.written
+    monkeypatch.setattr(common, "settle", lambda spark: seen.append("c"))
+    monkeypatch.setattr(common, "written", lambda *args: seen.append("t") or written(*args))
+    mixing.mixed_documents(spark.read.parquet(f"{sf}/documents.parquet"))
+    assert seen.count("t") > 4
+    assert max(map(len, "".join(seen).split("c"))) <= 4
